@@ -78,11 +78,14 @@ def r6(c) -> Column:
 
 
 def half_up_decimal(c, scale: int, precision: int = 18) -> Column:
-    """Round half-up to ``scale`` places as DECIMAL; NaN/inf/unparsable -> 0."""
+    """Round half-up to ``scale`` places as DECIMAL; NaN/inf/NULL -> 0.
+
+    Spark rounds a double by its shortest decimal representation, i.e. like
+    ``Decimal(str(x)).quantize(..., ROUND_HALF_UP)``.
+    """
     x = col(c)
     ok = x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
-    return F.when(ok, F.round(x.cast(f"decimal({precision + 6},{scale + 6})"), scale)) \
-        .otherwise(F.lit(0)).cast(f"decimal({precision},{scale})")
+    return F.when(ok, F.round(x, scale)).otherwise(F.lit(0.0)).cast(f"decimal({precision},{scale})")
 
 
 def parse_localized_number(c) -> Column:

@@ -23,7 +23,7 @@ from depotlens import params as P
 from depotlens.functions.columns import from_units, money_units
 from depotlens.functions.text import tech_hit
 
-SNAPSHOT_FIELDS = ("p_cnt", "p_zero", "p_sum", "p_tech_cnt", "p_tech_sum", "p_aktie_sum",
+SNAPSHOT_FIELDS = ("p_cnt", "p_zero", "p_sum", "p_tech_cnt", "p_tech_sum", "p_aktie_sum", "p_aktie_exact",
                    "p_hhi", "p_tot_e", "p_deep", "p_win", "p_loss")
 
 
@@ -34,6 +34,7 @@ def position_snapshots(positions: DataFrame, vocab: P.Vocabulary) -> DataFrame:
     e = F.col("Einstandswerte")
     tech = tech_hit("Wertpapiername", vocab)
     aktie = F.upper(F.col("Wertpapiertyp")) == vocab.stock_type.upper()
+    aktie_exact = F.col("Wertpapiertyp") == vocab.stock_type
     cost = e > 0
     pnl = k - e
     per_security = (positions
@@ -44,6 +45,7 @@ def position_snapshots(positions: DataFrame, vocab: P.Vocabulary) -> DataFrame:
                          F.count(F.when(tech, 1)).alias("tech_cnt"),
                          F.sum(F.when(tech, ku)).alias("tech_sum"),
                          F.sum(F.when(aktie, ku)).alias("aktie_sum"),
+                         F.sum(F.when(aktie_exact, ku)).alias("aktie_exact"),
                          F.sum(F.when(cost, ku)).alias("tot_e"),
                          F.sum(F.when(cost & (F.try_divide(pnl, e) <= -0.5), ku)).alias("deep"),
                          F.sum(F.when(cost & (pnl > 0), ku)).alias("win"),
@@ -59,6 +61,7 @@ def position_snapshots(positions: DataFrame, vocab: P.Vocabulary) -> DataFrame:
                  F.sum("tech_cnt").alias("p_tech_cnt"),
                  F.sum("tech_sum").alias("p_tech_sum"),
                  F.sum("aktie_sum").alias("p_aktie_sum"),
+                 F.sum("aktie_exact").alias("p_aktie_exact"),
                  F.when(F.count_if(has_ref) > 0,
                         F.when(t_ref > 0, ss_ref / (t_ref * t_ref)).otherwise(F.lit(0.0))).alias("p_hhi"),
                  F.sum("tot_e").alias("p_tot_e"),

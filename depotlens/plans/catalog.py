@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from depotlens import params as P
 from depotlens.operators import features as FE
 from depotlens.operators import files as FI
+from depotlens.operators import rules as RU
+from depotlens.session import materialize
 from depotlens.sources.catalog import SourceTables
 from depotlens.sources.fixture import CUTOFF, fixture_tables
 
@@ -33,7 +35,9 @@ def rounded(df: DataFrame, places: int = 6, four=FOUR_PLACES, keep=UNROUNDED) ->
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (DoubleType, FloatType)) and f.name not in keep:
+        if isinstance(f.dataType, DecimalType):
+            c = c.cast("double")
+        elif isinstance(f.dataType, (DoubleType, FloatType)) and f.name not in keep:
             c = F.round(c, 4 if f.name in four else places)
         out.append(c.alias(f.name))
     return df.select(*out)
@@ -66,7 +70,78 @@ def q_depot_features_backfill(spark, sf_dir):
     return rounded(FE.depot_features_multi(t, dates, FIXTURE_FEATURES))
 
 
+# --------------------------------------------------------------------------
+# Rules (one cut-off date)
+# --------------------------------------------------------------------------
+
+_DAILY: dict = {}
+
+
+def _daily(spark, sf_dir):
+    """Feature base of the cut-off date, checkpointed once per session and
+    directory; the rule queries start from it."""
+    key = (id(spark), sf_dir)
+    if key not in _DAILY:
+        t = tables(spark, sf_dir)
+        _DAILY[key] = materialize(FE.feature_base_at(t, CUTOFF, FIXTURE_FEATURES))
+    base = _DAILY[key]
+    return base, FE.finish_features(base, FIXTURE_FEATURES)
+
+
+def _lead_rows(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return RU.leads(RU.lead_frame_direct(feats))
+
+
+def q_general_score(spark, sf_dir):
+    base, _ = _daily(spark, sf_dir)
+    return rounded(RU.general_score(base))
+
+
+def q_invest_readiness(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return rounded(RU.invest_readiness(feats))
+
+
+def q_alerts(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return RU.alerts(feats, RU.invest_readiness(feats))
+
+
+def q_segment_cutoffs(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return rounded(RU.segment_cutoffs(feats))
+
+
+def q_segments(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return RU.segments(feats)
+
+
+def q_segment_counts(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return RU.segment_counts(RU.segments(feats))
+
+
+def q_leads(spark, sf_dir):
+    rows = _lead_rows(spark, sf_dir)
+    return rounded(rows.select("Depotnummer", "Score_Datum", "InvestScore", "GeneralScore", "CompositeScore",
+                               "Segment", "Next_Action"))
+
+
+def q_lead_report(spark, sf_dir):
+    return rounded(RU.lead_report(_lead_rows(spark, sf_dir)))
+
+
 QUERIES = {
     "depot_features": q_depot_features,
     "depot_features_backfill": q_depot_features_backfill,
+    "general_score": q_general_score,
+    "invest_readiness": q_invest_readiness,
+    "alerts": q_alerts,
+    "segment_cutoffs": q_segment_cutoffs,
+    "segments": q_segments,
+    "segment_counts": q_segment_counts,
+    "leads": q_leads,
+    "lead_report": q_lead_report,
 }

@@ -67,3 +67,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` by a reliable checkpoint into ``spark.checkpoint.dir``.
+
+    Used where one intermediate result (e.g. the day's feature base) feeds
+    many downstream steps: the plan of each step starts from the stored
+    result instead of repeating the whole computation, and a lost executor
+    re-reads the checkpoint instead of recomputing its lineage.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

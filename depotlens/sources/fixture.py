@@ -83,7 +83,7 @@ def fixture_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
          .otherwise(F.col("l_partkey").cast("string")).alias("Wertpapierreferenz"),
         F.col("p_name").alias("Wertpapiername"),
-        F.when(F.col("p_type").isin("ECONOMY", "STANDARD", "PROMO"), "Aktie").otherwise("Fonds").alias("Wertpapiertyp"),
+        F.when(F.col("p_type").isin("ECONOMY", "STANDARD", "PROMO"), "AKTIE").otherwise("FONDS").alias("Wertpapiertyp"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F"), F.lit(0.0))
          .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("Kurswert"),
         F.when(F.col("l_linenumber") % 6 == 0, F.lit(0.0))

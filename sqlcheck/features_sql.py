@@ -101,6 +101,7 @@ def feature_base_ctes() -> list[str]:
   SELECT Depotreferenz, Datum, COUNT(*) AS cnt, COUNT(CASE WHEN k <= 0 THEN 1 END) AS zero, SUM(ku) / 10000.0 AS psum,
     COUNT(CASE WHEN tech THEN 1 END) AS tech_cnt, SUM(CASE WHEN tech THEN ku END) / 10000.0 AS tech_sum,
     SUM(CASE WHEN upper(coalesce(Wertpapiertyp, '')) = 'AKTIE' THEN ku END) / 10000.0 AS aktie_sum,
+    SUM(CASE WHEN Wertpapiertyp = 'AKTIE' THEN ku END) / 10000.0 AS aktie_exact,
     SUM(CASE WHEN e > 0 THEN ku END) / 10000.0 AS tot_e,
     SUM(CASE WHEN e > 0 AND (k - e) / e <= -0.5 THEN ku END) / 10000.0 AS deep,
     SUM(CASE WHEN e > 0 AND k - e > 0 THEN ku END) / 10000.0 AS win,
@@ -128,7 +129,7 @@ def feature_base_ctes() -> list[str]:
   SELECT s.Depotnummer, s.Score_Datum,
          o.last_buy, o.last_trade, o.n, o.vol, o.n30, o.vol30, o.n90, o.vol90, o.months, o.act6,
          b.in30, b.out30, b.in90, b.out90, b.plan_months, b.strength, b.last_cf, v.dep_vol,
-         p.cnt, p.zero, p.psum, p.tech_cnt, p.tech_sum, p.aktie_sum, p.tot_e, p.deep, p.win, p.loss, p.hhi,
+         p.cnt, p.zero, p.psum, p.tech_cnt, p.tech_sum, p.aktie_sum, p.aktie_exact, p.tot_e, p.deep, p.win, p.loss, p.hhi,
          l.saldo
   FROM spine s
   LEFT JOIN ord o ON o.Depotnummer = s.Depotnummer AND o.Score_Datum = s.Score_Datum
@@ -206,5 +207,11 @@ SELECT Depotnummer, Score_Datum, Letzter_Kauf, Inaktiv_seit_Kauf, Last_Buy_Days,
 FROM feat"""
 
 
+def hu(x: str, scale: int) -> str:
+    """Half-up rounding on the shortest decimal representation (NULL/NaN/inf -> 0), as DOUBLE."""
+    return (f"CASE WHEN ({x}) IS NULL OR isnan({x}) OR isinf({x}) THEN 0.0 "
+            f"ELSE CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,12)), {scale}) AS DOUBLE) END")
+
+
 def features_sql(dates_cte: str = SINGLE_DATE, select: str = FEATURE_OUTPUT, extra_ctes=()) -> str:
     return with_sources(dates_cte, *feature_base_ctes(), *extra_ctes, select=select)

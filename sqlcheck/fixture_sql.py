@@ -35,7 +35,7 @@ cd_bestand AS (
          make_date(year(l.l_shipdate), 1, 1) AS Datum,
          CASE WHEN l.l_linenumber = 7 THEN NULL ELSE CAST(l.l_partkey AS VARCHAR) END AS Wertpapierreferenz,
          p.p_name AS Wertpapiername,
-         CASE WHEN p.p_type IN ('ECONOMY', 'STANDARD', 'PROMO') THEN 'Aktie' ELSE 'Fonds' END AS Wertpapiertyp,
+         CASE WHEN p.p_type IN ('ECONOMY', 'STANDARD', 'PROMO') THEN 'AKTIE' ELSE 'FONDS' END AS Wertpapiertyp,
          CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' THEN 0.0
               ELSE l.l_extendedprice * (1 - l.l_discount) END AS Kurswert,
          CASE WHEN l.l_linenumber % 6 = 0 THEN 0.0 ELSE l.l_quantity * p.p_retailprice * 2 END AS Einstandswerte

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from sqlcheck.features_sql import BACKFILL_DATES, features_sql
+from sqlcheck.rules_sql import rule_oracles
 
 ORACLES: dict[str, str] = {
     "depot_features": features_sql(),
     "depot_features_backfill": features_sql(BACKFILL_DATES),
 }
+ORACLES.update(rule_oracles())
