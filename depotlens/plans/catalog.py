@@ -15,6 +15,7 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 from depotlens import params as P
 from depotlens.operators import features as FE
 from depotlens.operators import files as FI
+from depotlens.operators import labels as LB
 from depotlens.operators import rules as RU
 from depotlens.session import materialize
 from depotlens.sources.catalog import SourceTables
@@ -145,3 +146,95 @@ QUERIES = {
     "leads": q_leads,
     "lead_report": q_lead_report,
 }
+
+
+# --------------------------------------------------------------------------
+# File catalog
+# --------------------------------------------------------------------------
+
+def q_file_pick_latest(spark, sf_dir):
+    return FI.latest_files(tables(spark, sf_dir).files)
+
+
+def q_file_pick_checked(spark, sf_dir):
+    return FI.latest_files(tables(spark, sf_dir).files, require_checked=True)
+
+
+def q_asof_dates_complete(spark, sf_dir):
+    return FI.backfill_dates(tables(spark, sf_dir).files, months=24)
+
+
+def q_dates_missing_in_target(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    # The target already holds the dates of the balance snapshots.
+    target = t.balances.select(F.col("Datum").alias("Score_Datum")).distinct()
+    return FI.dates_missing_in_target(FI.backfill_dates(t.files, months=24), target)
+
+
+# --------------------------------------------------------------------------
+# Labels
+# --------------------------------------------------------------------------
+
+LABEL_START = "1999-08-01"
+LABEL_END = CUTOFF
+
+
+def _label_rows(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return FE.depot_spine_multi(t, FI.backfill_dates(t.files, months=24)) \
+        .withColumnRenamed("Score_Datum", "stichtag")
+
+
+def q_investment_events(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return LB.investment_events(t.orders, t.bookings)
+
+
+def q_label_invest(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return LB.invest_labels(_label_rows(spark, sf_dir), t.orders, t.bookings, horizons=(7, 14))
+
+
+def q_upsert_labels(spark, sf_dir):
+    """T7 labels exist for the first year of the backfill; a T14 run over the
+    last 18 months is merged in."""
+    t = tables(spark, sf_dir)
+    rows = _label_rows(spark, sf_dir)
+    first = rows.where(F.col("stichtag") < F.lit("2000-08-01").cast("date"))
+    last = rows.where(F.col("stichtag") >= F.lit("2000-02-01").cast("date"))
+    existing = LB.invest_labels(first, t.orders, t.bookings, horizons=(7,))
+    new = LB.invest_labels(last, t.orders, t.bookings, horizons=(14,))
+    return LB.upsert_labels(existing, new)
+
+
+def q_first_target_buy(spark, sf_dir):
+    return LB.first_target_buy(tables(spark, sf_dir).orders, LABEL_START, LABEL_END)
+
+
+def q_pre_first_target(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return LB.pre_first_target(FE.depot_spine(t, CUTOFF), t.orders)
+
+
+def q_label_first_buy(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    spine = FE.depot_spine_multi(t, FI.backfill_dates(t.files, months=24))
+    rows = (LB.pre_first_target(spine, t.orders)
+            .where((F.col("Pre_First_Target") == 1)
+                   & F.col("Score_Datum").between(F.lit(LABEL_START).cast("date"), F.lit(LABEL_END).cast("date")))
+            .select("Depotnummer", F.col("Score_Datum").alias("Stichtag")))
+    return LB.first_buy_labels(rows, LB.first_target_buy(t.orders, LABEL_START, LABEL_END))
+
+
+QUERIES.update({
+    "file_pick_latest": q_file_pick_latest,
+    "file_pick_checked": q_file_pick_checked,
+    "asof_dates_complete": q_asof_dates_complete,
+    "dates_missing_in_target": q_dates_missing_in_target,
+    "investment_events": q_investment_events,
+    "label_invest": q_label_invest,
+    "upsert_labels": q_upsert_labels,
+    "first_target_buy": q_first_target_buy,
+    "pre_first_target": q_pre_first_target,
+    "label_first_buy": q_label_first_buy,
+})

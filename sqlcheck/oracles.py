@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sqlcheck.features_sql import BACKFILL_DATES, features_sql
+from sqlcheck.labels_sql import label_oracles
 from sqlcheck.rules_sql import rule_oracles
 
 ORACLES: dict[str, str] = {
@@ -10,3 +11,4 @@ ORACLES: dict[str, str] = {
     "depot_features_backfill": features_sql(BACKFILL_DATES),
 }
 ORACLES.update(rule_oracles())
+ORACLES.update(label_oracles())
