@@ -16,6 +16,7 @@ from depotlens import params as P
 from depotlens.operators import features as FE
 from depotlens.operators import files as FI
 from depotlens.operators import labels as LB
+from depotlens.operators import metrics as ME
 from depotlens.operators import rules as RU
 from depotlens.session import materialize
 from depotlens.sources.catalog import SourceTables
@@ -238,3 +239,78 @@ QUERIES.update({
     "pre_first_target": q_pre_first_target,
     "label_first_buy": q_label_first_buy,
 })
+
+
+# --------------------------------------------------------------------------
+# Ranking metrics: the readiness score evaluated against investment labels
+# --------------------------------------------------------------------------
+
+_EVAL: dict = {}
+
+
+def eval_base(spark, sf_dir):
+    """(Depotnummer, Score_Datum, InvestScore, label_invest_T7/T14/T30) over the
+    24-month backfill, checkpointed once per session and directory."""
+    key = (id(spark), sf_dir)
+    if key not in _EVAL:
+        t = tables(spark, sf_dir)
+        feats = FE.depot_features_multi(t, FI.backfill_dates(t.files, months=24), FIXTURE_FEATURES)
+        scored = feats.select("Depotnummer", "Score_Datum", RU.invest_score_expr().alias("InvestScore"))
+        labelled = LB.invest_labels(scored.withColumnRenamed("Score_Datum", "stichtag"), t.orders, t.bookings,
+                                    horizons=(7, 14, 30)).withColumnRenamed("stichtag", "Score_Datum")
+        _EVAL[key] = materialize(labelled)
+    return _EVAL[key]
+
+
+def _long(eb, horizons=(7, 14)):
+    parts = [eb.select(F.lit(f"T{h}").alias("horizon"), "Depotnummer", "Score_Datum",
+                       F.col("InvestScore").cast("double").alias("score"), F.col(f"label_invest_T{h}").alias("label"))
+             for h in horizons]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_average_precision(spark, sf_dir):
+    return rounded(ME.average_precision(_long(eval_base(spark, sf_dir)), "horizon", "score", "label"))
+
+
+def q_precision_lift_at_k(spark, sf_dir):
+    return rounded(ME.precision_lift_at_k(_long(eval_base(spark, sf_dir)), "horizon", "score", "label",
+                                          ["Depotnummer", "Score_Datum"], ks=(0.01, 0.03, 0.05, 0.10)))
+
+
+def q_eval_horizons(spark, sf_dir):
+    return rounded(ME.eval_summary(_long(eval_base(spark, sf_dir), (7, 14, 30)), "horizon", "score", "label",
+                                   ["Depotnummer", "Score_Datum"]))
+
+
+def _calibrated(spark, sf_dir):
+    """p_invest_{H}d: the observed event rate of depots with the same InvestScore
+    (a binned calibration of the rule score)."""
+    eb = eval_base(spark, sf_dir)
+    rates = eb.groupBy("InvestScore").agg(*[F.avg(F.col(f"label_invest_T{h}").cast("double")).alias(f"p_invest_{h}d")
+                                            for h in (7, 14, 30)])
+    return eb.join(F.broadcast(rates), "InvestScore")
+
+
+def q_horizon_monotone(spark, sf_dir):
+    cols = ("p_invest_7d", "p_invest_14d", "p_invest_30d")
+    return rounded(ME.monotone_horizons(_calibrated(spark, sf_dir), cols)
+                   .select("Depotnummer", "Score_Datum", *cols))
+
+
+def q_rank_in_run(spark, sf_dir):
+    r = ME.rank_in_run(_calibrated(spark, sf_dir), "Score_Datum", "p_invest_7d")
+    return rounded(r.select(F.col("Score_Datum").alias("run_date"), "Depotnummer",
+                            F.col("p_invest_7d").alias("p_invest"), "score", "rank_in_run"))
+
+
+QUERIES.update({
+    "average_precision": q_average_precision,
+    "precision_lift_at_k": q_precision_lift_at_k,
+    "eval_horizons": q_eval_horizons,
+    "horizon_monotone": q_horizon_monotone,
+    "rank_in_run": q_rank_in_run,
+})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sqlcheck.features_sql import BACKFILL_DATES, features_sql
 from sqlcheck.labels_sql import label_oracles
+from sqlcheck.metrics_sql import metric_oracles
 from sqlcheck.rules_sql import rule_oracles
 
 ORACLES: dict[str, str] = {
@@ -12,3 +13,4 @@ ORACLES: dict[str, str] = {
 }
 ORACLES.update(rule_oracles())
 ORACLES.update(label_oracles())
+ORACLES.update(metric_oracles())
