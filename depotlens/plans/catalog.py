@@ -17,6 +17,7 @@ from depotlens.operators import features as FE
 from depotlens.operators import files as FI
 from depotlens.operators import labels as LB
 from depotlens.operators import metrics as ME
+from depotlens.operators import quality as QC
 from depotlens.operators import rules as RU
 from depotlens.session import materialize
 from depotlens.sources.catalog import SourceTables
@@ -34,6 +35,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def rounded(df: DataFrame, places: int = 6, four=FOUR_PLACES, keep=UNROUNDED) -> DataFrame:
+    """Round doubles for comparison (4 places for ``four``, none for ``keep``);
+    decimals become doubles."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -246,6 +249,17 @@ QUERIES.update({
 # --------------------------------------------------------------------------
 
 _EVAL: dict = {}
+_BACKFILL: dict = {}
+
+
+def backfill_features(spark, sf_dir):
+    """The 24-month backfill feature table, checkpointed once per session and directory."""
+    key = (id(spark), sf_dir)
+    if key not in _BACKFILL:
+        t = tables(spark, sf_dir)
+        _BACKFILL[key] = materialize(
+            FE.depot_features_multi(t, FI.backfill_dates(t.files, months=24), FIXTURE_FEATURES))
+    return _BACKFILL[key]
 
 
 def eval_base(spark, sf_dir):
@@ -254,7 +268,7 @@ def eval_base(spark, sf_dir):
     key = (id(spark), sf_dir)
     if key not in _EVAL:
         t = tables(spark, sf_dir)
-        feats = FE.depot_features_multi(t, FI.backfill_dates(t.files, months=24), FIXTURE_FEATURES)
+        feats = backfill_features(spark, sf_dir)
         scored = feats.select("Depotnummer", "Score_Datum", RU.invest_score_expr().alias("InvestScore"))
         labelled = LB.invest_labels(scored.withColumnRenamed("Score_Datum", "stichtag"), t.orders, t.bookings,
                                     horizons=(7, 14, 30)).withColumnRenamed("stichtag", "Score_Datum")
@@ -314,3 +328,75 @@ QUERIES.update({
     "horizon_monotone": q_horizon_monotone,
     "rank_in_run": q_rank_in_run,
 })
+
+
+# --------------------------------------------------------------------------
+# Data quality
+# --------------------------------------------------------------------------
+
+def q_qc_ranges(spark, sf_dir):
+    return QC.range_checks(backfill_features(spark, sf_dir))
+
+
+def q_qc_drift(spark, sf_dir):
+    f = backfill_features(spark, sf_dir)
+    return rounded(QC.drift(f, RU.invest_readiness(f)))
+
+
+def q_qc_lead_coverage(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return rounded(QC.lead_coverage(feats, _lead_rows(spark, sf_dir)))
+
+
+def q_qc_daily_monitor(spark, sf_dir):
+    return rounded(QC.daily_label_monitor(q_label_first_buy(spark, sf_dir)))
+
+
+def q_schema_audit(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return QC.schema_audit(spark, feats)
+
+
+def q_flow_reconcile(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    _, feats = _daily(spark, sf_dir)
+    # The cash ratio over an empty portfolio is cash / 1e-6 (~1e9): those two
+    # columns stay unrounded (they are computed by identical operations).
+    return rounded(QC.flow_reconcile(feats, t.bookings, t.balances, t.positions, CUTOFF), places=4,
+                   keep=("cashquote_sql", "Δ_cashquote"))
+
+
+def q_feature_audit(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return rounded(QC.feature_audit(feats), four=("mean", "std"))
+
+
+def _localized_customers(spark, sf_dir):
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    # Balances as German-formatted text ("1.234,56") next to a text column.
+    return c.select("c_custkey", F.translate(F.format_number("c_acctbal", 2), ",.", ".,").alias("acctbal_text"),
+                    F.col("c_name"))
+
+
+def q_localized_numbers(spark, sf_dir):
+    from depotlens.functions.columns import parse_localized_number
+    c = _localized_customers(spark, sf_dir)
+    return c.select("c_custkey", "acctbal_text", parse_localized_number("acctbal_text").alias("acctbal"),
+                    parse_localized_number("c_name").alias("name_as_number"))
+
+
+def q_numeric_column_coverage(spark, sf_dir):
+    return rounded(QC.localized_numbers(_localized_customers(spark, sf_dir), ["acctbal_text", "c_name"]))
+
+
+QUERIES.update({
+    "qc_ranges": q_qc_ranges,
+    "qc_drift": q_qc_drift,
+    "qc_lead_coverage": q_qc_lead_coverage,
+    "qc_daily_monitor": q_qc_daily_monitor,
+    "schema_audit": q_schema_audit,
+    "flow_reconcile": q_flow_reconcile,
+    "feature_audit": q_feature_audit,
+    "localized_numbers": q_localized_numbers,
+    "numeric_column_coverage": q_numeric_column_coverage,
+})
