@@ -18,6 +18,7 @@ from depotlens.operators import files as FI
 from depotlens.operators import labels as LB
 from depotlens.operators import metrics as ME
 from depotlens.operators import quality as QC
+from depotlens.plans import ml as ML
 from depotlens.operators import rules as RU
 from depotlens.session import materialize
 from depotlens.sources.catalog import SourceTables
@@ -400,3 +401,86 @@ QUERIES.update({
     "localized_numbers": q_localized_numbers,
     "numeric_column_coverage": q_numeric_column_coverage,
 })
+
+
+# --------------------------------------------------------------------------
+# Models: time split, class weights, calibrated boosted trees
+# --------------------------------------------------------------------------
+
+TRAIN_START = "1999-08-01"
+TRAIN_END = "2001-02-01"
+TEST_END = CUTOFF
+
+
+def _split_frame(spark, sf_dir):
+    eb = eval_base(spark, sf_dir)
+    train = ML.time_split(eb.where(F.col("Score_Datum") <= F.lit(TRAIN_END).cast("date")), TRAIN_END)
+    test = eb.where(F.col("Score_Datum") > F.lit(TRAIN_END).cast("date")).withColumn("split", F.lit("test"))
+    return train.unionByName(test)
+
+
+def q_model_time_split(spark, sf_dir):
+    s = _split_frame(spark, sf_dir)
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                  F.sum("label_invest_T7").cast("bigint").alias("positives_T7"),
+                                  F.min("Score_Datum").alias("first_date"), F.max("Score_Datum").alias("last_date"))
+
+
+def q_class_weights(spark, sf_dir):
+    s = _split_frame(spark, sf_dir).where(F.col("split") == "train")
+    parts = [ML.class_weights(s, f"label_invest_T{h}").withColumn("horizon", F.lit(f"T{h}")) for h in (7, 14, 30)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return rounded(out.select("horizon", "pos", "neg", "scale_pos_weight"))
+
+
+# Small ensemble for the registered check; the library default is 800 trees of depth 6.
+CHECK_GBT = ML.GbtParams(max_depth=4, max_iter=20, step_size=0.1)
+_MODELS: dict = {}
+
+
+def invest_model(spark, sf_dir):
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        feats = backfill_features(spark, sf_dir)
+        split = _split_frame(spark, sf_dir).select("Depotnummer", "Score_Datum", "label_invest_T7", "split")
+        frame = feats.join(split, ["Depotnummer", "Score_Datum"])
+        cols = ML.numeric_feature_columns(feats, "label_invest_T7")
+        bundle = ML.fit_calibrated(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "calib"),
+                                   cols, "label_invest_T7", CHECK_GBT)
+        _MODELS[key] = (bundle, frame)
+    return _MODELS[key]
+
+
+def q_train_score_invest(spark, sf_dir):
+    bundle, frame = invest_model(spark, sf_dir)
+    scored = ML.score(bundle, frame.where(F.col("split") == "test"), "p_invest")
+    return scored.select("Depotnummer", "Score_Datum", "p_invest", "label_invest_T7")
+
+
+def q_feature_importance(spark, sf_dir):
+    bundle, _ = invest_model(spark, sf_dir)
+    return ML.feature_importances(spark, bundle)
+
+
+def q_upsert_predictions(spark, sf_dir):
+    """Predictions of a first run (dates up to 2001-05-01) merged with a second
+    run over 2001-04-01 onwards: the second run's rows replace equal keys."""
+    from depotlens.sinks.tables import merged_keep_new
+    cal = _calibrated(spark, sf_dir)
+    run = ME.rank_in_run(cal, "Score_Datum", "p_invest_7d").select(
+        F.col("Score_Datum").alias("run_date"), "Depotnummer", F.col("p_invest_7d").alias("p_invest"), "score",
+        "rank_in_run")
+    first = run.where(F.col("run_date") <= F.lit("2001-05-01").cast("date")).withColumn("model_version", F.lit("v1"))
+    second = run.where(F.col("run_date") >= F.lit("2001-04-01").cast("date")).withColumn("model_version", F.lit("v2"))
+    return rounded(merged_keep_new(first, second, ["run_date", "Depotnummer"]))
+
+
+QUERIES.update({
+    "model_time_split": q_model_time_split,
+    "class_weights": q_class_weights,
+    "train_score_invest": q_train_score_invest,
+    "feature_importance": q_feature_importance,
+    "upsert_predictions": q_upsert_predictions,
+})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from sqlcheck.features_sql import BACKFILL_DATES, features_sql
 from sqlcheck.labels_sql import label_oracles
 from sqlcheck.metrics_sql import metric_oracles
+from sqlcheck.ml_sql import ml_oracles
 from sqlcheck.quality_sql import quality_oracles
 from sqlcheck.rules_sql import rule_oracles
 
@@ -16,3 +17,4 @@ ORACLES.update(rule_oracles())
 ORACLES.update(label_oracles())
 ORACLES.update(metric_oracles())
 ORACLES.update(quality_oracles())
+ORACLES.update(ml_oracles())
