@@ -6,13 +6,12 @@
 * ``merge_upsert``    – MERGE by key for plain Parquet: the merged result is
   written to a new version directory and the table pointer moves to it; the
   version being read is never overwritten in place.
-* ``upsert_rows``     – predictions: new rows replace rows with the same key.
+* ``merged_keep_new`` – predictions: new rows replace rows with the same key.
 * ``append``          – evaluation rows, registry rows.
 """
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,25 +67,31 @@ class VersionedTable:
         fs = self._fs(ptr)
         if not fs.exists(ptr):
             return None
-        rows = self.spark.read.text(f"{self.root}/_CURRENT").collect()  # a one-line pointer file
-        return rows[0][0].strip() if rows else None
+        jvm = self.spark._jvm
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(ptr), "UTF-8"))
+        try:
+            line = reader.readLine()
+        finally:
+            reader.close()
+        return line.strip() if line else None
 
     def read(self) -> DataFrame | None:
         cur = self.current()
         return None if cur is None else self.spark.read.parquet(f"{self.root}/{cur}")
 
     def commit(self, df: DataFrame) -> str:
+        """Write a new version, then move the pointer to it (the old version stays readable)."""
         version = f"v={uuid.uuid4().hex}"
         df.write.mode("errorifexists").parquet(f"{self.root}/{version}")
-        tmp = f"{self.root}/_CURRENT.{uuid.uuid4().hex}"
-        self.spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(tmp)
-        fs = self._fs(self._Path(tmp))
-        part = [s.getPath() for s in fs.listStatus(self._Path(tmp)) if s.getPath().getName().startswith("part-")][0]
+        tmp = self._Path(f"{self.root}/_CURRENT.{uuid.uuid4().hex}")
+        fs = self._fs(tmp)
+        out = fs.create(tmp, True)
+        out.write(bytearray(version.encode("utf-8")))
+        out.close()
         dst = self._Path(f"{self.root}/_CURRENT")
         if fs.exists(dst):
             fs.delete(dst, False)
-        fs.rename(part, dst)
-        fs.delete(self._Path(tmp), True)
+        fs.rename(tmp, dst)
         return version
 
 
@@ -96,7 +101,3 @@ def merge_upsert(table: VersionedTable, new: DataFrame, keys, combine) -> DataFr
     merged = new if existing is None else combine(existing, new)
     table.commit(merged)
     return table.read()
-
-
-def local_path(*parts: str) -> str:
-    return os.path.join(*parts)
