@@ -232,45 +232,12 @@ def depot_features(tables: SourceTables, as_of, fp: P.FeatureParams | None = Non
 def feature_base_multi(tables: SourceTables, dates: DataFrame, fp: P.FeatureParams) -> DataFrame:
     """Base columns for every (depot, date) of ``depot_spine_multi``.
 
-    Event rows of all sources (pre-aggregated per depot and day) and one
-    marker row per (depot, date) are stacked, partitioned by depot and
-    ordered by epoch day; every measure is a window whose frame ends at the
-    marker day (cumulative, 30, 90 or 190 days back). One shuffle and one
-    sort for all features; a depot's partition holds at most one row per
-    day and source, however many raw rows the depot has.
+    Evaluated on a per-depot timeline with cumulative window frames only
+    (see ``depotlens.operators.timeline``): one shuffle by depot, one sort,
+    linear cost in rows, independent of how many dates are requested.
     """
-    rows = [OR.order_day_rows(tables.orders)]
-    if tables.bookings is not None:
-        rows.append(BK.booking_day_rows(tables.bookings, fp))
-    snaps = POS.position_snapshots(tables.positions, fp.vocab)
-    rows.append(snaps.select("Depotnummer", F.col("Datum").alias("d"), POS.snapshot_struct().alias("ev_p")))
-    rows.append(BAL.balance_days(tables.balances))
-    markers = depot_spine_multi(tables, dates).select(
-        "Depotnummer", F.col("Score_Datum").alias("d"), F.lit(True).alias("marker"))
-    stacked = markers
-    for r in rows:
-        stacked = stacked.unionByName(r, allowMissingColumns=True)
-    for c, t in (("ev_b_nz", "boolean"), ("ev_b_in", "double"), ("ev_b_out", "double"),
-                 ("ev_b_has_in", "boolean"), ("ev_b_small_in", "boolean"), ("ev_b_small", "boolean")):
-        if c not in stacked.columns:
-            stacked = stacked.withColumn(c, F.lit(None).cast(t))
-    stacked = stacked.withColumn("e", epoch_day("d")).withColumn("m", month_index(F.col("d")))
-
-    w = Window.partitionBy("Depotnummer").orderBy("e")
-    cum = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    w30 = w.rangeBetween(-30, Window.currentRow)
-    w90 = w.rangeBetween(-90, Window.currentRow)
-    w190 = w.rangeBetween(-190, Window.currentRow)
-    a = F.col("d")
-    e = F.col("e")
-    cols = (OR.order_window_columns(cum, w30, w90, w190, a, e)
-            + BK.booking_window_columns(cum, w30, w90, w190, a, e)
-            + POS.position_window_columns(cum)
-            + BAL.balance_window_columns(cum))
-    return (stacked.select("Depotnummer", "d", "marker", *cols)
-            .where(F.col("marker"))
-            .withColumnRenamed("d", "Score_Datum")
-            .drop("marker"))
+    from depotlens.operators.timeline import timeline_base
+    return timeline_base(tables, depot_spine_multi(tables, dates), fp)
 
 
 def depot_features_multi(tables: SourceTables, dates: DataFrame, fp: P.FeatureParams | None = None) -> DataFrame:
