@@ -30,26 +30,39 @@ SNAPSHOT_FIELDS = ("p_cnt", "p_zero", "p_sum", "p_tech_cnt", "p_tech_sum", "p_ak
 def position_snapshots(positions: DataFrame, vocab: P.Vocabulary) -> DataFrame:
     """One row per (Depotnummer, Datum) with the snapshot measures."""
     k = F.col("Kurswert")
-    ku = money_units(k)
     e = F.col("Einstandswerte")
-    tech = tech_hit("Wertpapiername", vocab)
-    aktie = F.upper(F.col("Wertpapiertyp")) == vocab.stock_type.upper()
-    aktie_exact = F.col("Wertpapiertyp") == vocab.stock_type
     cost = e > 0
     pnl = k - e
-    per_security = (positions
-                    .groupBy(F.col("Depotreferenz").alias("Depotnummer"), "Datum", "Wertpapierreferenz")
+    # Row flags are computed once in a projection (the security-name regex runs
+    # once per row), then aggregated.
+    flagged = positions.select(
+        F.col("Depotreferenz").alias("Depotnummer"), "Datum", "Wertpapierreferenz",
+        money_units(k).alias("ku"), (k <= 0).alias("is_zero"),
+        tech_hit("Wertpapiername", vocab).alias("is_tech"),
+        (F.upper(F.col("Wertpapiertyp")) == vocab.stock_type.upper()).alias("is_aktie"),
+        (F.col("Wertpapiertyp") == vocab.stock_type).alias("is_aktie_exact"),
+        F.coalesce(cost, F.lit(False)).alias("has_cost"),
+        F.coalesce(cost & (F.try_divide(pnl, e) <= -0.5), F.lit(False)).alias("is_deep"),
+        F.coalesce(cost & (pnl > 0), F.lit(False)).alias("is_win"),
+        F.coalesce(cost & (pnl <= 0), F.lit(False)).alias("is_loss"))
+    ku = F.col("ku")
+
+    def usum(flag):
+        return F.sum(F.when(F.col(flag), ku))
+
+    per_security = (flagged
+                    .groupBy("Depotnummer", "Datum", "Wertpapierreferenz")
                     .agg(F.count(F.lit(1)).alias("cnt"),
-                         F.count(F.when(k <= 0, 1)).alias("zero"),
+                         F.count_if(F.col("is_zero")).alias("zero"),
                          F.sum(ku).alias("val"),
-                         F.count(F.when(tech, 1)).alias("tech_cnt"),
-                         F.sum(F.when(tech, ku)).alias("tech_sum"),
-                         F.sum(F.when(aktie, ku)).alias("aktie_sum"),
-                         F.sum(F.when(aktie_exact, ku)).alias("aktie_exact"),
-                         F.sum(F.when(cost, ku)).alias("tot_e"),
-                         F.sum(F.when(cost & (F.try_divide(pnl, e) <= -0.5), ku)).alias("deep"),
-                         F.sum(F.when(cost & (pnl > 0), ku)).alias("win"),
-                         F.sum(F.when(cost & (pnl <= 0), ku)).alias("loss")))
+                         F.count_if(F.col("is_tech")).alias("tech_cnt"),
+                         usum("is_tech").alias("tech_sum"),
+                         usum("is_aktie").alias("aktie_sum"),
+                         usum("is_aktie_exact").alias("aktie_exact"),
+                         usum("has_cost").alias("tot_e"),
+                         usum("is_deep").alias("deep"),
+                         usum("is_win").alias("win"),
+                         usum("is_loss").alias("loss")))
     has_ref = F.col("Wertpapierreferenz").isNotNull()
     v = from_units("val")
     t_ref = F.sum(F.when(has_ref, v))

@@ -94,9 +94,17 @@ def _daily(spark, sf_dir):
     return base, FE.finish_features(base, FIXTURE_FEATURES)
 
 
+_LEADS: dict = {}
+
+
 def _lead_rows(spark, sf_dir):
-    _, feats = _daily(spark, sf_dir)
-    return RU.leads(RU.lead_frame_direct(feats))
+    """The day's lead rows, checkpointed once per session and directory (the
+    report and the coverage check read them several times)."""
+    key = (id(spark), sf_dir)
+    if key not in _LEADS:
+        _, feats = _daily(spark, sf_dir)
+        _LEADS[key] = materialize(RU.leads(RU.lead_frame_direct(feats)))
+    return _LEADS[key]
 
 
 def q_general_score(spark, sf_dir):
