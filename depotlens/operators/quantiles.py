@@ -6,7 +6,7 @@ millions of values. ``exact_quantiles`` instead:
 
 1. brackets each wanted quantile with ``approx_percentile`` (a mergeable
    sketch) at p - m and p + m, where m is a few times the sketch's rank error
-   (groups of at most ``SMALL_GROUP`` values are not bracketed at all);
+   (groups of at most ``SMALL_GROUP`` values take ``percentile`` directly);
 2. counts, per group, the values below the lower bracket (a plain
    distributed count) and keeps only the values inside the bracket (about
    2m * n rows);
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 ACCURACY = 10000
 MARGIN = 5.0 / ACCURACY
-# Groups up to this size are ranked completely (the bracket is only needed,
-# and only valid, when MARGIN * n is several ranks wide).
+# Groups up to this size use percentile() directly (bounded value map); the
+# bracket is only needed, and only valid, when MARGIN * n is several ranks wide.
 SMALL_GROUP = 50000
 
 
@@ -34,6 +34,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
                     accuracy: int = ACCURACY) -> DataFrame:
     """One row per group with a column per name in ``probs`` (NULL for an empty group).
 
+    Groups of at most ``SMALL_GROUP`` values use ``percentile`` directly (its
+    value map is bounded by that size); larger groups use the bracket method.
     ``group=None`` computes one global row.
     """
     g = group or "_g"
@@ -46,13 +48,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
         pcts += [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
     stats = base.groupBy(g).agg(F.count(F.lit(1)).alias("n"),
                                 F.approx_percentile("v", pcts, accuracy).alias("br"))
-    stats = stats.select(g, "n", *[
-        F.struct(F.lit(i).alias("i"),
-                 F.when(F.col("n") > SMALL_GROUP, F.col("br")[2 * i]).otherwise(F.lit(float("-inf"))).alias("lo"),
-                 F.when(F.col("n") > SMALL_GROUP, F.col("br")[2 * i + 1]).otherwise(F.lit(float("inf"))).alias("hi"),
+    # One row per group (groups are dates: a calendar-sized frame).
+    sized = base.join(F.broadcast(stats.select(g, "n")), g)
+
+    small = (sized.where(F.col("n") <= SMALL_GROUP).groupBy(g)
+             .agg(F.percentile("v", [float(probs[n]) for n in names]).alias("qs"))
+             .select(g, *[F.col("qs")[i].alias(n) for i, n in enumerate(names)]))
+
+    large_stats = stats.where(F.col("n") > SMALL_GROUP).select(g, "n", *[
+        F.struct(F.lit(i).alias("i"), F.col("br")[2 * i].alias("lo"), F.col("br")[2 * i + 1].alias("hi"),
                  ((F.col("n") - 1) * F.lit(probs[n])).alias("h")).alias(f"_q{i}")
         for i, n in enumerate(names)])
-    qs = stats.select(g, "n", F.explode(F.array(*[F.col(f"_q{i}") for i in range(len(names))])).alias("q")) \
+    qs = large_stats.select(g, "n", F.explode(F.array(*[F.col(f"_q{i}") for i in range(len(names))])).alias("q")) \
         .select(g, "n", "q.*")
     joined = base.join(F.broadcast(qs), g)
     below = joined.groupBy(g, "i").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"))
@@ -66,7 +73,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
                    F.min_by("v", "r").alias("v_lo"), F.max_by("v", "r").alias("v_hi"))
               .select(g, "i", (F.col("v_lo") + (F.col("h") - F.floor("h")) * (F.col("v_hi") - F.col("v_lo")))
                       .alias("q")))
-    wide = picked.groupBy(g).pivot("i", list(range(len(names)))).agg(F.first("q"))
-    out = stats.select(g).join(wide, g, "left")
-    out = out.select(g, *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
+    large = (picked.groupBy(g).pivot("i", list(range(len(names)))).agg(F.first("q"))
+             .select(g, *[F.col(str(i)).alias(n) for i, n in enumerate(names)]))
+    out = stats.select(g).join(small.unionByName(large), g, "left")
     return out if group else out.drop(g)
