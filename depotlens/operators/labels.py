@@ -169,3 +169,74 @@ def pre_first_target(rows: DataFrame, orders: DataFrame, fb: P.FirstBuyParams =
     df = rows.join(first, "Depotnummer", "left")
     pre = (F.col("First_Target_Buy").isNull() | (F.col("First_Target_Buy") > F.col(date_col))).cast("int")
     return df.withColumn("Pre_First_Target", pre)
+
+
+# --------------------------------------------------------------------------
+# First-buy feature table
+# --------------------------------------------------------------------------
+
+def effective_buys(orders: DataFrame, fb: P.FirstBuyParams = P.FirstBuyParams()) -> DataFrame:
+    """Buys of any security with ticket >= min_ticket whose transaction was not cancelled."""
+    b = orders.where((F.col("Ordertyp") == P.ORDER_TYPE_BUY)
+                     & (F.abs(F.coalesce(F.col("Cashflow"), F.lit(0.0))) >= fb.min_ticket))
+    b = b.select("Depotnummer", "Orderdatum", "ISIN", F.abs(F.col("Cashflow")).alias("ticket"),
+                 F.col("Transaktionsnummer").alias("tx"))
+    return b.join(_cancelled_tx(orders), "tx", "left_anti")
+
+
+def first_buy_features(features: DataFrame, orders: DataFrame, as_of,
+                       fb: P.FirstBuyParams = P.FirstBuyParams(), never_days: int = 0) -> DataFrame:
+    """Feature table of the first-buy model at one cut-off date.
+
+    Taken from the depot features: Cash (= Cash_abs), Cash_Ratio
+    (= Cashquote_true), Deposit_30d_eff, Pos_Count. Defined here:
+
+    * Buys_7d / Buys_30d – effective buys (any security, ticket >= 1,000, not
+      cancelled) in the last 7 / 30 days (inclusive bounds, as all windows);
+    * Last_Buy_Days – days since the last effective buy (``never_days`` if none);
+    * Avg_Ticket_90d – mean ticket of effective buys in 90 days (0 if none);
+    * Turnover – sum of |cash flow| of all orders in 90 days / Depotwert
+      (0 when Depotwert <= 0);
+    * NewRefs_90d – securities whose first effective buy by the depot lies in
+      the last 90 days;
+    * CancelRate_30d – orders with a cancellation remark / all orders in 30 days
+      (0 without orders);
+    * Pre_First_Target, First_Target_Buy – see ``pre_first_target``.
+    """
+    from depotlens.functions.columns import money_units
+    a = F.lit(str(as_of)).cast("date")
+    f = features.where(F.col("Score_Datum") == a)
+    eb = effective_buys(orders, fb).where(F.col("Orderdatum") <= a)
+    d = F.col("Orderdatum")
+    buys = eb.groupBy("Depotnummer").agg(
+        F.count_if(d >= F.date_sub(a, 7)).alias("Buys_7d"),
+        F.count_if(d >= F.date_sub(a, 30)).alias("Buys_30d"),
+        F.max(d).alias("_last_buy"),
+        F.sum(F.when(d >= F.date_sub(a, 90), money_units("ticket"))).alias("_t90"),
+        F.count_if(d >= F.date_sub(a, 90)).alias("_n90"))
+    refs = (eb.groupBy("Depotnummer", "ISIN").agg(F.min(d).alias("_first"))
+            .groupBy("Depotnummer").agg(F.count_if(F.col("_first") >= F.date_sub(a, 90)).alias("NewRefs_90d")))
+    o = orders.where(d <= a)
+    act = o.groupBy("Depotnummer").agg(
+        F.sum(F.when(d >= F.date_sub(a, 90), money_units(F.abs(F.col("Cashflow"))))).alias("_vol90"),
+        F.count_if(d >= F.date_sub(a, 30)).alias("_o30"),
+        F.count_if((d >= F.date_sub(a, 30)) & F.coalesce(F.col("Bemerkung").ilike("%storn%"), F.lit(False)))
+        .alias("_c30"))
+    j = (pre_first_target(f.select("Depotnummer", "Score_Datum", "Cash_abs", "Cashquote_true",
+                                   "Einzahlung_30d_eff", "Pos_Count", "Depotwert"), orders, fb)
+         .join(buys, "Depotnummer", "left").join(refs, "Depotnummer", "left").join(act, "Depotnummer", "left"))
+    z = F.lit(0.0)
+    cnt = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    return j.select(
+        "Depotnummer", "Score_Datum",
+        cnt("Buys_7d").alias("Buys_7d"), cnt("Buys_30d").alias("Buys_30d"),
+        F.coalesce(F.datediff(a, F.col("_last_buy")), F.lit(never_days)).cast("bigint").alias("Last_Buy_Days"),
+        F.when(F.col("_n90") > 0, F.col("_t90").cast("double") / F.col("_n90") / 10000.0).otherwise(z)
+         .alias("Avg_Ticket_90d"),
+        F.col("Cash_abs").alias("Cash"), F.col("Cashquote_true").alias("Cash_Ratio"),
+        F.col("Einzahlung_30d_eff").alias("Deposit_30d_eff"),
+        F.when(F.col("Depotwert") > 0, F.coalesce(F.col("_vol90"), F.lit(0)).cast("double") / 10000.0
+               / F.col("Depotwert")).otherwise(z).alias("Turnover"),
+        F.col("Pos_Count"), cnt("NewRefs_90d").alias("NewRefs_90d"),
+        F.when(F.col("_o30") > 0, F.col("_c30") / F.col("_o30")).otherwise(z).alias("CancelRate_30d"),
+        "Pre_First_Target", "First_Target_Buy")

@@ -492,3 +492,12 @@ QUERIES.update({
     "feature_importance": q_feature_importance,
     "upsert_predictions": q_upsert_predictions,
 })
+
+
+def q_first_buy_features(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    _, feats = _daily(spark, sf_dir)
+    return rounded(LB.first_buy_features(feats, t.orders, CUTOFF), keep=("Avg_Ticket_90d",))
+
+
+QUERIES["first_buy_features"] = q_first_buy_features

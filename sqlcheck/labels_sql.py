@@ -53,6 +53,11 @@ ALL_BUYS = EFFECTIVE_BUYS.format(storno_cond="", buy_cond="")
 
 
 def label_oracles() -> dict[str, str]:
+    extra = {"first_buy_features": first_buy_feature_oracle()}
+    return {**extra, **_label_oracles()}
+
+
+def _label_oracles() -> dict[str, str]:
     first_buy = ("SELECT Depotnummer, MIN(Orderdatum) AS first_buy_date FROM buys GROUP BY Depotnummer")
     return {
         "file_pick_latest": with_sources(LATEST_FILES.format(cond=""), select=LATEST_SELECT),
@@ -94,3 +99,42 @@ def label_oracles() -> dict[str, str]:
                                f"w.first_buy_date <= r.Stichtag + {h} AS INTEGER) AS label_T{h}" for h in (7, 14, 30))
                    + " FROM lrows r LEFT JOIN fbw w ON w.Depotnummer = r.Depotnummer"),
     }
+
+
+EFF_BUYS = """
+storno_all AS (SELECT DISTINCT Transaktionsnummer AS tx FROM cd_order
+               WHERE lower(Bemerkung) LIKE '%storn%' AND Transaktionsnummer IS NOT NULL),
+eb AS (SELECT b.Depotnummer, b.Orderdatum, b.ISIN, abs(b.Cashflow) AS ticket FROM cd_order b
+       WHERE b.Ordertyp = 'Ankauf' AND abs(coalesce(b.Cashflow, 0.0)) >= 1000 AND b.Orderdatum <= DATE '2001-08-01'
+         AND NOT EXISTS (SELECT 1 FROM storno_all s WHERE s.tx = b.Transaktionsnummer)),
+fbuys AS (SELECT Depotnummer, COUNT(*) FILTER (WHERE Orderdatum >= DATE '2001-08-01' - 7) AS b7,
+            COUNT(*) FILTER (WHERE Orderdatum >= DATE '2001-08-01' - 30) AS b30, MAX(Orderdatum) AS lb,
+            SUM(CASE WHEN Orderdatum >= DATE '2001-08-01' - 90 THEN CAST(round_even(ticket * 10000, 0) AS BIGINT) END) AS t90,
+            COUNT(*) FILTER (WHERE Orderdatum >= DATE '2001-08-01' - 90) AS n90
+          FROM eb GROUP BY Depotnummer),
+frefs AS (SELECT Depotnummer, COUNT(*) FILTER (WHERE fst >= DATE '2001-08-01' - 90) AS nr
+          FROM (SELECT Depotnummer, ISIN, MIN(Orderdatum) AS fst FROM eb GROUP BY Depotnummer, ISIN)
+          GROUP BY Depotnummer),
+fact AS (SELECT Depotnummer,
+            SUM(CASE WHEN Orderdatum >= DATE '2001-08-01' - 90 THEN CAST(round_even(abs(Cashflow) * 10000, 0) AS BIGINT) END) AS v90,
+            COUNT(*) FILTER (WHERE Orderdatum >= DATE '2001-08-01' - 30) AS o30,
+            COUNT(*) FILTER (WHERE Orderdatum >= DATE '2001-08-01' - 30 AND coalesce(lower(Bemerkung) LIKE '%storn%', false)) AS c30
+         FROM cd_order WHERE Orderdatum <= DATE '2001-08-01' GROUP BY Depotnummer),
+ftb AS (SELECT Depotnummer, MIN(Orderdatum) AS First_Target_Buy FROM buys GROUP BY Depotnummer)"""
+
+FIRST_BUY_FEATURES_SELECT = """
+SELECT f.Depotnummer, f.Score_Datum, CAST(coalesce(b.b7, 0) AS BIGINT) AS Buys_7d, CAST(coalesce(b.b30, 0) AS BIGINT) AS Buys_30d,
+  CAST(coalesce(date_diff('day', b.lb, f.Score_Datum), 0) AS BIGINT) AS Last_Buy_Days,
+  CASE WHEN b.n90 > 0 THEN CAST(b.t90 AS DOUBLE) / b.n90 / 10000.0 ELSE 0.0 END AS Avg_Ticket_90d,
+  round(f.Cash_abs, 6) AS Cash, round(f.Cashquote_true, 6) AS Cash_Ratio, round(f.Einzahlung_30d_eff, 6) AS Deposit_30d_eff,
+  round(CASE WHEN f.Depotwert > 0 THEN CAST(coalesce(a.v90, 0) AS DOUBLE) / 10000.0 / f.Depotwert ELSE 0.0 END, 6) AS Turnover,
+  f.Pos_Count, CAST(coalesce(r.nr, 0) AS BIGINT) AS NewRefs_90d,
+  round(CASE WHEN a.o30 > 0 THEN a.c30 / a.o30 ELSE 0.0 END, 6) AS CancelRate_30d,
+  CAST(t.First_Target_Buy IS NULL OR t.First_Target_Buy > f.Score_Datum AS INTEGER) AS Pre_First_Target,
+  t.First_Target_Buy
+FROM feat f LEFT JOIN fbuys b ON b.Depotnummer = f.Depotnummer LEFT JOIN frefs r ON r.Depotnummer = f.Depotnummer
+LEFT JOIN fact a ON a.Depotnummer = f.Depotnummer LEFT JOIN ftb t ON t.Depotnummer = f.Depotnummer"""
+
+
+def first_buy_feature_oracle() -> str:
+    return features_sql(extra_ctes=(ALL_BUYS, EFF_BUYS), select=FIRST_BUY_FEATURES_SELECT)
