@@ -45,16 +45,32 @@ def range_checks(features: DataFrame) -> DataFrame:
         neg("Last_Buy_Days"), neg("Last_Trade_Days"), neg("Last_Cashflow_Days"))
 
 
-def drift(features: DataFrame, readiness: DataFrame, qp: P.QcParams = P.QcParams()) -> DataFrame:
+def _per_date_quantiles(frames: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """P50/P80 per date of several (frame, column, tag) at once: the values are
+    stacked to (date, tag, value) and one quantile pass runs over all of them."""
+    long = None
+    for df, col, tag in frames:
+        part = df.select(F.struct(F.col("Score_Datum").alias("d"), F.lit(tag).alias("t")).alias("_grp"),
+                         F.col(f"`{col}`").cast("double").alias("v"))
+        long = part if long is None else long.unionByName(part)
+    q = exact_quantiles(long, "v", {"p50": 0.5, "p80": 0.8}, "_grp")
+    aggs = []
+    for _, _, tag in frames:
+        aggs += [F.max(F.when(F.col("_grp.t") == tag, F.col("p50"))).alias(f"P50_{tag}"),
+                 F.max(F.when(F.col("_grp.t") == tag, F.col("p80"))).alias(f"P80_{tag}")]
+    return q.groupBy(F.col("_grp.d").alias("Score_Datum")).agg(*aggs)
+
+
+def drift(features: DataFrame, readiness: DataFrame | None = None, qp: P.QcParams = P.QcParams()) -> DataFrame:
     """Validation log per date: row count and P50/P80 of the 90-day order
     volume, the cash ratio and InvestScore, each next to the previous date's,
-    with a drift flag and notes."""
+    with a drift flag and notes. InvestScore comes from ``readiness`` or, when
+    it is None, from an ``InvestScore`` column of ``features``."""
     counts = features.groupBy("Score_Datum").agg(F.count(F.lit(1)).alias("Agg_Rows"))
-    vol = exact_quantiles(features, "ØOrdervolumen_90d", {"P50_Vol90d": 0.5, "P80_Vol90d": 0.8}, "Score_Datum")
-    cash = exact_quantiles(features, "Cashquote_true", {"P50_Cashquote": 0.5, "P80_Cashquote": 0.8}, "Score_Datum")
-    score = exact_quantiles(readiness, "InvestScore", {"P50_InvestScore": 0.5, "P80_InvestScore": 0.8},
-                            "Score_Datum")
-    d = counts.join(vol, "Score_Datum", "left").join(cash, "Score_Datum", "left").join(score, "Score_Datum", "left")
+    score_src = readiness if readiness is not None else features
+    q = _per_date_quantiles([(features, "ØOrdervolumen_90d", "Vol90d"), (features, "Cashquote_true", "Cashquote"),
+                             (score_src, "InvestScore", "InvestScore")])
+    d = counts.join(q, "Score_Datum", "left")
     w = Window.orderBy("Score_Datum")  # one row per date: a calendar-sized frame
     for c in ("Agg_Rows", "P50_Vol90d", "P80_Vol90d", "P50_Cashquote", "P80_Cashquote",
               "P50_InvestScore", "P80_InvestScore"):

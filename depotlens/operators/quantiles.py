@@ -46,16 +46,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
     for n in names:
         p = probs[n]
         pcts += [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
-    stats = base.groupBy(g).agg(F.count(F.lit(1)).alias("n"),
-                                F.approx_percentile("v", pcts, accuracy).alias("br"))
-    # One row per group (groups are dates: a calendar-sized frame).
-    sized = base.join(F.broadcast(stats.select(g, "n")), g)
+    # Group sizes first (one row per group; groups are dates: a calendar-sized
+    # frame, broadcast); the sketch is only built for the large groups.
+    counts = base.groupBy(g).agg(F.count(F.lit(1)).alias("n"))
+    sized = base.join(F.broadcast(counts), g)
 
     small = (sized.where(F.col("n") <= SMALL_GROUP).groupBy(g)
              .agg(F.percentile("v", [float(probs[n]) for n in names]).alias("qs"))
              .select(g, *[F.col("qs")[i].alias(n) for i, n in enumerate(names)]))
 
-    large_stats = stats.where(F.col("n") > SMALL_GROUP).select(g, "n", *[
+    stats = (sized.where(F.col("n") > SMALL_GROUP).groupBy(g)
+             .agg(F.first("n").alias("n"), F.approx_percentile("v", pcts, accuracy).alias("br")))
+    large_stats = stats.select(g, "n", *[
         F.struct(F.lit(i).alias("i"), F.col("br")[2 * i].alias("lo"), F.col("br")[2 * i + 1].alias("hi"),
                  ((F.col("n") - 1) * F.lit(probs[n])).alias("h")).alias(f"_q{i}")
         for i, n in enumerate(names)])
@@ -75,5 +77,5 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
                       .alias("q")))
     large = (picked.groupBy(g).pivot("i", list(range(len(names)))).agg(F.first("q"))
              .select(g, *[F.col(str(i)).alias(n) for i, n in enumerate(names)]))
-    out = stats.select(g).join(small.unionByName(large), g, "left")
+    out = counts.select(g).join(small.unionByName(large), g, "left")
     return out if group else out.drop(g)

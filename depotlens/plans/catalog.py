@@ -52,10 +52,15 @@ def rounded(df: DataFrame, places: int = 6, four=FOUR_PLACES, keep=UNROUNDED) ->
 _TABLES: dict = {}
 
 
+def _key(spark: SparkSession, sf_dir: str):
+    """Cache key of per-session intermediate results (a restarted context gets new ones)."""
+    return (id(spark), spark.sparkContext.applicationId, sf_dir)
+
+
 def tables(spark: SparkSession, sf_dir: str) -> SourceTables:
     """Typed fixture tables (cached per session and directory, plans only)."""
     prepare(spark)
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _TABLES:
         _TABLES[key] = fixture_tables(spark, sf_dir).typed()
     return _TABLES[key]
@@ -86,7 +91,7 @@ _DAILY: dict = {}
 def _daily(spark, sf_dir):
     """Feature base of the cut-off date, checkpointed once per session and
     directory; the rule queries start from it."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _DAILY:
         t = tables(spark, sf_dir)
         _DAILY[key] = materialize(FE.feature_base_at(t, CUTOFF, FIXTURE_FEATURES))
@@ -100,7 +105,7 @@ _LEADS: dict = {}
 def _lead_rows(spark, sf_dir):
     """The day's lead rows, checkpointed once per session and directory (the
     report and the coverage check read them several times)."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _LEADS:
         _, feats = _daily(spark, sf_dir)
         _LEADS[key] = materialize(RU.leads(RU.lead_frame_direct(feats)))
@@ -263,7 +268,7 @@ _BACKFILL: dict = {}
 
 def backfill_features(spark, sf_dir):
     """The 24-month backfill feature table, checkpointed once per session and directory."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _BACKFILL:
         t = tables(spark, sf_dir)
         _BACKFILL[key] = materialize(
@@ -274,7 +279,7 @@ def backfill_features(spark, sf_dir):
 def eval_base(spark, sf_dir):
     """(Depotnummer, Score_Datum, InvestScore, label_invest_T7/T14/T30) over the
     24-month backfill, checkpointed once per session and directory."""
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _EVAL:
         t = tables(spark, sf_dir)
         feats = backfill_features(spark, sf_dir)
@@ -349,7 +354,7 @@ def q_qc_ranges(spark, sf_dir):
 
 def q_qc_drift(spark, sf_dir):
     f = backfill_features(spark, sf_dir)
-    return rounded(QC.drift(f, RU.invest_readiness(f)))
+    return rounded(QC.drift(f.withColumn("InvestScore", RU.invest_score_expr())))
 
 
 def q_qc_lead_coverage(spark, sf_dir):
@@ -449,7 +454,7 @@ _MODELS: dict = {}
 
 
 def invest_model(spark, sf_dir):
-    key = (id(spark), sf_dir)
+    key = _key(spark, sf_dir)
     if key not in _MODELS:
         feats = backfill_features(spark, sf_dir)
         split = _split_frame(spark, sf_dir).select("Depotnummer", "Score_Datum", "label_invest_T7", "split")
