@@ -93,5 +93,6 @@ def run_backfill(spark: SparkSession, tables: SourceTables, out: str, months: in
         except Exception:  # no target yet
             pass
     feats = FE.depot_features_multi(tables, dates, fp)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # only the computed dates change
     feats.write.mode("overwrite").partitionBy("Score_Datum").parquet(f"{out}/features")
     return dates

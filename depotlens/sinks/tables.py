@@ -24,21 +24,20 @@ def merged_keep_new(existing: DataFrame, new: DataFrame, keys) -> DataFrame:
 
 
 def replace_dates(df: DataFrame, path: str, date_col: str, dates: list | None = None) -> None:
-    """Replace the ``date_col`` partitions present in ``df`` (and the listed
-    ``dates`` even when ``df`` has no rows for them)."""
+    """Replace the ``date_col`` partitions present in ``df``; the listed
+    ``dates`` are cleared first, so a re-run that produces no rows for a date
+    also removes that date (like DELETE + INSERT). ``df`` is computed once."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(date_col).parquet(path)
     if dates:
-        present = {r[0] for r in df.select(F.col(date_col).cast("string")).distinct().collect()}  # dates only
         jvm = spark._jvm
         conf = spark._jsc.hadoopConfiguration()
         for d in dates:
-            if str(d) not in present:
-                p = jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={d}")
-                fs = p.getFileSystem(conf)
-                if fs.exists(p):
-                    fs.delete(p, True)
+            p = jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={d}")
+            fs = p.getFileSystem(conf)
+            if fs.exists(p):
+                fs.delete(p, True)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    df.write.mode("overwrite").partitionBy(date_col).parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
