@@ -33,7 +33,7 @@ ap AS (SELECT horizon, SUM(CASE WHEN pos_tot > 0 THEN (pos_s / pos_tot) * (pos_g
 
 
 def _pk_ctes(ks) -> str:
-    kv = ", ".join(f"({k})" for k in ks)
+    kv = ", ".join(f"(CAST({k} AS DOUBLE))" for k in ks)
     return f"""
 ks AS (SELECT * FROM (VALUES {kv}) t(k)),
 rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY horizon ORDER BY score DESC, Depotnummer, Score_Datum) AS rn,

@@ -13,8 +13,9 @@ sp AS (
 
 def ml_oracles() -> dict[str, str]:
     weights = " UNION ALL ".join(
-        f"SELECT 'T{h}' AS horizon, greatest(1, coalesce(SUM(label_invest_T{h}), 0)) AS pos, "
-        f"greatest(1, COUNT(*) - greatest(1, coalesce(SUM(label_invest_T{h}), 0))) AS neg FROM sp WHERE split = 'train'"
+        f"SELECT 'T{h}' AS horizon, CAST(greatest(1, coalesce(SUM(label_invest_T{h}), 0)) AS BIGINT) AS pos, "
+        f"CAST(greatest(1, COUNT(*) - greatest(1, coalesce(SUM(label_invest_T{h}), 0))) AS BIGINT) AS neg "
+        f"FROM sp WHERE split = 'train'"
         for h in (7, 14, 30))
     return {
         "model_time_split": _sql((7,), (SPLIT,), "SELECT split, COUNT(*) AS n, CAST(SUM(label_invest_T7) AS BIGINT) "
