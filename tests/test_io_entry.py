@@ -61,7 +61,10 @@ def test_feature_stream_available_now(spark):
     cat = spark.createDataFrame([(11, d("2025-01-02"), "comdirect_U-11", 1), (12, d("2025-01-02"), "comdirect_B-11", 1),
                                  (21, d("2025-01-03"), "comdirect_U-21", 1)], FILE_SCHEMA)
     cat.write.parquet(os.path.join(root, "catalog"))
-    q = feature_stream(spark, os.path.join(root, "catalog"), t, os.path.join(root, "out"), name="t-stream")
+    # A fresh stream name: the stream's checkpoint (and so its progress) lives
+    # under the session's shared checkpoint folder.
+    q = feature_stream(spark, os.path.join(root, "catalog"), t, os.path.join(root, "out"),
+                       name=f"t-stream-{os.path.basename(root)}")
     q.awaitTermination(120)
     out = spark.read.parquet(os.path.join(root, "out", "features"))
     assert [str(r["Score_Datum"]) for r in out.select("Score_Datum").distinct().collect()] == ["2025-01-02"]
