@@ -506,3 +506,39 @@ def q_first_buy_features(spark, sf_dir):
 
 
 QUERIES["first_buy_features"] = q_first_buy_features
+
+
+# --------------------------------------------------------------------------
+# Building blocks of the feature table, one query each
+# --------------------------------------------------------------------------
+
+def q_depot_spine(spark, sf_dir):
+    return FE.depot_spine(tables(spark, sf_dir), CUTOFF)
+
+
+def q_balance_last_snapshot(spark, sf_dir):
+    from depotlens.operators.balances import balance_base_at
+    return rounded(balance_base_at(tables(spark, sf_dir).balances, F.lit(CUTOFF).cast("date")))
+
+
+def q_position_last_snapshot(spark, sf_dir):
+    from depotlens.operators import positions as POS
+    t = tables(spark, sf_dir)
+    snap = POS.position_base_at(POS.position_snapshots(t.positions, FIXTURE_FEATURES.vocab),
+                                F.lit(CUTOFF).cast("date"))
+    return rounded(snap)
+
+
+def q_booking_classes(spark, sf_dir):
+    from depotlens.operators.bookings import classified
+    b = classified(tables(spark, sf_dir).bookings, FIXTURE_FEATURES.vocab)
+    return b.groupBy("Buchungtyp", "klasse", "internal").agg(F.count(F.lit(1)).alias("n"),
+                                                              F.round(F.sum("Betrag"), 4).alias("amount"))
+
+
+QUERIES.update({
+    "depot_spine": q_depot_spine,
+    "balance_last_snapshot": q_balance_last_snapshot,
+    "position_last_snapshot": q_position_last_snapshot,
+    "booking_classes": q_booking_classes,
+})

@@ -43,6 +43,7 @@ def feature_base_ctes() -> list[str]:
         """bk0 AS (SELECT *, lower(coalesce(Buchungtyp, '')) AS t FROM cd_buchung WHERE Kontoreferenz IS NOT NULL)""",
         """bk AS (
   SELECT Kontoreferenz, Valutadatum AS v, coalesce(Betrag, 0.0) AS amt, CAST(round(coalesce(Betrag, 0.0) * 10000) AS BIGINT) AS u,
+         coalesce(Buchungtyp, '') AS typ,
          """ + FLOW_CLASS_SQL + """ AS klasse,
          """ + INTERNAL_SQL + """ AS internal
   FROM bk0)""",
@@ -215,3 +216,19 @@ def hu(x: str, scale: int) -> str:
 
 def features_sql(dates_cte: str = SINGLE_DATE, select: str = FEATURE_OUTPUT, extra_ctes=()) -> str:
     return with_sources(dates_cte, *feature_base_ctes(), *extra_ctes, select=select)
+
+
+def building_block_oracles() -> dict[str, str]:
+    pos_cols = ("cnt AS p_cnt, zero AS p_zero, CAST(round(psum * 10000) AS BIGINT) AS p_sum, tech_cnt AS p_tech_cnt, "
+                "CAST(round(tech_sum * 10000) AS BIGINT) AS p_tech_sum, CAST(round(aktie_sum * 10000) AS BIGINT) "
+                "AS p_aktie_sum, CAST(round(aktie_exact * 10000) AS BIGINT) AS p_aktie_exact, round(hhi, 6) AS p_hhi, "
+                "CAST(round(tot_e * 10000) AS BIGINT) AS p_tot_e, CAST(round(deep * 10000) AS BIGINT) AS p_deep, "
+                "CAST(round(win * 10000) AS BIGINT) AS p_win, CAST(round(loss * 10000) AS BIGINT) AS p_loss")
+    return {
+        "depot_spine": features_sql(select="SELECT Depotnummer, Score_Datum FROM spine"),
+        "balance_last_snapshot": features_sql(select="SELECT Depotnummer, round(saldo, 6) AS s_saldo FROM sal"),
+        "position_last_snapshot": features_sql(select=f"SELECT Depotnummer, {pos_cols} FROM pos"),
+        "booking_classes": features_sql(select=(
+            "SELECT typ AS Buchungtyp, klasse, internal, COUNT(*) AS n, round(SUM(amt), 4) AS amount "
+            "FROM bk GROUP BY typ, klasse, internal")),
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sqlcheck.features_sql import BACKFILL_DATES, features_sql
+from sqlcheck.features_sql import BACKFILL_DATES, building_block_oracles, features_sql
 from sqlcheck.labels_sql import label_oracles
 from sqlcheck.metrics_sql import metric_oracles
 from sqlcheck.ml_sql import ml_oracles
@@ -13,6 +13,7 @@ ORACLES: dict[str, str] = {
     "depot_features": features_sql(),
     "depot_features_backfill": features_sql(BACKFILL_DATES),
 }
+ORACLES.update(building_block_oracles())
 ORACLES.update(rule_oracles())
 ORACLES.update(label_oracles())
 ORACLES.update(metric_oracles())
