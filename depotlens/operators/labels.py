@@ -6,11 +6,12 @@
   security (order type "Ankauf", ticket >= 1,000, transaction not cancelled)
   falls in (d, d+T].
 
-"Any event in a future window" is a range frame over the depot's own
-timeline: label rows and event rows are stacked, partitioned by depot and
-ordered by epoch day; ``count(event) over rangeBetween(1, H)`` answers every
-label row in one pass, with no date x event join. Every depot contributes at
-most one event row per day, so a very active depot stays a small partition.
+"Any event in a future window" is read from the depot's own timeline: label
+rows and event rows are stacked, partitioned by depot and ordered by day
+(descending); a running sum with add-and-expire rows answers every label row
+in one pass, with no date x event join and no sliding frame. Every depot
+contributes at most one event row per day, so a very active depot stays a
+small partition.
 """
 
 from __future__ import annotations
@@ -66,14 +67,26 @@ def investment_events(orders: DataFrame, bookings: DataFrame | None, min_deposit
 
 def label_future_events(rows: DataFrame, events: DataFrame, horizons, date_col: str = "stichtag",
                         prefix: str = "label_invest_T") -> DataFrame:
-    """Add ``<prefix><H>`` (INT 0/1) per horizon: an event in [d+1, d+H]."""
+    """Add ``<prefix><H>`` (INT 0/1) per horizon: an event in [d+1, d+H].
+
+    Walking each depot's timeline backwards (descending day), an event on day
+    e adds 1 from day e-1 on and an expiry row removes it again from day
+    e-H-1 on, so the running sum at a label row d counts exactly the events in
+    [d+1, d+H]. The frame is cumulative (incremental), whatever H is.
+    """
     r = rows.select("Depotnummer", F.col(date_col).alias("_d")).distinct() \
-        .withColumn("_label", F.lit(True))
-    e = events.select("Depotnummer", F.col("event_date").alias("_d"), F.lit(False).alias("_label"))
-    stacked = r.unionByName(e).withColumn("_e", epoch_day("_d"))
-    w = Window.partitionBy("Depotnummer").orderBy("_e")
-    cols = [(F.count_if(~F.col("_label")).over(w.rangeBetween(1, int(h))) > 0).cast("int").alias(f"{prefix}{h}")
-            for h in horizons]
+        .select("Depotnummer", "_d", epoch_day("_d").alias("_c"), F.lit(True).alias("_label"))
+    e = events.select("Depotnummer", epoch_day("event_date").alias("_e")).distinct()
+    parts = [r, e.select("Depotnummer", (F.col("_e") - 1).alias("_c"),
+                         *[F.lit(1).alias(f"_n{h}") for h in horizons])]
+    for h in horizons:
+        parts.append(e.select("Depotnummer", (F.col("_e") - int(h) - 1).alias("_c"), F.lit(-1).alias(f"_n{h}")))
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p, allowMissingColumns=True)
+    w = (Window.partitionBy("Depotnummer").orderBy(F.desc("_c"))
+         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    cols = [(F.coalesce(F.sum(f"_n{h}").over(w), F.lit(0)) > 0).cast("int").alias(f"{prefix}{h}") for h in horizons]
     labels = (stacked.select("Depotnummer", "_d", "_label", *cols).where(F.col("_label"))
               .drop("_label").withColumnRenamed("_d", date_col))
     return rows.join(labels, ["Depotnummer", date_col], "left")
