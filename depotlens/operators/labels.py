@@ -74,8 +74,9 @@ def label_future_events(rows: DataFrame, events: DataFrame, horizons, date_col:
     e-H-1 on, so the running sum at a label row d counts exactly the events in
     [d+1, d+H]. The frame is cumulative (incremental), whatever H is.
     """
-    r = rows.select("Depotnummer", F.col(date_col).alias("_d")).distinct() \
-        .select("Depotnummer", "_d", epoch_day("_d").alias("_c"), F.lit(True).alias("_label"))
+    # The caller's rows travel through the timeline with all their columns, so
+    # no join back (and no de-duplication) is needed.
+    r = rows.select("*", epoch_day(date_col).alias("_c"), F.lit(True).alias("_label"))
     e = events.select("Depotnummer", epoch_day("event_date").alias("_e")).distinct()
     parts = [r, e.select("Depotnummer", (F.col("_e") - 1).alias("_c"),
                          *[F.lit(1).alias(f"_n{h}") for h in horizons])]
@@ -87,9 +88,8 @@ def label_future_events(rows: DataFrame, events: DataFrame, horizons, date_col:
     w = (Window.partitionBy("Depotnummer").orderBy(F.desc("_c"))
          .rangeBetween(Window.unboundedPreceding, Window.currentRow))
     cols = [(F.coalesce(F.sum(f"_n{h}").over(w), F.lit(0)) > 0).cast("int").alias(f"{prefix}{h}") for h in horizons]
-    labels = (stacked.select("Depotnummer", "_d", "_label", *cols).where(F.col("_label"))
-              .drop("_label").withColumnRenamed("_d", date_col))
-    return rows.join(labels, ["Depotnummer", date_col], "left")
+    return (stacked.select(*rows.columns, "_label", *cols).where(F.col("_label"))
+            .drop("_label"))
 
 
 def invest_labels(rows: DataFrame, orders: DataFrame, bookings: DataFrame | None, horizons=(7, 14),
