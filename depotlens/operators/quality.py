@@ -197,27 +197,23 @@ def feature_audit(features: DataFrame, z: float = 3.0) -> DataFrame:
     """Per numeric column: rows, nulls, min, max, mean, sample std-dev, constant
     flag and |z| > 3 outliers; plus the number of duplicate (depot, date) keys.
 
-    One aggregation pass for the statistics, one for the outlier counts; the
-    wide results are stacked to one row per column.
+    The columns are stacked to (column_name, value) once; statistics are one
+    aggregation by column name, outliers a second one against the per-column
+    statistics (one row per column, broadcast).
     """
     cols = [f.name for f in features.schema.fields
             if isinstance(f.dataType, NumericType) and f.name not in ("Depotnummer",)]
-    stats = features.agg(*[F.struct(F.count(F.col(f"`{c}`")).alias("n"),
-                                    F.count_if(F.col(f"`{c}`").isNull()).alias("nulls"),
-                                    F.min(F.col(f"`{c}`").cast("double")).alias("min"),
-                                    F.max(F.col(f"`{c}`").cast("double")).alias("max"),
-                                    F.avg(F.col(f"`{c}`").cast("double")).alias("mean"),
-                                    F.stddev_samp(F.col(f"`{c}`").cast("double")).alias("std")).alias(f"s{i}")
-                           for i, c in enumerate(cols)])
-    # The one-row statistics enter the outlier pass as a scalar subquery
-    # (evaluated once, no join).
-    all_stats = stats.select(F.struct(*[F.col(f"s{i}") for i in range(len(cols))]).alias("a")).scalar()
-    outl = features.agg(*[F.count_if(F.abs(F.col(f"`{c}`").cast("double") - all_stats[f"s{i}"]["mean"])
-                                     > z * all_stats[f"s{i}"]["std"]).alias(f"o{i}") for i, c in enumerate(cols)])
-    st = stats.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}.*"))
-                                           for i, c in enumerate(cols)])).alias("x")).select("x.*")
-    ot = outl.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"o{i}").alias("outliers_z3"))
-                                          for i, c in enumerate(cols)])).alias("x")).select("x.*")
+    long = features.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in cols]))
+        .alias("x")).select("x.*")
+    st = long.groupBy("column_name").agg(
+        F.count("v").alias("n"), F.count_if(F.col("v").isNull()).alias("nulls"),
+        F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"),
+        F.stddev_samp("v").alias("std"))
+    ot = (long.join(F.broadcast(st.select("column_name", F.col("mean").alias("_m"), F.col("std").alias("_s"))),
+                    "column_name")
+          .groupBy("column_name").agg(F.count_if(F.abs(F.col("v") - F.col("_m")) > z * F.col("_s"))
+                                      .alias("outliers_z3")))
     dup = (features.groupBy("Depotnummer", "Score_Datum").count().where(F.col("count") > 1)
            .select(F.count(F.lit(1))).scalar())
     return (st.join(ot, "column_name")
