@@ -150,7 +150,15 @@ def effective_target_buys(orders: DataFrame, fb: P.FirstBuyParams, lo=None, hi=N
     if hi is not None:
         b = b.where(F.col("Orderdatum") <= hi)
     b = b.select("Depotnummer", "Orderdatum", F.col("Transaktionsnummer").alias("tx"))
-    return b.join(_cancelled_tx(orders, storno_lo, storno_hi), "tx", "left_anti")
+    return _not_cancelled(b, _cancelled_tx(orders, storno_lo, storno_hi))
+
+
+def _not_cancelled(b: DataFrame, cancelled: DataFrame) -> DataFrame:
+    """Rows whose transaction is not cancelled. Rows without a transaction
+    number always survive; they bypass the shuffle join, so a large share of
+    missing numbers cannot pile up in the one task that owns the NULL key."""
+    return (b.where(F.col("tx").isNull())
+            .unionByName(b.where(F.col("tx").isNotNull()).join(cancelled, "tx", "left_anti")))
 
 
 def first_target_buy(orders: DataFrame, start, end, fb: P.FirstBuyParams = P.FirstBuyParams()) -> DataFrame:
@@ -194,7 +202,7 @@ def effective_buys(orders: DataFrame, fb: P.FirstBuyParams = P.FirstBuyParams())
                      & (F.abs(F.coalesce(F.col("Cashflow"), F.lit(0.0))) >= fb.min_ticket))
     b = b.select("Depotnummer", "Orderdatum", "ISIN", F.abs(F.col("Cashflow")).alias("ticket"),
                  F.col("Transaktionsnummer").alias("tx"))
-    return b.join(_cancelled_tx(orders), "tx", "left_anti")
+    return _not_cancelled(b, _cancelled_tx(orders))
 
 
 def first_buy_features(features: DataFrame, orders: DataFrame, as_of,
