@@ -204,13 +204,22 @@ def alerts(features: DataFrame, readiness: DataFrame | None = None) -> DataFrame
 
 def segment_cutoffs(features: DataFrame, sp: P.SegmentParams = P.SegmentParams()) -> DataFrame:
     """Per date: vol_cut = P80 of positive ØOrdervolumen_90d (default 5000);
-    wealth_cut = max(P75 of positive Depotwert, 25000)."""
+    wealth_cut = max(P75 of positive Depotwert, 25000). Both quantiles come
+    from one pass over the stacked (date, measure, value) rows."""
     f = features.where(F.col("Depotnummer").isNotNull())
-    vol = exact_quantiles(f.where(F.col("ØOrdervolumen_90d") > 0), "ØOrdervolumen_90d",
-                          {"vq": sp.vol_quantile}, "Score_Datum")
-    wealth = exact_quantiles(f.where(F.col("Depotwert") > 0), "Depotwert", {"wq": sp.wealth_quantile}, "Score_Datum")
+
+    def part(col, tag):
+        return (f.where(F.col(f"`{col}`") > 0)
+                .select(F.struct(F.col("Score_Datum").alias("d"), F.lit(tag).alias("t")).alias("_grp"),
+                        F.col(f"`{col}`").cast("double").alias("v")))
+
+    long = part("ØOrdervolumen_90d", "vol").unionByName(part("Depotwert", "wealth"))
+    q = exact_quantiles(long, "v", {"q_vol": sp.vol_quantile, "q_wealth": sp.wealth_quantile}, "_grp")
+    per_date = q.groupBy(F.col("_grp.d").alias("Score_Datum")).agg(
+        F.max(F.when(F.col("_grp.t") == "vol", F.col("q_vol"))).alias("vq"),
+        F.max(F.when(F.col("_grp.t") == "wealth", F.col("q_wealth"))).alias("wq"))
     dates = f.select("Score_Datum").distinct()
-    return (dates.join(vol, "Score_Datum", "left").join(wealth, "Score_Datum", "left")
+    return (dates.join(per_date, "Score_Datum", "left")
             .select("Score_Datum",
                     F.coalesce(F.col("vq"), F.lit(sp.vol_default)).alias("vol_cut_90"),
                     F.greatest(F.coalesce(F.col("wq"), F.lit(sp.wealth_min)), F.lit(sp.wealth_min)).alias("wealth_cut")))
