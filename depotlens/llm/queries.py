@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import minhash, recompression
 from .store import table
 
 
@@ -15,8 +15,13 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.with_copies_marked(table(spark, sf_dir, "documents"), p)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
