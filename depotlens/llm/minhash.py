@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     labels = classes.join(groups, "node", "left").select(*name, F.coalesce("component", "node").alias("component"))
     rows = signed_docs.drop("bands").join(labels, name, "left")
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id")))
-    return rows.select("doc_id", "n_shingles", mine.alias("component_id"))
+    return stored(rows.select("doc_id", "n_shingles", mine.alias("component_id")), "near")
 
 
 def with_copies_marked(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,28 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows handed to Python at once: whole texts travel in these batches, so they stay small.
+ARROW_ROWS = 500
+_ARROW_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Small Arrow batches for the jobs run inside; the session's own setting is put back."""
+    before = spark.conf.get(_ARROW_ROWS_KEY)
+    spark.conf.set(_ARROW_ROWS_KEY, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_ARROW_ROWS_KEY, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
