@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, recompression
+from . import minhash, mixing, recompression, simhash, url_rules
 from .store import table
 
 
@@ -15,12 +15,28 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.with_copies_marked(table(spark, sf_dir, "documents"), p)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_plan(docs).select("doc.doc_id", "size", "source_size", "target", "copies", "taken")
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judged_pages(table(spark, sf_dir, "pages"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.repeated_passages(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_near_dedup": op2_near_dedup,
+    "op4_mixing": op4_mixing,
+    "op8_url_filters": op8_url_filters,
+    "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
@@ -34,14 +50,45 @@ WITH RECURSIVE w AS (
 ), sh AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
     WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
   FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
-both AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT x, y FROM both JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
 comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n USING (doc_id) JOIN comp c ON c.x = d.doc_id
+""",
+    "op4_mixing": f"""
+WITH d AS (SELECT doc_id, source, len({_WORDS.format("coalesce(text, '')")})::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY 1),
+w AS (SELECT *, source_size::DOUBLE * 2::DOUBLE AS cap,
+  [3::DOUBLE, 1::DOUBLE, 2::DOUBLE][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s),
+l AS (SELECT *, ((sum(source_size) OVER ())::DOUBLE * 1.5::DOUBLE
+    - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0::DOUBLE))
+    / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lvl FROM w),
+t AS (SELECT source, source_size, least(cap, max(lvl) OVER () * weight) AS target FROM l),
+r AS (SELECT d.doc_id, d.size, t.source_size, t.target,
+    CASE WHEN t.source_size > 0 THEN t.target / t.source_size::DOUBLE ELSE 0::DOUBLE END AS rate,
+    ('0x' || substr(md5('mix' || coalesce(':' || d.source, '')), 1, 5))::BIGINT::DOUBLE / 1048576::DOUBLE AS u,
+    row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS LAST) AS n
+  FROM d JOIN t ON t.source IS NOT DISTINCT FROM d.source),
+c AS (SELECT *, (floor(u + rate * n) - floor(u + rate * (n - 1)))::BIGINT AS copies FROM r)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM c
+""",
+    "op8_url_filters": f"""
+WITH p AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path, row_number() OVER () AS row
+  FROM pages
+), rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fit AS (
+  SELECT row, arg_max(h || r.p, length(h || r.p)) AS rule, arg_max(v, length(h || r.p)) AS v
+  FROM p JOIN rules r ON (host = h OR host LIKE '%.' || h) AND starts_with(p.path, r.p) GROUP BY row
+)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(host,
+  '(^|[.-])(adult|ads|ads-track|casino|casino-win|cheap-pills|free-bets|poker|porn|spam|spam-farm|warez|xxx)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN fit USING (row)
 """,
 }
