@@ -6,20 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, recompression, simhash, url_rules
+from . import decontaminate, langid, minhash, mixing, quality, recompression, simhash, url_rules
 from .store import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = minhash.NearParams(shingle=3, similarity=85)
     return minhash.with_copies_marked(table(spark, sf_dir, "documents"), p)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix_plan(docs).select("doc.doc_id", "size", "source_size", "target", "copies", "taken")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged_pages(table(spark, sf_dir, "pages"))
 
@@ -33,8 +45,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_near_dedup": op2_near_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_mixing": op4_mixing,
+    "op5_language_id": op5_language_id,
     "op8_url_filters": op8_url_filters,
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
