@@ -9,12 +9,12 @@ later step can lower a register. All shingles of a block take step j together
 
 Banding proposes, full sets decide: signatures are cut in bands, texts with an
 equal band meet in a bucket, and each link is confirmed on the complete shingle
-sets (as 64-bit shingle hashes). Within a bucket members are compared with
-pivots, 1, 8, 64, ... of them a round; pairs already joined by confirmed links
-are not compared again, so a group of copies costs a few comparisons per
-member, and a bucket leaves when one group or only pivots remain. No link is
-lost within a bucket. With 32 bands of 4 registers a pair of similarity 0.80
-misses every band with probability 5e-8, one of 0.85 with 5e-11.
+sets (as 64-bit shingle hashes). First each member of a bucket is compared with
+the bucket's pivot, so a group of copies costs a few comparisons per member.
+Where the confirmed links leave a bucket in several groups, every member
+outside the largest group is compared with all the others, in blocks. No link
+is lost within a bucket. With 32 bands of 4 registers a pair of similarity
+0.80 misses every band with probability 5e-8, one of 0.85 with 5e-11.
 """
 
 from __future__ import annotations
@@ -23,13 +23,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .store import mapped, stored
 from .words import U, blocks, list_column, mix, ngram_hashes, signed, words_of
 
+#: Shingles of the documents that one task compares with another such block.
+BLOCK_SHINGLES = 1 << 17
+
 
 @dataclass(frozen=True)
 class NearParams:
@@ -148,6 +152,66 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
     )
 
 
+def _links_between(table: pa.Table, similarity: int) -> pa.Table:
+    """Links of the odd members of a block with its other members, one per odd member and group it links to."""
+    odd = table.filter(pa.compute.field("odd"))
+    rest = table.filter(~pa.compute.field("odd"))
+    u, v = [], []
+    if odd.num_rows and rest.num_rows:
+        sizes = odd["n"].to_numpy()
+        own = np.repeat(np.arange(len(sizes)), sizes)
+        shingles = odd["shingles"].combine_chunks().flatten().to_numpy()
+        order = np.argsort(shingles, kind="stable")
+        own = own[order]
+        known, first = np.unique(shingles[order], return_index=True)
+        first = np.append(first, len(own))
+        nodes, groups = odd["node"].to_numpy(), odd["component"].to_numpy()
+        linked: set[tuple[int, int]] = set()
+        lists = rest["shingles"].combine_chunks()
+        for i, (node, group, n) in enumerate(zip(rest["node"].to_pylist(), rest["component"].to_pylist(), rest["n"].to_pylist(), strict=True)):
+            mine = lists[i].values.to_numpy()
+            at = np.searchsorted(known, mine)
+            at[at == len(known)] = 0
+            at = at[known[at] == mine]
+            count = first[at + 1] - first[at]
+            which = np.repeat(first[at], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            same = np.bincount(own[which], minlength=len(sizes))
+            for k in np.flatnonzero((same * 100 >= similarity * (sizes + n - same)) & (groups != group)):
+                if (int(k), group) not in linked:
+                    linked.add((int(k), group))
+                    u.append(int(nodes[k]))
+                    v.append(node)
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _odd_links(members: DataFrame, groups: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
+    """Links that the pivots have not shown: in bands whose members are not one group yet, every member outside the
+    largest group is compared with all members.
+
+    Bands that share members make a cluster, so that no two documents are
+    compared once per band. A cluster's members are dealt into blocks of about
+    BLOCK_SHINGLES shingles and compared block against block; only links leave
+    a task.
+    """
+    here = members.join(groups, "node")
+    open_bands = here.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min("node").alias("head")).where("a < b")
+    here = stored(here.join(open_bands.select("band", "head"), "band"), "open")
+    clusters = components(here.select(F.col("node").alias("u"), F.col("head").alias("v"))).withColumnRenamed("component", "cluster")
+    inside = here.select("node", "n", "component").distinct().join(clusters, "node")
+    sizes = inside.groupBy("cluster", "component").agg(F.count("*").alias("docs"), F.sum("n").alias("n"))
+    largest = stored(
+        sizes.groupBy("cluster").agg(F.max_by("component", F.struct("docs", "component")).alias("largest"), F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks")),
+        "clusters",
+    )
+    inside = stored(inside.join(largest, "cluster").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "inside")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    against = inside.select("cluster", "node", "component", F.lit(False).alias("odd"), F.explode(every).alias("odd_block"), F.col("mine").alias("block"))
+    odd = inside.where("component <> largest").select("cluster", "node", "component", F.lit(True).alias("odd"), F.col("mine").alias("odd_block"), F.explode(every).alias("block"))
+    used = odd.select("cluster", "odd_block").distinct()
+    dealt = against.join(used, ["cluster", "odd_block"], "left_semi").unionByName(odd).join(sets.select("node", "n", "shingles"), "node")
+    return dealt.groupBy("cluster", "odd_block", "block").applyInArrow(lambda t: _links_between(t, p.similarity), "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``.
 
@@ -165,38 +229,20 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     # one row per distinct set and band; only bands that two sets share
     own = known.join(classes.withColumnRenamed("node", "doc_id"), [*name, "doc_id"], "left_semi").dropDuplicates(["doc_id", *name])
     banded = own.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
-    shared = stored(banded.groupBy("band").agg(F.count("*").alias("members")).where("members > 1"), "shared")
-    members = stored(banded.join(shared.select("band"), "band"), "members")
-    nodes = members.select("node").distinct()
-    sets = stored(full_sets(docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), p.shingle).dropDuplicates(["node", "n"]), "sets")
-
-    links = None
-    groups = nodes.withColumn("component", F.col("node"))
-    pivots = 1
-    while True:
-        here = members.join(groups, "node")
-        open_bands = here.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("band")
-        here = stored(here.join(open_bands, "band"), "open")
-        if here.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("node"))
-        chosen = stored(here.withColumn("rank", rank).where(F.col("rank") <= pivots), "pivots")
-        other = chosen.select("band", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("component").alias("pivot_component"))
-        least, most = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
-        pairs = (
-            here.join(other, "band")
-            .where((F.col("component") != F.col("pivot_component")) & (least * 100 >= most * p.similarity))
-            .select(F.greatest("node", "pivot").alias("u"), F.least("node", "pivot").alias("v"))
-            .distinct()
-        )
-        found = stored(_confirmed(pairs, sets, p), "confirmed")
-        links = found if links is None else links.union(found)
-        joined = components(links)
-        groups = stored(nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "groups")
-        members = here.select("band", "node", "n").join(chosen.select("band", "node"), ["band", "node"], "left_anti")
-        pivots *= 8
-
-    labels = classes.join(groups, "node", "left").select(*name, F.coalesce("component", "node").alias("component"))
+    shared = stored(banded.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("pivot")).where("members > 1"), "shared")
+    members = stored(banded.join(shared.select("band", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "band"), "members")
+    nodes = stored(members.select("node").distinct(), "nodes")
+    wanted = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    sets = stored(full_sets(wanted, p.shingle).dropDuplicates(["node"]), "sets")
+
+    least, most = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
+    stars = members.where((F.col("node") != F.col("pivot")) & (least * 100 >= most * p.similarity)).select(F.col("node").alias("u"), F.col("pivot").alias("v"))
+    links = stored(_confirmed(stars.distinct(), sets, p), "confirmed")
+    joined = components(links)
+    groups = stored(nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "groups")
+    more = stored(_odd_links(members.select("band", "node", "n"), groups, sets, p), "odd_links")
+    joined = components(links.union(more))
+    labels = classes.join(joined, "node", "left").select(*name, F.coalesce("component", "node").alias("component"))
     rows = signed_docs.drop("bands").join(labels, name, "left")
     mine = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id")))
     return stored(rows.select("doc_id", "n_shingles", mine.alias("component_id")), "near")
