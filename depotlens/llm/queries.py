@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, minhash, mixing, quality, recompression, simhash, url_rules, warc
+from . import decontaminate, extract, langid, minhash, mixing, quality, recompression, simhash, url_rules, warc
 from .store import table
 
 
@@ -36,6 +36,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judged_pages(table(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_language_id": op5_language_id,
     "op6_warc": op6_warc,
+    "op7_html_extraction": op7_html_extraction,
     "op8_url_filters": op8_url_filters,
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
