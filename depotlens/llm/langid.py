@@ -258,3 +258,22 @@ def identified(docs: DataFrame, p: LangParams = LangParams()) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = stored(mapped(texts, run, "doc_id long, lang_pred string, score double"), "languages")
     return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def accepted(docs: DataFrame, least_score: float = 0.5, p: LangParams = LangParams()) -> DataFrame:
+    """The rows of ``docs``, all columns unchanged, whose text has a language that is told with at least ``least_score``.
+
+    Texts without letters (``und``) and texts between languages go. Rows are
+    judged where they are read; nothing is shuffled.
+    """
+    model = docs.sparkSession.sparkContext.broadcast(train_languages(docs, p))
+    names = docs.columns
+
+    def run(batches):
+        for b in blocks(batches):
+            texts = b.column(names.index("text"))
+            lang, score = model.value.predict(texts)
+            keep = [x != UNDETERMINED and s >= least_score for x, s in zip(lang, score, strict=True)]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return stored(mapped(docs, run, docs.schema), "accepted")

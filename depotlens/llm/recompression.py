@@ -197,16 +197,18 @@ def _first_in_text(row: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return first
 
 
-def repeated_passages(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256[, kept_text]) for every row of ``docs(doc_id, text)``.
+def repeated_passages(docs: DataFrame, window: int = WINDOW, carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs(doc_id, text)``; with ``carry`` also kept_text and doc.
 
     kept_sha256 is over the kept words joined by one space. kept_text is the
     text itself where nothing goes, else its kept stretches joined by a line
-    break. A null text has no words. Rows with a null doc_id are left whole
+    break; doc is a struct of the columns named in ``carry``. A null text has no words. Rows with a null doc_id are left whole
     and remove nothing; rows that repeat a doc_id are one document's and do
     not remove each other's words.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with_text = carry is not None
+    row = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc")] if carry else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *row)
     known = docs.where("doc_id IS NOT NULL")
 
     def keys(batches):
@@ -217,7 +219,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, with_text: bool = F
                 ["name", "doc_id", "start", "n"],
             )
 
-    named = stored(mapped(known, keys, "name long, doc_id long, start int, n int"), "names")
+    named = stored(mapped(known.select("doc_id", "text"), keys, "name long, doc_id long, start int, n int"), "names")
     repeated = stored(named.groupBy("name").agg(F.count("*").alias("times")).where("times > 1").select("name"), "repeated")
     places = named.join(repeated, "name").groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("places"))
     places = stored(places, "places")
@@ -230,10 +232,13 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, with_text: bool = F
             first = _first_in_text(row, one)
             yield pa.RecordBatch.from_arrays([signed(one[first]), signed(two[first]), b.column(0).take(pa.array(row[first]))], ["one", "two", "doc_id"])
 
-    windows = mapped(known.join(places, "doc_id").select("doc_id", "text", "places"), fingerprints, "one long, two long, doc_id long")
+    # the same columns as below, so that both joins read one exchange of the documents
+    windows = mapped(known.join(places, "doc_id").select("doc_id", "text", "places", *known.columns[2:]), fingerprints, "one long, two long, doc_id long")
     firsts = windows.groupBy("one", "two").agg(F.min("doc_id").alias("doc_id")).groupBy("doc_id").agg(F.collect_list("one").alias("firsts"))
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
+    if carry:
+        schema += f", doc {docs.schema['doc'].dataType.simpleString()}"
 
     def cut(batches):
         for b in blocks(batches):
@@ -274,9 +279,12 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, with_text: bool = F
             if with_text:
                 columns.append(pa.array(kept_texts, pa.string()))
                 names.append("kept_text")
+            if carry:
+                columns.append(b.column(4))
+                names.append("doc")
             yield pa.RecordBatch.from_arrays(columns, names)
 
     none = "CAST(NULL AS array<struct<start: int, n: int>>) AS places", "CAST(NULL AS array<bigint>) AS firsts"
-    marked = known.join(places, "doc_id", "left").join(firsts, "doc_id", "left").select("doc_id", "text", "places", "firsts")
-    nameless = docs.where("doc_id IS NULL").selectExpr("doc_id", "text", *none)
+    marked = known.join(places, "doc_id", "left").join(firsts, "doc_id", "left").select("doc_id", "text", "places", "firsts", *docs.columns[2:])
+    nameless = docs.where("doc_id IS NULL").selectExpr("doc_id", "text", *none, *docs.columns[2:])
     return stored(mapped(marked, cut, schema).union(mapped(nameless, cut, schema)), "passages")
