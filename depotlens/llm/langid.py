@@ -191,6 +191,8 @@ class LangModel:
 
 def fit_languages(x: np.ndarray, langs: list[str], p: LangParams) -> LangModel:
     """Machines for the sample ``x`` (frequencies) with its languages."""
+    if not langs:
+        return LangModel([], [], np.zeros((x.shape[1], 0), np.float32), np.zeros(0), [], p)
     known = sorted(set(langs))
     label = np.array([known.index(v) for v in langs], np.int64)
     families = sorted({family_of(v) for v in known})

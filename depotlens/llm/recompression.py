@@ -180,12 +180,15 @@ def _spread(row: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.n
 
 
 def _candidates(w: Words, column: pa.Array):
-    """(text, start) of the candidate windows of a block, in order; ``column`` is list<struct<start, n>>."""
+    """(text, start) of the candidate windows of a block, in order, each once; ``column`` is list<struct<start, n>>."""
     lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
     first, count = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in column.flatten().flatten())
     row, start = _spread(np.repeat(np.arange(len(lengths)), lengths), first, count)
     order = np.lexsort((start, row))
-    return row[order], start[order]
+    row, start = row[order], start[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1])  # rows that repeat a doc_id bring its places twice
+    return row[new], start[new]
 
 
 def _first_in_text(row: np.ndarray, prints: np.ndarray) -> np.ndarray:
