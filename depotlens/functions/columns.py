@@ -11,8 +11,9 @@ def col(c) -> Column:
 
 
 def to_double(c) -> Column:
-    """Numeric coercion: unparsable -> NULL (never raises under ANSI mode)."""
-    return F.expr(f"try_cast(`{c}` AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
+    """Numeric coercion: unparsable, NaN and infinite values -> NULL (never raises under ANSI mode)."""
+    x = F.expr(f"try_cast(`{c}` AS DOUBLE)") if isinstance(c, str) else c.try_cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
 
 
 def to_date_col(c) -> Column:

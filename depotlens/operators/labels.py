@@ -93,22 +93,27 @@ def label_future_events(rows: DataFrame, events: DataFrame, horizons, date_col:
 
 
 def invest_labels(rows: DataFrame, orders: DataFrame, bookings: DataFrame | None, horizons=(7, 14),
-                  min_deposit: float = 100.0, date_col: str = "stichtag") -> DataFrame:
+                  min_deposit: float = 100.0, date_col: str = "stichtag", dates: DataFrame | None = None) -> DataFrame:
     """Investment labels for the (Depotnummer, ``date_col``) rows.
 
     Events are read only for [min(d)+1, max(d)+max(H)] (scalar subqueries,
-    so the bounds reach the scans as literals).
+    so the bounds reach the scans as literals). ``dates`` (column ``as_of``) is
+    the calendar the rows were made for: with it the bounds come from the
+    calendar and the rows are not computed a second time for them.
     """
-    lo = F.date_add(rows.select(F.min(date_col)).scalar(), 1)
-    hi = F.date_add(rows.select(F.max(date_col)).scalar(), int(max(horizons)))
+    calendar, c = (rows, date_col) if dates is None else (dates, "as_of")
+    lo = F.date_add(calendar.select(F.min(c)).scalar(), 1)
+    hi = F.date_add(calendar.select(F.max(c)).scalar(), int(max(horizons)))
     ev = investment_events(orders, bookings, min_deposit, lo=lo, hi=hi)
     return label_future_events(rows, ev, horizons, date_col)
 
 
-def upsert_labels(existing: DataFrame, new: DataFrame, keys=("Depotnummer", "stichtag")) -> DataFrame:
+def upsert_labels(existing: DataFrame, new: DataFrame, keys=("Depotnummer", "stichtag"), created_at=None) -> DataFrame:
     """MERGE of label columns: new values win, label columns of other horizons
     are kept, new keys are inserted. Result columns: keys + union of label
-    columns (+ created_at when present)."""
+    columns (+ created_at: the given run time on every new row)."""
+    if created_at is not None:
+        new = new.withColumn("created_at", F.lit(created_at).cast("timestamp"))
     keys = list(keys)
     e_cols = [c for c in existing.columns if c not in keys]
     n_cols = [c for c in new.columns if c not in keys]
@@ -196,18 +201,28 @@ def pre_first_target(rows: DataFrame, orders: DataFrame, fb: P.FirstBuyParams =
 # First-buy feature table
 # --------------------------------------------------------------------------
 
-def effective_buys(orders: DataFrame, fb: P.FirstBuyParams = P.FirstBuyParams()) -> DataFrame:
-    """Buys of any security with ticket >= min_ticket whose transaction was not cancelled."""
-    b = orders.where((F.col("Ordertyp") == P.ORDER_TYPE_BUY)
-                     & (F.abs(F.coalesce(F.col("Cashflow"), F.lit(0.0))) >= fb.min_ticket))
-    b = b.select("Depotnummer", "Orderdatum", "ISIN", F.abs(F.col("Cashflow")).alias("ticket"),
-                 F.col("Transaktionsnummer").alias("tx"))
-    return _not_cancelled(b, _cancelled_tx(orders))
-
-
-def first_buy_features(features: DataFrame, orders: DataFrame, as_of,
+def _flagged_orders(orders: DataFrame, fb: P.FirstBuyParams) -> DataFrame:
+    """All orders with ``buy`` (effective: right type, ticket >= min_ticket, not
+    cancelled), ``target`` (an effective buy of the target security) and
+    ``storno`` (carries a cancellation remark). Orders without a transaction
+    number bypass the join that finds cancelled ones."""
+    ticket = F.abs(F.coalesce(F.col("Cashflow"), F.lit(0.0)))
+    o = orders.select(
+        "Depotnummer", "Orderdatum", "ISIN", "Cashflow", F.col("Transaktionsnummer").alias("tx"),
+        ((F.col("Ordertyp") == P.ORDER_TYPE_BUY) & (ticket >= fb.min_ticket)).alias("buy"),
+        F.coalesce(F.col("Bemerkung").ilike("%storn%"), F.lit(False)).alias("storno"))
+    gone = o.where(F.col("storno") & F.col("tx").isNotNull()).select("tx").distinct().withColumn("gone", F.lit(True))
+    free = o.where(F.col("tx").isNull()).withColumn("gone", F.lit(None).cast("boolean"))
+    o = o.where(F.col("tx").isNotNull()).join(gone, "tx", "left").unionByName(free)
+    buy = F.coalesce(F.col("buy"), F.lit(False)) & F.col("gone").isNull()
+    return o.select("Depotnummer", "Orderdatum", "ISIN", "Cashflow", "storno", buy.alias("buy"),
+                    (buy & F.coalesce(F.col("ISIN") == fb.isin, F.lit(False))).alias("target"))
+
+
+def first_buy_features(features: DataFrame, orders: DataFrame, as_of=None,
                        fb: P.FirstBuyParams = P.FirstBuyParams(), never_days: int = 0) -> DataFrame:
-    """Feature table of the first-buy model at one cut-off date.
+    """Feature table of the first-buy model for every (depot, date) row of
+    ``features``, or only those of the date ``as_of``.
 
     Taken from the depot features: Cash (= Cash_abs), Cash_Ratio
     (= Cashquote_true), Deposit_30d_eff, Pos_Count. Defined here:
@@ -223,41 +238,59 @@ def first_buy_features(features: DataFrame, orders: DataFrame, as_of,
     * CancelRate_30d – orders with a cancellation remark / all orders in 30 days
       (0 without orders);
     * Pre_First_Target, First_Target_Buy – see ``pre_first_target``.
+
+    Orders are flagged once and summed per depot and day. On the depot's
+    timeline a day's sums are added on that day and taken back when its
+    window has passed, so every frame is cumulative and the number of dates
+    does not multiply the history.
     """
     from depotlens.functions.columns import money_units
-    a = F.lit(str(as_of)).cast("date")
-    f = features.where(F.col("Score_Datum") == a)
-    eb = effective_buys(orders, fb).where(F.col("Orderdatum") <= a)
-    d = F.col("Orderdatum")
-    buys = eb.groupBy("Depotnummer").agg(
-        F.count_if(d >= F.date_sub(a, 7)).alias("Buys_7d"),
-        F.count_if(d >= F.date_sub(a, 30)).alias("Buys_30d"),
-        F.max(d).alias("_last_buy"),
-        F.sum(F.when(d >= F.date_sub(a, 90), money_units("ticket"))).alias("_t90"),
-        F.count_if(d >= F.date_sub(a, 90)).alias("_n90"))
-    refs = (eb.groupBy("Depotnummer", "ISIN").agg(F.min(d).alias("_first"))
-            .groupBy("Depotnummer").agg(F.count_if(F.col("_first") >= F.date_sub(a, 90)).alias("NewRefs_90d")))
-    o = orders.where(d <= a)
-    act = o.groupBy("Depotnummer").agg(
-        F.sum(F.when(d >= F.date_sub(a, 90), money_units(F.abs(F.col("Cashflow"))))).alias("_vol90"),
-        F.count_if(d >= F.date_sub(a, 30)).alias("_o30"),
-        F.count_if((d >= F.date_sub(a, 30)) & F.coalesce(F.col("Bemerkung").ilike("%storn%"), F.lit(False)))
-        .alias("_c30"))
-    j = (pre_first_target(f.select("Depotnummer", "Score_Datum", "Cash_abs", "Cashquote_true",
-                                   "Einzahlung_30d_eff", "Pos_Count", "Depotwert"), orders, fb)
-         .join(buys, "Depotnummer", "left").join(refs, "Depotnummer", "left").join(act, "Depotnummer", "left"))
+    if as_of is not None:
+        features = features.where(F.col("Score_Datum") == F.lit(str(as_of)).cast("date"))
+    flagged = _flagged_orders(orders, fb)
+    amount = money_units(F.abs(F.coalesce(F.col("Cashflow"), F.lit(0.0))))
+    per_ref = flagged.groupBy("Depotnummer", "Orderdatum", "ISIN").agg(
+        F.count_if("buy").alias("buys"), F.sum(F.when(F.col("buy"), amount)).alias("tickets"),
+        F.sum(amount).alias("volume"), F.count(F.lit(1)).alias("orders"), F.count_if("storno").alias("stornos"),
+        F.count_if("target").alias("targets"))
+    # The first buying day of each security: a depot's securities, not its orders, are compared.
+    firsts = (per_ref.where("buys > 0").groupBy("Depotnummer", "ISIN").agg(F.min("Orderdatum").alias("Orderdatum"))
+              .groupBy("Depotnummer", "Orderdatum").agg(F.count(F.lit(1)).alias("refs")))
+    per_day = per_ref.groupBy("Depotnummer", "Orderdatum").agg(*[
+        F.sum(c).alias(c) for c in ("buys", "tickets", "volume", "orders", "stornos", "targets")])
+    per_day = per_day.join(firsts, ["Depotnummer", "Orderdatum"], "left")
+    sums = {"b7": ("buys", 7), "b30": ("buys", 30), "t90": ("tickets", 90), "n90": ("buys", 90), "v90": ("volume", 90),
+            "o30": ("orders", 30), "c30": ("stornos", 30), "r90": ("refs", 90)}
+
+    def step(window, sign):
+        return F.struct((F.col("d") + (0 if sign > 0 else window + 1)).alias("c"), *[
+            F.when(F.lit(w == window), F.coalesce(F.col(c), F.lit(0)) * sign).otherwise(F.lit(0)).cast("bigint").alias(k)
+            for k, (c, w) in sums.items()],
+            *[F.when(F.lit(sign > 0 and window == 7) & (F.col(c) > 0), F.col("d")).alias(k)
+              for k, c in (("buy_day", "buys"), ("target_day", "targets"))])
+
+    moves = (per_day.withColumn("d", epoch_day("Orderdatum"))
+             .select("Depotnummer", F.explode(F.array(*[step(w, s) for w in (7, 30, 90) for s in (1, -1)])).alias("x"))
+             .select("Depotnummer", "x.*"))
+    rows = features.select("Depotnummer", "Score_Datum", "Cash_abs", "Cashquote_true", "Einzahlung_30d_eff", "Pos_Count",
+                           "Depotwert", epoch_day("Score_Datum").alias("c"))
+    line = rows.withColumn("_row", F.lit(True)).unionByName(moves, allowMissingColumns=True)
+    depot = Window.partitionBy("Depotnummer")
+    until = depot.orderBy("c").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    j = line.select(
+        "Depotnummer", "Score_Datum", "Cash_abs", "Cashquote_true", "Einzahlung_30d_eff", "Pos_Count", "Depotwert", "c", "_row",
+        *[F.coalesce(F.sum(k).over(until), F.lit(0)).alias(k) for k in sums],
+        F.max("buy_day").over(until).alias("last_buy"), F.min("target_day").over(depot).alias("first_target")).where("_row")
     z = F.lit(0.0)
-    cnt = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
+    target_day = F.date_add(F.lit("1970-01-01").cast("date"), F.col("first_target"))
     return j.select(
-        "Depotnummer", "Score_Datum",
-        cnt("Buys_7d").alias("Buys_7d"), cnt("Buys_30d").alias("Buys_30d"),
-        F.coalesce(F.datediff(a, F.col("_last_buy")), F.lit(never_days)).cast("bigint").alias("Last_Buy_Days"),
-        F.when(F.col("_n90") > 0, F.col("_t90").cast("double") / F.col("_n90") / 10000.0).otherwise(z)
-         .alias("Avg_Ticket_90d"),
+        "Depotnummer", "Score_Datum", F.col("b7").alias("Buys_7d"), F.col("b30").alias("Buys_30d"),
+        F.coalesce(F.col("c") - F.col("last_buy"), F.lit(never_days)).cast("bigint").alias("Last_Buy_Days"),
+        F.when(F.col("n90") > 0, F.col("t90").cast("double") / F.col("n90") / 10000.0).otherwise(z).alias("Avg_Ticket_90d"),
         F.col("Cash_abs").alias("Cash"), F.col("Cashquote_true").alias("Cash_Ratio"),
         F.col("Einzahlung_30d_eff").alias("Deposit_30d_eff"),
-        F.when(F.col("Depotwert") > 0, F.coalesce(F.col("_vol90"), F.lit(0)).cast("double") / 10000.0
-               / F.col("Depotwert")).otherwise(z).alias("Turnover"),
-        F.col("Pos_Count"), cnt("NewRefs_90d").alias("NewRefs_90d"),
-        F.when(F.col("_o30") > 0, F.col("_c30") / F.col("_o30")).otherwise(z).alias("CancelRate_30d"),
-        "Pre_First_Target", "First_Target_Buy")
+        F.when(F.col("Depotwert") > 0, F.col("v90").cast("double") / 10000.0 / F.col("Depotwert")).otherwise(z).alias("Turnover"),
+        "Pos_Count", F.col("r90").alias("NewRefs_90d"),
+        F.when(F.col("o30") > 0, F.col("c30") / F.col("o30")).otherwise(z).alias("CancelRate_30d"),
+        (F.col("first_target").isNull() | (F.col("first_target") > F.col("c"))).cast("int").alias("Pre_First_Target"),
+        target_day.alias("First_Target_Buy"))

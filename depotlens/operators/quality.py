@@ -16,20 +16,11 @@ from pyspark.sql.types import NumericType
 from depotlens import params as P
 from depotlens.functions.columns import epoch_day, from_units, money_units, parse_localized_number
 from depotlens.functions.text import flow_class_alt
+from depotlens.operators.features import FEATURE_COLUMNS
 from depotlens.operators.quantiles import exact_quantiles
 
-# The feature table's expected column list (schema audit).
-EXPECTED_FEATURE_COLUMNS = (
-    "Depotnummer", "Score_Datum", "Letzter_Kauf", "Inaktiv_seit_Kauf", "Last_Buy_Days", "Last_Trade_Days",
-    "Einzahlung_30d", "Einzahlung_90d", "Sparplan_Klein", "Einzahlung_30d_eff",
-    "Auszahlung_30d", "Auszahlung_90d", "Nettoflow_30d", "Nettoflow_90d",
-    "Sparplan_Strength_6m", "Deposit_Volatility_6m", "Last_Cashflow_Days",
-    "Orderfrequenz", "Orderfrequenz_30d", "Orderfrequenz_90d",
-    "ØOrdervolumen", "ØOrdervolumen_30d", "ØOrdervolumen_90d",
-    "TechAffin", "Cash_abs", "Bestandwert", "Depotwert", "Pos_Count", "ZeroPos", "Wertlos_Flag",
-    "HHI_Concentration", "DeepLossShare_50", "WinLoss_Skew", "TechWeight",
-    "Cashquote", "Aktienquote", "Activity_Months_6m", "Streak_Inactive_Months", "DIY_FrequentSmall",
-)
+# The schema audit expects the feature table without its two derived cash ratios.
+EXPECTED_FEATURE_COLUMNS = tuple(c for c in FEATURE_COLUMNS if c not in P.DERIVED_FEATURE_COLUMNS)
 
 
 def range_checks(features: DataFrame) -> DataFrame:
@@ -104,7 +95,7 @@ def drift(features: DataFrame, readiness: DataFrame | None = None, qp: P.QcParam
         "P50_Cashquote", "P80_Cashquote", "P50_Cashquote_Prev", "P80_Cashquote_Prev",
         "P50_InvestScore", "P80_InvestScore", "P50_InvestScore_Prev", "P80_InvestScore_Prev",
         (f_rows | f_vol | f_cash | f_score).cast("int").alias("Drift_Flag"),
-        F.nullif(F.substring(notes, 1, 3800), F.lit("")).alias("Notes"))
+        F.nullif(notes, F.lit("")).alias("Notes"))
 
 
 def lead_coverage(features: DataFrame, lead_rows: DataFrame, qp: P.QcParams = P.QcParams()) -> DataFrame:
@@ -142,6 +133,42 @@ def daily_label_monitor(labels: DataFrame, date_col: str = "Stichtag", horizons=
         (F.col("null_share") > null_max).cast("int").alias("null_flag"))
 
 
+def validation_log(features: DataFrame, readiness: DataFrame, scores: DataFrame, segments: DataFrame,
+                   lead_rows: DataFrame, qp: P.QcParams = P.QcParams()) -> DataFrame:
+    """The joined validation row per date: drift, row counts of the day's
+    tables, lead coverage and the combined notes and flag."""
+    def rows(df, name):
+        return df.groupBy(F.col("Score_Datum").alias("Log_Datum")).agg(F.count(F.lit(1)).alias(name))
+
+    d = drift(features, readiness, qp)
+    cov = lead_coverage(features, lead_rows, qp).withColumnRenamed("Score_Datum", "Log_Datum").drop("Agg_Rows")
+    j = (d.join(rows(readiness, "IB_Rows"), "Log_Datum", "left")
+         .join(rows(scores, "SC_Rows"), "Log_Datum", "left")
+         .join(rows(segments, "SEG_Rows"), "Log_Datum", "left")
+         .join(cov, "Log_Datum", "left")
+         .fillna(0, ["IB_Rows", "SC_Rows", "SEG_Rows", "Leads_Rows", "Leads_Call", "Leads_Email"]))
+    low = F.coalesce(F.col("Coverage_Flag") == 1, F.lit(False))
+    note = F.when(low, F.format_string(f"Lead rate %.2f%% < {qp.lead_min_rate}%%", F.col("Lead_Rate_Pct")))
+    return (j.withColumn("Notes", F.nullif(F.concat_ws("; ", "Notes", note), F.lit("")))
+            .withColumn("Drift_Flag", F.greatest(F.col("Drift_Flag"), F.coalesce("Coverage_Flag", F.lit(0)))))
+
+
+def daily_table_monitor(df: DataFrame, columns, date_col: str = "Score_Datum", tol: float = 0.5,
+                        null_max: float = 0.98, window_days: int = 14) -> DataFrame:
+    """Per date and column of features or scores: rows, mean, share of NULLs,
+    and flags where the mean leaves the median of the previous ``window_days``
+    days by more than ``tol`` or nearly everything is NULL."""
+    long = df.select(date_col, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])).alias("x"))
+    per_day = long.groupBy(date_col, F.col("x.column_name").alias("column_name")).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("x.v").alias("mean"), F.avg(F.col("x.v").isNull().cast("double")).alias("null_share"))
+    w = Window.partitionBy("column_name").orderBy(epoch_day(date_col)).rangeBetween(-window_days, -1)  # calendar-sized frame
+    per_day = per_day.withColumn("median_prev", F.percentile(F.col("mean"), 0.5).over(w))
+    off = F.abs(F.col("mean") - F.col("median_prev")) > tol * F.abs(F.col("median_prev"))
+    return per_day.select("*", F.coalesce((F.col("median_prev") != 0) & off, F.lit(False)).cast("int").alias("mean_flag"),
+                          (F.col("null_share") > null_max).cast("int").alias("null_flag"))
+
+
 def schema_audit(spark: SparkSession, df: DataFrame, expected=EXPECTED_FEATURE_COLUMNS) -> DataFrame:
     """Columns missing from ``df`` and columns not in the expected list."""
     have = list(df.columns)

@@ -1,81 +1,65 @@
 """Exact quantiles (linear interpolation) without gathering a group in one task.
 
-``F.percentile`` keeps a map of every distinct value of a group in one
-reducer; for one cut-off date of a large book that is one task holding
-millions of values. ``exact_quantiles`` instead:
+One path for every size of group:
 
-1. brackets each wanted quantile with ``approx_percentile`` (a mergeable
-   sketch) at p - m and p + m, where m is a few times the sketch's rank error
-   (groups of at most ``SMALL_GROUP`` values take ``percentile`` directly);
-2. counts, per group, the values below the lower bracket (a plain
-   distributed count) and keeps only the values inside the bracket (about
-   2m * n rows);
-3. ranks those few candidates and interpolates between ranks floor(h) and
-   ceil(h), h = (n - 1) * p — the same definition as pandas/NumPy "linear".
+1. equal values are counted first (map-side combining), so ties collapse
+   before anything is ordered;
+2. values fall into fine monotone buckets (sign and binary logarithm, 4,096
+   buckets per doubling); running counts over a group's buckets show which
+   bucket holds the ranks floor(h) and ceil(h), h = (n - 1) * p - the same
+   definition as pandas/NumPy "linear";
+3. only the values of those buckets are ordered, each bucket by itself.
 
-The result equals ``percentile(value, p)`` exactly; only step 3 touches a
-small, bounded set of rows. Groups are usually cut-off dates, so the
-one-row-per-group statistics are broadcast (bounded by the number of dates).
+The result equals ``percentile(value, p)``. A group's running counts have one
+row per bucket that occurs, however many rows it has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10000
-MARGIN = 5.0 / ACCURACY
-# Groups up to this size use percentile() directly (bounded value map); the
-# bracket is only needed, and only valid, when MARGIN * n is several ranks wide.
-SMALL_GROUP = 50000
+BUCKETS_PER_DOUBLING = 4096
+_ABOVE_ALL = 8_000_000  # more than 4096 * 1075, the largest |log2| of a double
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: str | None = None,
-                    accuracy: int = ACCURACY) -> DataFrame:
-    """One row per group with a column per name in ``probs`` (NULL for an empty group).
+def _bucket(v: Column) -> Column:
+    """A whole number that never falls when v rises."""
+    size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_DOUBLING) + _ABOVE_ALL
+    return F.when(v == 0, F.lit(0).cast("bigint")).otherwise(F.when(v > 0, size).otherwise(-size).cast("bigint"))
 
-    Groups of at most ``SMALL_GROUP`` values use ``percentile`` directly (its
-    value map is bounded by that size); larger groups use the bracket method.
-    ``group=None`` computes one global row.
+
+def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: str | None = None) -> DataFrame:
+    """One row per group with a column per name in ``probs``; NULL and NaN values are left out.
+
+    ``group=None`` computes one global row (none without values).
     """
     g = group or "_g"
-    base = df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("v")) \
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-    names = list(probs)
-    pcts = []
-    for n in names:
-        p = probs[n]
-        pcts += [max(0.0, p - MARGIN), min(1.0, p + MARGIN)]
-    # Group sizes first (one row per group; groups are dates: a calendar-sized
-    # frame, broadcast); the sketch is only built for the large groups.
-    counts = base.groupBy(g).agg(F.count(F.lit(1)).alias("n"))
-    sized = base.join(F.broadcast(counts), g)
+    counted = (df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("v"))
+               .where(F.col("v").isNotNull() & ~F.isnan("v"))
+               .groupBy(g, (F.col("v") + 0.0).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("b", _bucket(F.col("v"))))
+    whole = Window.partitionBy(g)
+    before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (counted.groupBy(g, "b").agg(F.sum("n").alias("n"))
+               .withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+               .withColumn("total", F.sum("n").over(whole)))
+    ranks = []
+    for i, p in enumerate(probs.values()):
+        h = (F.col("total") - 1) * F.lit(float(p))
+        for side, r in ((0, F.floor(h)), (1, F.ceil(h))):
+            ranks.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), r.cast("bigint").alias("r"), (h - F.floor(h)).alias("part")))
+    wanted = (buckets.select(g, "b", "n", "first", F.explode(F.array(*ranks)).alias("x"))
+              .where((F.col("x.r") >= F.col("first")) & (F.col("x.r") < F.col("first") + F.col("n")))
+              .select(g, "b", "x.i", "x.side", "x.part", (F.col("x.r") - F.col("first")).alias("r")))
+    inside = Window.partitionBy(g, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    values = (counted.join(wanted.select(g, "b").distinct(), [g, "b"], "left_semi")
+              .withColumn("first", F.coalesce(F.sum("n").over(inside), F.lit(0))))
+    hits = values.join(wanted, [g, "b"]).where((F.col("r") >= F.col("first")) & (F.col("r") < F.col("first") + F.col("n")))
 
-    small = (sized.where(F.col("n") <= SMALL_GROUP).groupBy(g)
-             .agg(F.percentile("v", [float(probs[n]) for n in names]).alias("qs"))
-             .select(g, *[F.col("qs")[i].alias(n) for i, n in enumerate(names)]))
+    def pick(i: int, side: int, c: str) -> Column:
+        return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col(c)))
 
-    stats = (sized.where(F.col("n") > SMALL_GROUP).groupBy(g)
-             .agg(F.first("n").alias("n"), F.approx_percentile("v", pcts, accuracy).alias("br")))
-    large_stats = stats.select(g, "n", *[
-        F.struct(F.lit(i).alias("i"), F.col("br")[2 * i].alias("lo"), F.col("br")[2 * i + 1].alias("hi"),
-                 ((F.col("n") - 1) * F.lit(probs[n])).alias("h")).alias(f"_q{i}")
-        for i, n in enumerate(names)])
-    qs = large_stats.select(g, "n", F.explode(F.array(*[F.col(f"_q{i}") for i in range(len(names))])).alias("q")) \
-        .select(g, "n", "q.*")
-    joined = base.join(F.broadcast(qs), g)
-    below = joined.groupBy(g, "i").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"))
-    cands = joined.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-    w = Window.partitionBy(g, "i").orderBy("v")
-    ranked = (cands.join(below, [g, "i"])
-              .withColumn("r", F.row_number().over(w) - 1 + F.col("below"))
-              .where((F.col("r") == F.floor("h")) | (F.col("r") == F.ceil("h"))))
-    picked = (ranked.groupBy(g, "i")
-              .agg(F.first("h").alias("h"),
-                   F.min_by("v", "r").alias("v_lo"), F.max_by("v", "r").alias("v_hi"))
-              .select(g, "i", (F.col("v_lo") + (F.col("h") - F.floor("h")) * (F.col("v_hi") - F.col("v_lo")))
-                      .alias("q")))
-    large = (picked.groupBy(g).pivot("i", list(range(len(names)))).agg(F.first("q"))
-             .select(g, *[F.col(str(i)).alias(n) for i, n in enumerate(names)]))
-    out = counts.select(g).join(small.unionByName(large), g, "left")
+    out = hits.groupBy(g).agg(*[
+        (pick(i, 0, "v") + pick(i, 0, "part") * (pick(i, 1, "v") - pick(i, 0, "v"))).alias(name) for i, name in enumerate(probs)])
     return out if group else out.drop(g)

@@ -49,7 +49,7 @@ FLOW_CLASS_RULES_ALT = (
     ("in", ("einlage", "eingang", "überweisung", "ueberweisung")),
     ("out", ("entnahme", "ausgang", "auszahlung")),
     ("fee_out", ("zins", "gebühr", "gebuehr", "entgelt", "spesen")),
-    ("tax_in", ("steuer", "steuerr")),
+    ("tax_in", ("steuer",)),
 )
 FLOW_CLASS_ALT_YIELD_CONTAINS = ("ertrag",)
 FLOW_CLASS_ALT_YIELD_PREFIX = "div"
@@ -99,6 +99,10 @@ BOOKING_CREDIT_VALUES = ("Einzahlung", "Gutschrift")
 TARGET_ISIN = "DE000A14UWW2"
 
 
+# Feature columns that the schema audit does not expect in the stored table.
+DERIVED_FEATURE_COLUMNS = ("Cash_over_bestand", "Cashquote_true", "Inflow_Strength_30d")
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Words used to recognise tech securities and stock positions."""

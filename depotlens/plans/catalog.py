@@ -8,6 +8,8 @@ that a different summation order cannot change the compared values.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
@@ -21,7 +23,7 @@ from depotlens.operators import quality as QC
 from depotlens.plans import ml as ML
 from depotlens.operators import rules as RU
 from depotlens.session import materialize
-from depotlens.sources.catalog import SourceTables
+from depotlens.sources.catalog import SourceTables, day_load
 from depotlens.sources.fixture import CUTOFF, fixture_tables
 
 FIXTURE_FEATURES = P.FeatureParams(vocab=P.FIXTURE_VOCAB)
@@ -152,7 +154,44 @@ def q_lead_report(spark, sf_dir):
     return rounded(RU.lead_report(_lead_rows(spark, sf_dir)))
 
 
+# Two file days of the fixture: the yearly position snapshot, and the last day (its file holds balances only).
+FILE_DAYS = ("2001-01-01", "2001-08-01")
+
+
+def q_day_load(spark, sf_dir):
+    """Rows, depots and amounts that each table holds on a file day."""
+    t = tables(spark, sf_dir)
+    parts = []
+    for day in FILE_DAYS:
+        loaded = day_load(t, day)
+        for name, df, key, amount in (("orders", loaded.orders, "Depotnummer", "Cashflow"),
+                                      ("balances", loaded.balances, "Kontoreferenz", "Saldosollwert"),
+                                      ("positions", loaded.positions, "Depotreferenz", "Kurswert")):
+            parts.append(df.agg(F.lit(day).cast("date").alias("file_day"), F.lit(name).alias("table_name"),
+                                F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("depots"),
+                                F.round(F.sum(amount), 2).alias("amount")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_depot_features_file_day(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return reduce(DataFrame.unionByName, [rounded(FE.depot_features(day_load(t, d), d, FIXTURE_FEATURES)) for d in FILE_DAYS])
+
+
+def q_leads_stored(spark, sf_dir):
+    """The leads as the daily run makes them: features joined with the stored
+    readiness, score and segment tables."""
+    base, feats = _daily(spark, sf_dir)
+    ready, score, seg = (materialize(x) for x in (RU.invest_readiness(feats), RU.general_score(base), RU.segments(feats)))
+    rows = RU.leads(RU.lead_frame(feats, ready, score, seg))
+    return rounded(rows.select("Depotnummer", "Score_Datum", "InvestScore", "GeneralScore", "CompositeScore",
+                               "Segment", "Next_Action"))
+
+
 QUERIES = {
+    "day_load": q_day_load,
+    "depot_features_file_day": q_depot_features_file_day,
+    "leads_stored": q_leads_stored,
     "depot_features": q_depot_features,
     "depot_features_backfill": q_depot_features_backfill,
     "general_score": q_general_score,
@@ -197,10 +236,9 @@ LABEL_START = "1999-08-01"
 LABEL_END = CUTOFF
 
 
-def _label_rows(spark, sf_dir):
+def _label_rows(spark, sf_dir, dates):
     t = tables(spark, sf_dir)
-    return FE.depot_spine_multi(t, FI.backfill_dates(t.files, months=24)) \
-        .withColumnRenamed("Score_Datum", "stichtag")
+    return FE.depot_spine_multi(t, dates).withColumnRenamed("Score_Datum", "stichtag")
 
 
 def q_investment_events(spark, sf_dir):
@@ -210,18 +248,19 @@ def q_investment_events(spark, sf_dir):
 
 def q_label_invest(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return LB.invest_labels(_label_rows(spark, sf_dir), t.orders, t.bookings, horizons=(7, 14))
+    dates = FI.backfill_dates(t.files, months=24)
+    return LB.invest_labels(_label_rows(spark, sf_dir, dates), t.orders, t.bookings, horizons=(7, 14), dates=dates)
 
 
 def q_upsert_labels(spark, sf_dir):
     """T7 labels exist for the first year of the backfill; a T14 run over the
     last 18 months is merged in."""
     t = tables(spark, sf_dir)
-    rows = _label_rows(spark, sf_dir)
-    first = rows.where(F.col("stichtag") < F.lit("2000-08-01").cast("date"))
-    last = rows.where(F.col("stichtag") >= F.lit("2000-02-01").cast("date"))
-    existing = LB.invest_labels(first, t.orders, t.bookings, horizons=(7,))
-    new = LB.invest_labels(last, t.orders, t.bookings, horizons=(14,))
+    dates = FI.backfill_dates(t.files, months=24)
+    first = dates.where(F.col("as_of") < F.lit("2000-08-01").cast("date"))
+    last = dates.where(F.col("as_of") >= F.lit("2000-02-01").cast("date"))
+    existing = LB.invest_labels(_label_rows(spark, sf_dir, first), t.orders, t.bookings, horizons=(7,), dates=first)
+    new = LB.invest_labels(_label_rows(spark, sf_dir, last), t.orders, t.bookings, horizons=(14,), dates=last)
     return LB.upsert_labels(existing, new)
 
 
@@ -285,7 +324,8 @@ def eval_base(spark, sf_dir):
         feats = backfill_features(spark, sf_dir)
         scored = feats.select("Depotnummer", "Score_Datum", RU.invest_score_expr().alias("InvestScore"))
         labelled = LB.invest_labels(scored.withColumnRenamed("Score_Datum", "stichtag"), t.orders, t.bookings,
-                                    horizons=(7, 14, 30)).withColumnRenamed("stichtag", "Score_Datum")
+                                    horizons=(7, 14, 30), dates=FI.backfill_dates(t.files, months=24)
+                                    ).withColumnRenamed("stichtag", "Score_Datum")
         _EVAL[key] = materialize(labelled)
     return _EVAL[key]
 
@@ -366,9 +406,27 @@ def q_qc_daily_monitor(spark, sf_dir):
     return rounded(QC.daily_label_monitor(q_label_first_buy(spark, sf_dir)))
 
 
-def q_schema_audit(spark, sf_dir):
-    _, feats = _daily(spark, sf_dir)
-    return QC.schema_audit(spark, feats)
+VALIDATION_DAYS = ("2001-07-31", CUTOFF)
+
+
+def q_validation_log(spark, sf_dir):
+    """Validation rows of two consecutive days from the day's own tables."""
+    t = tables(spark, sf_dir)
+    dates = spark.range(1).select(F.explode(F.array(*[F.lit(d).cast("date") for d in VALIDATION_DAYS])).alias("as_of"))
+    base = materialize(FE.feature_base_multi(t, dates, FIXTURE_FEATURES))
+    feats = materialize(FE.finish_features(base, FIXTURE_FEATURES))
+    ready, score, seg = (materialize(x) for x in (RU.invest_readiness(feats), RU.general_score(base), RU.segments(feats)))
+    lead_rows = materialize(RU.leads(RU.lead_frame(feats, ready, score, seg)))
+    return rounded(QC.validation_log(feats, ready, score, seg, lead_rows))
+
+
+MONITORED = ("Einzahlung_30d", "Cashquote_true", "Depotwert", "HHI_Concentration", "InvestScore")
+
+
+def q_qc_table_monitor(spark, sf_dir):
+    """Daily monitor of features and of the readiness score."""
+    f = backfill_features(spark, sf_dir).withColumn("InvestScore", RU.invest_score_expr())
+    return rounded(QC.daily_table_monitor(f, MONITORED), places=4)
 
 
 def q_flow_reconcile(spark, sf_dir):
@@ -408,7 +466,8 @@ QUERIES.update({
     "qc_drift": q_qc_drift,
     "qc_lead_coverage": q_qc_lead_coverage,
     "qc_daily_monitor": q_qc_daily_monitor,
-    "schema_audit": q_schema_audit,
+    "validation_log": q_validation_log,
+    "qc_table_monitor": q_qc_table_monitor,
     "flow_reconcile": q_flow_reconcile,
     "feature_audit": q_feature_audit,
     "localized_numbers": q_localized_numbers,
@@ -448,8 +507,23 @@ def q_class_weights(spark, sf_dir):
     return rounded(out.select("horizon", "pos", "neg", "scale_pos_weight"))
 
 
-# Small ensemble for the registered check; the library default is 800 trees of depth 6.
-CHECK_GBT = ML.GbtParams(max_depth=4, max_iter=20, step_size=0.1)
+FRAME_START, FRAME_END = "2001-06-01", "2001-07-31"
+
+
+def q_training_frame(spark, sf_dir):
+    """Features with labels over two months, typed: one named and one free
+    column arrive as localised text, another column stays text."""
+    def text(c):
+        return F.translate(F.format_number(c, 2), ",.", ".,")
+
+    feats = backfill_features(spark, sf_dir).select(
+        "Depotnummer", "Score_Datum", "Letzter_Kauf", "TechAffin", text("Depotwert").alias("Depotwert"),
+        text("Cash_abs").alias("Cash_text"), F.concat(F.lit("Gruppe "), "Depotnummer").alias("Gruppe"))
+    labels = eval_base(spark, sf_dir).select("Depotnummer", F.col("Score_Datum").alias("stichtag"), "label_invest_T7")
+    frame = ML.training_frame(feats, labels, "label_invest_T7", FRAME_START, FRAME_END)
+    return rounded(ML.typed_frame(frame, named=("Depotwert", "TechAffin")), places=2)
+
+
 _MODELS: dict = {}
 
 
@@ -461,7 +535,7 @@ def invest_model(spark, sf_dir):
         frame = feats.join(split, ["Depotnummer", "Score_Datum"])
         cols = ML.numeric_feature_columns(feats, "label_invest_T7")
         bundle = ML.fit_calibrated(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "calib"),
-                                   cols, "label_invest_T7", CHECK_GBT)
+                                   cols, "label_invest_T7")
         _MODELS[key] = (bundle, frame)
     return _MODELS[key]
 
@@ -491,6 +565,7 @@ def q_upsert_predictions(spark, sf_dir):
 
 
 QUERIES.update({
+    "training_frame": q_training_frame,
     "model_time_split": q_model_time_split,
     "class_weights": q_class_weights,
     "train_score_invest": q_train_score_invest,
@@ -505,7 +580,13 @@ def q_first_buy_features(spark, sf_dir):
     return rounded(LB.first_buy_features(feats, t.orders, CUTOFF), keep=("Avg_Ticket_90d",))
 
 
+def q_first_buy_features_backfill(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return rounded(LB.first_buy_features(backfill_features(spark, sf_dir), t.orders), keep=("Avg_Ticket_90d",))
+
+
 QUERIES["first_buy_features"] = q_first_buy_features
+QUERIES["first_buy_features_backfill"] = q_first_buy_features_backfill
 
 
 # --------------------------------------------------------------------------

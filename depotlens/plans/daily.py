@@ -24,7 +24,7 @@ from depotlens.operators import files as FI
 from depotlens.operators import quality as QC
 from depotlens.operators import rules as RU
 from depotlens.sinks.tables import replace_dates
-from depotlens.sources.catalog import SourceTables
+from depotlens.sources.catalog import SourceTables, day_load, path_exists
 
 
 @dataclass
@@ -40,10 +40,13 @@ class DailyOutputs:
 
 def run_daily(spark: SparkSession, tables: SourceTables, as_of, out: str,
               fp: P.FeatureParams = P.FeatureParams(), sp: P.SegmentParams = P.SegmentParams(),
-              lp: P.LeadParams = P.LeadParams()) -> DailyOutputs:
+              lp: P.LeadParams = P.LeadParams(), by_file: bool = False) -> DailyOutputs:
     """Compute and store every daily table of ``as_of`` under ``out/<table>``
-    (partitioned by date, replaced idempotently)."""
+    (partitioned by date, replaced idempotently). ``by_file`` loads the day by
+    its file ids (``day_load``), as a production run over delivered files does."""
     d = str(as_of)
+    if by_file:
+        tables = day_load(tables, d)
     base = FE.feature_base_at(tables, as_of, fp)
     replace_dates(base, f"{out}/feature_base", "Score_Datum", [d])
     base = spark.read.parquet(f"{out}/feature_base").where(F.col("Score_Datum") == F.lit(d).cast("date"))
@@ -73,10 +76,9 @@ def run_daily(spark: SparkSession, tables: SourceTables, as_of, out: str,
     a = F.lit(d).cast("date")
     prev_d = hist.where(F.col("Score_Datum") < a).select(F.max("Score_Datum")).scalar()
     two = (F.col("Score_Datum") == a) | (F.col("Score_Datum") == prev_d)
-    val = QC.drift(hist.where(two), hist_ready.where(two)).where(F.col("Log_Datum") == a)
-    cov = QC.lead_coverage(feats, spark.read.parquet(f"{out}/leads")
-                           .where(F.col("Score_Datum") == F.lit(d).cast("date")))
-    val = val.join(cov.withColumnRenamed("Score_Datum", "Log_Datum").drop("Agg_Rows"), "Log_Datum", "left")
+    lead_rows = spark.read.parquet(f"{out}/leads").where(two)
+    val = QC.validation_log(hist.where(two), hist_ready.where(two), spark.read.parquet(f"{out}/scoring").where(two),
+                            spark.read.parquet(f"{out}/segments").where(two), lead_rows).where(F.col("Log_Datum") == a)
     replace_dates(val, f"{out}/validation_log", "Log_Datum", [d])
     return DailyOutputs(feats, score, ready, al, seg, leads, val)
 
@@ -86,13 +88,9 @@ def run_backfill(spark: SparkSession, tables: SourceTables, out: str, months: in
     """Feature table for every complete day in the range, in one job, written
     by date partition. Returns the dates processed."""
     dates = FI.backfill_dates(tables.files, months=months, start=start, end=end)
-    if not overwrite:
-        try:
-            existing = spark.read.parquet(f"{out}/features").select("Score_Datum")
-            dates = FI.dates_missing_in_target(dates, existing)
-        except Exception:  # no target yet
-            pass
+    if not overwrite and path_exists(spark, f"{out}/features"):
+        existing = spark.read.parquet(f"{out}/features").select("Score_Datum")
+        dates = FI.dates_missing_in_target(dates, existing)
     feats = FE.depot_features_multi(tables, dates, fp)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")  # only the computed dates change
-    feats.write.mode("overwrite").partitionBy("Score_Datum").parquet(f"{out}/features")
+    replace_dates(feats, f"{out}/features", "Score_Datum")  # only the computed dates change
     return dates

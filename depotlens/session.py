@@ -7,10 +7,10 @@ for tests, the bench and command-line runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the engine should carry. AQE re-plans joins and
 # coalesces shuffle partitions at runtime; the session time zone is fixed so
@@ -51,31 +51,31 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; set a local one only when unset.
+    """The shared folder ``spark.checkpoint.dir`` of the session.
 
-    On a cluster the setting names a shared folder (HDFS/S3/...). Only in a
-    local test session, where nothing is configured, a fresh temp folder is used.
+    On a cluster the setting must name a folder that driver and executors
+    share (HDFS/S3/...); a missing setting is an error. Only a local session
+    (tests, bench) gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir
-    local = tempfile.mkdtemp(prefix="depotlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+    local = tempfile.mkdtemp(prefix="depotlens-store-")
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
     return local
 
 
-def materialize(df):
-    """Cut the lineage of ``df`` by a reliable checkpoint into ``spark.checkpoint.dir``.
+def materialize(df: DataFrame) -> DataFrame:
+    """Store ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 
     Used where one intermediate result (e.g. the day's feature base) feeds
-    many downstream steps: the plan of each step starts from the stored
-    result instead of repeating the whole computation, and a lost executor
-    re-reads the checkpoint instead of recomputing its lineage.
+    many downstream steps: each step scans only the columns and dates it
+    needs, and a lost executor re-reads the files instead of recomputing
+    their lineage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/depotlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

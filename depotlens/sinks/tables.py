@@ -1,8 +1,10 @@
 """Idempotent writes to partitioned tables.
 
 * ``replace_dates``   – replace the partitions of the given dates (dynamic
-  partition overwrite); dates with no rows are deleted explicitly, so a
-  re-run that produces nothing for a date also clears that date.
+  partition overwrite); wanted dates that got no rows are removed after the
+  write succeeded, so a re-run that produces nothing for a date also clears
+  that date and a failed write leaves the old rows.
+* ``replace_range``   – the same for all dates of a closed range.
 * ``merge_upsert``    – MERGE by key for plain Parquet: the merged result is
   written to a new version directory and the table pointer moves to it; the
   version being read is never overwritten in place.
@@ -23,21 +25,49 @@ def merged_keep_new(existing: DataFrame, new: DataFrame, keys) -> DataFrame:
     return existing.join(new.select(*keys), list(keys), "left_anti").unionByName(new, allowMissingColumns=True)
 
 
+def _partition_files(spark: SparkSession, path: str, date_col: str) -> dict[str, frozenset[str]]:
+    """File names per stored date."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    found = {}
+    for s in fs.listStatus(root):
+        name = s.getPath().getName()
+        if name.startswith(f"{date_col}="):
+            found[name.removeprefix(f"{date_col}=")] = frozenset(f.getPath().getName() for f in fs.listStatus(s.getPath()))
+    return found
+
+
 def replace_dates(df: DataFrame, path: str, date_col: str, dates: list | None = None) -> None:
-    """Replace the ``date_col`` partitions present in ``df``; the listed
-    ``dates`` are cleared first, so a re-run that produces no rows for a date
-    also removes that date (like DELETE + INSERT). ``df`` is computed once."""
+    """Replace the ``date_col`` partitions present in ``df``; listed ``dates``
+    without rows are removed (like DELETE + INSERT). ``df`` is computed once.
+
+    The new rows are written first. Only after that succeeded, a listed date
+    whose files are still those of before (so the write had no rows for it) is
+    removed; a failing job therefore changes nothing.
+    """
+    _replace(df, path, date_col, None if dates is None else {str(d) for d in dates}.__contains__)
+
+
+def replace_range(df: DataFrame, path: str, date_col: str, start, end) -> None:
+    """Replace all dates from ``start`` to ``end`` (both included) by the rows of ``df``, which must lie in that range."""
+    lo, hi = str(start), str(end)
+    day = F.col(date_col).cast("date")
+    inside = df.where(day.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+    _replace(inside, path, date_col, lambda d: lo <= d <= hi)
+
+
+def _replace(df: DataFrame, path: str, date_col: str, wanted) -> None:
     spark = df.sparkSession
-    if dates:
-        jvm = spark._jvm
-        conf = spark._jsc.hadoopConfiguration()
-        for d in dates:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={d}")
-            fs = p.getFileSystem(conf)
-            if fs.exists(p):
-                fs.delete(p, True)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.write.mode("overwrite").partitionBy(date_col).parquet(path)
+    before = _partition_files(spark, path, date_col) if wanted else {}
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path)
+    if wanted:
+        after = _partition_files(spark, path, date_col)
+        for d, names in before.items():
+            if wanted(d) and after.get(d) == names:
+                p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{date_col}={d}")
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -48,8 +78,11 @@ def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
 
 
 class VersionedTable:
-    """A Parquet table stored as ``<root>/v=<id>`` directories plus a
-    ``_CURRENT`` pointer file; writers never overwrite the version being read."""
+    """A Parquet table stored as ``<root>/v=<id>`` directories plus numbered
+    pointer files ``_CURRENT.<n>``: the highest number is the table. Writers add
+    a version and then a pointer and never delete either, so a stop at any
+    point leaves the table as it was. Versions without any pointer are an
+    error, not an empty table."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -61,36 +94,47 @@ class VersionedTable:
     def _fs(self, p):
         return p.getFileSystem(self._conf)
 
+    def _listed(self) -> tuple[list[int], bool]:
+        """(numbers of the pointers, whether versions exist)."""
+        root = self._Path(self.root)
+        fs = self._fs(root)
+        names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
+        numbers = [int(n.removeprefix("_CURRENT.")) for n in names if n.startswith("_CURRENT.") and n[9:].isdigit()]
+        return sorted(numbers), any(n.startswith("v=") for n in names)
+
     def current(self) -> str | None:
-        ptr = self._Path(f"{self.root}/_CURRENT")
-        fs = self._fs(ptr)
-        if not fs.exists(ptr):
+        numbers, versions = self._listed()
+        if not numbers:
+            if versions:
+                raise RuntimeError(f"{self.root} holds versions but no pointer to one of them")
             return None
+        ptr = self._Path(f"{self.root}/_CURRENT.{numbers[-1]}")
         jvm = self.spark._jvm
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(ptr), "UTF-8"))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(self._fs(ptr).open(ptr), "UTF-8"))
         try:
-            line = reader.readLine()
+            return reader.readLine().strip()
         finally:
             reader.close()
-        return line.strip() if line else None
 
     def read(self) -> DataFrame | None:
         cur = self.current()
         return None if cur is None else self.spark.read.parquet(f"{self.root}/{cur}")
 
     def commit(self, df: DataFrame) -> str:
-        """Write a new version, then move the pointer to it (the old version stays readable)."""
+        """Write a new version, then the next pointer (old versions stay readable)."""
         version = f"v={uuid.uuid4().hex}"
+        numbers, versions = self._listed()
+        if versions and not numbers:
+            raise RuntimeError(f"{self.root} holds versions but no pointer to one of them")
         df.write.mode("errorifexists").parquet(f"{self.root}/{version}")
-        tmp = self._Path(f"{self.root}/_CURRENT.{uuid.uuid4().hex}")
+        tmp = self._Path(f"{self.root}/_next.{uuid.uuid4().hex}")
         fs = self._fs(tmp)
         out = fs.create(tmp, True)
         out.write(bytearray(version.encode("utf-8")))
         out.close()
-        dst = self._Path(f"{self.root}/_CURRENT")
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        fs.rename(tmp, dst)
+        number = numbers[-1] + 1 if numbers else 1
+        if not fs.rename(tmp, self._Path(f"{self.root}/_CURRENT.{number}")):
+            raise RuntimeError(f"another writer has moved {self.root} meanwhile")
         return version
 
 

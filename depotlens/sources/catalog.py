@@ -4,9 +4,9 @@ A ``SourceTables`` bundle holds the five inputs as DataFrames:
 
 * ``orders``   (cd_order):  Depotnummer, Orderdatum, Ordertyp, Cashflow, ISIN,
                             Transaktionsnummer, Bemerkung, Datei_ID
-* ``balances`` (cd_saldo):  Kontoreferenz, Datum, Saldosollwert
+* ``balances`` (cd_saldo):  Kontoreferenz, Datum, Saldosollwert, Datei_ID
 * ``positions``(cd_bestand): Depotreferenz, Datum, Wertpapierreferenz,
-                            Wertpapiername, Wertpapiertyp, Kurswert, Einstandswerte
+                            Wertpapiername, Wertpapiertyp, Kurswert, Einstandswerte, Datei_ID
 * ``bookings`` (cd_buchung): Kontoreferenz, Valutadatum, Buchungdatum, Betrag,
                             Buchungtyp, Bemerkung   (optional: may be None)
 * ``files``    (cd_datei):  DateiID, Datum, DateiName, Pruefziffer
@@ -75,10 +75,12 @@ def typed_orders(df: DataFrame) -> DataFrame:
 
 
 def typed_balances(df: DataFrame) -> DataFrame:
+    df = _with_defaults(df, {"Datei_ID": F.lit(None).cast("bigint")})
     return (df.select(
         F.col("Kontoreferenz").cast("string").alias("Kontoreferenz"),
         to_date_col("Datum").alias("Datum"),
         F.coalesce(to_double("Saldosollwert"), F.lit(0.0)).alias("Saldosollwert"),
+        F.col("Datei_ID").cast("bigint").alias("Datei_ID"),
     ).where(F.col("Kontoreferenz").isNotNull() & F.col("Datum").isNotNull()))
 
 
@@ -88,6 +90,7 @@ def typed_positions(df: DataFrame) -> DataFrame:
         "Wertpapiername": F.lit(None).cast("string"),
         "Wertpapiertyp": F.lit(None).cast("string"),
         "Einstandswerte": F.lit(None).cast("double"),
+        "Datei_ID": F.lit(None).cast("bigint"),
     })
     return (df.select(
         F.col("Depotreferenz").cast("string").alias("Depotreferenz"),
@@ -97,6 +100,7 @@ def typed_positions(df: DataFrame) -> DataFrame:
         F.coalesce(F.col("Wertpapiertyp").cast("string"), F.lit("")).alias("Wertpapiertyp"),
         F.coalesce(to_double("Kurswert"), F.lit(0.0)).alias("Kurswert"),
         to_double("Einstandswerte").alias("Einstandswerte"),
+        F.col("Datei_ID").cast("bigint").alias("Datei_ID"),
     ).where(F.col("Depotreferenz").isNotNull() & F.col("Datum").isNotNull()))
 
 
@@ -129,21 +133,50 @@ def typed_bookings(df: DataFrame) -> DataFrame:
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> SourceTables:
     """Read the five source tables stored as ``<base>/<name>`` (parquet by default).
 
-    The bookings table is optional: if it does not exist the features are
-    computed without money flows.
+    The bookings table and the file catalog are optional: where their path
+    does not exist the features are computed without money flows, or without
+    a catalog. Any other failure (a damaged file, no access) is raised.
     """
     def load(name: str) -> DataFrame:
         return spark.read.format(fmt).load(f"{base}/{name}")
 
-    try:
-        bookings = load("cd_buchung")
-    except Exception:  # AnalysisException: path does not exist
-        bookings = None
-    try:
-        files = load("cd_datei")
-    except Exception:
-        files = None
-    return SourceTables(load("cd_order"), load("cd_saldo"), load("cd_bestand"), bookings, files)
+    def optional(name: str) -> DataFrame | None:
+        return load(name) if path_exists(spark, f"{base}/{name}") else None
+
+    return SourceTables(load("cd_order"), load("cd_saldo"), load("cd_bestand"), optional("cd_buchung"),
+                        optional("cd_datei"))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path exists in its (Hadoop) file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def day_load(tables: SourceTables, day, require_checked: bool = False) -> SourceTables:
+    """The tables as loaded on one file day.
+
+    With U and B the day's order and snapshot file: orders with
+    ``Datei_ID <= U``, balances and positions with ``Datei_ID = B`` only, so a
+    depot that is no longer in the snapshot file has an empty portfolio. If
+    either file is missing, nothing is loaded. Bookings carry no file id and
+    stay as they are. The ids are scalar subqueries over the catalog and reach
+    the scans as literals.
+    """
+    from depotlens.operators.files import complete_days
+
+    if tables.files is None:
+        raise ValueError("a day load needs the file catalog")
+    files = complete_days(tables.files, require_checked).where(F.col("Datum") == F.lit(str(day)).cast("date"))
+    u = files.select(F.max("DateiID_U")).scalar()
+    b = files.select(F.max("DateiID_B")).scalar()
+    return SourceTables(
+        orders=tables.orders.where(F.col("Datei_ID") <= u),
+        balances=tables.balances.where(F.col("Datei_ID") == b),
+        positions=tables.positions.where(F.col("Datei_ID") == b),
+        bookings=tables.bookings,
+        files=tables.files,
+    )
 
 
 def read_jdbc_tables(spark: SparkSession, url: str, properties: dict, schema: str = "dbo") -> SourceTables:

@@ -61,12 +61,17 @@ def fixture_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _read(spark, sf_dir, "customer")
     key = F.col("c_custkey").cast("string").alias("Kontoreferenz")
     seg = F.col("c_mktsegment")
+    def file_id(day: str):  # the snapshot file of that day
+        return F.lit(int(day.replace("-", "")) * 10 + 2).cast("bigint").alias("Datei_ID")
+
     now = c.where(seg != "HOUSEHOLD").select(key, F.lit(CUTOFF).cast("date").alias("Datum"),
-                                             F.col("c_acctbal").alias("Saldosollwert"))
+                                             F.col("c_acctbal").alias("Saldosollwert"), file_id(CUTOFF))
     month_before = c.where(seg.isin("BUILDING", "HOUSEHOLD")).select(
-        key, F.lit("2001-07-01").cast("date").alias("Datum"), (F.col("c_acctbal") / 2).alias("Saldosollwert"))
+        key, F.lit("2001-07-01").cast("date").alias("Datum"), (F.col("c_acctbal") / 2).alias("Saldosollwert"),
+        file_id("2001-07-01"))
     older = c.where(seg.isin("MACHINERY", "AUTOMOBILE")).select(
-        key, F.lit("2000-10-01").cast("date").alias("Datum"), (F.col("c_acctbal") * 1.5).alias("Saldosollwert"))
+        key, F.lit("2000-10-01").cast("date").alias("Datum"), (F.col("c_acctbal") * 1.5).alias("Saldosollwert"),
+        file_id("2000-10-01"))
     return now.unionByName(month_before).unionByName(older)
 
 
@@ -88,6 +93,7 @@ def fixture_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("Kurswert"),
         F.when(F.col("l_linenumber") % 6 == 0, F.lit(0.0))
          .otherwise(F.col("l_quantity") * F.col("p_retailprice") * 2).alias("Einstandswerte"),
+        ((F.year("l_shipdate") * 10000 + 101) * 10 + 2).cast("bigint").alias("Datei_ID"),
     )
 
 

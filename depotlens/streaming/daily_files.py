@@ -19,6 +19,7 @@ from depotlens import params as P
 from depotlens.operators import features as FE
 from depotlens.operators import files as FI
 from depotlens.session import ensure_checkpoint_dir
+from depotlens.sinks.tables import replace_dates
 from depotlens.sources.catalog import SourceTables
 
 CATALOG_SCHEMA = "DateiID long, Datum date, DateiName string, Pruefziffer int"
@@ -36,8 +37,7 @@ def feature_stream(spark: SparkSession, catalog_dir: str, tables: SourceTables,
         complete = FI.complete_days(spark.read.schema(CATALOG_SCHEMA).parquet(catalog_dir))
         dates = complete.join(touched, "Datum").select(F.col("Datum").alias("as_of"))
         feats = FE.depot_features_multi(tables, dates, fp)
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        feats.write.mode("overwrite").partitionBy("Score_Datum").parquet(f"{out}/features")
+        replace_dates(feats, f"{out}/features", "Score_Datum")
 
     return (arriving.writeStream.foreachBatch(process)
             .option("checkpointLocation", ckpt)

@@ -8,7 +8,7 @@ aggregation (one date).
 
 from __future__ import annotations
 
-from sqlcheck.fixture_sql import with_sources
+from sqlcheck.fixture_sql import ALL_SOURCES, file_day_sources, with_sources
 
 TECH_SQL = ("(regexp_matches(coalesce(Wertpapiername, ''), '(?i)(?:^|\\b)(?:GEAR|GIZMO)(?:\\b|$)') "
             "OR (regexp_matches(coalesce(Wertpapiername, ''), '(?i)\\bsmall\\b') "
@@ -224,7 +224,19 @@ def building_block_oracles() -> dict[str, str]:
                 "AS p_aktie_sum, CAST(round(aktie_exact * 10000) AS BIGINT) AS p_aktie_exact, round(hhi, 6) AS p_hhi, "
                 "CAST(round(tot_e * 10000) AS BIGINT) AS p_tot_e, CAST(round(deep * 10000) AS BIGINT) AS p_deep, "
                 "CAST(round(win * 10000) AS BIGINT) AS p_win, CAST(round(loss * 10000) AS BIGINT) AS p_loss")
+    days = ("2001-01-01", "2001-08-01")
+    file_day = " UNION ALL ".join(
+        "SELECT * FROM (" + features_sql(f"dates AS (SELECT DATE '{d}' AS as_of)").replace(ALL_SOURCES, file_day_sources(d)) + ")"
+        for d in days)
+    load = " UNION ALL ".join(
+        f"SELECT * FROM (WITH {file_day_sources(d)} SELECT DATE '{d}' AS file_day, '{name}' AS table_name, COUNT(*) AS n, "
+        f"COUNT(DISTINCT {key}) AS depots, round(SUM({amount}), 2) AS amount FROM {view})"
+        for d in days for name, view, key, amount in (
+            ("orders", "cd_order", "Depotnummer", "Cashflow"), ("balances", "cd_saldo", "Kontoreferenz", "Saldosollwert"),
+            ("positions", "cd_bestand", "Depotreferenz", "Kurswert")))
     return {
+        "depot_features_file_day": file_day,
+        "day_load": load,
         "depot_spine": features_sql(select="SELECT Depotnummer, Score_Datum FROM spine"),
         "balance_last_snapshot": features_sql(select="SELECT Depotnummer, round(saldo, 6) AS s_saldo FROM sal"),
         "position_last_snapshot": features_sql(select=f"SELECT Depotnummer, {pos_cols} FROM pos"),

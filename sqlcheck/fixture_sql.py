@@ -20,13 +20,14 @@ cd_order AS (
 
 CD_SALDO = """
 cd_saldo AS (
-  SELECT CAST(c_custkey AS VARCHAR) AS Kontoreferenz, DATE '2001-08-01' AS Datum, c_acctbal AS Saldosollwert
+  SELECT CAST(c_custkey AS VARCHAR) AS Kontoreferenz, DATE '2001-08-01' AS Datum, c_acctbal AS Saldosollwert,
+         CAST(200108012 AS BIGINT) AS Datei_ID
   FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
   UNION ALL
-  SELECT CAST(c_custkey AS VARCHAR), DATE '2001-07-01', c_acctbal / 2
+  SELECT CAST(c_custkey AS VARCHAR), DATE '2001-07-01', c_acctbal / 2, 200107012
   FROM customer WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD')
   UNION ALL
-  SELECT CAST(c_custkey AS VARCHAR), DATE '2000-10-01', c_acctbal * 1.5
+  SELECT CAST(c_custkey AS VARCHAR), DATE '2000-10-01', c_acctbal * 1.5, 200010012
   FROM customer WHERE c_mktsegment IN ('MACHINERY', 'AUTOMOBILE'))"""
 
 CD_BESTAND = """
@@ -38,7 +39,8 @@ cd_bestand AS (
          CASE WHEN p.p_type IN ('ECONOMY', 'STANDARD', 'PROMO') THEN 'AKTIE' ELSE 'FONDS' END AS Wertpapiertyp,
          CASE WHEN l.l_returnflag = 'R' AND l.l_linestatus = 'F' THEN 0.0
               ELSE l.l_extendedprice * (1 - l.l_discount) END AS Kurswert,
-         CASE WHEN l.l_linenumber % 6 = 0 THEN 0.0 ELSE l.l_quantity * p.p_retailprice * 2 END AS Einstandswerte
+         CASE WHEN l.l_linenumber % 6 = 0 THEN 0.0 ELSE l.l_quantity * p.p_retailprice * 2 END AS Einstandswerte,
+         CAST((year(l.l_shipdate) * 10000 + 101) * 10 + 2 AS BIGINT) AS Datei_ID
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 CD_BUCHUNG = """
@@ -67,6 +69,22 @@ cd_datei AS (
 ALL_SOURCES = ",".join([CD_ORDER, CD_SALDO, CD_BESTAND, CD_BUCHUNG, CD_DATEI])
 
 
+def file_day_sources(day: str) -> str:
+    """The fixture views as loaded on a file day: orders up to the day's order
+    file, balances and positions of its snapshot file, nothing if one is missing."""
+    every = ALL_SOURCES
+    for name in ("cd_order", "cd_saldo", "cd_bestand"):
+        every = every.replace(name, name.replace("cd_", "all_"))
+    return every + f""",
+picked AS (
+  SELECT arg_max(DateiID, (Pruefziffer, DateiID)) FILTER (WHERE DateiName LIKE 'comdirect_U-%') AS u,
+         arg_max(DateiID, (Pruefziffer, DateiID)) FILTER (WHERE DateiName LIKE 'comdirect_B-%') AS b
+  FROM cd_datei WHERE Datum = DATE '{day}'),
+cd_order AS (SELECT o.* FROM all_order o JOIN picked p ON p.b IS NOT NULL AND o.Datei_ID <= p.u),
+cd_saldo AS (SELECT s.* FROM all_saldo s JOIN picked p ON p.u IS NOT NULL AND s.Datei_ID = p.b),
+cd_bestand AS (SELECT s.* FROM all_bestand s JOIN picked p ON p.u IS NOT NULL AND s.Datei_ID = p.b)"""
+
+
 def with_sources(*ctes: str, select: str) -> str:
     """``WITH <fixture views>, <ctes> <select>``."""
     parts = [ALL_SOURCES] + [c.strip() for c in ctes if c.strip()]

@@ -53,7 +53,8 @@ ALL_BUYS = EFFECTIVE_BUYS.format(storno_cond="", buy_cond="")
 
 
 def label_oracles() -> dict[str, str]:
-    extra = {"first_buy_features": first_buy_feature_oracle()}
+    extra = {"first_buy_features": first_buy_feature_oracle(),
+             "first_buy_features_backfill": first_buy_backfill_oracle()}
     return {**extra, **_label_oracles()}
 
 
@@ -138,3 +139,32 @@ LEFT JOIN fact a ON a.Depotnummer = f.Depotnummer LEFT JOIN ftb t ON t.Depotnumm
 
 def first_buy_feature_oracle() -> str:
     return features_sql(extra_ctes=(ALL_BUYS, EFF_BUYS), select=FIRST_BUY_FEATURES_SELECT)
+
+
+def first_buy_backfill_oracle() -> str:
+    """The same definitions for every (depot, date): each order is joined to the dates at or after it."""
+    eff = """
+storno_all AS (SELECT DISTINCT Transaktionsnummer AS tx FROM cd_order
+               WHERE lower(Bemerkung) LIKE '%storn%' AND Transaktionsnummer IS NOT NULL),
+eb AS (SELECT b.Depotnummer, b.Orderdatum, b.ISIN, abs(b.Cashflow) AS ticket FROM cd_order b
+       WHERE b.Ordertyp = 'Ankauf' AND abs(coalesce(b.Cashflow, 0.0)) >= 1000
+         AND NOT EXISTS (SELECT 1 FROM storno_all s WHERE s.tx = b.Transaktionsnummer)),
+fbuys AS (SELECT e.Depotnummer, d.as_of, COUNT(*) FILTER (WHERE e.Orderdatum >= d.as_of - 7) AS b7,
+            COUNT(*) FILTER (WHERE e.Orderdatum >= d.as_of - 30) AS b30, MAX(e.Orderdatum) AS lb,
+            SUM(CASE WHEN e.Orderdatum >= d.as_of - 90 THEN CAST(round_even(ticket * 10000, 0) AS BIGINT) END) AS t90,
+            COUNT(*) FILTER (WHERE e.Orderdatum >= d.as_of - 90) AS n90
+          FROM eb e JOIN dates d ON e.Orderdatum <= d.as_of GROUP BY e.Depotnummer, d.as_of),
+frefs AS (SELECT Depotnummer, d.as_of, COUNT(*) FILTER (WHERE fst >= d.as_of - 90) AS nr
+          FROM (SELECT Depotnummer, ISIN, MIN(Orderdatum) AS fst FROM eb GROUP BY Depotnummer, ISIN) x
+          JOIN dates d ON x.fst <= d.as_of GROUP BY Depotnummer, d.as_of),
+fact AS (SELECT o.Depotnummer, d.as_of,
+            SUM(CASE WHEN Orderdatum >= d.as_of - 90 THEN CAST(round_even(abs(Cashflow) * 10000, 0) AS BIGINT) END) AS v90,
+            COUNT(*) FILTER (WHERE Orderdatum >= d.as_of - 30) AS o30,
+            COUNT(*) FILTER (WHERE Orderdatum >= d.as_of - 30 AND coalesce(lower(Bemerkung) LIKE '%storn%', false)) AS c30
+         FROM cd_order o JOIN dates d ON o.Orderdatum <= d.as_of GROUP BY o.Depotnummer, d.as_of),
+ftb AS (SELECT Depotnummer, MIN(Orderdatum) AS First_Target_Buy FROM buys GROUP BY Depotnummer)"""
+    select = FIRST_BUY_FEATURES_SELECT
+    for t, alias in (("fbuys", "b"), ("frefs", "r"), ("fact", "a")):
+        select = select.replace(f"LEFT JOIN {t} {alias} ON {alias}.Depotnummer = f.Depotnummer",
+                                f"LEFT JOIN {t} {alias} ON {alias}.Depotnummer = f.Depotnummer AND {alias}.as_of = f.Score_Datum")
+    return features_sql(BACKFILL_DATES, extra_ctes=(ALL_BUYS, eff), select=select)

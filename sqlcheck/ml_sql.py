@@ -21,6 +21,13 @@ def ml_oracles() -> dict[str, str]:
         "model_time_split": _sql((7,), (SPLIT,), "SELECT split, COUNT(*) AS n, CAST(SUM(label_invest_T7) AS BIGINT) "
                                                  "AS positives_T7, MIN(Score_Datum) AS first_date, "
                                                  "MAX(Score_Datum) AS last_date FROM sp GROUP BY split"),
+        "training_frame": _sql((7,), (), """
+SELECT f.Depotnummer, f.Score_Datum, f.Letzter_Kauf, CAST(f.TechAffin AS DOUBLE) AS TechAffin,
+  round(CAST(format('{:.2f}', f.Depotwert) AS DOUBLE), 2) AS Depotwert, round(CAST(format('{:.2f}', f.Cash_abs) AS DOUBLE), 2) AS Cash_text,
+  'Gruppe ' || f.Depotnummer AS Gruppe, e.label_invest_T7,
+  CAST(date_diff('day', f.Letzter_Kauf, f.Score_Datum) AS DOUBLE) AS days_since_last_buy
+FROM feat f JOIN eb e ON e.Depotnummer = f.Depotnummer AND e.Score_Datum = f.Score_Datum
+WHERE f.Score_Datum BETWEEN DATE '2001-06-01' AND DATE '2001-07-31'"""),
         "class_weights": _sql((7,), (SPLIT,), f"SELECT horizon, pos, neg, round(neg / pos, 6) AS scale_pos_weight "
                                               f"FROM ({weights})"),
         "upsert_predictions": _sql((7,), (CALIB, """

@@ -54,11 +54,11 @@ SELECT Score_Datum AS Log_Datum, Agg_Rows, Rowcount_Prev, round(Rowcount_Delta_P
   round(P50_InvestScore, 6) AS P50_InvestScore, round(P80_InvestScore, 6) AS P80_InvestScore,
   round(P50_InvestScore_Prev, 6) AS P50_InvestScore_Prev, round(P80_InvestScore_Prev, 6) AS P80_InvestScore_Prev,
   CAST(f_rows OR f_vol OR f_cash OR f_score AS INTEGER) AS Drift_Flag,
-  nullif(substring(concat_ws('; ',
+  nullif(concat_ws('; ',
     CASE WHEN f_rows THEN printf('Rowcount drift %.2f%% > 2.0%%', Rowcount_Delta_Pct) END,
     CASE WHEN f_vol THEN printf('P80 Vol90d drift %.1f%% > 30.0%%', vol_pct) END,
     CASE WHEN f_cash THEN printf('P80 Cashquote drift %.2f > 0.1', cash_abs) END,
-    CASE WHEN f_score THEN printf('P80 InvestScore drift %.1f%% > 25.0%%', sc_pct) END), 1, 3800), '') AS Notes
+    CASE WHEN f_score THEN printf('P80 InvestScore drift %.1f%% > 25.0%%', sc_pct) END), '') AS Notes
 FROM fl2"""
 
 FLOW_ALT = """CASE
@@ -135,6 +135,44 @@ def _parse(x: str) -> str:
             f"'\\.', '', 'g'), ',', '.') AS DOUBLE)")
 
 
+TWO_DAYS = "dates AS (SELECT DATE '2001-07-31' AS as_of UNION ALL SELECT DATE '2001-08-01')"
+
+
+def _validation_log() -> str:
+    drift = DRIFT_SELECT.replace("\n, per AS", ",\nper AS", 1)
+    head, tail = drift.split("SELECT Score_Datum AS Log_Datum", 1)
+    body = head + ", dr AS (SELECT Score_Datum AS Log_Datum" + tail + """),
+n1 AS (SELECT Score_Datum, COUNT(*) AS n FROM ready GROUP BY 1), n2 AS (SELECT Score_Datum, COUNT(*) AS n FROM gscore GROUP BY 1),
+n3 AS (SELECT Score_Datum, COUNT(*) AS n FROM seg GROUP BY 1),
+nl AS (SELECT Score_Datum, COUNT(*) AS n, COUNT(*) FILTER (WHERE Next_Action = 'Call') AS c,
+              COUNT(*) FILTER (WHERE Next_Action = 'Email') AS e FROM leads GROUP BY 1),
+cv AS (SELECT d.*, coalesce(n1.n, 0) AS IB_Rows, coalesce(n2.n, 0) AS SC_Rows, coalesce(n3.n, 0) AS SEG_Rows,
+              coalesce(nl.n, 0) AS Leads_Rows, coalesce(nl.c, 0) AS Leads_Call, coalesce(nl.e, 0) AS Leads_Email,
+              coalesce(nl.n, 0) / d.Agg_Rows * 100.0 AS rate
+       FROM dr d LEFT JOIN n1 ON n1.Score_Datum = d.Log_Datum LEFT JOIN n2 ON n2.Score_Datum = d.Log_Datum
+       LEFT JOIN n3 ON n3.Score_Datum = d.Log_Datum LEFT JOIN nl ON nl.Score_Datum = d.Log_Datum)
+SELECT * EXCLUDE (rate, Drift_Flag, Notes), round(rate, 6) AS Lead_Rate_Pct, CAST(rate < 5.0 AS INTEGER) AS Coverage_Flag,
+  greatest(Drift_Flag, CAST(rate < 5.0 AS INTEGER)) AS Drift_Flag,
+  nullif(concat_ws('; ', Notes, CASE WHEN rate < 5.0 THEN printf('Lead rate %.2f%% < 5.0%%', rate) END), '') AS Notes
+FROM cv"""
+    return _rules_sql("SELECT 1", TWO_DAYS).replace("\nSELECT 1", body)
+
+
+def _table_monitor() -> str:
+    cols = ("Einzahlung_30d", "Cashquote_true", "Depotwert", "HHI_Concentration")
+    parts = [f"SELECT Score_Datum, '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM feat" for c in cols]
+    parts.append("SELECT Score_Datum, 'InvestScore', CAST(InvestScore AS DOUBLE) FROM ready")
+    return features_sql(BACKFILL_DATES, extra_ctes=(READINESS_CTE, "lg AS (" + " UNION ALL ".join(parts) + ")", """
+m0 AS (SELECT Score_Datum, column_name, COUNT(*) AS n, AVG(v) AS mean, AVG(CAST(v IS NULL AS DOUBLE)) AS null_share
+       FROM lg GROUP BY ALL),
+m1 AS (SELECT *, median(mean) OVER (PARTITION BY column_name ORDER BY Score_Datum RANGE BETWEEN INTERVAL 14 DAYS PRECEDING
+                                    AND INTERVAL 1 DAYS PRECEDING) AS median_prev FROM m0)"""), select="""
+SELECT Score_Datum, column_name, n, round(mean, 4) AS mean, round(null_share, 4) AS null_share, round(median_prev, 4) AS median_prev,
+  CAST(coalesce(median_prev <> 0 AND abs(mean - median_prev) > 0.5 * abs(median_prev), false) AS INTEGER) AS mean_flag,
+  CAST(null_share > 0.98 AS INTEGER) AS null_flag
+FROM m1""")
+
+
 def quality_oracles() -> dict[str, str]:
     lfb = label_oracles()["label_first_buy"]
     return {
@@ -167,6 +205,8 @@ SELECT Stichtag, n, round(pos_rate_T7, 6) AS pos_rate_T7, round(pos_rate_T14, 6)
   CAST(coalesce(median_prev > 0 AND abs(pos_rate_T30 - median_prev) / median_prev > 0.5, false) AS INTEGER) AS rate_flag,
   CAST(null_share > 0.98 AS INTEGER) AS null_flag
 FROM pd1""",
+        "validation_log": _validation_log(),
+        "qc_table_monitor": _table_monitor(),
         "flow_reconcile": features_sql(extra_ctes=(RECONCILE,), select=_reconcile_select()),
         "feature_audit": features_sql(select="SELECT 1").replace("\nSELECT 1", _feature_audit()),
         "localized_numbers": with_sources(LOCAL_TEXT, select=(

@@ -188,6 +188,8 @@ def rule_oracles() -> dict[str, str]:
         "segment_counts": _rules_sql("SELECT Score_Datum, Segment, COUNT(*) AS n FROM seg GROUP BY Score_Datum, Segment"),
         "leads": _rules_sql("SELECT Depotnummer, Score_Datum, InvestScore, GeneralScore, round(CompositeScore, 6) "
                             "AS CompositeScore, Segment, Next_Action FROM leads"),
+        "leads_stored": _rules_sql("SELECT Depotnummer, Score_Datum, InvestScore, GeneralScore, round(CompositeScore, 6) "
+                                   "AS CompositeScore, Segment, Next_Action FROM leads"),
         "lead_report": _rules_sql(
             "SELECT Score_Datum, COUNT(*) AS total, COUNT(*) FILTER (WHERE Next_Action = 'Call') AS calls, "
             "COUNT(*) FILTER (WHERE Next_Action <> 'Call') AS emails, "
