@@ -35,11 +35,6 @@ def safe_div(num, den) -> Column:
     return F.when(col(den) != 0, col(num) / col(den))
 
 
-def ratio_if_positive(num, den) -> Column:
-    """``num / den`` when ``den > 0`` else NULL."""
-    return F.when(col(den) > 0, col(num) / col(den))
-
-
 def epoch_day(c) -> Column:
     """Days since 1970-01-01 as INT (a total order usable in range frames)."""
     return F.datediff(col(c), F.lit("1970-01-01").cast("date"))
@@ -50,10 +45,6 @@ def month_index(c) -> Column:
     return F.year(col(c)) * 12 + F.month(col(c)) - 1
 
 
-def days_between(later, earlier) -> Column:
-    return F.datediff(col(later), col(earlier))
-
-
 MONEY_SCALE = 10000  # amounts are summed in exact 1/10000 units
 
 
@@ -72,14 +63,6 @@ def from_units(c) -> Column:
     return col(c).cast("double") / MONEY_SCALE
 
 
-def r4(c) -> Column:
-    return F.round(col(c), 4)
-
-
-def r6(c) -> Column:
-    return F.round(col(c), 6)
-
-
 def half_up_decimal(c, scale: int, precision: int = 18) -> Column:
     """Round half-up to ``scale`` places as DECIMAL; NaN/inf/NULL -> 0.
 

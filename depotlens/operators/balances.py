@@ -22,7 +22,3 @@ def balance_base_at(balances: DataFrame, as_of: Column) -> DataFrame:
             .groupBy(F.col("Kontoreferenz").alias("Depotnummer"))
             .agg(F.max_by(F.col("Saldosollwert"),
                           F.struct(F.col("Datum"), F.col("Saldosollwert"))).alias("s_saldo")))
-
-
-def balance_window_columns(cum) -> list[Column]:
-    return [F.last(F.col("ev_s"), ignorenulls=True).over(cum).alias("s_saldo")]

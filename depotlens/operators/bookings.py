@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens import params as P
-from depotlens.functions.columns import epoch_day, from_units, money_units, month_index
+from depotlens.functions.columns import from_units, money_units, month_index
 from depotlens.functions.text import flow_class, is_internal
 
 BASE_COLUMNS = ("b_in30", "b_out30", "b_in90", "b_out90", "b_plan_months", "b_strength",
@@ -84,36 +84,3 @@ def booking_day_rows(bookings: DataFrame, fp: P.FeatureParams) -> DataFrame:
                  F.max(is_in & small).alias("ev_b_small_in"),
                  F.max(small).alias("ev_b_small"),
                  F.max(amt != 0).alias("ev_b_nz")))
-
-
-def booking_window_columns(cum, w30, w90, w190, as_of: Column, e_as_of: Column) -> list[Column]:
-    is_row = F.col("ev_b_nz").isNotNull()
-    recent = F.collect_list(F.when(is_row, F.struct(
-        F.col("e").alias("e"), F.col("m").alias("m"), F.col("ev_b_in").alias("amt"),
-        F.col("ev_b_has_in").alias("has_in"), F.col("ev_b_small_in").alias("small_in"),
-        F.col("ev_b_small").alias("small")))).over(w190)
-    m_as_of = month_index(as_of)
-    lower180 = e_as_of - 180
-    lower6 = epoch_day(F.add_months(as_of, -6))
-
-    plan = F.filter(recent, lambda x: x["small_in"] & (x["e"] >= lower180) & (x["m"] >= m_as_of - 3))
-    strength = F.filter(recent, lambda x: x["small"] & (x["e"] >= lower6))
-    deposits = F.filter(recent, lambda x: x["has_in"] & (x["e"] >= lower180))
-    months = F.array_distinct(F.transform(deposits, lambda x: x["m"]))
-    sums = F.transform(months, lambda mm: F.aggregate(
-        F.filter(deposits, lambda x: x["m"] == mm), F.lit(0).cast("bigint"),
-        lambda acc, x: acc + F.coalesce(x["amt"], F.lit(0).cast("bigint"))) / 10000.0)
-    n = F.size(sums)
-    mean = F.aggregate(sums, F.lit(0.0), lambda acc, s: acc + s) / n
-    var = F.aggregate(sums, F.lit(0.0), lambda acc, s: acc + (s - mean) * (s - mean)) / (n - 1)
-    has_any = F.count(F.when(is_row, 1)).over(cum) > 0
-    return [
-        F.sum("ev_b_in").over(w30).alias("b_in30"),
-        F.sum("ev_b_out").over(w30).alias("b_out30"),
-        F.sum("ev_b_in").over(w90).alias("b_in90"),
-        F.sum("ev_b_out").over(w90).alias("b_out90"),
-        F.when(has_any, F.size(F.array_distinct(F.transform(plan, lambda x: x["m"])))).alias("b_plan_months"),
-        F.when(has_any, F.size(F.array_distinct(F.transform(strength, lambda x: x["m"])))).alias("b_strength"),
-        F.when(n >= 2, F.sqrt(var)).alias("b_dep_vol"),
-        F.max(F.when(F.col("ev_b_nz"), F.col("d"))).over(cum).alias("b_last_cf"),
-    ]

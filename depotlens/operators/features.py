@@ -17,11 +17,11 @@ null rules of the table: counts and amounts are 0 when there is nothing,
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens import params as P
-from depotlens.functions.columns import clip, epoch_day, from_units, month_index, safe_div
+from depotlens.functions.columns import clip, from_units, month_index, safe_div
 from depotlens.operators import balances as BAL
 from depotlens.operators import bookings as BK
 from depotlens.operators import orders as OR

@@ -6,9 +6,8 @@ Two physical strategies produce the same base columns:
   (depot, month) -> depot with conditional aggregates; partial aggregation
   runs map-side, so a depot with a huge share of the orders is combined
   before the shuffle.
-* ``order_day_rows`` + ``order_window_columns`` — many cut-off dates in one
-  job. Orders are reduced to one row per (depot, day); range frames over the
-  epoch day evaluate every window at the cut-off marker rows.
+* ``order_day_rows`` — many cut-off dates in one job. Orders are reduced to one
+  row per (depot, day) for the depot timeline (``operators.timeline``).
 
 Volumes are sums of ``money_units`` (exact 1/10000 units).
 Base columns (NULL when the depot has no order up to the cut-off):
@@ -22,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from depotlens import params as P
-from depotlens.functions.columns import epoch_day, money_units, month_index
+from depotlens.functions.columns import money_units, month_index
 
 BASE_COLUMNS = ("o_last_buy", "o_last_trade", "o_n", "o_vol", "o_n30", "o_vol30",
                 "o_n90", "o_vol90", "o_months", "o_act6")
@@ -71,24 +70,3 @@ def order_day_rows(orders: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("ev_o_n"),
                  F.sum(money_units(F.abs(F.col("Cashflow")))).alias("ev_o_vol"),
                  F.max(is_buy()).alias("ev_o_buy")))
-
-
-def order_window_columns(cum, w30, w90, w190, as_of: Column, e_as_of: Column) -> list[Column]:
-    """Window expressions evaluated at marker rows (frames end at the marker day)."""
-    has = F.col("ev_o_n").isNotNull()
-    recent = F.collect_set(F.when(has, F.struct(F.col("e").alias("e"), F.col("m").alias("m")))).over(w190)
-    lower6 = epoch_day(F.add_months(as_of, -6))
-    act6 = F.size(F.array_distinct(F.transform(F.filter(recent, lambda x: x["e"] >= lower6), lambda x: x["m"])))
-    n_all = F.sum("ev_o_n").over(cum)
-    return [
-        F.max(F.when(F.col("ev_o_buy"), F.col("d"))).over(cum).alias("o_last_buy"),
-        F.max(F.when(has, F.col("d"))).over(cum).alias("o_last_trade"),
-        n_all.alias("o_n"),
-        F.sum("ev_o_vol").over(cum).alias("o_vol"),
-        F.sum("ev_o_n").over(w30).alias("o_n30"),
-        F.sum("ev_o_vol").over(w30).alias("o_vol30"),
-        F.sum("ev_o_n").over(w90).alias("o_n90"),
-        F.sum("ev_o_vol").over(w90).alias("o_vol90"),
-        F.when(n_all.isNotNull(), F.size(F.collect_set(F.when(has, F.col("m"))).over(cum))).alias("o_months"),
-        F.when(n_all.isNotNull(), act6).alias("o_act6"),
-    ]

@@ -93,8 +93,3 @@ def position_base_at(snapshots: DataFrame, as_of: Column) -> DataFrame:
             .groupBy("Depotnummer")
             .agg(F.max_by(snapshot_struct(), F.col("Datum")).alias("p"))
             .select("Depotnummer", *[F.col("p")[c].alias(c) for c in SNAPSHOT_FIELDS]))
-
-
-def position_window_columns(cum) -> list[Column]:
-    p = F.last(F.col("ev_p"), ignorenulls=True).over(cum)
-    return [p[c].alias(c) for c in SNAPSHOT_FIELDS]

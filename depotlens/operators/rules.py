@@ -27,6 +27,17 @@ def _num(c: str, default) -> Column:
 # General score (0..100) — computed from the feature base columns
 # --------------------------------------------------------------------------
 
+def _score_points(n30: Column, n90: Column, vol90: Column, cash: Column, tech: Column, worthless: Column, inactive: Column) -> Column:
+    """The points of the general score, 0..100."""
+    raw = (F.when(n30 >= 2, 8).otherwise(0) + F.when(n90 >= 4, 6).otherwise(0)
+           + F.when(vol90 > 2000, 2).otherwise(0)
+           + F.when(cash >= 0.25, 4).otherwise(0) + F.when(cash >= 0.50, 2).otherwise(0)
+           + F.when(tech > 0, 4).otherwise(0)
+           - F.when(worthless, 5).otherwise(0) - F.when(inactive, 4).otherwise(0))
+    capped = F.when(worthless & inactive, F.least(raw, F.lit(12))).otherwise(raw)
+    return clip(capped, 0, 100).cast("bigint")
+
+
 def general_score_expr() -> Column:
     """The general score (0..100) from feature-table columns."""
     n30 = _num("Orderfrequenz_30d", 0)
@@ -36,13 +47,7 @@ def general_score_expr() -> Column:
     tech = _num("TechAffin", 0)
     wertlos = _num("Wertlos_Flag", 0) >= 1
     inactive = _num("Activity_Months_6m", 0) == 0
-    raw = (F.when(n30 >= 2, 8).otherwise(0) + F.when(n90 >= 4, 6).otherwise(0)
-           + F.when(vol90 > 2000, 2).otherwise(0)
-           + F.when(cash >= 0.25, 4).otherwise(0) + F.when(cash >= 0.50, 2).otherwise(0)
-           + F.when(tech > 0, 4).otherwise(0)
-           - F.when(wertlos, 5).otherwise(0) - F.when(inactive, 4).otherwise(0))
-    capped = F.when(wertlos & inactive, F.least(raw, F.lit(12))).otherwise(raw)
-    return clip(capped, 0, 100).cast("bigint")
+    return _score_points(n30, n90, vol90, cash, tech, wertlos, inactive)
 
 
 def general_score(base: DataFrame) -> DataFrame:
@@ -64,12 +69,6 @@ def general_score(base: DataFrame) -> DataFrame:
     tech = F.coalesce(F.col("p_tech_cnt"), F.lit(0))
     wertlos = (F.coalesce(psum, z) <= 1) & (F.coalesce(F.col("p_zero"), F.lit(0)) >= 1)
     inactive = F.coalesce(F.col("o_act6"), F.lit(0)) == 0
-    raw = (F.when(n30 >= 2, 8).otherwise(0) + F.when(n90 >= 4, 6).otherwise(0)
-           + F.when(vol90 > 2000, 2).otherwise(0)
-           + F.when(cash >= 0.25, 4).otherwise(0) + F.when(cash >= 0.50, 2).otherwise(0)
-           + F.when(tech > 0, 4).otherwise(0)
-           - F.when(wertlos, 5).otherwise(0) - F.when(inactive, 4).otherwise(0))
-    capped = F.when(wertlos & inactive, F.least(raw, F.lit(12))).otherwise(raw)
     return base.select(
         "Depotnummer",
         F.col("o_months").cast("bigint").alias("Orderfrequenz"),
@@ -77,7 +76,7 @@ def general_score(base: DataFrame) -> DataFrame:
         half_up_decimal(aktie, 6, 10).alias("Aktienquote"),
         half_up_decimal(cash, 6, 10).alias("Cashquote"),
         tech.cast("bigint").alias("TechFokus"),
-        clip(capped, 0, 100).cast("bigint").alias("Score"),
+        _score_points(n30, n90, vol90, cash, tech, wertlos, inactive).alias("Score"),
         "Score_Datum",
     )
 
