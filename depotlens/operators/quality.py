@@ -9,6 +9,8 @@ the calendar.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -248,6 +250,20 @@ def feature_audit(features: DataFrame, z: float = 3.0) -> DataFrame:
             .withColumn("duplicate_keys", dup))
 
 
+def feature_correlations(features: DataFrame, cols, min_abs: float = 0.9) -> DataFrame:
+    """Pearson correlation of every pair of ``cols`` (NULL counts as 0) and
+    whether it is high; NULL where a column is constant. One aggregation."""
+    def value(c):
+        return F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0))
+
+    pairs = list(combinations(cols, 2))
+    once = features.agg(*[F.corr(value(a), value(b)).alias(str(i)) for i, (a, b) in enumerate(pairs)])
+    rows = once.select(F.explode(F.array(*[F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(str(i)).alias("r"))
+                                           for i, (a, b) in enumerate(pairs)])).alias("x")).select("x.*")
+    r = F.when(~F.isnan("r"), F.col("r"))
+    return rows.select("column_a", "column_b", r.alias("correlation"), F.coalesce(F.abs(r) >= min_abs, F.lit(False)).cast("int").alias("high"))
+
+
 def localized_numbers(df: DataFrame, cols, min_share: float = 0.7) -> DataFrame:
     """Parse localized numeric text columns; report the parse rate per column
     and whether it reaches ``min_share`` (the column would be kept as numeric)."""

@@ -443,6 +443,14 @@ def q_feature_audit(spark, sf_dir):
     return rounded(QC.feature_audit(feats), four=("mean", "std"))
 
 
+CORRELATED = ("Orderfrequenz", "Orderfrequenz_90d", "Depotwert", "Bestandwert", "Cash_abs", "Pos_Count", "Einzahlung_90d", "Sparplan_Klein")
+
+
+def q_feature_correlations(spark, sf_dir):
+    _, feats = _daily(spark, sf_dir)
+    return rounded(QC.feature_correlations(feats, CORRELATED))
+
+
 def _localized_customers(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
     # Balances as German-formatted text ("1.234,56") next to a text column.
@@ -470,6 +478,7 @@ QUERIES.update({
     "qc_table_monitor": q_qc_table_monitor,
     "flow_reconcile": q_flow_reconcile,
     "feature_audit": q_feature_audit,
+    "feature_correlations": q_feature_correlations,
     "localized_numbers": q_localized_numbers,
     "numeric_column_coverage": q_numeric_column_coverage,
 })

@@ -77,6 +77,11 @@ def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w.parquet(path)
 
 
+def write_csv_report(df: DataFrame, path: str) -> None:
+    """A small report (diagnosis, schema differences, importances) as CSV with a header, one file, replaced on a re-run."""
+    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
 class VersionedTable:
     """A Parquet table stored as ``<root>/v=<id>`` directories plus numbered
     pointer files ``_CURRENT.<n>``: the highest number is the table. Writers add

@@ -173,6 +173,16 @@ SELECT Score_Datum, column_name, n, round(mean, 4) AS mean, round(null_share, 4)
 FROM m1""")
 
 
+def _correlations() -> str:
+    cols = ("Orderfrequenz", "Orderfrequenz_90d", "Depotwert", "Bestandwert", "Cash_abs", "Pos_Count", "Einzahlung_90d", "Sparplan_Klein")
+    val = "coalesce(CAST({} AS DOUBLE), 0.0)".format
+    return features_sql(select=" UNION ALL ".join(
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(nullif(c, 'nan'::DOUBLE), 6) AS correlation, "
+        f"CAST(coalesce(abs(nullif(c, 'nan'::DOUBLE)) >= 0.9, false) AS INTEGER) AS high "
+        f"FROM (SELECT corr({val(a)}, {val(b)}) AS c FROM feat)"
+        for i, a in enumerate(cols) for b in cols[i + 1:]))
+
+
 def quality_oracles() -> dict[str, str]:
     lfb = label_oracles()["label_first_buy"]
     return {
@@ -209,6 +219,7 @@ FROM pd1""",
         "qc_table_monitor": _table_monitor(),
         "flow_reconcile": features_sql(extra_ctes=(RECONCILE,), select=_reconcile_select()),
         "feature_audit": features_sql(select="SELECT 1").replace("\nSELECT 1", _feature_audit()),
+        "feature_correlations": _correlations(),
         "localized_numbers": with_sources(LOCAL_TEXT, select=(
             f"SELECT c_custkey, acctbal_text, {_parse('acctbal_text')} AS acctbal, "
             f"{_parse('c_name')} AS name_as_number FROM loc")),

@@ -17,7 +17,7 @@ from depotlens.operators import quality as QC
 from depotlens.operators.quantiles import exact_quantiles
 from depotlens.plans import ml as ML
 from depotlens.plans.daily import run_backfill
-from depotlens.sinks.tables import VersionedTable, append, replace_dates, replace_range
+from depotlens.sinks.tables import VersionedTable, append, replace_dates, replace_range, write_csv_report
 from depotlens.sources.catalog import SourceTables, day_load, read_tables, typed_bookings
 from tests.helpers import FILE_SCHEMA, booking, d, make_tables, one, order, position
 
@@ -114,6 +114,12 @@ def test_replace_range_and_append(spark):
     for _ in range(2):
         append(rows.limit(1), log)
     assert spark.read.parquet(log).count() == 2
+    report = os.path.join(tmpdir(), "report")
+    for _ in range(2):
+        write_csv_report(rows.select("k", "v"), report)
+    assert sorted((r["k"], r["v"]) for r in spark.read.csv(report, header=True).collect()) == [(str(i), str(i)) for i in range(1, 6)]
+    ML.write_json(spark, {"ap": 0.5, "cols": ["a", "ü"]}, os.path.join(report, "metrics"))
+    assert ML.read_json(spark, os.path.join(report, "metrics")) == {"ap": 0.5, "cols": ["a", "ü"]}
 
 
 def test_lost_pointer_is_an_error(spark):
