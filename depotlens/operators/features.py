@@ -240,6 +240,33 @@ def feature_base_multi(tables: SourceTables, dates: DataFrame, fp: P.FeaturePara
     return timeline_base(tables, depot_spine_multi(tables, dates), fp)
 
 
+def _on_file_days(df: DataFrame, days: DataFrame) -> DataFrame:
+    """Snapshot rows of the wanted days' files, dated by the file day. ``days`` is a calendar (broadcast)."""
+    files = F.broadcast(days.select(F.col("DateiID_B").alias("Datei_ID"), F.col("as_of").alias("_day")))
+    return df.join(files, "Datei_ID").withColumn("Datum", F.col("_day")).drop("_day")
+
+
+def depot_features_file_days(tables: SourceTables, days: DataFrame, fp: P.FeatureParams | None = None) -> DataFrame:
+    """Feature table for many file days in one job, each as its day load gives it.
+
+    ``days`` holds as_of and DateiID_B. Balances and positions of a day are
+    those of its snapshot file only, so a depot that has left the file has no
+    portfolio on that day; orders count from their date on (order files are
+    cumulative).
+    """
+    from depotlens.operators.timeline import timeline_base
+    fp = fp or P.FeatureParams()
+    loaded = SourceTables(tables.orders, _on_file_days(tables.balances, days), _on_file_days(tables.positions, days),
+                          tables.bookings, tables.files)
+    first = tables.orders.groupBy("Depotnummer").agg(F.min("Orderdatum").alias("first_d"))
+    calendar = F.broadcast(days.select(F.col("as_of").alias("Score_Datum")))
+    by_order = first.join(calendar, F.col("first_d") <= F.col("Score_Datum")).select("Depotnummer", "Score_Datum")
+    by_file = (loaded.positions.select(F.col("Depotreferenz").alias("Depotnummer"), F.col("Datum").alias("Score_Datum"))
+               .unionByName(loaded.balances.select(F.col("Kontoreferenz").alias("Depotnummer"), F.col("Datum").alias("Score_Datum"))))
+    markers = by_order.unionByName(by_file).distinct()
+    return finish_features(timeline_base(loaded, markers, fp, same_day_snapshots=True), fp)
+
+
 def depot_features_multi(tables: SourceTables, dates: DataFrame, fp: P.FeatureParams | None = None) -> DataFrame:
     """Feature table for every date in ``dates`` (column ``as_of``)."""
     fp = fp or P.FeatureParams()

@@ -80,9 +80,13 @@ def _month_window_rows(order_days: DataFrame, booking_days: DataFrame | None) ->
                     F.struct(F.col("mA").alias("mA"), F.col("months").alias("months")).alias("ev_mw")))
 
 
-def timeline_base(tables, markers: DataFrame, fp: P.FeatureParams) -> DataFrame:
+def timeline_base(tables, markers: DataFrame, fp: P.FeatureParams, same_day_snapshots: bool = False) -> DataFrame:
     """Base columns (``o_*``, ``b_*``, ``p_*``, ``s_saldo``) for every marker
-    row (Depotnummer, Score_Datum)."""
+    row (Depotnummer, Score_Datum).
+
+    A snapshot holds until the next one of the depot; with
+    ``same_day_snapshots`` it holds on its own date only.
+    """
     od = OR.order_day_rows(tables.orders)
     e_d = epoch_day("d")
     rows = [
@@ -129,6 +133,10 @@ def timeline_base(tables, markers: DataFrame, fp: P.FeatureParams) -> DataFrame:
     def s(c):
         return F.sum(c).over(cum)
 
+    def held(c):
+        last = F.last(c, ignorenulls=True).over(cum)
+        return F.when(F.max(F.when(F.col(c).isNotNull(), F.col("e"))).over(cum) == F.col("e"), last) if same_day_snapshots else last
+
     measured = stacked.select(
         "Depotnummer", "e", "marker",
         s("c_n").alias("o_n"), s("c_vol").alias("o_vol"),
@@ -139,8 +147,7 @@ def timeline_base(tables, markers: DataFrame, fp: P.FeatureParams) -> DataFrame:
         s("c_in30").alias("b_in30"), s("c_out30").alias("b_out30"),
         s("c_in90").alias("b_in90"), s("c_out90").alias("b_out90"),
         s("c_book").alias("n_book"), F.max("cf_e").over(cum).alias("cf_e"),
-        F.last("ev_p", ignorenulls=True).over(cum).alias("p"),
-        F.last("ev_s", ignorenulls=True).over(cum).alias("s_saldo"),
+        held("ev_p").alias("p"), held("ev_s").alias("s_saldo"),
         F.last("ev_mw", ignorenulls=True).over(cum).alias("mw"),
     ).where(F.col("marker"))
 

@@ -178,6 +178,13 @@ def q_depot_features_file_day(spark, sf_dir):
     return reduce(DataFrame.unionByName, [rounded(FE.depot_features(day_load(t, d), d, FIXTURE_FEATURES)) for d in FILE_DAYS])
 
 
+def q_depot_features_file_days(spark, sf_dir):
+    """The same file days in one job over the timeline."""
+    t = tables(spark, sf_dir)
+    days = FI.complete_days(t.files).where(F.col("Datum").isin([F.lit(d).cast("date") for d in FILE_DAYS]))
+    return rounded(FE.depot_features_file_days(t, days.select(F.col("Datum").alias("as_of"), "DateiID_B"), FIXTURE_FEATURES))
+
+
 def q_leads_stored(spark, sf_dir):
     """The leads as the daily run makes them: features joined with the stored
     readiness, score and segment tables."""
@@ -191,6 +198,7 @@ def q_leads_stored(spark, sf_dir):
 QUERIES = {
     "day_load": q_day_load,
     "depot_features_file_day": q_depot_features_file_day,
+    "depot_features_file_days": q_depot_features_file_days,
     "leads_stored": q_leads_stored,
     "depot_features": q_depot_features,
     "depot_features_backfill": q_depot_features_backfill,

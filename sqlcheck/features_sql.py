@@ -236,6 +236,7 @@ def building_block_oracles() -> dict[str, str]:
             ("positions", "cd_bestand", "Depotreferenz", "Kurswert")))
     return {
         "depot_features_file_day": file_day,
+        "depot_features_file_days": file_day,
         "day_load": load,
         "depot_spine": features_sql(select="SELECT Depotnummer, Score_Datum FROM spine"),
         "balance_last_snapshot": features_sql(select="SELECT Depotnummer, round(saldo, 6) AS s_saldo FROM sal"),

@@ -48,6 +48,18 @@ def test_sold_out_depot_has_an_empty_portfolio_on_its_file_day(spark):
     assert (got["2"]["Bestandwert"], got["2"]["Pos_Count"], got["2"]["Cash_abs"]) == (70.0, 1, 50.0)
 
 
+def test_file_days_in_one_job_equal_the_day_loads(spark):
+    files = [(12, d(DAY), "comdirect_U-1", 1), (21, d(DAY), "comdirect_B-1", 1), (11, d("2025-08-28"), "comdirect_U-0", 1), (20, d("2025-08-28"), "comdirect_B-0", 1)]
+    t = day_tables(spark, files)
+    t.orders = t.orders.where("Datei_ID <= 12")
+    t.balances, t.positions = (x.withColumn("Datum", F.when(F.col("Datei_ID") == 20, F.lit("2025-08-28").cast("date")).otherwise(F.col("Datum"))) for x in (t.balances, t.positions))
+    days = spark.createDataFrame([(d("2025-08-28"), 20), (d(DAY), 21)], "as_of date, DateiID_B long")
+    key = lambda df: sorted(map(str, df.collect()))
+    t2 = SourceTables(t.orders.withColumn("Datei_ID", F.lit(1).cast("long")), t.balances, t.positions, None, t.files)
+    single = FE.depot_features(day_load(t2, "2025-08-28"), "2025-08-28").union(FE.depot_features(day_load(t2, DAY), DAY))
+    assert key(FE.depot_features_file_days(t, days)) == key(single)
+
+
 def test_day_without_its_snapshot_file_loads_nothing(spark):
     t = day_tables(spark, [(12, d(DAY), "comdirect_U-1", 1), (21, d("2025-08-30"), "comdirect_B-1", 1)])
     loaded = day_load(t, DAY)
