@@ -26,6 +26,8 @@ from .store import mapped, small_batches, stored
 from .words import LOWER, blocks, text_bytes
 
 UNDETERMINED = "und"
+#: With more distinct lang values than this the sample's shares are joined by a shuffle.
+MAX_BROADCAST_LANGS = 10_000
 
 # Language codes by family; a code not listed is a family of its own.
 FAMILIES = {
@@ -227,9 +229,12 @@ def train_languages(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
     """Fit on about ``sample_rows`` labelled texts outside the held-out fold, evenly by language."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & (F.col("text") != "") & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), 3, 1))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    per_lang = F.lit(float(p.sample_rows)) / counts.agg(F.count("*")).first()[0] if not counts.isEmpty() else F.lit(0.0)
+    counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "langs")
+    langs = counts.count()
+    per_lang = F.lit(p.sample_rows / max(1, langs))
     shares = counts.select("lang", (F.least(F.lit(1.0), per_lang / F.col("n")) * 1_000_000).cast("long").alias("share"))
+    if langs <= MAX_BROADCAST_LANGS:  # one row a language: the texts stay where they are
+        shares = F.broadcast(shares)
     chosen = rows.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1_000_000)) < F.col("share"))
 
     def vectors(batches):
