@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from .store import stored
 
-BUCKETS = 256  # contiguous doc_id ranges that deal out the documents
+BUCKET_ROWS = 1024  # documents per contiguous doc_id range, on average
+MAX_BROADCAST_HEADS = 500_000  # with more ranges their first documents are found by a shuffle
 MAX_WEIGHT = 16
 BLOCKS = (11, 11, 11, 11, 10, 10)
 RADIUS = 3
@@ -94,23 +95,22 @@ def neighbours(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
 def _with_next(docs: DataFrame) -> DataFrame:
     """(bucket, place, doc_id, text, next_text, last): documents by ascending doc_id with the text of the next.
 
-    Documents are dealt to contiguous id ranges; each range also gets the first
-    document of the next one (``last`` marks it), the last range the first of
-    all. Rows without doc_id stand first; repeated ids follow each other.
+    Documents are dealt to contiguous id ranges of about BUCKET_ROWS documents
+    each; each range also gets the first document of the next one (``last``
+    marks it), the last range the first of all. Rows without doc_id stand
+    first; repeated ids follow each other.
     """
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / BUCKETS for i in range(1, BUCKETS)])).first()[0] or []
-    cuts = sorted(set(cuts))
-    bucket = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("doc_id"))) if cuts else F.lit(0)
-    bucket = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(bucket)
-    dealt = docs.withColumn("bucket", bucket)
-    heads = dealt.groupBy("bucket").agg(F.min("doc_id").alias("head")).where("head IS NOT NULL").collect()  # at most BUCKETS rows
-    heads = sorted((r["bucket"], r["head"]) for r in heads)
-    after = {b: heads[(i + 1) % len(heads)][1] for i, (b, _) in enumerate(heads)}
-    if not after:
-        after = {0: None}
-    follows = F.explode(F.array(*[F.struct(F.lit(b).alias("bucket"), F.lit(h).cast("long").alias("head")) for b, h in after.items()]))
-    borders = docs.sparkSession.range(1).select(follows.alias("f")).select("f.*")
-    guests = docs.join(F.broadcast(borders), F.col("doc_id") == F.col("head")).select("bucket", "doc_id", "text", F.lit(True).alias("last"))
+    least, most, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
+    shift = max(0, (((most - least) // max(n, 1) + 1) * BUCKET_ROWS).bit_length() - 1) if n else 0
+    # the halves keep the difference within 64 bits whatever the ids are
+    bucket = F.shiftright(F.shiftright("doc_id", 1) - F.lit((least or 0) >> 1), max(shift - 1, 0))
+    dealt = docs.withColumn("bucket", F.coalesce(bucket, F.lit(0).cast("long")))
+    heads = stored(dealt.where("doc_id IS NOT NULL").groupBy("bucket").agg(F.min("doc_id").alias("head")), "heads")
+    every = Window.orderBy("bucket")  # one row per BUCKET_ROWS documents
+    borders = heads.select("bucket", F.coalesce(F.lead("head").over(every), F.min("head").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("head"))
+    if heads.count() <= MAX_BROADCAST_HEADS:
+        borders = F.broadcast(borders)
+    guests = docs.join(borders, F.col("doc_id") == F.col("head")).select("bucket", "doc_id", "text", F.lit(True).alias("last"))
     rows = dealt.select("bucket", "doc_id", "text", F.lit(False).alias("last")).union(guests)
     order = Window.partitionBy("bucket").orderBy("last", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     return rows.withColumn("place", F.row_number().over(order)).withColumn("next_text", F.lead("text").over(order))
