@@ -27,6 +27,9 @@ BASE_CONF = {
 }
 
 
+_LOCAL: dict[str, str] = {}  # folders of local sessions without the setting
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "depotlens", extra: dict | None = None) -> SparkSession:
     """Return (or create) a session with the engine's base settings."""
@@ -62,9 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-    local = tempfile.mkdtemp(prefix="depotlens-store-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="depotlens-store-")
+    return _LOCAL[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:
