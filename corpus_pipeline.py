@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from depotlens.llm import decontaminate, langid, minhash, mixing, recompression
-from depotlens.llm.store import stored, table
+from depotlens.llm.store import stored, table, tidy
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,6 +72,7 @@ STAGES = [
 ORACLE_SQL = None
 
 
+@tidy
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import mapped, stored
+from .store import mapped, stored, tidy
 from .words import blocks
 
 _SPACE_POINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -189,6 +189,7 @@ def regions(texts: list[str], segments: Segments) -> list[tuple[int, int, int, i
     return out
 
 
+@tidy
 def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -> DataFrame:
     """(doc_id, item_id, n_segments, edits, ends_at) for each document and benchmark item it holds a passage of.
 
@@ -221,6 +222,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
 
         found.append(stored(mapped(docs, run, schema), "leaks"))
     every = reduce(DataFrame.union, found)
-    return every.groupBy("doc_id", "item_id").agg(
+    found = every.groupBy("doc_id", "item_id").agg(
         F.count_distinct("ends_at").alias("n_segments"), F.min("edits").alias("edits"), F.min("ends_at").alias("ends_at")
     )
+    return stored(found, "leaks")

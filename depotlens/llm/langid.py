@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
-from .store import mapped, small_batches, stored
+from .store import mapped, small_batches, stored, tidy
 from .words import LOWER, blocks, text_bytes
 
 UNDETERMINED = "und"
@@ -249,6 +249,7 @@ def train_languages(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
     return fit_languages(x, [r["lang"] for r in got], p)
 
 
+@tidy
 def identified(docs: DataFrame, p: LangParams = LangParams()) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for every row of ``docs(doc_id, text, lang)``.
 
@@ -267,6 +268,7 @@ def identified(docs: DataFrame, p: LangParams = LangParams()) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "lang_pred", "score")
 
 
+@tidy
 def accepted(docs: DataFrame, least_score: float = 0.5, p: LangParams = LangParams()) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose text has a language that is told with at least ``least_score``.
 

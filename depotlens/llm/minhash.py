@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import mapped, stored
+from .store import mapped, stored, tidy
 from .words import U, blocks, list_column, mix, ngram_hashes, signed, words_of
 
 #: Shingles of the documents that one task compares with another such block.
@@ -212,6 +212,7 @@ def _odd_links(members: DataFrame, groups: DataFrame, sets: DataFrame, p: NearPa
     return dealt.groupBy("cluster", "odd_block", "block").applyInArrow(lambda t: _links_between(t, p.similarity), "u long, v long")
 
 
+@tidy
 def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import mapped, small_batches, stored
+from .store import mapped, small_batches, stored, tidy
 from .words import U, Words, blocks, mix, ngram_hashes, words_of
 
 
@@ -151,7 +151,8 @@ def train_quality(docs: DataFrame, labels: DataFrame, p: QualityParams = Quality
     marked = marked.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     share = min(1.0, p.sample_rows / max(1, marked.count()))
     chosen = marked.where(F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1_000_000)) < int(share * 1_000_000))
-    texts = chosen.join(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(F.broadcast(chosen), "doc_id")  # about sample_rows rows
 
     def vectors(batches):
         for b in blocks(batches):
@@ -168,6 +169,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, p: QualityParams = Quality
     return fit_ftrl(vectors_, np.array([r["quality"] for r in rows], np.float64), p)
 
 
+@tidy
 def scored(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``docs(doc_id, text)``.
 

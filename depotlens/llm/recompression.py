@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import mapped, stored
+from .store import mapped, stored, tidy
 from .words import U, Words, blocks, mix, ngram_hashes, signed, words_of
 
 WINDOW = 20
@@ -200,6 +200,7 @@ def _first_in_text(row: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return first
 
 
+@tidy
 def repeated_passages(docs: DataFrame, window: int = WINDOW, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) for every row of ``docs(doc_id, text)``; with ``carry`` also kept_text and doc.
 

@@ -23,7 +23,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import stored
+from .store import stored, tidy
 
 BUCKET_ROWS = 1024  # documents per contiguous doc_id range, on average
 MAX_BROADCAST_HEADS = 500_000  # with more ranges their first documents are found by a shuffle
@@ -116,6 +116,7 @@ def _with_next(docs: DataFrame) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(order)).withColumn("next_text", F.lead("text").over(order))
 
 
+@tidy
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near) for every row of ``docs(doc_id, text)``.
 
@@ -148,4 +149,4 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     both = pairs.select("a", "b").union(pairs.select("b", "a")).toDF("f", "g")
     linked = both.join(classes.toDF("g", "others"), "g").groupBy("f").agg(F.sum("others").alias("others"))
     near = classes.join(linked, "f", "left").select("f", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_near"))
-    return own.join(near, "f").drop("f")
+    return stored(own.join(near, "f").drop("f"), "with_neighbours")

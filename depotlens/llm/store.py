@@ -11,19 +11,30 @@ import tempfile
 import uuid
 import zipfile
 from contextlib import contextmanager
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_folders: dict[str, str] = {}  # of local sessions without the setting, by application
+
+
 def shared_dir(spark: SparkSession) -> str:
+    """The shared folder as a full URI, so that Spark and the tasks' own file access mean the same place."""
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if not context.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="depotlens-llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+        if context.applicationId not in _local_folders:
+            _local_folders[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="depotlens-llm-")
+        folder = _local_folders[context.applicationId]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    if full.startswith("file:/") and not full.startswith("file://"):
+        full = "file://" + full.removeprefix("file:")
+    return full.rstrip("/")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -50,11 +61,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    if _running:
+        _running[-1].append(path)
     with small_batches(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_running: list[list[str]] = []  # the tables written by the ``tidy`` functions that are running, innermost last
+
+
+def tidy(function):
+    """For a function whose result is the last table it stores: its other tables are removed when it returns.
+
+    If it fails they stay, as do the tables of functions without this mark.
+    """
+
+    @wraps(function)
+    def run(*args, **kwargs):
+        _running.append([])
+        try:
+            result = function(*args, **kwargs)
+        finally:
+            written = _running.pop()
+        spark = result.sparkSession
+        for path in written[:-1]:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        if _running:
+            _running[-1].extend(written[-1:])
+        return result
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

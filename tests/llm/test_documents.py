@@ -124,7 +124,7 @@ def test_mixing_targets_and_copies(spark):
     for s in names:
         assert targets[s] == pytest.approx(want[s])
         assert abs(taken[s] - targets[s]) <= 130
-    again = mixing.mix_plan(docs.repartition(7)).select("doc.doc_id", "copies").where("doc_id <> 5").collect()
+    again = mixing.mix_plan(docs.repartition(7), carry=["doc_id"]).select("doc.doc_id", "copies").where("doc_id <> 5").collect()
     assert sorted((r["doc_id"] for r in again for _ in range(r["copies"]) if r["doc_id"] is not None)) == sorted(r["doc_id"] for r in plan if r["doc_id"] not in (5, None) for _ in range(r["copies"]))
     mix = mixing.mixed(docs)
     assert mix.columns == [*docs.columns, "mix"] and mix.count() == sum(r["copies"] for r in plan)
@@ -210,6 +210,17 @@ def test_empty_tables(spark):
     assert decontaminate.leaks(none, spark.createDataFrame([(1, "a" * 99)], "item_id long, text string")).count() == 0
 
 
+def test_only_the_result_table_stays(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "shared_dir", lambda _: f"file://{tmp_path}")
+    got = minhash.near_duplicates(brute.documents(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (3, "x")]))
+    assert len([p for p in tmp_path.iterdir() if p.name[0] != "."]) == 1
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
+def test_shared_folder(spark):
+    assert store.shared_dir(spark).startswith("file:///")
+
+
 def test_cluster_without_shared_folder_is_an_error():
     class Conf:
         def get(self, *_):

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from depotlens.llm import decontaminate, langid, minhash, quality, recompression
-from depotlens.llm.words import U, blocks, mix, ngram_hashes, words_of
+from depotlens.llm.words import U, blocks, mix, words_of
 
 TEXTS = ["a b  c\n", "", None, " x", "tail", "ééé A\tB\x0bC\x0cD\rE", "  ", "z", "x\u00a0y \u2003 q"]
 
