@@ -23,7 +23,7 @@ BUCKETS_PER_DOUBLING = 4096
 _ABOVE_ALL = 8_000_000  # more than 4096 * 1075, the largest |log2| of a double
 
 
-def _bucket(v: Column) -> Column:
+def monotone_bucket(v: Column) -> Column:
     """A whole number that never falls when v rises."""
     size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_DOUBLING) + _ABOVE_ALL
     return F.when(v == 0, F.lit(0).cast("bigint")).otherwise(F.when(v > 0, size).otherwise(-size).cast("bigint"))
@@ -38,7 +38,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
     counted = (df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("v"))
                .where(F.col("v").isNotNull() & ~F.isnan("v"))
                .groupBy(g, (F.col("v") + 0.0).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("b", _bucket(F.col("v"))))
+               .withColumn("b", monotone_bucket(F.col("v"))))
     whole = Window.partitionBy(g)
     before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (counted.groupBy(g, "b").agg(F.sum("n").alias("n"))

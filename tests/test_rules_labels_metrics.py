@@ -140,11 +140,11 @@ def test_sliced_rank_and_running_sum_match_windows(spark):
     rows = [(g, f"k{i}", random.randint(0, 30), random.randint(0, 1)) for g in ("a", "b") for i in range(500)]
     df = spark.createDataFrame(rows, "g string, k string, s int, y int")
     order = [F.desc("s"), F.asc("k")]
-    got = {(r["g"], r["k"]): r["rn"] for r in global_row_number(df, ["g"], order, "rn", slices=7).collect()}
+    got = {(r["g"], r["k"]): r["rn"] for r in global_row_number(df, ["g"], ["-s", "k"], "rn").collect()}
     want = {(r["g"], r["k"]): r["rn"] for r in df.withColumn(
         "rn", F.row_number().over(Window.partitionBy("g").orderBy(*order))).collect()}
     assert got == want
-    rs = global_running_sum(df, ["g"], order, ["y"], slices=5)
+    rs = global_running_sum(df, ["g"], ["-s", "k"], ["y"])
     w = Window.partitionBy("g").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     want2 = {(r["g"], r["k"]): r["c"] for r in df.withColumn("c", F.sum("y").over(w)).collect()}
     assert {(r["g"], r["k"]): r["y_cum"] for r in rs.collect()} == want2
