@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .store import mapped, stored, tidy
-from .words import blocks
+from .words import blocks, texts_of
 
 _SPACE_POINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
@@ -213,7 +213,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
 
         def run(batches, index=index):
             for b in blocks(batches):
-                got = regions([t or "" for t in b.column(1).to_pylist()], index.value)
+                got = regions(texts_of(b.column(1)), index.value)
                 ids = b.column(0).take(pa.array([g[0] for g in got], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [ids, pa.array([g[1] for g in got], pa.int64()), *(pa.array([g[n] for g in got], pa.int32()) for n in (2, 3, 4))],

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .htmlblocks import Block, leaf_blocks
 from .store import mapped, small_batches, stored
-from .words import U, blocks, words_of
+from .words import U, blocks, texts_of, words_of
 
 
 @dataclass(frozen=True)
@@ -383,7 +383,7 @@ def train_labeller(pages: DataFrame, p: ExtractParams = ExtractParams()) -> Labe
 
     def run(batches):
         for b in blocks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([t[:SAMPLE_CHARS] for t in b.column(0).to_pylist()])], ["text"])
+            yield pa.RecordBatch.from_arrays([pa.array([t[:SAMPLE_CHARS] for t in texts_of(b.column(0))])], ["text"])
 
     with small_batches(pages.sparkSession):
         sample = sorted(r[0] for r in mapped(chosen, run, "text string").collect())
@@ -418,7 +418,7 @@ def main_texts(pages: DataFrame, p: ExtractParams = ExtractParams()) -> DataFram
     def run(batches):
         reader = BlockReader(p)
         for b in blocks(batches):
-            found = [leaf_blocks(t) if t else [] for t in b.column(2).to_pylist()]
+            found = [leaf_blocks(t) if t else [] for t in texts_of(b.column(2))]
             scores = model.value.scores([reader.rows(page) for page in found])
             texts = ["\n".join(x.text for x, s in zip(page, score, strict=True) if s >= 0.5) for page, score in zip(found, scores, strict=True)]
             texts = [t.encode("utf-8", "replace").decode() for t in texts]  # &#xD800; and the like are no characters

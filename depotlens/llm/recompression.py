@@ -277,7 +277,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, carry: list[str] |
                         text = b"\n".join(raw[w.starts[p] : w.ends[q]] for p, q in zip(a, z, strict=True))
                     words = list(compress(words, mine.tolist()))
                 shas.append(hashlib.sha256(b" ".join(words)).hexdigest())
-                kept_texts.append(text.decode())
+                kept_texts.append(text.decode("utf-8", "replace") if with_text else "")
             columns = [b.column(0), pa.array(count), pa.array(removed), pa.array(shas)]
             names = ["doc_id", "n_words", "n_removed", "kept_sha256"]
             if with_text:

@@ -68,6 +68,14 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
+def texts_of(texts: pa.Array) -> list[str]:
+    """The texts as Python strings, null as empty; bytes that are no UTF-8 read as U+FFFD."""
+    try:
+        return [t or "" for t in texts.to_pylist()]
+    except UnicodeDecodeError:
+        return [(t or b"").decode("utf-8", "replace") for t in texts.cast(pa.binary()).to_pylist()]
+
+
 @dataclass
 class Words:
     """Words of a block of texts: byte ``starts``/``ends``, 64-bit ``hashes``, and ``rows[i]:rows[i + 1]`` as the words of text i."""

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from depotlens.llm import decontaminate, langid, minhash, quality, recompression
-from depotlens.llm.words import U, blocks, mix, words_of
+from depotlens.llm.words import U, blocks, mix, texts_of, words_of
 
 TEXTS = ["a b  c\n", "", None, " x", "tail", "ééé A\tB\x0bC\x0cD\rE", "  ", "z", "x\u00a0y \u2003 q"]
 
@@ -26,6 +26,11 @@ def test_words_and_hashes():
     assert (words_of(pa.array(["AB c"]), lower=True).hashes == words_of(pa.array(["ab c"])).hashes).all()
 
 
+def test_bytes_that_are_no_utf8():
+    bad = pa.array([b"ok", b"a\xff b", None], pa.binary()).view(pa.string())
+    assert texts_of(bad) == ["ok", "a\ufffd b", ""] and words_of(bad).counts.tolist() == [1, 2, 0]
+
+
 def test_blocks_keep_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["x" * (i * 7 % 40) for i in range(50)])], ["doc_id", "text"])
     got = [r for b in blocks(iter([batch, batch.slice(0, 0)]), limit=60) for r in b.column(0).to_pylist()]
