@@ -9,12 +9,13 @@ Training. Pages carry no labels, so the labeller learns from generated
 layouts (articles, menus, headers, sidebars, notices, adverts, forms,
 comments, footers in many mark-ups) filled with text of a bounded sample of
 the given pages, and from those sample pages themselves where semantic tags
-tell the article from the rest. Training runs on the driver; its size is set
-by parameters and does not grow with the input.
+tell the article from the rest. Training is one task on that sample; its size
+is set by parameters and does not grow with the input.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -375,21 +376,10 @@ def semantic_labels(page: list[Block]) -> np.ndarray | None:
     return None
 
 
-def train_labeller(pages: DataFrame, p: ExtractParams = ExtractParams()) -> Labeller:
-    """Fit on ``made_pages`` generated pages and at most about ``sample_pages`` of the given ones (chosen by a hash)."""
-    texts = pages.select(F.col("html").cast("string").alias("text")).where("text <> ''")
-    share = min(1.0, p.sample_pages / max(1, texts.count()))
-    chosen = texts.where(F.pmod(F.xxhash64("text", F.lit(p.seed)), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates()
-
-    def run(batches):
-        for b in blocks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([t[:SAMPLE_CHARS] for t in texts_of(b.column(0))])], ["text"])
-
-    with small_batches(pages.sparkSession):
-        sample = sorted(r[0] for r in mapped(chosen, run, "text string").collect())
-    rng = np.random.default_rng(p.seed)
-    real = [leaf_blocks(t) for t in sample]
-    maker = PageMaker([b.text for page in real for b in page], rng)
+def labeller_of(sample: list[str], p: ExtractParams) -> Labeller:
+    """Train on ``made_pages`` generated pages filled with the sample's text, and on the sample where tags label it."""
+    real = [leaf_blocks(t) for t in sorted(sample)]
+    maker = PageMaker([b.text for page in real for b in page], np.random.default_rng(p.seed))
     made = [leaf_blocks(maker.page()) for _ in range(p.made_pages)]
     reader = BlockReader(p)
     rows = [reader.rows(page) for page in made]
@@ -402,6 +392,21 @@ def train_labeller(pages: DataFrame, p: ExtractParams = ExtractParams()) -> Labe
     return fit_labeller(rows, labels, p)
 
 
+def train_labeller(pages: DataFrame, p: ExtractParams = ExtractParams()) -> Labeller:
+    """``labeller_of`` about ``sample_pages`` of the pages (chosen by a hash), trained in one task on that bounded sample."""
+    texts = pages.select(F.col("html").cast("string").alias("text")).where("text <> ''")
+    share = min(1.0, p.sample_pages / max(1, texts.count()))
+    chosen = texts.where(F.pmod(F.xxhash64("text", F.lit(p.seed)), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates()
+
+    def run(batches):
+        sample = [t[:SAMPLE_CHARS] for b in batches for t in texts_of(b.column(0))]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(labeller_of(sample, p).weights)], pa.binary())], ["weights"])
+
+    with small_batches(pages.sparkSession):
+        got = mapped(chosen.repartition(1), run, "weights binary").collect()
+    return Labeller(pickle.loads(got[0]["weights"]), p) if got else labeller_of([], p)
+
+
 #: Characters of a sample page that training reads (extraction reads whole pages).
 SAMPLE_CHARS = 100_000
 
