@@ -103,8 +103,8 @@ def frequencies(texts: pa.Array, bits: int) -> np.ndarray:
     return out
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, p: LangParams) -> tuple[np.ndarray, float]:
-    """Linear machine for y in {-1, 1}: hinge loss, both sides weighted alike, averaged weights of the last half."""
+def fit_svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray, scale: np.float32, p: LangParams) -> tuple[np.ndarray, float]:
+    """Linear machine on ``scale * x[rows]`` for y in {-1, 1}: hinge loss, both sides weighted alike, averaged weights of the last half."""
     rng = np.random.default_rng(p.seed)
     side = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * len(y)
     w, b = np.zeros(x.shape[1], np.float32), 0.0
@@ -115,8 +115,9 @@ def fit_svm(x: np.ndarray, y: np.ndarray, p: LangParams) -> tuple[np.ndarray, fl
         for at in range(0, len(y), p.batch):
             i = order[at : at + p.batch]
             rate = 0.5 / (1 + 5 * t / rounds)
-            off = (y[i] * (x[i] @ w + b) < 1) * side[i] * y[i] / len(i)
-            w += np.float32(rate) * (x[i].T @ off.astype(np.float32) - np.float32(p.regular) * w)
+            some = x[rows[i]] * scale
+            off = (y[i] * (some @ w + b) < 1) * side[i] * y[i] / len(i)
+            w += np.float32(rate) * (some.T @ off.astype(np.float32) - np.float32(p.regular) * w)
             b += rate * float(off.sum())
             t += 1
             if t > rounds // 2:
@@ -192,20 +193,22 @@ class LangModel:
 
 
 def fit_languages(x: np.ndarray, langs: list[str], p: LangParams) -> LangModel:
-    """Machines for the sample ``x`` (frequencies) with its languages."""
+    """Machines for the sample ``x`` (frequencies; scaled in place) with its languages."""
     if not langs:
         return LangModel([], [], np.zeros((x.shape[1], 0), np.float32), np.zeros(0), [], p)
     known = sorted(set(langs))
     label = np.array([known.index(v) for v in langs], np.int64)
     families = sorted({family_of(v) for v in known})
     family = np.array([families.index(family_of(v)) for v in known], np.int64)
-    spread = x.std(axis=0) + 1e-4  # rare slots are not blown up
-    x = (x / spread).astype(np.float32)
+    mean = x.mean(axis=0, dtype=np.float64)
+    spread = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x) / len(x) - mean**2, 0)) + 1e-4  # rare slots are not blown up
+    x /= spread.astype(np.float32)
+    norms = np.einsum("ij,ij->i", x, x)
     columns, bias, pairs = [], [], []
 
     def add(rows: np.ndarray, y: np.ndarray) -> None:
-        scale = np.float32(1 / np.sqrt((x[rows] ** 2).sum(axis=1).mean() + 1e-9))
-        w, b = fit_svm(x[rows] * scale, y, p)
+        scale = np.float32(1 / np.sqrt(norms[rows].mean() + 1e-9))
+        w, b = fit_svm(x, rows, y, scale, p)
         columns.append(w * scale / spread)
         bias.append(b)
 
@@ -245,8 +248,13 @@ def train_languages(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
     with small_batches(docs.sparkSession):
         got = mapped(chosen.select("doc_id", "text", "lang"), vectors, "doc_id long, x binary, lang string").collect()
     got.sort(key=lambda r: (r["doc_id"], r["lang"], bytes(r["x"])))
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in got]).astype(np.float32) / 1000 if got else np.zeros((0, 2 << p.bits), np.float32)
-    return fit_languages(x, [r["lang"] for r in got], p)
+    x = np.empty((len(got), 2 << p.bits), np.float32)
+    langs = [r["lang"] for r in got]
+    for i in range(len(got)):
+        x[i] = np.frombuffer(got[i]["x"], np.float16)
+        got[i] = None  # each row is held once
+    x /= 1000
+    return fit_languages(x, langs, p)
 
 
 @tidy
