@@ -277,7 +277,7 @@ def identified(docs: DataFrame, p: LangParams = LangParams()) -> DataFrame:
 
 
 @tidy
-def accepted(docs: DataFrame, least_score: float = 0.5, p: LangParams = LangParams()) -> DataFrame:
+def accepted(docs: DataFrame, least_score: float = 0.4, p: LangParams = LangParams()) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose text has a language that is told with at least ``least_score``.
 
     Texts without letters (``und``) and texts between languages go. Rows are
