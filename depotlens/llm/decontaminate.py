@@ -37,8 +37,8 @@ _SPACE_POINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *ran
 @dataclass(frozen=True)
 class LeakParams:
     q: int = 10
-    segment: int = 100
-    whole_up_to: int = 150  # items of up to this many characters are one segment
+    segment: int = 70
+    whole_up_to: int = 105  # items of up to this many characters are one segment
     edit_share: float = 0.08
     least_hits: int = 8  # every segment must show at least so many q-grams; short ones are allowed fewer edits for it
     block_chars: int = 8_000_000
