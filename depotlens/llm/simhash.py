@@ -107,7 +107,9 @@ def _with_next(docs: DataFrame) -> DataFrame:
     dealt = docs.withColumn("bucket", F.coalesce(bucket, F.lit(0).cast("long")))
     heads = stored(dealt.where("doc_id IS NOT NULL").groupBy("bucket").agg(F.min("doc_id").alias("head")), "heads")
     every = Window.orderBy("bucket")  # one row per BUCKET_ROWS documents
-    borders = heads.select("bucket", F.coalesce(F.lead("head").over(every), F.min("head").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("head"))
+    whole = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    following = F.coalesce(F.lead("head").over(every), F.min("head").over(whole))
+    borders = heads.select("bucket", following.alias("head"))
     if heads.count() <= MAX_BROADCAST_HEADS:
         borders = F.broadcast(borders)
     guests = docs.join(borders, F.col("doc_id") == F.col("head")).select("bucket", "doc_id", "text", F.lit(True).alias("last"))
@@ -127,8 +129,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = _with_next(docs).withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
-    head = F.coalesce(F.expr("substring(next_text, 1, cast(floor(n_chars / 4) AS int))"), F.lit(""))
-    rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, cast(n_chars AS int) - cast(floor(n_chars / 4) AS int))"), F.when(cut > 0, head).otherwise(F.lit(""))))
+    rows = rows.withColumn("cut", cut)
+    head = F.coalesce(F.expr("substring(next_text, 1, cut)"), F.lit(""))
+    kept = F.expr("substring(text, 1, cast(n_chars AS int) - cut)")
+    rows = rows.withColumn("edited", F.concat(kept, F.when(F.col("cut") > 0, head).otherwise(F.lit(""))))
     rows = rows.withColumn("sha", F.sha2(F.encode("edited", "UTF-8"), 256))
     versions = F.when(F.col("last"), F.array("text")).otherwise(F.array("text", "edited"))
     versions = rows.select("bucket", "place", "last", "doc_id", "n_chars", "sha", F.posexplode(versions).alias("version", "text"))
