@@ -71,24 +71,37 @@ def source_targets(sizes: DataFrame, p: MixParams) -> DataFrame:
     )
 
 
-def mix_plan(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
+def mix_plan(docs: DataFrame, p: MixParams = MixParams(), carry: list[str] | None = None) -> DataFrame:
     """One row per row of ``docs``: (doc, size, source_size, target, copies, taken).
 
-    ``doc`` is a struct of all its columns, so their names cannot clash. Null
-    texts have size 0; a null source is a source of its own; rows with a null
-    doc_id stand after the others of their size; rows that repeat a doc_id are
-    counted each, in no defined order among themselves.
+    ``doc`` is a struct of the columns named in ``carry`` (all by default), so
+    their names cannot clash; without the text, texts are read once and only
+    sizes move. Null texts have size 0; a null source is a source of its own;
+    rows with a null doc_id stand after the others of their size; rows that
+    repeat a doc_id are counted each, in no defined order among themselves.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    sized = docs.select(row, word_count(F.col("text").cast("string")).alias("size"), F.col("source").cast("string").alias("source"), F.shiftright(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), 16).alias("block"))
+    carry = docs.columns if carry is None else carry
+    row = F.struct(*[F.col(f"`{c}`") for c in carry]).alias("doc")
+    sized = docs.select(
+        row,
+        word_count(F.col("text").cast("string")).alias("size"),
+        F.col("source").cast("string").alias("source"),
+        F.shiftright(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), 16).alias("block"),
+        F.col("doc_id").cast("long").alias("id"),
+    )
+    if "text" not in carry:
+        sized = stored(sized, "sizes")
     counts = stored(sized.groupBy("source", "size", "block").agg(F.count("*").alias("n")), "mix_blocks")
     by_size = counts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     totals = by_size.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
     targets = source_targets(totals, p)
-    smaller = F.coalesce(F.sum("n").over(Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    by_size = by_size.select("source", "size", smaller.alias("smaller"))
-    blocks_before = F.coalesce(F.sum("n").over(Window.partitionBy("source", "size").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    blocks = counts.select("source", "size", "block", blocks_before.alias("before"))
+
+    def counted_before(*group: str, order: str) -> Column:
+        earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum("n").over(earlier), F.lit(0))
+
+    by_size = by_size.select("source", "size", counted_before("source", order="size").alias("smaller"))
+    blocks = counts.select("source", "size", "block", counted_before("source", "size", order="block").alias("before"))
 
     places = (
         blocks.alias("b")
@@ -102,12 +115,12 @@ def mix_plan(docs: DataFrame, p: MixParams = MixParams()) -> DataFrame:
         .withColumn("offset", _offset(F.col("p_source"), p))
     )
     places = stored(places, "mix_places")
-    number = F.row_number().over(Window.partitionBy("source", "size", "block").orderBy(F.col("doc.doc_id").asc_nulls_last()))
+    number = F.row_number().over(Window.partitionBy("source", "size", "block").orderBy(F.col("id").asc_nulls_last()))
     at = F.col("before") + F.col("number")
     copies = F.floor(F.col("offset") + F.col("rate") * at) - F.floor(F.col("offset") + F.col("rate") * (at - 1))
     return (
         sized.withColumn("number", number)
-        .join(places, F.expr("source <=> p_source AND size = p_size AND block = p_block"))
+        .join(places.hint("merge"), F.expr("source <=> p_source AND size = p_size AND block = p_block"))
         .withColumn("copies", copies.cast("long"))
         .select("doc", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )

@@ -24,8 +24,8 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix_plan(docs).select("doc.doc_id", "size", "source_size", "target", "copies", "taken")
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix_plan(docs, carry=["doc_id"]).select("doc.doc_id", "size", "source_size", "target", "copies", "taken")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
