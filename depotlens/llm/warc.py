@@ -35,6 +35,7 @@ class WarcParams:
     archive_bytes: int = 1 << 30  # a task begins another file beyond this size
     gap_bytes: int = 64 << 10  # unselected bytes that are read over rather than skipped
     range_bytes: int = 8 << 20  # most bytes of one request, unless one record is longer
+    task_bytes: int = 32 << 20  # archive bytes that one reading task takes, about
     least_payload: int = 0  # payloads of fewer bytes are never revisits
     date: str = "1970-01-01T00:00:00Z"
     level: int = 4
@@ -91,8 +92,8 @@ def write_archives(pages: DataFrame, p: WarcParams = WarcParams()) -> DataFrame:
     spark = pages.sparkSession
     folder = new_path(spark, "warc")
     own = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")
-    ).withColumn("sha", F.sha1(F.col("html").cast("binary")))
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("html")
+    ).withColumn("sha", F.sha1("html"))
     long_enough = F.octet_length("html") >= p.least_payload
     firsts = stored(own.where(long_enough).groupBy("sha").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1").select("sha", "first_id"), "payloads")
     typed = own.join(firsts, "sha", "left").select("page_id", "url", "html", "first_id")
@@ -104,13 +105,12 @@ def write_archives(pages: DataFrame, p: WarcParams = WarcParams()) -> DataFrame:
         try:
             for batch in batches:
                 rows = []
-                for page_id, url, html, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for page_id, url, payload, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     if out is None or at >= p.archive_bytes:
                         if out is not None:
                             out.close()
                         name, at = f"{where}/{uuid.uuid4().hex}.warc.gz", 0
                         out = files.open_output_stream(name, compression=None)
-                    payload = html.encode("utf-8", "surrogatepass")
                     digest = digest_of(payload)
                     revisit = first is not None and first != page_id
                     pack = zlib.compressobj(p.level, zlib.DEFLATED, 31)
@@ -137,7 +137,9 @@ def read_records(index: DataFrame, p: WarcParams = WarcParams(), with_payload: b
     """
     folder = new_path(index.sparkSession, "any")
     schema = "page_id long, url string, record_type string, digest string, payload_bytes long, refers_to long" + ", payload binary" * with_payload
-    rows = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(index.sparkSession.sparkContext.defaultParallelism, -(-total // p.task_bytes))  # by archive bytes: index rows are small
+    rows = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset")
 
     def run(batches):
         files, _ = fs.FileSystem.from_uri(folder)
