@@ -1,18 +1,21 @@
 """Benchmark passages in documents: q-gram lemma filter, then banded alignment.
 
 Texts are compared lower-cased with every stretch of white space as one space.
-A benchmark item is cut into segments (one if it is short, else overlapping
-ones of ``segment`` characters), so a document that holds only part of an
-item is found once it holds a whole segment. A segment of m characters may
-differ by k = m / 10 edits (insertions, deletions, substitutions).
-
-Filter (q-gram lemma): within k edits a segment shares at least
-m - q + 1 - k * q of its q-grams with the passage, all on diagonals (document
-position minus segment position) at most k apart. Shared q-grams are counted
-in diagonal bands that overlap by half, each at least 2 * k + 1 wide, so one
-band holds all of them; bands that reach the bound are kept.
-Verification: the segment is aligned to the document within the band (free
-ends in the document); a region stays if its edit distance is at most k.
+A document holds a passage of an item if it holds, within the edits that
+``LeakParams.budget`` allows for the length (insertions, deletions,
+substitutions), the whole item or any ``windows`` (60, 70) consecutive
+characters of it, wherever in the item they start. Items too short for any
+q-gram bound (under 17 characters) must stand verbatim as whole words.
+
+Filter (q-gram lemma): within k edits a stretch of m characters shares at
+least m - q + 1 - k * q of its q-grams with the passage, all on diagonals
+(document position minus item position) at most k apart. The q-grams of whole
+items are indexed once. Shared q-grams are counted in diagonal bands that
+overlap by half, each at least 2 * k + 1 wide, so one band holds all of them;
+within the bands that reach the bound, only the windows that reach it go on.
+Verification: an unbroken run of shared q-grams on one diagonal is a verbatim
+passage; all else is aligned to the document within the band (free ends in
+the document) and stays if its edit distance is at most k.
 
 The benchmark is read in blocks of at most ``block_chars`` characters; every
 block is searched for in all documents. Documents are never shuffled.
@@ -37,10 +40,9 @@ _SPACE_POINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *ran
 @dataclass(frozen=True)
 class LeakParams:
     q: int = 10
-    segment: int = 70
-    whole_up_to: int = 105  # items of up to this many characters are one segment
+    windows: tuple[int, ...] = (60, 70)  # any so many consecutive characters of an item are a passage; ascending
     edit_share: float = 0.08
-    least_hits: int = 8  # every segment must show at least so many q-grams; short ones are allowed fewer edits for it
+    least_hits: int = 8  # every stretch must show at least so many q-grams; short ones are allowed fewer edits for it
     block_chars: int = 8_000_000
 
     def budget(self, m: int) -> int:
@@ -80,30 +82,31 @@ def _grams(points: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
+def _brief(items: list[tuple[int, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(hashes, item ids, code points by row) of short items, one entry per length, ascending hashes."""
+    out = []
+    for n in sorted({len(t) for _, t in items}):
+        rows = [(item, t) for item, t in items if len(t) == n]
+        points = np.stack([t for _, t in rows])
+        hashes = np.concatenate([_grams(t, n) for t in points])
+        order = np.argsort(hashes, kind="stable")
+        out.append((hashes[order], np.array([item for item, _ in rows], np.int64)[order], points[order]))
+    return out
+
+
 class Segments:
-    """The segments of a block of items and the index of their q-grams."""
+    """The items of a block, whole, and the index of their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]], p: LeakParams):
         self.p = p
-        parts, self.item, self.length, self.k = [], [], [], []
         points, off = normal_points([t for _, t in items])
-        for i, (item, _) in enumerate(items):
-            text = points[off[i] : off[i + 1]]
-            n = len(text)
-            if n > p.whole_up_to:
-                starts = [*range(0, n - p.segment, p.segment // 2), n - p.segment]
-                cuts = [text[s : s + p.segment] for s in starts]
-            else:
-                cuts = [text]
-            for cut in cuts:
-                if p.budget(len(cut)) >= 0:
-                    parts.append(cut)
-                    self.item.append(item)
-                    self.length.append(len(cut))
-                    self.k.append(p.budget(len(cut)))
-        self.item = np.array(self.item, np.int64)
-        self.length = np.array(self.length, np.int64)
-        self.k = np.array(self.k, np.int64)
+        texts = [(item, points[off[i] : off[i + 1]]) for i, (item, _) in enumerate(items)]
+        self.brief = _brief([(item, t) for item, t in texts if len(t) and p.budget(len(t)) < 0])
+        texts = [(item, t) for item, t in texts if p.budget(len(t)) >= 0]
+        parts = [t for _, t in texts]
+        self.item = np.array([item for item, _ in texts], np.int64)
+        self.length = np.array([len(t) for t in parts], np.int64)
+        self.k = np.array([p.budget(len(t)) for t in parts], np.int64)
         self.need = self.length - p.q + 1 - self.k * p.q
         self.begin = np.concatenate([[0], np.cumsum(self.length)]).astype(np.int64)
         self.points = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
@@ -132,61 +135,158 @@ class Segments:
         return np.repeat(at, count), self.segment[which], self.place[which]
 
 
-def _aligned(points: np.ndarray, begin: np.ndarray, end: np.ndarray, low: np.ndarray, width: int, segment: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(edit distance, end position) of one segment against several document bands.
+def _aligned(points: np.ndarray, begin: np.ndarray, end: np.ndarray, low: np.ndarray, width: int, stretch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(edit distance, end position) of each row of ``stretch`` against its document band.
 
-    Row i of the table holds the cells (segment position i, document position
+    Row i of the table holds the cells (stretch position i, document position
     i + low + c), c < width; alignments start and end anywhere in the document.
     """
-    c = np.arange(width)
+    c = np.arange(width, dtype=np.int32)
     cost = np.zeros((len(low), width), np.int32)  # before the first character
-    for i, point in enumerate(segment):
-        at = (low + i)[:, None] + c
-        outside = (at < begin[:, None]) | (at >= end[:, None])
-        same = (points[np.clip(at, 0, len(points) - 1)] == point) & ~outside
-        step = cost + ~same
+    m = stretch.shape[1]
+    at = low[:, None] + np.arange(width + m)
+    known = np.where((at >= begin[:, None]) & (at < end[:, None]), points[np.clip(at, 0, len(points) - 1)].astype(np.int64), -1)
+    for i in range(m):
+        step = cost + (known[:, i : i + width] != stretch[:, i : i + 1])
         step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
         cost = np.minimum.accumulate(step - c, axis=1) + c
     best = cost.argmin(axis=1)
-    return cost[np.arange(len(low)), best], low + len(segment) + best
+    return cost[np.arange(len(low)), best], low + m + best
+
+
+def _verbatim(seg, text, at, place, least: int, q: int):
+    """(item number, text, begin, end, 0 edits) of the runs of at least ``least`` q-grams on a diagonal, and which hits lie in none."""
+    order = np.lexsort((place, at - place, text, seg))
+    s, t, a, x = seg[order], text[order], at[order], place[order]
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1]) | (x[1:] != x[:-1] + 1) | (a[1:] != a[:-1] + 1)
+    start = np.flatnonzero(new)
+    size = np.diff(np.append(start, len(s)))
+    long = size >= least
+    rest = np.ones(len(s), bool)
+    rest[order] = ~np.repeat(long, size)
+    start, size = start[long], size[long]
+    return [s[start], t[start], a[start], a[start] + size - 1 + q, np.zeros(len(start), np.int64)], rest
+
+
+def _bands(seg, text, diagonal, half, n_texts: int, need):
+    """(key by hit and band, kept keys, and their item number, text and band); band b covers the diagonals b * half .. (b + 2) * half - 1."""
+    pairs, pair = np.unique(seg * n_texts + text, return_inverse=True)
+    band = diagonal // half + (1 << 31)
+    key = np.concatenate([(pair << 32) + band, (pair << 32) + band - 1])
+    keys, count = np.unique(key, return_counts=True)
+    s, t = np.divmod(pairs[keys >> 32], n_texts)
+    kept = count >= (need[s] if isinstance(need, np.ndarray) else need)
+    return key, keys[kept], s[kept], t[kept], (keys[kept] & ((1 << 32) - 1)) - (1 << 31)
+
+
+def _windows(key, keys, place, segment_length, m: int, need: int, q: int):
+    """(kept key number, start) of the windows of m characters with at least ``need`` hit places in one band."""
+    number = np.searchsorted(keys, key)
+    number[number == len(keys)] = 0
+    ours = keys[number] == key if len(keys) else np.zeros(len(key), bool)
+    hit = np.unique((number[ours] << 32) | place[ours])
+    number, place = hit >> 32, hit & ((1 << 32) - 1)
+    a, b = np.arange(max(0, len(hit) - need + 1)), np.arange(need - 1, max(need - 1, len(hit)))
+    fits = (number[a] == number[b]) & (place[b] - place[a] <= m - q)
+    a, b = a[fits], b[fits]
+    low = np.maximum(place[b] - (m - q), 0)
+    high = np.minimum(place[a], segment_length[number[a]] - m)
+    if len(a):  # starts that the range before has had are left out
+        same = number[a[1:]] == number[a[:-1]]
+        low[1:] = np.where(same, np.maximum(low[1:], high[:-1] + 1), low[1:])
+    n = np.maximum(high - low + 1, 0)
+    return np.repeat(number[a], n), np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _checked(points, off, segments: Segments, s, t, low, start, m: int, k: int, half: int):
+    """(item number, text, begin, end, edits) of the stretches of m characters from ``start`` that stand in their band within k edits."""
+    out = [[np.zeros(0, np.int64)] * 5]
+    width = 2 * half + 2 * k
+    rows = max(1, 400_000 // (width + m))  # bounds the alignment table
+    for part in range(0, len(s), rows):
+        sl = slice(part, part + rows)
+        stretch = segments.points[(segments.begin[s[sl]] + start[sl])[:, None] + np.arange(m)].astype(np.int64)
+        edits, end = _aligned(points, off[t[sl]], off[t[sl] + 1], low[sl] - k, width, stretch)
+        good = edits <= k
+        out.append([s[sl][good], t[sl][good], end[good] - m, end[good], edits[good].astype(np.int64)])
+    return [np.concatenate(c) for c in zip(*out)]
 
 
-def regions(texts: list[str], segments: Segments) -> list[tuple[int, int, int, int, int]]:
-    """(text, item, end, edits, length) of each verified region, best per (text, item, band of the segment)."""
+def _passages(found: list[np.ndarray]) -> list[np.ndarray]:
+    """Overlapping passages of one (item number, text) as one: the smallest edits, the last end."""
+    order = np.lexsort((found[2], found[1], found[0]))
+    s, t, begin, end, edits = (c[order] for c in found)
+    if not len(s):
+        return [s, t, begin, end, edits]
+    pair = np.ones(len(s), bool)
+    pair[1:] = (s[1:] != s[:-1]) | (t[1:] != t[:-1])
+    rank = np.cumsum(pair) << 40
+    reach = np.maximum.accumulate(rank + end) - rank
+    new = pair.copy()
+    new[1:] |= begin[1:] >= reach[:-1]
+    first = np.flatnonzero(new)
+    return [s[first], t[first], begin[first], np.maximum.reduceat(end, first), np.minimum.reduceat(edits, first)]
+
+
+def _brief_regions(points: np.ndarray, off: np.ndarray, segments: Segments) -> list[tuple[int, int, int, int]]:
+    """(text, item, end, 0 edits) of short items that stand verbatim; letters and digits next to them must not continue a word."""
+    out = []
+    for hashes, items, rows in segments.brief:
+        n = rows.shape[1]
+        grams = _grams(points, n)
+        at = np.flatnonzero(np.isin(grams, hashes))
+        text = np.searchsorted(off, at, side="right") - 1
+        inside = at + n <= off[text + 1]
+        for a, t in zip(at[inside].tolist(), text[inside].tolist()):
+            before = a > off[t] and _one_word(points[a - 1], points[a])
+            after = a + n < off[t + 1] and _one_word(points[a + n - 1], points[a + n])
+            if not before and not after:
+                for r in range(np.searchsorted(hashes, grams[a]), np.searchsorted(hashes, grams[a], side="right")):
+                    if np.array_equal(rows[r], points[a : a + n]):
+                        out.append((t, int(items[r]), a + n - int(off[t]), 0))
+    return out
+
+
+def _one_word(a: int, b: int) -> bool:
+    """Two neighbours that belong to one word, in scripts that part words by spaces (below U+2E80)."""
+    return max(a, b) < 0x2E80 and chr(a).isalnum() and chr(b).isalnum()
+
+
+def regions(texts: list[str], segments: Segments) -> list[tuple[int, int, int, int]]:
+    """(text, item, end, edits) of each passage; longer windows and whole items are looked at where shorter ones show nothing."""
     p = segments.p
-    if not len(segments.grams):
-        return []
     points, off = normal_points(texts)
+    brief = _brief_regions(points, off, segments)
+    if not len(segments.grams):
+        return brief
     at, seg, place = segments.hits(_grams(points, p.q))
     text = np.searchsorted(off, at, side="right") - 1
     inside = at + p.q <= off[text + 1]
     at, seg, place, text = at[inside], seg[inside], place[inside], text[inside]
     if not len(at):
-        return []
-    half = 2 * segments.k[seg] + 1
+        return brief
+    n = len(texts)
+    found, rest = _verbatim(seg, text, at, place, min(p.windows) - p.q + 1, p.q)
     diagonal = at - off[text] - place  # may reach below the text's first position
-    # one number per (segment, text, band); band b covers the diagonals b * half .. (b + 2) * half - 1
-    first_band = -1 - int(segments.length.max())
-    pair = (seg * len(texts) + text) << 32
-    band = diagonal // half - first_band
-    keys, count = np.unique(np.concatenate([pair + band, pair + band - 1]), return_counts=True)
-    seg, text = np.divmod(keys >> 32, len(texts))
-    band = (keys & ((1 << 32) - 1)) + first_band
-    kept = count >= segments.need[seg]
-    seg, text, band = seg[kept], text[kept], band[kept]
-    out = []
-    for s in np.unique(seg):
-        mine = np.flatnonzero(seg == s)
-        k = int(segments.k[s])
-        t = text[mine]
-        low = off[t] + band[mine] * (2 * k + 1) - k
-        for part in range(0, len(mine), 512):  # bounds the alignment table
-            sl = slice(part, part + 512)
-            edits, end = _aligned(points, off[t[sl]], off[t[sl] + 1], low[sl], 2 * (2 * k + 1) + 2 * k, segments.points[segments.begin[s] : segments.begin[s + 1]])
-            for j in np.flatnonzero(edits <= k):
-                row = t[part + j]
-                out.append((int(row), int(segments.item[s]), int(end[j] - off[row]), int(edits[j]), int(segments.length[s])))
-    return out
+    half = 2 * max(map(p.budget, p.windows)) + 1
+    for m in p.windows:
+        k = p.budget(m)
+        mine = rest & (segments.length[seg] >= m)
+        if m > min(p.windows):
+            mine &= ~np.isin(seg * n + text, found[0] * n + found[1])
+        key, keys, s, t, band = _bands(seg[mine], text[mine], diagonal[mine], half, n, m - p.q + 1 - k * p.q)
+        number, start = _windows(key, keys, np.tile(place[mine], 2), segments.length[s], m, m - p.q + 1 - k * p.q, p.q)
+        more = _checked(points, off, segments, s[number], t[number], off[t[number]] + band[number] * half + start, start, m, k, half)
+        found = [np.concatenate(c) for c in zip(found, more)]
+    mine = ~np.isin(seg * n + text, found[0] * n + found[1])
+    _, _, s, t, band = _bands(seg[mine], text[mine], diagonal[mine], 2 * segments.k[seg[mine]] + 1, n, segments.need)
+    for m in np.unique(segments.length[s]).tolist():
+        of, k = segments.length[s] == m, p.budget(m)
+        more = _checked(points, off, segments, s[of], t[of], off[t[of]] + band[of] * (2 * k + 1), np.zeros(of.sum(), np.int64), m, k, 2 * k + 1)
+        found = [np.concatenate(c) for c in zip(found, more)]
+    s, t, _, end, edits = _passages(found)
+    return brief + list(zip(t.tolist(), segments.item[s].tolist(), (end - off[t]).tolist(), edits.tolist()))
 
 
 @tidy
@@ -195,9 +295,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
 
     n_segments is the number of distinct passages found, edits the smallest
     edit distance among them, ends_at the end of the first one in the
-    normalised text. Null or empty texts on either side match nothing; items
-    too short to show ``least_hits`` q-grams (17 characters) are not searched
-    for. Repeated items and documents are found each; rows that repeat a doc_id
+    normalised text; passages that overlap count as one. Null or empty texts
+    on either side match nothing; items too short to show ``least_hits``
+    q-grams (under 17 characters) are found where they stand verbatim as whole
+    words. Repeated items and documents are found each; rows that repeat a doc_id
     or item_id are reported once for the id.
     """
     spark = docs.sparkSession
@@ -205,7 +306,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
     chars = items.agg(F.sum(F.char_length("text"))).first()[0] or 0
     n_blocks = 1 + int(chars) // p.block_chars
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, item_id long, ends_at int, edits int, segment_length int"
+    schema = "doc_id long, item_id long, ends_at int, edits int"
     found = []
     for block in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()  # about block_chars characters
@@ -216,8 +317,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, p: LeakParams = LeakParams()) -
                 got = regions(texts_of(b.column(1)), index.value)
                 ids = b.column(0).take(pa.array([g[0] for g in got], pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array([g[1] for g in got], pa.int64()), *(pa.array([g[n] for g in got], pa.int32()) for n in (2, 3, 4))],
-                    ["doc_id", "item_id", "ends_at", "edits", "segment_length"],
+                    [ids, pa.array([g[1] for g in got], pa.int64()), *(pa.array([g[n] for g in got], pa.int32()) for n in (2, 3))],
+                    ["doc_id", "item_id", "ends_at", "edits"],
                 )
 
         found.append(stored(mapped(docs, run, schema), "leaks"))

@@ -115,6 +115,31 @@ def test_qgram_regions_against_edit_distance():
     assert got == set(want) and 10 < len(got) < 60
 
 
+def test_any_sixty_characters_of_an_item():
+    """Every position of a 60-character quote, also with edits; below that nothing; short items verbatim as words."""
+    rng = random.Random(5)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(44))[:233]
+    segments = decontaminate.Segments([(7, item), (8, "blue whale"), (9, "x=1"), (10, "光合作用")], decontaminate.LeakParams())
+    around = "0123456789 " * 4
+    got = decontaminate.regions([around + item[a : a + 60] + around[::-1] for a in range(174)], segments)
+    whole = [a for a in range(174) if item[a] != " " and item[a + 59] != " "]
+    assert set(whole) <= {g[0] for g in got if g[1] == 7 and g[3] == 0}
+    edited, want = [], set()
+    for n in range(80):
+        a = rng.randrange(174)
+        quote = list(item[a : a + 60])
+        for _ in range(n % 8):
+            k = rng.randrange(len(quote))
+            quote[k : k + 1] = rng.choice([[], ["9"], [quote[k], "9"]])
+        edited.append("9" * 8 + "".join(quote) + "9" * 8)
+        if any(edit_within(item[s : s + 60], edited[-1]) <= 4 for s in range(max(0, a - 4), min(174, a + 5))):
+            want.add(n)
+    assert {g[0] for g in decontaminate.regions(edited, segments)} == want and 20 < len(want) < 80
+    assert decontaminate.regions([item[90:130]], segments) == []
+    texts = ["A  Blue\nwhale.", "blue whales", "if x=1: y", "x=12", "我们说光合作用很重要", ""]
+    assert sorted((g[0], g[1]) for g in decontaminate.regions(texts, segments)) == [(0, 8), (2, 9), (4, 10)]
+
+
 def edit_within(needle, text):
     from tests.llm.brute import edit_distance_within
 
