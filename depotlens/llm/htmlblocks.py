@@ -12,6 +12,9 @@ BLOCK_TAGS = frozenset(
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html ins legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 RAW_TAGS = frozenset("button iframe math noframes noscript object script select style svg template textarea title".split())
+TO_THE_END = frozenset("iframe noframes script style textarea title".split())  # raw text: without an end tag they take the rest of the page
+ONE_OPEN = frozenset("button select".split())  # a second start tag ends the first
+HEAD_TAGS = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())  # any other tag ends the head
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPES = frozenset("ul ol dl table body html div article section main nav aside header footer form menu".split())
@@ -41,25 +44,88 @@ def _element(tag: str, attributes: str) -> tuple[tuple[str, ...], str]:
     return tuple(tokens), label
 
 
+def _tag(m: re.Match) -> tuple[str, str, str]:
+    """(slash of an end tag, lower-case name, attributes) of a token; an empty name for what is no tag."""
+    closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+    return closing, (tag or "").lower(), attributes
+
+
+def _text_end(page: str, tag: str, at: int) -> int:
+    """Where the raw text that starts at ``at`` ends, its end tag included."""
+    close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+    return len(page) if close is None else close.end()
+
+
+def _left_out(page: str) -> dict[int, int]:
+    """{end of the start tag: end of the element} of the RAW_TAGS elements that are closed before an element around them."""
+    at = 0
+    found: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: dict[str, int] = {}
+
+    def close(tag: str) -> int:
+        while True:
+            name, begin = stack.pop()
+            opened[name] -= 1
+            if name == tag:
+                return begin
+
+    while (m := _TOKEN.search(page, at)) is not None:
+        at = m.end()
+        if m[0] == "<!--":
+            end = page.find("-->", at)
+            at = len(page) if end < 0 else end + 3
+            continue
+        closing, tag, attributes = _tag(m)
+        if closing:
+            if opened.get(tag):
+                begin = close(tag)
+                if tag in RAW_TAGS:
+                    found[begin] = at
+        elif tag and tag not in VOID_TAGS and not attributes.endswith("/"):
+            if tag in TO_THE_END:
+                at = _text_end(page, tag, at)
+                continue
+            if tag in ONE_OPEN and opened.get(tag):
+                close(tag)
+            stack.append((tag, at))
+            opened[tag] = opened.get(tag, 0) + 1
+    return found
+
+
 def leaf_blocks(page: str) -> list[Block]:
-    """The non-empty text blocks of a page in order; scripts, styles, form controls, comments and the head are left out."""
+    """The non-empty text blocks of a page in order; scripts, styles, form controls, comments and the head are left out.
+
+    The head ends at its end tag, at the first tag that cannot stand in it or at text. A form control, image or template that
+    is not closed before an element around it loses its tag only.
+    """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...], str]] = []
     pieces: list[str] = []
     linked = total = links = 0
+    left_out: dict[int, int] | None = None
+    in_head = False
 
     def flush() -> None:
         nonlocal linked, total
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
-            if text and not any(tag == "head" for tag, _, _ in stack):
+            if text:
                 label = next((x for _, _, x in reversed(stack) if x), "")
                 out.append(Block(text, tuple(e for _, e, _ in stack), linked / max(total, 1), label))
         linked = total = 0
 
+    def end_head() -> None:
+        nonlocal in_head
+        if in_head:
+            stack[:] = [e for e in stack if e[0] != "head"]
+            in_head = False
+
     def add(text: str) -> None:
         nonlocal linked, total
+        if not text.isspace():
+            end_head()
         pieces.append(text)
         n = len(text.strip())
         total += n
@@ -79,18 +145,23 @@ def leaf_blocks(page: str) -> list[Block]:
             close = page.find("-->", at)
             at = end if close < 0 else close + 3
             continue
-        closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        closing, tag, attributes = _tag(m)
         if not tag:
             continue
-        tag = tag.lower()
+        if not closing and tag not in HEAD_TAGS:
+            end_head()
         if tag == "br":
             pieces.append(" ")
         elif tag == "a":
             links = 0 if closing else 1
         elif tag in RAW_TAGS:
             if not closing and not attributes.endswith("/"):
-                close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = end if close is None else close.end()
+                if tag in TO_THE_END:
+                    at = _text_end(page, tag, at)
+                else:
+                    if left_out is None:
+                        left_out = _left_out(page)
+                    at = left_out.get(at, at)
         elif tag in BLOCK_TAGS or "-" in tag:
             flush()
             if closing:
@@ -107,10 +178,9 @@ def leaf_blocks(page: str) -> list[Block]:
                         break
                     if stack[i][0] in SCOPES and stack[i][0] not in CLOSED_BY.get(tag, ()):
                         break
-                if tag == "body":  # an unclosed head ends here
-                    stack = [e for e in stack if e[0] != "head"]
                 if tag not in VOID_TAGS:
                     element, label = _element(tag, attributes)
                     stack.append((tag, element, label))
+                    in_head = in_head or tag == "head"
     flush()
     return out

@@ -50,6 +50,27 @@ def test_leaf_blocks():
     assert len(leaf_blocks("<div>" * 3000 + "x" + "<a '" * 3000)) == 1
 
 
+def test_a_block_is_left_out_and_never_the_rest_of_the_page():
+    def texts(page):
+        return [b.text for b in leaf_blocks(page)]
+
+    head = "<html><head><meta charset=x><title>t</title><noscript><p>no</p></noscript>"
+    for page in ("<article><p>one</p></article>", "<b>one</b>", "one", "<body>one", "</head>one"):
+        assert texts(head + page + "<p>two") == ["one", "two"]
+        assert not any(e[0] == "head" for b in leaf_blocks(head + page) for e in b.path)
+    for tag in ("button", "object", "select", "svg", "math", "template", "noscript"):
+        assert texts(f"<div><{tag} class=x></div><p>one</p><p>two</p>") == ["one", "two"]
+        assert texts(f"<div><{tag}></div><p>one</p><div><{tag}>no</{tag}></div><p>two") == ["one", "two"]
+        assert texts(f"<{tag}><p>one</p><{tag}>no</{tag}><p>two") == ["one", "two"]
+        assert texts(f"<div><{tag}></div><p>one</p></{tag}><p>two") == ["one", "two"]
+        assert texts(f"<p>one</p><{tag}><i>no<div>no</div><!-- </{tag}> --><script>'</{tag}>'</script></{tag}><p>two") == ["one", "two"]
+    for tag in ("object", "svg", "template"):
+        assert texts(f"one<{tag}>no<{tag}>no</{tag}>no</{tag}><p>two") == ["one", "two"]
+    for tag in ("script", "style", "textarea", "iframe", "title"):
+        assert texts(f"<p>one</p><{tag}><p>no") == ["one"]
+    assert len(leaf_blocks("<svg><b>" * 20_000 + "x")) == 1
+
+
 def test_gradient_of_the_labeller():
     """Backpropagation against finite differences."""
     rng = np.random.default_rng(0)
