@@ -185,6 +185,14 @@ def q_depot_features_file_days(spark, sf_dir):
     return rounded(FE.depot_features_file_days(t, days.select(F.col("Datum").alias("as_of"), "DateiID_B"), FIXTURE_FEATURES))
 
 
+def q_depot_features_file_backfill(spark, sf_dir):
+    """The backfill by file: every complete day of the 24 months, each with the snapshots of its own file, in one job."""
+    t = tables(spark, sf_dir)
+    days = FI.complete_days(t.files).select(F.col("Datum").alias("as_of"), "DateiID_B")
+    days = materialize(days.join(FI.backfill_dates(t.files, months=24), "as_of", "left_semi"))  # a calendar; the plan reads it many times
+    return rounded(FE.depot_features_file_days(t, days, FIXTURE_FEATURES))
+
+
 def q_leads_stored(spark, sf_dir):
     """The leads as the daily run makes them: features joined with the stored
     readiness, score and segment tables."""
@@ -199,6 +207,7 @@ QUERIES = {
     "day_load": q_day_load,
     "depot_features_file_day": q_depot_features_file_day,
     "depot_features_file_days": q_depot_features_file_days,
+    "depot_features_file_backfill": q_depot_features_file_backfill,
     "leads_stored": q_leads_stored,
     "depot_features": q_depot_features,
     "depot_features_backfill": q_depot_features_backfill,

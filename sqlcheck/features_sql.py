@@ -38,6 +38,15 @@ dates AS (
     ON c.Datum >= CAST(x.e - INTERVAL 24 MONTH AS DATE) AND c.Datum <= x.e)"""
 
 
+# The same days with the id of the day's snapshot file (highest check digit, then highest id).
+BACKFILL_FILE_DAYS = """
+end_day AS (SELECT MAX(Datum) AS e FROM cd_datei WHERE Pruefziffer > 0),
+dates AS (
+  SELECT Datum AS as_of, arg_max(DateiID, (Pruefziffer, DateiID)) FILTER (WHERE DateiName LIKE 'comdirect_B-%') AS b
+  FROM cd_datei, end_day WHERE Datum >= CAST(e - INTERVAL 24 MONTH AS DATE) AND Datum <= e GROUP BY Datum
+  HAVING bool_or(DateiName LIKE 'comdirect_U-%') AND bool_or(DateiName LIKE 'comdirect_B-%'))"""
+
+
 def feature_base_ctes() -> list[str]:
     return [
         """bk0 AS (SELECT *, lower(coalesce(Buchungtyp, '')) AS t FROM cd_buchung WHERE Kontoreferenz IS NOT NULL)""",
@@ -218,6 +227,25 @@ def features_sql(dates_cte: str = SINGLE_DATE, select: str = FEATURE_OUTPUT, ext
     return with_sources(dates_cte, *feature_base_ctes(), *extra_ctes, select=select)
 
 
+def file_backfill_sql() -> str:
+    """``features_sql`` over the backfill days, balances and positions of a day from its snapshot file only."""
+    own = {
+        "spine": """spine AS (
+  SELECT f.Depotnummer, d.as_of AS Score_Datum
+  FROM (SELECT Depotnummer, MIN(Orderdatum) AS first_d FROM cd_order WHERE Depotnummer IS NOT NULL GROUP BY Depotnummer) f
+  JOIN dates d ON f.first_d <= d.as_of
+  UNION SELECT s.Depotreferenz, d.as_of FROM cd_bestand s JOIN dates d ON s.Datei_ID = d.b WHERE s.Depotreferenz IS NOT NULL
+  UNION SELECT s.Kontoreferenz, d.as_of FROM cd_saldo s JOIN dates d ON s.Datei_ID = d.b WHERE s.Kontoreferenz IS NOT NULL)""",
+        "snap_pick": """snap_pick AS (
+  SELECT DISTINCT d.as_of AS Score_Datum, s.Depotreferenz, s.Datum FROM cd_bestand s JOIN dates d ON s.Datei_ID = d.b)""",
+        "sal": """sal AS (
+  SELECT d.as_of AS Score_Datum, s.Kontoreferenz AS Depotnummer, MAX(coalesce(s.Saldosollwert, 0.0)) AS saldo
+  FROM cd_saldo s JOIN dates d ON s.Datei_ID = d.b GROUP BY d.as_of, s.Kontoreferenz)""",
+    }
+    ctes = [own.get(c.split(" AS ", 1)[0], c) for c in feature_base_ctes()]
+    return with_sources(BACKFILL_FILE_DAYS, *ctes, select=FEATURE_OUTPUT)
+
+
 def building_block_oracles() -> dict[str, str]:
     pos_cols = ("cnt AS p_cnt, zero AS p_zero, CAST(round(psum * 10000) AS BIGINT) AS p_sum, tech_cnt AS p_tech_cnt, "
                 "CAST(round(tech_sum * 10000) AS BIGINT) AS p_tech_sum, CAST(round(aktie_sum * 10000) AS BIGINT) "
@@ -237,6 +265,7 @@ def building_block_oracles() -> dict[str, str]:
     return {
         "depot_features_file_day": file_day,
         "depot_features_file_days": file_day,
+        "depot_features_file_backfill": file_backfill_sql(),
         "day_load": load,
         "depot_spine": features_sql(select="SELECT Depotnummer, Score_Datum FROM spine"),
         "balance_last_snapshot": features_sql(select="SELECT Depotnummer, round(saldo, 6) AS s_saldo FROM sal"),

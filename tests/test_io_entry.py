@@ -89,6 +89,17 @@ def test_queries_match_oracle_small(spark, name):
     assert a == b
 
 
+def test_backfill_by_file_covers_every_complete_day(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("no test data")
+    test_queries_match_oracle_small(spark, "depot_features_file_backfill")
+    days = {r[0] for r in E.queries()["asof_dates_complete"](spark, sf).collect()}
+    got = {r[0] for r in E.queries()["depot_features_file_backfill"](spark, sf).select("Score_Datum").distinct().collect()}
+    assert got == days and len(days) > 200
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
