@@ -550,6 +550,19 @@ def q_training_frame(spark, sf_dir):
     return rounded(ML.typed_frame(frame, named=("Depotwert", "TechAffin")), places=2)
 
 
+def q_training_frame_backfill(spark, sf_dir):
+    """All features with labels over the whole backfill, typed: two named amounts and a free one arrive as localised text."""
+    def text(c):
+        return F.translate(F.format_number(c, 2), ",.", ".,")
+
+    feats = backfill_features(spark, sf_dir)
+    columns = ML.numeric_feature_columns(feats, "label_invest_T7")
+    feats = feats.withColumns({c: text(c) for c in ("Depotwert", "Bestandwert", "Cash_abs")}).withColumn("Gruppe", F.concat(F.lit("Gruppe "), "Depotnummer"))
+    labels = eval_base(spark, sf_dir).select("Depotnummer", F.col("Score_Datum").alias("stichtag"), "label_invest_T7")
+    frame = ML.training_frame(feats, labels, "label_invest_T7", LABEL_START, LABEL_END)
+    return rounded(ML.typed_frame(frame, named=[c for c in columns if c != "Cash_abs"]))
+
+
 _MODELS: dict = {}
 
 
@@ -592,6 +605,7 @@ def q_upsert_predictions(spark, sf_dir):
 
 QUERIES.update({
     "training_frame": q_training_frame,
+    "training_frame_backfill": q_training_frame_backfill,
     "model_time_split": q_model_time_split,
     "class_weights": q_class_weights,
     "train_score_invest": q_train_score_invest,

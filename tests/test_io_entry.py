@@ -100,6 +100,20 @@ def test_backfill_by_file_covers_every_complete_day(spark):
     assert got == days and len(days) > 200
 
 
+def test_training_frame_covers_every_date_and_feature(spark):
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(sf):
+        pytest.skip("no test data")
+    test_queries_match_oracle_small(spark, "training_frame_backfill")
+    got = E.queries()["training_frame_backfill"](spark, sf)
+    features = E.queries()["depot_features_backfill"](spark, sf)
+    days = {r[0] for r in E.queries()["asof_dates_complete"](spark, sf).collect()}
+    assert {r[0] for r in got.select("Score_Datum").distinct().collect()} == days
+    assert set(features.columns) <= set(got.columns)
+    assert {t for n, t in got.dtypes if n in features.columns[3:]} == {"double"}
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
