@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, extract, langid, minhash, mixing, quality, recompression, simhash, url_rules, warc
+from . import alignment, bktree, decontaminate, extract, langid, merkle, minhash, mixing, quality, recompression, simhash, url_rules, warc
 from .store import table
 
 
@@ -52,6 +52,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bktree.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_near_dedup": op2_near_dedup,
@@ -63,12 +75,59 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_simhash_bktree": op13_simhash_bktree,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+
+
+def _merkle_sql(levels: int = 8, crown: int = 4) -> str:
+    """Trees of up to 8 ** levels leaves a language and 8 ** crown languages, level by level."""
+    text = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+    fields = " || ".join(text.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    crc = "list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda r, b: "
+    crc += "list_reduce([xor(r, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))"
+    parts = [
+        f"l AS (SELECT doc_id, lang AS k, sha256({fields} || {text.format('text')}) AS leaf, sha256({fields} || {text.format(lowered)}) AS low, "
+        f"xor({crc}, 4294967295) % 3 = 0 AS struck FROM documents)",
+        "a0 AS (SELECT doc_id, k, leaf, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p0, CASE WHEN struck THEN low ELSE leaf END AS f0, '' AS s0 FROM l)",
+        "t0 AS (SELECT k, p0 AS pos, leaf AS d FROM a0)",
+    ]
+
+    def tree(t: str, a: str, n: int) -> None:
+        for i in range(n):
+            run = "PARTITION BY k, pos // 8 ORDER BY pos ROWS BETWEEN"
+            parts.append(
+                f"{t}r{i} AS (SELECT k, pos, d, count(*) OVER (PARTITION BY k) AS n, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+                f"coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {t}{i})"
+            )
+            parts.append(f"{t}{i + 1} AS (SELECT k, pos // 8 AS pos, CASE WHEN max(n) = 1 THEN max(d) ELSE sha256(string_agg(d, '' ORDER BY pos)) END AS d FROM {t}r{i} GROUP BY 1, 2)")
+            parts.append(
+                f"{a}{i + 1} AS (SELECT a.* EXCLUDE (p{i}, f{i}, s{i}), a.p{i} // 8 AS p{i + 1}, CASE WHEN n = 1 THEN f{i} ELSE sha256(l || f{i} || r) END AS f{i + 1}, s{i} || l || r AS s{i + 1} "
+                f"FROM {a}{i} a JOIN {t}r{i} x ON x.k IS NOT DISTINCT FROM a.k AND x.pos = a.p{i})"
+            )
+
+    tree("t", "a", levels)
+    parts.append(f"s AS (SELECT k AS name, d AS subroot, row_number() OVER (ORDER BY k NULLS FIRST) - 1 AS p0 FROM t{levels})")
+    parts.append("u0 AS (SELECT 0 AS k, p0 AS pos, subroot AS d FROM s)")
+    parts.append(
+        f"b0 AS (SELECT a.doc_id, a.leaf, s.subroot, 0 AS k, s.p0 AS p0, a.f{levels} AS f0, a.s{levels} AS s0 FROM a{levels} a JOIN s ON s.name IS NOT DISTINCT FROM a.k)"
+    )
+    tree("u", "b", crown)
+    parts.append(f"root AS (SELECT d AS root FROM u{crown})")
+    return (
+        "WITH " + ",\n".join(parts) + f"\nSELECT doc_id, leaf, subroot, root, sha256(s{crown}) AS proof_sha256, f{crown} AS folded_root, f{crown} = root AS verified "
+        f"FROM b{crown} CROSS JOIN root"
+    )
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op2_near_dedup": f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents
