@@ -24,6 +24,7 @@ from depotlens import params as P
 from depotlens.functions.columns import clip, from_units, month_index, safe_div
 from depotlens.operators import balances as BAL
 from depotlens.operators import bookings as BK
+from depotlens.operators import files as FI
 from depotlens.operators import orders as OR
 from depotlens.operators import positions as POS
 from depotlens.sources.catalog import SourceTables
@@ -249,16 +250,18 @@ def _on_file_days(df: DataFrame, days: DataFrame) -> DataFrame:
 def depot_features_file_days(tables: SourceTables, days: DataFrame, fp: P.FeatureParams | None = None) -> DataFrame:
     """Feature table for many file days in one job, each as its day load gives it.
 
-    ``days`` holds as_of and DateiID_B. Balances and positions of a day are
-    those of its snapshot file only, so a depot that has left the file has no
-    portfolio on that day; orders count from their date on (order files are
-    cumulative).
+    ``days`` holds as_of, DateiID_U and DateiID_B. Balances and positions of a
+    day are those of its snapshot file only, so a depot that has left the file
+    has no portfolio on that day. An order has two days, its own and that of
+    the file that brought it (``files.known_from``): windows run by its own
+    day, but no date before both knows it.
     """
     from depotlens.operators.timeline import timeline_base
     fp = fp or P.FeatureParams()
-    loaded = SourceTables(tables.orders, _on_file_days(tables.balances, days), _on_file_days(tables.positions, days),
+    orders = FI.known_from(tables.orders, days)
+    loaded = SourceTables(orders, _on_file_days(tables.balances, days), _on_file_days(tables.positions, days),
                           tables.bookings, tables.files)
-    first = tables.orders.groupBy("Depotnummer").agg(F.min("Orderdatum").alias("first_d"))
+    first = orders.groupBy("Depotnummer").agg(F.min("Bekannt_ab").alias("first_d"))
     calendar = F.broadcast(days.select(F.col("as_of").alias("Score_Datum")))
     by_order = first.join(calendar, F.col("first_d") <= F.col("Score_Datum")).select("Depotnummer", "Score_Datum")
     by_file = (loaded.positions.select(F.col("Depotreferenz").alias("Depotnummer"), F.col("Datum").alias("Score_Datum"))

@@ -9,7 +9,7 @@ bounded by the number of days covered.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from depotlens import params as P
@@ -44,6 +44,31 @@ def complete_days(files: DataFrame, require_checked: bool = False) -> DataFrame:
             .where(F.col("DateiID_U").isNotNull() & F.col("DateiID_B").isNotNull()))
 
 
+def known_from(orders: DataFrame, days: DataFrame) -> DataFrame:
+    """Orders with ``Bekannt_ab``: the first of the wanted file days that knows them.
+
+    A day (``as_of``, ``DateiID_U``) knows the orders dated up to it whose file
+    id is at most the day's order file's, so an order delivered late is known
+    from the later of its own day and its file's. Orders that no wanted day's
+    file holds, or without a file id, are left out. File ids must rise with the
+    days: a calendar where they fall stops the job, because a day would then
+    lose orders that an earlier day had.
+
+    Ids and days are calendars (a row per file and day at most): one window
+    over them finds the days, and the result is broadcast to the orders.
+    """
+    ids = orders.select("Datei_ID").where(F.col("Datei_ID").isNotNull()).distinct()
+    both = (days.select(F.col("DateiID_U").alias("Datei_ID"), F.col("as_of").alias("day"))
+            .unionByName(ids.withColumn("day", F.lit(None).cast("date"))))
+    at_or_after = Window.orderBy(F.col("Datei_ID").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.min("day").over(at_or_after)
+    fallen = F.raise_error(F.lit("order file ids do not rise with the days")).cast("date")
+    found = (both.select("Datei_ID", "day", F.when(F.col("day") > first, fallen).otherwise(first).alias("Datei_Tag"))
+             .where(F.col("Datei_Tag").isNotNull()).groupBy("Datei_ID").agg(F.min("Datei_Tag").alias("Datei_Tag")))
+    return (orders.join(F.broadcast(found), "Datei_ID")
+            .withColumn("Bekannt_ab", F.greatest("Orderdatum", "Datei_Tag")).drop("Datei_Tag"))
+
+
 def last_checked_day(files: DataFrame) -> F.Column:
     """Scalar subquery: the latest day with a checked file (Pruefziffer > 0)."""
     return files.where(F.col("Pruefziffer") > 0).select(F.max("Datum")).scalar()

@@ -64,9 +64,12 @@ def order_base_at(orders: DataFrame, as_of: Column) -> DataFrame:
 
 
 def order_day_rows(orders: DataFrame) -> DataFrame:
-    """One row per (depot, order day) for the multi-date window stage."""
+    """One row per (depot, order day) for the multi-date window stage; if the
+    orders carry the day from which they are known (``Bekannt_ab``), one row
+    per (depot, order day, known day) with it as ``s``."""
     d = F.col("Orderdatum")
-    return (orders.groupBy(F.col("Depotnummer"), d.alias("d"))
+    known = [F.col("Bekannt_ab").alias("s")] if "Bekannt_ab" in orders.columns else []
+    return (orders.groupBy(F.col("Depotnummer"), d.alias("d"), *known)
             .agg(F.count(F.lit(1)).alias("ev_o_n"),
                  F.sum(money_units(F.abs(F.col("Cashflow")))).alias("ev_o_vol"),
                  F.max(is_buy()).alias("ev_o_buy")))

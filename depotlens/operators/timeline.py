@@ -23,6 +23,11 @@ slides, so the cost stays linear in rows however many dates are requested.
   ``last(ignorenulls)`` and evaluates the exact day bounds with array
   functions over at most seven small entries.
 
+* Orders that are known later than their own day (late file deliveries) enter
+  at the day they are known from and expire by their own day; what was known
+  too late for a window never enters it. Month summaries carry the days from
+  which they are known.
+
 Per depot the timeline holds at most a few rows per day, however many raw
 rows the depot has, so a very large depot does not make a large partition.
 """
@@ -51,8 +56,16 @@ def _first_of_month_epoch(m: Column) -> Column:
 
 def _month_window_rows(order_days: DataFrame, booking_days: DataFrame | None) -> DataFrame:
     """One row per (depot, month mA) holding the summaries of months mA-6..mA."""
-    om = (order_days.groupBy("Depotnummer", month_index(F.col("d")).alias("m"))
-          .agg(F.min(epoch_day("d")).alias("o_first"), F.max(epoch_day("d")).alias("o_last")))
+    m = month_index(F.col("d"))
+    if "s" in order_days.columns:
+        # A month's last order day matters when the month is six months back; days known only after that moment are listed.
+        too_late = epoch_day("s") >= _first_of_month_epoch(m + 6)
+        om = (order_days.groupBy("Depotnummer", m.alias("m"))
+              .agg(F.min(epoch_day("s")).alias("o_first"), F.max(F.when(~too_late, epoch_day("d"))).alias("o_last"),
+                   F.collect_list(F.when(too_late, F.struct(epoch_day("d").alias("e"), epoch_day("s").alias("s")))).alias("o_late")))
+    else:
+        om = (order_days.groupBy("Depotnummer", m.alias("m"))
+              .agg(F.min(epoch_day("d")).alias("o_first"), F.max(epoch_day("d")).alias("o_last")))
     parts = [om]
     if booking_days is not None:
         bm = (booking_days.groupBy("Depotnummer", month_index(F.col("d")).alias("m"))
@@ -68,11 +81,11 @@ def _month_window_rows(order_days: DataFrame, booking_days: DataFrame | None) ->
     months = parts[0]
     for p in parts[1:]:
         months = months.unionByName(p, allowMissingColumns=True)
-    for c, t in (("s_first", "int"), ("s_last", "int"), ("si_first", "int"),
+    for c, t in (("o_late", "array<struct<e:int,s:int>>"), ("s_first", "int"), ("s_last", "int"), ("si_first", "int"),
                  ("dep_days", "array<struct<e:int,u:bigint>>"), ("dep_tot", "bigint")):
         if c not in months.columns:
             months = months.withColumn(c, F.lit(None).cast(t))
-    entry = F.struct("m", "o_first", "o_last", "s_first", "s_last", "si_first", "dep_days", "dep_tot")
+    entry = F.struct("m", "o_first", "o_last", "o_late", "s_first", "s_last", "si_first", "dep_days", "dep_tot")
     spread = months.select("Depotnummer", entry.alias("x"),
                            F.explode(F.sequence(F.col("m"), F.col("m") + 6)).alias("mA"))
     return (spread.groupBy("Depotnummer", "mA").agg(F.collect_list("x").alias("months"))
@@ -89,18 +102,27 @@ def timeline_base(tables, markers: DataFrame, fp: P.FeatureParams, same_day_snap
     """
     od = OR.order_day_rows(tables.orders)
     e_d = epoch_day("d")
+    late = "s" in od.columns
+    e_s = epoch_day("s") if late else e_d  # the day an order is known from
+
+    def still_in(days: int, c: str) -> Column:
+        return F.when(e_s <= e_d + days, F.col(c)) if late else F.col(c)
+
+    def expiring(days: int) -> DataFrame:
+        return od.where(e_s <= e_d + days) if late else od
+
     rows = [
-        od.select("Depotnummer", e_d.alias("e"), F.col("ev_o_n").alias("c_n"), F.col("ev_o_vol").alias("c_vol"),
-                  F.col("ev_o_n").alias("c_n30"), F.col("ev_o_vol").alias("c_vol30"),
-                  F.col("ev_o_n").alias("c_n90"), F.col("ev_o_vol").alias("c_vol90"),
+        od.select("Depotnummer", e_s.alias("e"), F.col("ev_o_n").alias("c_n"), F.col("ev_o_vol").alias("c_vol"),
+                  still_in(30, "ev_o_n").alias("c_n30"), still_in(30, "ev_o_vol").alias("c_vol30"),
+                  still_in(90, "ev_o_n").alias("c_n90"), still_in(90, "ev_o_vol").alias("c_vol90"),
                   e_d.alias("trade_e"), F.when(F.col("ev_o_buy"), e_d).alias("buy_e")),
-        od.select("Depotnummer", (e_d + 31).alias("e"), (-F.col("ev_o_n")).alias("c_n30"),
-                  (-F.col("ev_o_vol")).alias("c_vol30")),
-        od.select("Depotnummer", (e_d + 91).alias("e"), (-F.col("ev_o_n")).alias("c_n90"),
-                  (-F.col("ev_o_vol")).alias("c_vol90")),
+        expiring(30).select("Depotnummer", (e_d + 31).alias("e"), (-F.col("ev_o_n")).alias("c_n30"),
+                            (-F.col("ev_o_vol")).alias("c_vol30")),
+        expiring(90).select("Depotnummer", (e_d + 91).alias("e"), (-F.col("ev_o_n")).alias("c_n90"),
+                            (-F.col("ev_o_vol")).alias("c_vol90")),
         # +1 on the first order day of each month -> distinct months so far.
         od.groupBy("Depotnummer", month_index(F.col("d")).alias("m"))
-          .agg(F.min(e_d).alias("e")).select("Depotnummer", "e", F.lit(1).cast("bigint").alias("c_month")),
+          .agg(F.min(e_s).alias("e")).select("Depotnummer", "e", F.lit(1).cast("bigint").alias("c_month")),
     ]
     bd = None
     if tables.bookings is not None:
@@ -157,15 +179,16 @@ def timeline_base(tables, markers: DataFrame, fp: P.FeatureParams, same_day_snap
     m_a = month_index(a_date)
     e_l6 = epoch_day(F.add_months(a_date, -6))
     months = F.when(F.col("mw.mA") == m_a, F.col("mw.months")).otherwise(F.array().cast(
-        "array<struct<m:int,o_first:int,o_last:int,s_first:int,s_last:int,si_first:int,"
+        "array<struct<m:int,o_first:int,o_last:int,o_late:array<struct<e:int,s:int>>,s_first:int,s_last:int,si_first:int,"
         "dep_days:array<struct<e:int,u:bigint>>,dep_tot:bigint>>"))
 
     def count_months(first: str, last: str, lo_offset: int, with_lower_boundary: bool) -> Column:
         def hit(x):
-            inner = x[first].isNotNull() & (
-                ((x["m"] >= m_a - lo_offset) & (x["m"] <= m_a - 1)) | ((x["m"] == m_a) & (x[first] <= e_a)))
+            inner = x[first].isNotNull() & (x["m"] >= m_a - lo_offset) & (x["m"] <= m_a) & (x[first] <= e_a)
             if with_lower_boundary:
                 inner = inner | (x[first].isNotNull() & (x["m"] == m_a - 6) & (x[last] >= e_l6))
+                if late and first == "o_first":
+                    inner = inner | ((x["m"] == m_a - 6) & F.exists(x["o_late"], lambda y: (y["e"] >= e_l6) & (y["s"] <= e_a)))
             return inner
         return F.size(F.filter(months, hit))
 

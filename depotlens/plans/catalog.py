@@ -23,8 +23,8 @@ from depotlens.operators import quality as QC
 from depotlens.plans import ml as ML
 from depotlens.operators import rules as RU
 from depotlens.session import materialize
-from depotlens.sources.catalog import SourceTables, day_load
-from depotlens.sources.fixture import CUTOFF, fixture_tables
+from depotlens.sources.catalog import SourceTables, day_load, typed_orders
+from depotlens.sources.fixture import CUTOFF, fixture_late_orders, fixture_tables
 
 FIXTURE_FEATURES = P.FeatureParams(vocab=P.FIXTURE_VOCAB)
 FOUR_PLACES = ("Deposit_Volatility_6m",)
@@ -182,15 +182,26 @@ def q_depot_features_file_days(spark, sf_dir):
     """The same file days in one job over the timeline."""
     t = tables(spark, sf_dir)
     days = FI.complete_days(t.files).where(F.col("Datum").isin([F.lit(d).cast("date") for d in FILE_DAYS]))
-    return rounded(FE.depot_features_file_days(t, days.select(F.col("Datum").alias("as_of"), "DateiID_B"), FIXTURE_FEATURES))
+    return rounded(FE.depot_features_file_days(t, days.select(F.col("Datum").alias("as_of"), "DateiID_U", "DateiID_B"), FIXTURE_FEATURES))
+
+
+def _backfill_file_days(t):
+    """The complete days of the 24 months with their files: a calendar, stored because the plan reads it many times."""
+    days = FI.complete_days(t.files).select(F.col("Datum").alias("as_of"), "DateiID_U", "DateiID_B")
+    return materialize(days.join(FI.backfill_dates(t.files, months=24), "as_of", "left_semi"))
 
 
 def q_depot_features_file_backfill(spark, sf_dir):
     """The backfill by file: every complete day of the 24 months, each with the snapshots of its own file, in one job."""
     t = tables(spark, sf_dir)
-    days = FI.complete_days(t.files).select(F.col("Datum").alias("as_of"), "DateiID_B")
-    days = materialize(days.join(FI.backfill_dates(t.files, months=24), "as_of", "left_semi"))  # a calendar; the plan reads it many times
-    return rounded(FE.depot_features_file_days(t, days, FIXTURE_FEATURES))
+    return rounded(FE.depot_features_file_days(t, _backfill_file_days(t), FIXTURE_FEATURES))
+
+
+def q_depot_features_late_files(spark, sf_dir):
+    """The same backfill where files deliver some orders days, and a few many months, late."""
+    t = tables(spark, sf_dir)
+    late = SourceTables(typed_orders(fixture_late_orders(spark, sf_dir)), t.balances, t.positions, t.bookings, t.files)
+    return rounded(FE.depot_features_file_days(late, _backfill_file_days(t), FIXTURE_FEATURES))
 
 
 def q_leads_stored(spark, sf_dir):
@@ -208,6 +219,7 @@ QUERIES = {
     "depot_features_file_day": q_depot_features_file_day,
     "depot_features_file_days": q_depot_features_file_days,
     "depot_features_file_backfill": q_depot_features_file_backfill,
+    "depot_features_late_files": q_depot_features_late_files,
     "leads_stored": q_leads_stored,
     "depot_features": q_depot_features,
     "depot_features_backfill": q_depot_features_backfill,

@@ -87,14 +87,15 @@ def run_backfill(spark: SparkSession, tables: SourceTables, out: str, months: in
                  overwrite: bool = False, fp: P.FeatureParams = P.FeatureParams(), by_file: bool = False) -> DataFrame:
     """Feature table for every complete day in the range, in one job, written
     by date partition. Returns the dates processed. ``by_file`` takes each day's
-    snapshots from its own file (as ``day_load`` does), so no depot keeps a
-    portfolio that its day's file no longer holds."""
+    snapshots from its own file and orders as far as its file has them (as
+    ``day_load`` does), so no depot keeps a portfolio that its day's file no
+    longer holds, and no day knows an order that came later."""
     dates = FI.backfill_dates(tables.files, months=months, start=start, end=end)
     if not overwrite and path_exists(spark, f"{out}/features"):
         existing = spark.read.parquet(f"{out}/features").select("Score_Datum")
         dates = FI.dates_missing_in_target(dates, existing)
     if by_file:
-        days = FI.complete_days(tables.files).select(F.col("Datum").alias("as_of"), "DateiID_B").join(dates, "as_of", "left_semi")
+        days = FI.complete_days(tables.files).select(F.col("Datum").alias("as_of"), "DateiID_U", "DateiID_B").join(dates, "as_of", "left_semi")
         feats = FE.depot_features_file_days(tables, days, fp)
     else:
         feats = FE.depot_features_multi(tables, dates, fp)

@@ -18,6 +18,7 @@ with the given tables:
   the day carry internal-transfer remarks.
 * files    <- one order file per order day (a second, higher-checked one on the
   15th), one snapshot file per order day except Sundays (unchecked on the 1st).
+* late orders <- the orders with the file id of a later day for some of them.
 
 The same derivation is written in SQL in ``sqlcheck/fixture_sql.py`` for the
 DuckDB oracle.
@@ -38,7 +39,20 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _file_of(day):
+    """Id of the order file of a day."""
+    return ((F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)) * 10 + 1).cast("bigint")
+
+
+def fixture_late_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with some delivered late: every ninth by 1 to 13 days, every 31st by 120 to 249 days."""
+    key = F.col("o_orderkey")
+    wait = F.when(key % 31 == 0, 120 + key % 130).when(key % 9 == 0, 1 + key % 13).otherwise(0)
+    return fixture_orders(spark, sf_dir, wait)
+
+
+def fixture_orders(spark: SparkSession, sf_dir: str, wait=None) -> DataFrame:
+    """``wait``: days after the order's own until the file that delivers it (0 if not given)."""
     o = _read(spark, sf_dir, "orders")
     d = F.col("o_orderdate").cast("date")
     status = F.col("o_orderstatus")
@@ -53,7 +67,7 @@ def fixture_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("o_orderpriority") == "5-LOW") & filled, F.lit(None).cast("string"))
          .otherwise(F.col("o_orderkey").cast("string")).alias("Transaktionsnummer"),
         F.when((F.col("o_orderpriority") == "1-URGENT") & filled, F.lit("Storno Kunde")).alias("Bemerkung"),
-        ((F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)) * 10 + 1).cast("bigint").alias("Datei_ID"),
+        _file_of(d if wait is None else F.date_add(d, wait.cast("int"))).alias("Datei_ID"),
     )
 
 

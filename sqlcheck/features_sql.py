@@ -8,7 +8,7 @@ aggregation (one date).
 
 from __future__ import annotations
 
-from sqlcheck.fixture_sql import ALL_SOURCES, file_day_sources, with_sources
+from sqlcheck.fixture_sql import ALL_SOURCES, CD_LATE, file_day_sources, with_sources
 
 TECH_SQL = ("(regexp_matches(coalesce(Wertpapiername, ''), '(?i)(?:^|\\b)(?:GEAR|GIZMO)(?:\\b|$)') "
             "OR (regexp_matches(coalesce(Wertpapiername, ''), '(?i)\\bsmall\\b') "
@@ -38,11 +38,12 @@ dates AS (
     ON c.Datum >= CAST(x.e - INTERVAL 24 MONTH AS DATE) AND c.Datum <= x.e)"""
 
 
-# The same days with the id of the day's snapshot file (highest check digit, then highest id).
+# The same days with the ids of the day's order and snapshot file (highest check digit, then highest id).
 BACKFILL_FILE_DAYS = """
 end_day AS (SELECT MAX(Datum) AS e FROM cd_datei WHERE Pruefziffer > 0),
 dates AS (
-  SELECT Datum AS as_of, arg_max(DateiID, (Pruefziffer, DateiID)) FILTER (WHERE DateiName LIKE 'comdirect_B-%') AS b
+  SELECT Datum AS as_of, arg_max(DateiID, (Pruefziffer, DateiID)) FILTER (WHERE DateiName LIKE 'comdirect_U-%') AS u,
+    arg_max(DateiID, (Pruefziffer, DateiID)) FILTER (WHERE DateiName LIKE 'comdirect_B-%') AS b
   FROM cd_datei, end_day WHERE Datum >= CAST(e - INTERVAL 24 MONTH AS DATE) AND Datum <= e GROUP BY Datum
   HAVING bool_or(DateiName LIKE 'comdirect_U-%') AND bool_or(DateiName LIKE 'comdirect_B-%'))"""
 
@@ -227,13 +228,12 @@ def features_sql(dates_cte: str = SINGLE_DATE, select: str = FEATURE_OUTPUT, ext
     return with_sources(dates_cte, *feature_base_ctes(), *extra_ctes, select=select)
 
 
-def file_backfill_sql() -> str:
-    """``features_sql`` over the backfill days, balances and positions of a day from its snapshot file only."""
+def file_backfill_sql(orders: str = "cd_order") -> str:
+    """``features_sql`` over the backfill days: balances and positions of a day from its snapshot file only, orders up to its order file."""
+    visible = f"{orders} o JOIN dates d ON o.Orderdatum <= d.as_of AND o.Datei_ID <= d.u"
     own = {
-        "spine": """spine AS (
-  SELECT f.Depotnummer, d.as_of AS Score_Datum
-  FROM (SELECT Depotnummer, MIN(Orderdatum) AS first_d FROM cd_order WHERE Depotnummer IS NOT NULL GROUP BY Depotnummer) f
-  JOIN dates d ON f.first_d <= d.as_of
+        "spine": f"""spine AS (
+  SELECT o.Depotnummer, d.as_of AS Score_Datum FROM {visible} WHERE o.Depotnummer IS NOT NULL
   UNION SELECT s.Depotreferenz, d.as_of FROM cd_bestand s JOIN dates d ON s.Datei_ID = d.b WHERE s.Depotreferenz IS NOT NULL
   UNION SELECT s.Kontoreferenz, d.as_of FROM cd_saldo s JOIN dates d ON s.Datei_ID = d.b WHERE s.Kontoreferenz IS NOT NULL)""",
         "snap_pick": """snap_pick AS (
@@ -243,7 +243,8 @@ def file_backfill_sql() -> str:
   FROM cd_saldo s JOIN dates d ON s.Datei_ID = d.b GROUP BY d.as_of, s.Kontoreferenz)""",
     }
     ctes = [own.get(c.split(" AS ", 1)[0], c) for c in feature_base_ctes()]
-    return with_sources(BACKFILL_FILE_DAYS, *ctes, select=FEATURE_OUTPUT)
+    ctes = [c.replace("cd_order o JOIN dates d ON o.Orderdatum <= d.as_of", visible) if c.startswith("ord AS") else c for c in ctes]
+    return with_sources(CD_LATE, BACKFILL_FILE_DAYS, *ctes, select=FEATURE_OUTPUT)
 
 
 def building_block_oracles() -> dict[str, str]:
@@ -266,6 +267,7 @@ def building_block_oracles() -> dict[str, str]:
         "depot_features_file_day": file_day,
         "depot_features_file_days": file_day,
         "depot_features_file_backfill": file_backfill_sql(),
+        "depot_features_late_files": file_backfill_sql("cd_late"),
         "day_load": load,
         "depot_spine": features_sql(select="SELECT Depotnummer, Score_Datum FROM spine"),
         "balance_last_snapshot": features_sql(select="SELECT Depotnummer, round(saldo, 6) AS s_saldo FROM sal"),

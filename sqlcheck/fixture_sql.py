@@ -18,6 +18,13 @@ cd_order AS (
          CAST((year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)) * 10 + 1 AS BIGINT) AS Datei_ID
   FROM orders)"""
 
+# Some orders with the id of a later day's file.
+_OWN_FILE = "CAST((year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)) * 10 + 1 AS BIGINT) AS Datei_ID"
+_LATE_DAY = ("(CAST(o_orderdate AS DATE) + CAST(CASE WHEN o_orderkey % 31 = 0 THEN 120 + o_orderkey % 130 "
+             "WHEN o_orderkey % 9 = 0 THEN 1 + o_orderkey % 13 ELSE 0 END AS INTEGER))")
+CD_LATE = CD_ORDER.replace("cd_order", "cd_late").replace(
+    _OWN_FILE, f"CAST((year({_LATE_DAY}) * 10000 + month({_LATE_DAY}) * 100 + day({_LATE_DAY})) * 10 + 1 AS BIGINT) AS Datei_ID")
+
 CD_SALDO = """
 cd_saldo AS (
   SELECT CAST(c_custkey AS VARCHAR) AS Kontoreferenz, DATE '2001-08-01' AS Datum, c_acctbal AS Saldosollwert,

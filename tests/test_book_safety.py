@@ -1,5 +1,6 @@
 """Day loads, damaged inputs, failing writes, stored models, ties: what must never go wrong silently."""
 
+import datetime as dt
 import glob
 import os
 import random
@@ -14,6 +15,7 @@ from depotlens.operators import features as FE
 from depotlens.operators import labels as LB
 from depotlens.operators import metrics as ME
 from depotlens.operators import quality as QC
+from depotlens.operators.files import complete_days
 from depotlens.operators.quantiles import exact_quantiles
 from depotlens.plans import ml as ML
 from depotlens.plans.daily import run_backfill
@@ -48,16 +50,57 @@ def test_sold_out_depot_has_an_empty_portfolio_on_its_file_day(spark):
     assert (got["2"]["Bestandwert"], got["2"]["Pos_Count"], got["2"]["Cash_abs"]) == (70.0, 1, 50.0)
 
 
+def late_tables(spark, rng):
+    """Orders of 14 months, some delivered days and some many months late, files every few days."""
+    days = [d("2024-01-05") + dt.timedelta(days=k) for k in range(0, 420, 7)]
+    files = [f for k, day in enumerate(days) for f in ((10 + 2 * k, day, f"comdirect_U-{k}", 1), (11 + 2 * k, day, f"comdirect_B-{k}", 1))]
+    orders = []
+    for i in range(260):
+        day = d("2024-01-01") + dt.timedelta(days=rng.randrange(425))
+        delivered = day + dt.timedelta(days=rng.choice([0, 0, 0, 3, 9, 40, 100, 190, 230]))
+        file = next((10 + 2 * k for k, f in enumerate(days) if f >= delivered), 10_000)
+        typ = rng.choice(["Ankauf", "Verkauf"])
+        orders.append((str(i % 7), day, typ, -100.0 - i, "X", None, None, None if i % 50 == 0 else rng.choice([file, file, 2])))
+    balances = [(str(k % 9), day, 100.0 * k, 11 + 2 * k) for k, day in enumerate(days)]
+    positions = [(str(k % 5), day, "A", "n", "AKTIE", 50.0 * k, 1.0, 11 + 2 * k) for k, day in enumerate(days)]
+    t = SourceTables(
+        spark.createDataFrame(orders, "Depotnummer string, Orderdatum date, Ordertyp string, Cashflow double, ISIN string, Transaktionsnummer string, Bemerkung string, Datei_ID long"),
+        spark.createDataFrame(balances, "Kontoreferenz string, Datum date, Saldosollwert double, Datei_ID long"),
+        spark.createDataFrame(positions, "Depotreferenz string, Datum date, Wertpapierreferenz string, Wertpapiername string, Wertpapiertyp string, Kurswert double, Einstandswerte double, Datei_ID long"),
+        None, spark.createDataFrame(files, FILE_SCHEMA))
+    return t.typed(), days
+
+
 def test_file_days_in_one_job_equal_the_day_loads(spark):
-    files = [(12, d(DAY), "comdirect_U-1", 1), (21, d(DAY), "comdirect_B-1", 1), (11, d("2025-08-28"), "comdirect_U-0", 1), (20, d("2025-08-28"), "comdirect_B-0", 1)]
-    t = day_tables(spark, files)
-    t.orders = t.orders.where("Datei_ID <= 12")
-    t.balances, t.positions = (x.withColumn("Datum", F.when(F.col("Datei_ID") == 20, F.lit("2025-08-28").cast("date")).otherwise(F.col("Datum"))) for x in (t.balances, t.positions))
-    days = spark.createDataFrame([(d("2025-08-28"), 20), (d(DAY), 21)], "as_of date, DateiID_B long")
-    key = lambda df: sorted(map(str, df.collect()))
-    t2 = SourceTables(t.orders.withColumn("Datei_ID", F.lit(1).cast("long")), t.balances, t.positions, None, t.files)
-    single = FE.depot_features(day_load(t2, "2025-08-28"), "2025-08-28").union(FE.depot_features(day_load(t2, DAY), DAY))
-    assert key(FE.depot_features_file_days(t, days)) == key(single)
+    t, days = late_tables(spark, random.Random(3))
+    wanted = [days[0], *days[20:60:6], days[-1]]
+    calendar = complete_days(t.files).select(F.col("Datum").alias("as_of"), "DateiID_U", "DateiID_B")
+    key = lambda rows: sorted(map(str, rows))
+    single = [r for day in wanted for r in FE.depot_features(day_load(t, day), day).collect()]
+    every = FE.depot_features_file_days(t, calendar).where(F.col("Score_Datum").isin([F.lit(x) for x in wanted])).collect()
+    assert key(every) == key(single)
+    some = FE.depot_features_file_days(t, calendar.where(F.col("as_of").isin([F.lit(x) for x in wanted]))).collect()
+    assert key(some) == key(single)  # the calendar's other days do not matter
+    by_date = [r for day in wanted for r in FE.depot_features(t, day).collect()]
+    assert key(by_date) != key(single)  # the late orders make a difference
+
+
+def test_an_order_is_known_from_its_file_on(spark):
+    t = day_tables(spark, [(12, d("2025-03-03"), "comdirect_U-1", 1), (13, d("2025-03-03"), "comdirect_B-1", 1),
+                           (14, d("2025-03-05"), "comdirect_U-2", 1), (15, d("2025-03-05"), "comdirect_B-2", 1)])
+    t.orders = spark.createDataFrame([("1", d("2025-03-01"), 12), ("1", d("2025-03-02"), 14)], "Depotnummer string, Orderdatum date, Datei_ID long")
+    t = t.typed()
+    got = FE.depot_features_file_days(t, complete_days(t.files).select(F.col("Datum").alias("as_of"), "DateiID_U", "DateiID_B"))
+    assert {str(r["Score_Datum"]): r["Orderfrequenz_30d"] for r in got.collect()} == {"2025-03-03": 1, "2025-03-05": 2}
+
+
+def test_falling_file_ids_are_an_error(spark):
+    t = day_tables(spark, [(14, d("2025-03-03"), "comdirect_U-1", 1), (13, d("2025-03-03"), "comdirect_B-1", 1),
+                           (12, d("2025-03-05"), "comdirect_U-2", 1), (15, d("2025-03-05"), "comdirect_B-2", 1)])
+    t.orders = spark.createDataFrame([("1", d("2025-03-01"), 12)], "Depotnummer string, Orderdatum date, Datei_ID long")
+    calendar = complete_days(t.files).select(F.col("Datum").alias("as_of"), "DateiID_U", "DateiID_B")
+    with pytest.raises(Exception, match="do not rise"):
+        FE.depot_features_file_days(t.typed(), calendar).collect()
 
 
 def test_day_without_its_snapshot_file_loads_nothing(spark):
