@@ -7,7 +7,9 @@
 * ``replace_range``   – the same for all dates of a closed range.
 * ``merge_upsert``    – MERGE by key for plain Parquet: the merged result is
   written to a new version directory and the table pointer moves to it; the
-  version being read is never overwritten in place.
+  version being read is never overwritten in place, and a commit that was not
+  computed from the newest version is refused and merged again.
+  ``sinks.parts`` does the same and rewrites only the parts that change.
 * ``merged_keep_new`` – predictions: new rows replace rows with the same key.
 * ``append``          – evaluation rows, registry rows.
 """
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,70 +85,129 @@ def write_csv_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-class VersionedTable:
-    """A Parquet table stored as ``<root>/v=<id>`` directories plus numbered
-    pointer files ``_CURRENT.<n>``: the highest number is the table. Writers add
-    a version and then a pointer and never delete either, so a stop at any
-    point leaves the table as it was. Versions without any pointer are an
-    error, not an empty table."""
+class CommitConflict(RuntimeError):
+    """Another writer has committed a version after the one this commit was computed from."""
+
+
+class Pointers:
+    """Numbered pointer files ``_CURRENT.<n>`` of a table: the highest number is the table.
+
+    A writer creates the number after the one it read, with its whole content
+    and only if nobody else has: by a hard link on local disks, by a rename that
+    refuses an existing name elsewhere (atomic on HDFS; an object store must
+    offer an equally strict rename). Pointers are never deleted, so a stop at
+    any point leaves the table as it was.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        jvm = spark._jvm
         self._conf = spark._jsc.hadoopConfiguration()
-        self._Path = jvm.org.apache.hadoop.fs.Path
+        self._Path = spark._jvm.org.apache.hadoop.fs.Path
 
     def _fs(self, p):
         return p.getFileSystem(self._conf)
 
-    def _listed(self) -> tuple[list[int], bool]:
-        """(numbers of the pointers, whether versions exist)."""
+    def newest(self) -> tuple[int, str | None]:
+        """(number, content) of the newest pointer; (0, None) for a table without one. Data without any pointer is an error, not an empty table."""
         root = self._Path(self.root)
         fs = self._fs(root)
         names = [x.getPath().getName() for x in fs.listStatus(root)] if fs.exists(root) else []
-        numbers = [int(n.removeprefix("_CURRENT.")) for n in names if n.startswith("_CURRENT.") and n[9:].isdigit()]
-        return sorted(numbers), any(n.startswith("v=") for n in names)
+        numbers = sorted(int(n.removeprefix("_CURRENT.")) for n in names if n.startswith("_CURRENT.") and n[9:].isdigit())
+        if numbers:
+            return numbers[-1], self._content(numbers[-1])
+        if any(n.startswith(("v=", "data-")) for n in names):
+            raise RuntimeError(f"{self.root} holds versions but no pointer to one of them")
+        return 0, None
 
-    def current(self) -> str | None:
-        numbers, versions = self._listed()
-        if not numbers:
-            if versions:
-                raise RuntimeError(f"{self.root} holds versions but no pointer to one of them")
-            return None
-        ptr = self._Path(f"{self.root}/_CURRENT.{numbers[-1]}")
+    def _content(self, number: int) -> str:
+        path = self._Path(f"{self.root}/_CURRENT.{number}")
         jvm = self.spark._jvm
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(self._fs(ptr).open(ptr), "UTF-8"))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(self._fs(path).open(path), "UTF-8"))
         try:
             return reader.readLine().strip()
         finally:
             reader.close()
 
-    def read(self) -> DataFrame | None:
-        cur = self.current()
-        return None if cur is None else self.spark.read.parquet(f"{self.root}/{cur}")
+    def create(self, number: int, content: str) -> None:
+        """The pointer ``number``; CommitConflict if it exists."""
+        jvm = self.spark._jvm
+        tmp, final = self._Path(f"{self.root}/_next.{uuid.uuid4().hex}"), self._Path(f"{self.root}/_CURRENT.{number}")
+        fs = self._fs(tmp)
+        out = fs.create(tmp, False)
+        out.write(bytearray(content.encode("utf-8")))
+        out.close()
+        try:
+            if fs.getUri().getScheme() == "file":
+                place = lambda p: jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri())
+                jvm.java.nio.file.Files.createLink(place(final), place(tmp))
+            else:
+                rename = jvm.org.apache.hadoop.fs.Options.Rename
+                options = self.spark.sparkContext._gateway.new_array(rename, 1)
+                options[0] = rename.NONE
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self._conf).rename(tmp, final, options)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                raise CommitConflict(f"another writer has moved {self.root} to version {number} meanwhile") from None
+            raise
+        finally:
+            fs.delete(tmp, False)
+
+    def delete(self, name: str) -> None:
+        path = self._Path(f"{self.root}/{name}")
+        self._fs(path).delete(path, True)
+
 
-    def commit(self, df: DataFrame) -> str:
-        """Write a new version, then the next pointer (old versions stay readable)."""
+class VersionedTable:
+    """A Parquet table stored as ``<root>/v=<id>`` directories and pointers
+    (``Pointers``). Old versions stay readable."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.pointers = Pointers(spark, root)
+
+    def current(self) -> str | None:
+        return self.pointers.newest()[1]
+
+    def snapshot(self) -> tuple[int, DataFrame | None]:
+        """(number, rows) of the newest version; (0, None) for a new table."""
+        number, version = self.pointers.newest()
+        return number, None if version is None else self.spark.read.parquet(f"{self.root}/{version}")
+
+    def read(self) -> DataFrame | None:
+        return self.snapshot()[1]
+
+    def commit(self, df: DataFrame, base: int | None = None) -> str:
+        """Write ``df`` as the version after number ``base`` (that of the snapshot
+        it was computed from; the newest if not given). CommitConflict, and no
+        change, if there is a newer one by then."""
+        newest = self.pointers.newest()[0]
+        base = newest if base is None else base
+        if newest != base:
+            raise CommitConflict(f"{self.root} is at version {newest}, the commit was computed from {base}")
         version = f"v={uuid.uuid4().hex}"
-        numbers, versions = self._listed()
-        if versions and not numbers:
-            raise RuntimeError(f"{self.root} holds versions but no pointer to one of them")
         df.write.mode("errorifexists").parquet(f"{self.root}/{version}")
-        tmp = self._Path(f"{self.root}/_next.{uuid.uuid4().hex}")
-        fs = self._fs(tmp)
-        out = fs.create(tmp, True)
-        out.write(bytearray(version.encode("utf-8")))
-        out.close()
-        number = numbers[-1] + 1 if numbers else 1
-        if not fs.rename(tmp, self._Path(f"{self.root}/_CURRENT.{number}")):
-            raise RuntimeError(f"another writer has moved {self.root} meanwhile")
+        try:
+            self.pointers.create(base + 1, version)
+        except CommitConflict:
+            self.pointers.delete(version)  # nobody knows of it
+            raise
         return version
 
+    def update(self, change, attempts: int = 20) -> DataFrame:
+        """Commit ``change(rows)`` (``rows`` is None for a new table), computed anew from the newest version whenever another writer was faster."""
+        for _ in range(attempts):
+            base, rows = self.snapshot()
+            try:
+                self.commit(change(rows), base)
+                return self.read()
+            except CommitConflict:
+                continue
+        raise CommitConflict(f"{self.root} moved {attempts} times meanwhile")
+
 
 def merge_upsert(table: VersionedTable, new: DataFrame, keys, combine) -> DataFrame:
-    """MERGE ``new`` into the table with ``combine(existing, new)`` and commit a new version."""
-    existing = table.read()
-    merged = new if existing is None else combine(existing, new)
-    table.commit(merged)
-    return table.read()
+    """MERGE ``new`` into the table with ``combine(existing, new)`` and commit a
+    new version; merged again if another writer commits in between."""
+    return table.update(lambda existing: new if existing is None else combine(existing, new))
