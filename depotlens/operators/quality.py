@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -264,6 +266,46 @@ def feature_correlations(features: DataFrame, cols, min_abs: float = 0.9) -> Dat
     return rows.select("column_a", "column_b", r.alias("correlation"), F.coalesce(F.abs(r) >= min_abs, F.lit(False)).cast("int").alias("high"))
 
 
+def correlation_matrix(features: DataFrame, cols, min_abs: float = 0.9) -> DataFrame:
+    """As ``feature_correlations``, for many columns: every pair of ``cols`` from one Gram matrix.
+
+    Each task multiplies its Arrow batches with themselves (products about the
+    columns' means, so that large amounts do not cancel) and hands over one
+    number per pair; those are added up by pair. Constant columns, found by
+    their range, correlate with nothing (NULL), as do tables of one row.
+    """
+    cols = list(cols)
+    value = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in cols]
+    plain = features.select(*[v.alias(str(i)) for i, v in enumerate(value)])
+    stats = plain.agg(*[F.avg(c).alias(f"m{c}") for c in plain.columns], *[(F.min(c) < F.max(c)).alias(f"v{c}") for c in plain.columns]).first()
+    means = np.array([stats[f"m{i}"] or 0.0 for i in range(len(cols))])
+    varies = [bool(stats[f"v{i}"]) for i in range(len(cols))]
+    a, b = np.triu_indices(len(cols))
+
+    def products(batches):
+        gram, ones = np.zeros((len(means), len(means))), np.zeros(len(means))
+        rows = 0
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - means
+            gram += x.T @ x
+            ones += x.sum(axis=0)
+            rows += len(x)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (a, b, gram[a, b], ones[a], ones[b], np.full(len(a), rows))], ["a", "b", "ab", "sa", "sb", "n"])
+
+    parts = plain.mapInArrow(products, "a long, b long, ab double, sa double, sb double, n long")
+    total = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("ab", "sa", "sb", "n")])
+    about_mean = (F.col("ab") - F.col("sa") * F.col("sb") / F.col("n")).alias("cov")
+    total = total.select("a", "b", about_mean)
+    var = total.where("a = b")
+    pairs = (total.where("a < b").alias("p").join(F.broadcast(var.select(F.col("a").alias("ia"), F.col("cov").alias("va"))), F.col("p.a") == F.col("ia"))
+             .join(F.broadcast(var.select(F.col("a").alias("ib"), F.col("cov").alias("vb"))), F.col("p.b") == F.col("ib")))
+    names, known = F.array(*[F.lit(c) for c in cols]), F.array(*[F.lit(v) for v in varies])
+    r = F.when(known[F.col("p.a").cast("int")] & known[F.col("p.b").cast("int")], F.col("cov") / (F.sqrt("va") * F.sqrt("vb")))
+    return pairs.select(names[F.col("p.a").cast("int")].alias("column_a"), names[F.col("p.b").cast("int")].alias("column_b"), r.alias("correlation"),
+                        F.coalesce(F.abs(r) >= min_abs, F.lit(False)).cast("int").alias("high"))
+
+
 def localized_numbers(df: DataFrame, cols, min_share: float = 0.7) -> DataFrame:
     """Parse localized numeric text columns; report the parse rate per column
     and whether it reaches ``min_share`` (the column would be kept as numeric)."""

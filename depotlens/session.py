@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +73,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _LOCAL[app]
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors' Python (once a session), for Arrow functions that refer to it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="depotlens-code-")) / "depotlens_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))  # the driver serves it; executors need no shared code folder
+    _shipped.add(context.applicationId)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below ``spark.checkpoint.dir``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/depotlens-{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Store ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back.
 

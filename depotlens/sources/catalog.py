@@ -131,12 +131,17 @@ def typed_bookings(df: DataFrame) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> SourceTables:
-    """Read the five source tables stored as ``<base>/<name>`` (parquet by default).
+    """Read the five source tables stored as ``<base>/<name>`` (parquet by default;
+    ``csv`` by ``sources.csv_files``, which also reports the rows it rejects).
 
     The bookings table and the file catalog are optional: where their path
     does not exist the features are computed without money flows, or without
     a catalog. Any other failure (a damaged file, no access) is raised.
     """
+    if fmt == "csv":
+        from depotlens.sources.csv_files import read_csv_tables
+        return read_csv_tables(spark, base)[0]
+
     def load(name: str) -> DataFrame:
         return spark.read.format(fmt).load(f"{base}/{name}")
 

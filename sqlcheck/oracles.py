@@ -8,6 +8,7 @@ from sqlcheck.metrics_sql import metric_oracles
 from sqlcheck.ml_sql import ml_oracles
 from sqlcheck.quality_sql import quality_oracles
 from sqlcheck.rules_sql import rule_oracles
+from sqlcheck.stores_sql import store_oracles
 
 ORACLES: dict[str, str] = {
     "depot_features": features_sql(),
@@ -19,3 +20,4 @@ ORACLES.update(label_oracles())
 ORACLES.update(metric_oracles())
 ORACLES.update(quality_oracles())
 ORACLES.update(ml_oracles())
+ORACLES.update(store_oracles())
