@@ -102,6 +102,9 @@ def superminhash(elements: np.ndarray, offsets: np.ndarray, registers: int) -> n
     return low.reshape(n, registers)
 
 
+_NAME = ["n_shingles", "set_a", "set_b"]
+
+
 def signatures(docs: DataFrame, p: NearParams) -> DataFrame:
     """(doc_id, n_shingles, set_a, set_b, bands): set size, two 64-bit sums naming the set, band hashes (null for an empty set)."""
 
@@ -109,10 +112,6 @@ def signatures(docs: DataFrame, p: NearParams) -> DataFrame:
         for b in blocks(batches):
             sets, off = shingle_sets(b.column(1), p.shingle)
             size = np.diff(off)
-            names = []
-            for salt in (0x51ED270B, 0xA24BAED4):
-                run_sum = np.concatenate([np.zeros(1, U), np.cumsum(mix(sets ^ U(salt)))])
-                names.append(run_sum[off[1:]] - run_sum[off[:-1]])
             sig = superminhash(sets, off, p.registers).reshape(-1, p.bands, p.band_rows)
             band = np.broadcast_to(np.arange(1, p.bands + 1, dtype=U) * U(0xD1B54A32D192ED03), sig.shape[:2]).copy()
             for k in range(p.band_rows):
@@ -120,23 +119,33 @@ def signatures(docs: DataFrame, p: NearParams) -> DataFrame:
             filled = size > 0
             bands = list_column(signed(np.ascontiguousarray(band[filled]).reshape(-1)), np.where(filled, p.bands, 0))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size), signed(names[0]), signed(names[1]), bands],
-                ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                [b.column(0), pa.array(size), *_set_names(sets, off), bands],
+                ["doc_id", *_NAME, "bands"],
             )
 
     return mapped(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
 
+def _set_names(sets: np.ndarray, off: np.ndarray) -> list[pa.Array]:
+    """Two 64-bit sums over each set's hashes: with the set's size they name it."""
+    names = []
+    for salt in (0x51ED270B, 0xA24BAED4):
+        run_sum = np.concatenate([np.zeros(1, U), np.cumsum(mix(sets ^ U(salt)))])
+        names.append(signed(run_sum[off[1:]] - run_sum[off[:-1]]))
+    return names
+
+
 def full_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(node, n, shingles): complete distinct shingle hashes of each document."""
+    """(doc_id, n_shingles, set_a, set_b, shingles): complete distinct shingle hashes of each document."""
 
     def run(batches):
         for b in blocks(batches):
             sets, off = shingle_sets(b.column(1), width)
             size = np.diff(off)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), list_column(signed(sets), size)], ["node", "n", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(size), *_set_names(sets, off), list_column(signed(sets), size)], ["doc_id", *_NAME, "shingles"])
 
-    return mapped(docs.select("doc_id", "text"), run, "node long, n long, shingles array<long>")
+    return mapped(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, set_a long, set_b long, shingles array<long>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
@@ -219,22 +228,26 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     component_id is the smallest doc_id reachable over links, the document
     itself included. Rows without words link with nothing. A null doc_id has a
     null component_id and links with nothing; a repeated doc_id yields one row
-    for each of its rows, all carrying that id's component.
+    for each of its rows, and those with words all carry that id's component:
+    each of its texts is compared with the other documents, and texts of one id
+    count as linked.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed_docs = stored(signatures(docs, p), "signatures")
     known = signed_docs.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    name = ["n_shingles", "set_a", "set_b"]
-    classes = stored(known.groupBy(*name).agg(F.min("doc_id").alias("node")), "classes")
+    # equal sets are one class, and classes, not documents, are the nodes: a doc_id may have several texts
+    classes = stored(known.groupBy(*_NAME).agg(F.min("doc_id").alias("doc_id")).withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    # one row per distinct set and band; only bands that two sets share
-    own = known.join(classes.withColumnRenamed("node", "doc_id"), [*name, "doc_id"], "left_semi").dropDuplicates(["doc_id", *name])
-    banded = own.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
+    # one row per class and band; only bands that two classes share
+    own = known.join(classes, [*_NAME, "doc_id"]).dropDuplicates(["node"])
+    banded = own.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("band"))
     shared = stored(banded.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("pivot")).where("members > 1"), "shared")
     members = stored(banded.join(shared.select("band", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "band"), "members")
     nodes = stored(members.select("node").distinct(), "nodes")
-    wanted = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-    sets = stored(full_sets(wanted, p.shingle).dropDuplicates(["node"]), "sets")
+    firsts = stored(classes.join(nodes, "node"), "firsts")
+    wanted = docs.join(firsts, "doc_id", "left_semi")
+    sets = full_sets(wanted, p.shingle).join(firsts, ["doc_id", *_NAME]).dropDuplicates(["node"])
+    sets = stored(sets.select("node", F.col("n_shingles").alias("n"), "shingles"), "sets")
 
     least, most = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
     stars = members.where((F.col("node") != F.col("pivot")) & (least * 100 >= most * p.similarity)).select(F.col("node").alias("u"), F.col("pivot").alias("v"))
@@ -242,13 +255,24 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     joined = components(links)
     groups = stored(nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "groups")
     more = stored(_odd_links(members.select("band", "node", "n"), groups, sets, p), "odd_links")
-    joined = components(links.union(more))
-    labels = classes.join(joined, "node", "left").select(*name, F.coalesce("component", "node").alias("component"))
-    rows = signed_docs.drop("bands").join(labels, name, "left")
-    mine = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component"), F.col("doc_id")))
+    joined = components(links.union(more).union(_texts_of_one_id(known, classes)))
+    named = stored(classes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "named")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    labels = named.join(least, "component").select(*_NAME, "component_id")
+    rows = signed_docs.drop("bands").join(labels, _NAME, "left")
+    mine = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.col("component_id"), F.col("doc_id")))
     return stored(rows.select("doc_id", "n_shingles", mine.alias("component_id")), "near")
 
 
+def _texts_of_one_id(known: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (u, v) between the classes of a doc_id that has several."""
+    name = F.struct(*_NAME)
+    several = known.groupBy("doc_id").agg(F.min(name).alias("a"), F.max(name).alias("b")).where("a <> b").select("doc_id")
+    held = known.join(several, "doc_id").join(classes.select(*_NAME, "node"), _NAME).select("doc_id", "node")
+    first = held.groupBy("doc_id").agg(F.min("node").alias("first"))
+    return held.join(first, "doc_id").select(F.col("node").alias("u"), F.col("first").alias("v"))
+
+
 def with_copies_marked(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): one document of each group is kept (the smallest id)."""
     found = near_duplicates(docs, p)
