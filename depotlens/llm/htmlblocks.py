@@ -9,7 +9,7 @@ from dataclasses import dataclass
 # HTML element names by what they do to text.
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
-    "h1 h2 h3 h4 h5 h6 head header hgroup hr html ins legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
+    "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 RAW_TAGS = frozenset("button iframe math noframes noscript object script select style svg template textarea title".split())
 TO_THE_END = frozenset("iframe noframes script style textarea title".split())  # raw text: without an end tag they take the rest of the page
@@ -50,16 +50,31 @@ def _tag(m: re.Match) -> tuple[str, str, str]:
     return closing, (tag or "").lower(), attributes
 
 
+_COMMENT_END = re.compile(r"--!?>")
+
+
+def _comment_end(page: str, at: int) -> int:
+    """Where the comment whose ``<!--`` ends at ``at`` ends; an unclosed one takes the rest of the page."""
+    for closed_at_once in (">", "->"):
+        if page.startswith(closed_at_once, at):
+            return at + len(closed_at_once)
+    m = _COMMENT_END.search(page, at)
+    return len(page) if m is None else m.end()
+
+
 def _text_end(page: str, tag: str, at: int) -> int:
     """Where the raw text that starts at ``at`` ends, its end tag included."""
     close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
     return len(page) if close is None else close.end()
 
 
-def _left_out(page: str) -> dict[int, int]:
-    """{end of the start tag: end of the element} of the RAW_TAGS elements that are closed before an element around them."""
+def _left_out(page: str) -> tuple[dict[int, int], set[int]]:
+    """{end of the start tag: end of the element} of the RAW_TAGS elements that are closed before an element around
+    them, and the ends of the start tags of custom elements that hold a block (the others run on in their line)."""
     at = 0
     found: dict[int, int] = {}
+    blocks: set[int] = set()
+    custom: list[int] = []  # start tags of the open custom elements that hold no block yet
     stack: list[tuple[str, int]] = []
     opened: dict[str, int] = {}
 
@@ -67,16 +82,20 @@ def _left_out(page: str) -> dict[int, int]:
         while True:
             name, begin = stack.pop()
             opened[name] -= 1
+            if custom and custom[-1] == begin:
+                custom.pop()
             if name == tag:
                 return begin
 
     while (m := _TOKEN.search(page, at)) is not None:
         at = m.end()
         if m[0] == "<!--":
-            end = page.find("-->", at)
-            at = len(page) if end < 0 else end + 3
+            at = _comment_end(page, at)
             continue
         closing, tag, attributes = _tag(m)
+        if not closing and tag in BLOCK_TAGS:
+            blocks.update(custom)
+            custom.clear()
         if closing:
             if opened.get(tag):
                 begin = close(tag)
@@ -90,7 +109,9 @@ def _left_out(page: str) -> dict[int, int]:
                 close(tag)
             stack.append((tag, at))
             opened[tag] = opened.get(tag, 0) + 1
-    return found
+            if "-" in tag:
+                custom.append(at)
+    return found, blocks
 
 
 def leaf_blocks(page: str) -> list[Block]:
@@ -103,7 +124,8 @@ def leaf_blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...], str]] = []
     pieces: list[str] = []
     linked = total = links = 0
-    left_out: dict[int, int] | None = None
+    ahead: tuple[dict[int, int], set[int]] | None = None  # what stands further on, looked up once it is needed
+    in_line: dict[str, int] = {}  # open custom elements without a block, by name
     in_head = False
 
     def flush() -> None:
@@ -142,8 +164,7 @@ def leaf_blocks(page: str) -> list[Block]:
             add(page[at : m.start()])
         at = m.end()
         if m[0] == "<!--":
-            close = page.find("-->", at)
-            at = end if close < 0 else close + 3
+            at = _comment_end(page, at)
             continue
         closing, tag, attributes = _tag(m)
         if not tag:
@@ -159,10 +180,18 @@ def leaf_blocks(page: str) -> list[Block]:
                 if tag in TO_THE_END:
                     at = _text_end(page, tag, at)
                 else:
-                    if left_out is None:
-                        left_out = _left_out(page)
-                    at = left_out.get(at, at)
+                    ahead = ahead or _left_out(page)
+                    at = ahead[0].get(at, at)
         elif tag in BLOCK_TAGS or "-" in tag:
+            if "-" in tag:
+                if closing and in_line.get(tag):
+                    in_line[tag] -= 1
+                    continue
+                if not closing:
+                    ahead = ahead or _left_out(page)
+                    if at not in ahead[1]:
+                        in_line[tag] = in_line.get(tag, 0) + (not attributes.endswith("/"))
+                        continue
             flush()
             if closing:
                 for i in range(len(stack) - 1, -1, -1):
