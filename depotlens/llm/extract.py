@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .htmlblocks import Block, leaf_blocks
-from .store import mapped, small_batches, stored
+from .store import in_share, mapped, small_batches, stored
 from .words import U, blocks, texts_of, words_of
 
 
@@ -36,6 +36,7 @@ class ExtractParams:
     word_slots: int = 32
     hidden: int = 24
     sample_pages: int = 200
+    sample_page_chars: int = 100_000  # training draws from the pages up to this length; all pages are extracted, whole
     made_pages: int = 1200
     epochs: int = 14
     batch: int = 32
@@ -393,13 +394,13 @@ def labeller_of(sample: list[str], p: ExtractParams) -> Labeller:
 
 
 def train_labeller(pages: DataFrame, p: ExtractParams = ExtractParams()) -> Labeller:
-    """``labeller_of`` about ``sample_pages`` of the pages (chosen by a hash), trained in one task on that bounded sample."""
-    texts = pages.select(F.col("html").cast("string").alias("text")).where("text <> ''")
+    """``labeller_of`` about ``sample_pages`` whole pages of at most ``sample_page_chars`` characters each (chosen by a hash), trained in one task on that bounded sample."""
+    texts = pages.select(F.col("html").cast("string").alias("text")).where((F.col("text") != "") & (F.char_length("text") <= p.sample_page_chars))
     share = min(1.0, p.sample_pages / max(1, texts.count()))
-    chosen = texts.where(F.pmod(F.xxhash64("text", F.lit(p.seed)), F.lit(1_000_000)) < int(share * 1_000_000)).dropDuplicates()
+    chosen = texts.where(in_share(F.xxhash64("text", F.lit(p.seed)), share)).dropDuplicates()
 
     def run(batches):
-        sample = [t[:SAMPLE_CHARS] for b in batches for t in texts_of(b.column(0))]
+        sample = [t for b in batches for t in texts_of(b.column(0))]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(labeller_of(sample, p).weights)], pa.binary())], ["weights"])
 
     with small_batches(pages.sparkSession):
@@ -407,10 +408,6 @@ def train_labeller(pages: DataFrame, p: ExtractParams = ExtractParams()) -> Labe
     return Labeller(pickle.loads(got[0]["weights"]), p) if got else labeller_of([], p)
 
 
-#: Characters of a sample page that training reads (extraction reads whole pages).
-SAMPLE_CHARS = 100_000
-
-
 def main_texts(pages: DataFrame, p: ExtractParams = ExtractParams()) -> DataFrame:
     """(page_id, url, text, n_chars, n_blocks) for every row of ``pages(page_id, url, html)``.
 

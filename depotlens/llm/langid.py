@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality import held_out
-from .store import mapped, small_batches, stored, tidy
+from .store import in_share, mapped, small_batches, stored, tidy
 from .words import LOWER, blocks, text_bytes
 
 UNDETERMINED = "und"
@@ -235,10 +235,10 @@ def train_languages(docs: DataFrame, p: LangParams = LangParams()) -> LangModel:
     counts = stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "langs")
     langs = counts.count()
     per_lang = F.lit(p.sample_rows / max(1, langs))
-    shares = counts.select("lang", (F.least(F.lit(1.0), per_lang / F.col("n")) * 1_000_000).cast("long").alias("share"))
+    shares = counts.select("lang", F.least(F.lit(1.0), per_lang / F.col("n")).alias("share"))
     if langs <= MAX_BROADCAST_LANGS:  # one row a language: the texts stay where they are
         shares = F.broadcast(shares)
-    chosen = rows.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1_000_000)) < F.col("share"))
+    chosen = rows.join(shares, "lang").where(in_share(F.xxhash64("doc_id", F.lit(p.seed)), F.col("share")))
 
     def vectors(batches):
         for b in blocks(batches):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import mapped, small_batches, stored, tidy
+from .store import in_share, mapped, small_batches, stored, tidy
 from .words import U, Words, blocks, mix, ngram_hashes, words_of
 
 
@@ -146,11 +146,15 @@ def held_out(doc_id, modulus: int, rest: int):
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, p: QualityParams = QualityParams()) -> QualityModel:
-    """Fit on about ``sample_rows`` labelled documents outside the held-out fold (chosen by a hash of their id)."""
+    """Fit on about ``sample_rows`` labelled documents outside the held-out fold (chosen by a hash of their id).
+
+    A doc_id that is labelled both 0 and 1 is left out; one labelled alike several times counts once.
+    """
     marked = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    marked = marked.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0) & F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
+    marked = marked.where(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"), 5, 0) & F.col("doc_id").isNotNull())
+    marked = marked.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other")).where("quality = other").drop("other")
     share = min(1.0, p.sample_rows / max(1, marked.count()))
-    chosen = marked.where(F.pmod(F.xxhash64("doc_id", F.lit(p.seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = marked.where(in_share(F.xxhash64("doc_id", F.lit(p.seed)), share))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = texts.join(F.broadcast(chosen), "doc_id")  # about sample_rows rows
 

@@ -14,7 +14,8 @@ from contextlib import contextmanager
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 _local_folders: dict[str, str] = {}  # of local sessions without the setting, by application
@@ -99,6 +100,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def in_share(key: Column, share: Column | float) -> Column:
+    """Whether a row falls in a sample of the given share, by 53 bits of a hash of its key: as even for one row in 10^12 as for one in ten."""
+    return F.shiftrightunsigned(key, 11).cast("double") < share * F.lit(float(1 << 53))
+
+
 _shipped: set[str] = set()
 
 
