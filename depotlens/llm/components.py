@@ -1,9 +1,12 @@
 """Union-find grouping of links, distributed.
 
-Every task first unions the links it holds (a forest is left), then rounds of
-large-star / small-star steps hang each node on the smallest node it reaches.
-The rounds end when no link moves; their number grows with the logarithm of
-the largest group. Nothing is collected but two numbers a round.
+Every task first unions the links it holds; what is left of them is, for each
+node, the smallest node of its tree in that task. The trees a node has in
+different tasks belong together, so the smallest of their roots takes the node
+and only links between roots remain. Those are few (a group has at most one
+root a task), and large-star / small-star rounds join them until no link
+moves; the number of rounds grows with the logarithm of the longest chain of
+roots. Nothing is collected but two numbers a round.
 """
 
 from __future__ import annotations
@@ -15,8 +18,8 @@ from pyspark.sql import functions as F
 from .store import mapped, stored
 
 
-def _local_forest(batches):
-    """Union-find over the links of one task; yields (larger, smallest) links of its trees."""
+def _local_roots(batches):
+    """Union-find over the links of one task; yields (node, smallest node of its tree), roots included."""
     parent: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -32,29 +35,39 @@ def _local_forest(batches):
             a, c = find(u), find(v)
             if a != c:
                 parent[max(a, c)] = min(a, c)
-    nodes = [x for x in parent if find(x) != x]
+    nodes = list(parent)
     yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], ["u", "v"])
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every node in ``links(u, v)``; component = smallest node reachable.
-
-    Links with a null end and self links are ignored. Repeated links and no
-    links at all are fine (the result is then empty).
-    """
-    links = links.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
-    now = stored(mapped(links, _local_forest, "u long, v long"), "links")
+def _star_rounds(links: DataFrame) -> DataFrame:
+    """(node, component) of every node in the distinct ``links(u, v)``."""
+    now = stored(links, "links")
     state = None
     while True:
+        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if tuple(seen) == state or not seen[0]:
+            break
+        state = tuple(seen)
         both = now.union(now.select("v", "u")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("x"))
         now = stored(small.select(F.col("x.u").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct(), "links")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(seen) == state:
-            break
-        state = tuple(seen)
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) of every node in ``links(u, v)``; component = smallest node reachable.
+
+    Links with a null end and self links are ignored. Repeated links and no
+    links at all are fine (the result is then empty).
+    """
+    links = links.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v")
+    trees = stored(mapped(links, _local_roots, "u long, v long"), "trees")
+    # a node has at most one root a task, so the sets stay small
+    held = stored(trees.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"), F.collect_set("v").alias("roots")), "roots")
+    between = held.where(F.size("roots") > 1).select(F.explode("roots").alias("u"), F.col("root").alias("v")).where("u <> v").distinct()
+    joined = _star_rounds(between).withColumnRenamed("node", "root")
+    return held.join(joined, "root", "left").select("node", F.coalesce("component", "root").alias("component"))
