@@ -42,18 +42,18 @@ def range_checks(features: DataFrame) -> DataFrame:
 
 def _per_date_quantiles(frames: list[tuple[DataFrame, str, str]]) -> DataFrame:
     """P50/P80 per date of several (frame, column, tag) at once: the values are
-    stacked to (date, tag, value) and one quantile pass runs over all of them."""
+    stacked to (date and tag as one number, value) and one quantile pass runs over all of them."""
     long = None
-    for df, col, tag in frames:
-        part = df.select(F.struct(F.col("Score_Datum").alias("d"), F.lit(tag).alias("t")).alias("_grp"),
-                         F.col(f"`{col}`").cast("double").alias("v"))
+    for k, (df, col, _) in enumerate(frames):
+        part = df.select((epoch_day("Score_Datum").cast("bigint") * len(frames) + k).alias("_grp"), F.col(f"`{col}`").cast("double").alias("v"))
         long = part if long is None else long.unionByName(part)
     q = exact_quantiles(long, "v", {"p50": 0.5, "p80": 0.8}, "_grp")
+    which = F.pmod(F.col("_grp"), F.lit(len(frames)))
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(F.col("_grp") / len(frames)).cast("int"))
     aggs = []
-    for _, _, tag in frames:
-        aggs += [F.max(F.when(F.col("_grp.t") == tag, F.col("p50"))).alias(f"P50_{tag}"),
-                 F.max(F.when(F.col("_grp.t") == tag, F.col("p80"))).alias(f"P80_{tag}")]
-    return q.groupBy(F.col("_grp.d").alias("Score_Datum")).agg(*aggs)
+    for k, (_, _, tag) in enumerate(frames):
+        aggs += [F.max(F.when(which == k, F.col("p50"))).alias(f"P50_{tag}"), F.max(F.when(which == k, F.col("p80"))).alias(f"P80_{tag}")]
+    return q.groupBy(day.alias("Score_Datum")).agg(*aggs)
 
 
 def drift(features: DataFrame, readiness: DataFrame | None = None, qp: P.QcParams = P.QcParams()) -> DataFrame:

@@ -1,17 +1,17 @@
 """Exact quantiles (linear interpolation) without gathering a group in one task.
 
-One path for every size of group:
+One path for every size of group, three narrowing passes over the rows:
 
-1. equal values are counted first (map-side combining), so ties collapse
-   before anything is ordered;
-2. values fall into fine monotone buckets (sign and binary logarithm, 4,096
-   buckets per doubling); running counts over a group's buckets show which
-   bucket holds the ranks floor(h) and ceil(h), h = (n - 1) * p - the same
-   definition as pandas/NumPy "linear";
-3. only the values of those buckets are ordered, each bucket by itself.
+1. rows are counted in coarse monotone buckets (sign and binary logarithm, 16
+   per doubling), map-side combined to a few hundred per group; running counts
+   over a group's buckets show which of them hold the ranks floor(h) and
+   ceil(h), h = (n - 1) * p - the same definition as pandas/NumPy "linear";
+2. only the rows of those buckets are counted again in fine buckets (4,096 per
+   doubling), which narrows the ranks down once more;
+3. only the rows of those are counted by value and ordered, bucket by bucket.
 
-The result equals ``percentile(value, p)``. A group's running counts have one
-row per bucket that occurs, however many rows it has.
+The result equals ``percentile(value, p)``. What is shuffled are counts: of
+all rows by coarse bucket, and of the rows around the wanted ranks.
 """
 
 from __future__ import annotations
@@ -20,42 +20,48 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS_PER_DOUBLING = 4096
-_ABOVE_ALL = 8_000_000  # more than 4096 * 1075, the largest |log2| of a double
+COARSE = 16
+_DOUBLINGS = 1953  # more than the largest |log2| of a double, in any unit of buckets
 
 
-def monotone_bucket(v: Column) -> Column:
+def monotone_bucket(v: Column, per_doubling: int = BUCKETS_PER_DOUBLING) -> Column:
     """A whole number that never falls when v rises."""
-    size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_DOUBLING) + _ABOVE_ALL
+    size = F.floor(F.log2(F.abs(v)) * per_doubling) + _DOUBLINGS * per_doubling
     return F.when(v == 0, F.lit(0).cast("bigint")).otherwise(F.when(v > 0, size).otherwise(-size).cast("bigint"))
 
 
+def _narrowed(wanted: DataFrame, counts: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """The wanted ranks (keys, i, side, part, r) with the ``by`` (a bucket or a value) they fall in; r counts from its first row on."""
+    before = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    inside = (F.col("r") >= F.col("first")) & (F.col("r") < F.col("first") + F.col("n"))
+    return placed.join(wanted, keys).where(inside).select(*keys, by, "i", "side", "part", (F.col("r") - F.col("first")).alias("r"))
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: str | None = None) -> DataFrame:
     """One row per group with a column per name in ``probs``; NULL and NaN values are left out.
 
-    ``group=None`` computes one global row (none without values).
+    ``group=None`` computes one global row (none without values). The rows are
+    read three times, so ``df`` should be stored, or cheap.
     """
     g = group or "_g"
-    counted = (df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("v"))
-               .where(F.col("v").isNotNull() & ~F.isnan("v"))
-               .groupBy(g, (F.col("v") + 0.0).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-               .withColumn("b", monotone_bucket(F.col("v"))))
-    whole = Window.partitionBy(g)
-    before = whole.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = (counted.groupBy(g, "b").agg(F.sum("n").alias("n"))
-               .withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
-               .withColumn("total", F.sum("n").over(whole)))
+    v = F.col("v") + 0.0
+    rows = (df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("v"))
+            .where(F.col("v").isNotNull() & ~F.isnan("v"))
+            .select(g, v.alias("v"), monotone_bucket(v, COARSE).alias("b1"), monotone_bucket(v).alias("b2")))
+    counts = rows.groupBy(g, "b1").agg(F.count(F.lit(1)).alias("n"))
     ranks = []
     for i, p in enumerate(probs.values()):
         h = (F.col("total") - 1) * F.lit(float(p))
         for side, r in ((0, F.floor(h)), (1, F.ceil(h))):
             ranks.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), r.cast("bigint").alias("r"), (h - F.floor(h)).alias("part")))
-    wanted = (buckets.select(g, "b", "n", "first", F.explode(F.array(*ranks)).alias("x"))
-              .where((F.col("x.r") >= F.col("first")) & (F.col("x.r") < F.col("first") + F.col("n")))
-              .select(g, "b", "x.i", "x.side", "x.part", (F.col("x.r") - F.col("first")).alias("r")))
-    inside = Window.partitionBy(g, "b").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    values = (counted.join(wanted.select(g, "b").distinct(), [g, "b"], "left_semi")
-              .withColumn("first", F.coalesce(F.sum("n").over(inside), F.lit(0))))
-    hits = values.join(wanted, [g, "b"]).where((F.col("r") >= F.col("first")) & (F.col("r") < F.col("first") + F.col("n")))
+    wanted = (counts.groupBy(g).agg(F.sum("n").alias("total")).select(g, F.explode(F.array(*ranks)).alias("x"))
+              .select(g, "x.i", "x.side", "x.part", "x.r"))
+    wanted = _narrowed(wanted, counts, [g], "b1")
+    fine = rows.join(wanted.select(g, "b1").distinct(), [g, "b1"], "left_semi").groupBy(g, "b1", "b2").agg(F.count(F.lit(1)).alias("n"))
+    wanted = _narrowed(wanted, fine, [g, "b1"], "b2").drop("b1")
+    values = rows.join(wanted.select(g, "b2").distinct(), [g, "b2"], "left_semi").groupBy(g, "b2", "v").agg(F.count(F.lit(1)).alias("n"))
+    hits = _narrowed(wanted, values, [g, "b2"], "v")
 
     def pick(i: int, side: int, c: str) -> Column:
         return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col(c)))

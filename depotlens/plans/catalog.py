@@ -22,6 +22,7 @@ from depotlens.operators import metrics as ME
 from depotlens.operators import quality as QC
 from depotlens.plans import ml as ML
 from depotlens.operators import rules as RU
+from depotlens.plans.boosting import BoostParams
 from depotlens.session import materialize
 from depotlens.sources.catalog import SourceTables, day_load, typed_orders
 from depotlens.sources.fixture import CUTOFF, fixture_late_orders, fixture_tables
@@ -344,14 +345,22 @@ def backfill_features(spark, sf_dir):
     return _BACKFILL[key]
 
 
+def _backfill_columns(spark, sf_dir):
+    """The backfill features for a query that needs a few columns: the stored table if there is one, else a plan
+    whose other columns are pruned."""
+    if _key(spark, sf_dir) in _BACKFILL:
+        return backfill_features(spark, sf_dir)
+    t = tables(spark, sf_dir)
+    return FE.depot_features_multi(t, FI.backfill_dates(t.files, months=24), FIXTURE_FEATURES)
+
+
 def eval_base(spark, sf_dir):
     """(Depotnummer, Score_Datum, InvestScore, label_invest_T7/T14/T30) over the
     24-month backfill, checkpointed once per session and directory."""
     key = _key(spark, sf_dir)
     if key not in _EVAL:
         t = tables(spark, sf_dir)
-        feats = backfill_features(spark, sf_dir)
-        scored = feats.select("Depotnummer", "Score_Datum", RU.invest_score_expr().alias("InvestScore"))
+        scored = _backfill_columns(spark, sf_dir).select("Depotnummer", "Score_Datum", RU.invest_score_expr().alias("InvestScore"))
         labelled = LB.invest_labels(scored.withColumnRenamed("Score_Datum", "stichtag"), t.orders, t.bookings,
                                     horizons=(7, 14, 30), dates=FI.backfill_dates(t.files, months=24)
                                     ).withColumnRenamed("stichtag", "Score_Datum")
@@ -422,8 +431,8 @@ def q_qc_ranges(spark, sf_dir):
 
 
 def q_qc_drift(spark, sf_dir):
-    f = backfill_features(spark, sf_dir)
-    return rounded(QC.drift(f.withColumn("InvestScore", RU.invest_score_expr())))
+    f = _backfill_columns(spark, sf_dir).withColumn("InvestScore", RU.invest_score_expr())
+    return rounded(QC.drift(materialize(f.select("Depotnummer", "Score_Datum", "ØOrdervolumen_90d", "Cashquote_true", "InvestScore"))))
 
 
 def q_qc_lead_coverage(spark, sf_dir):
@@ -576,6 +585,7 @@ def q_training_frame_backfill(spark, sf_dir):
 
 
 _MODELS: dict = {}
+MODEL = BoostParams(trees=60, step=0.15)  # the library's default is 400 trees of step 0.05; each tree is four passes over the rows
 
 
 def invest_model(spark, sf_dir):
@@ -586,7 +596,7 @@ def invest_model(spark, sf_dir):
         frame = feats.join(split, ["Depotnummer", "Score_Datum"])
         cols = ML.numeric_feature_columns(feats, "label_invest_T7")
         bundle = ML.fit_calibrated(frame.where(F.col("split") == "train"), frame.where(F.col("split") == "calib"),
-                                   cols, "label_invest_T7")
+                                   cols, "label_invest_T7", MODEL)
         _MODELS[key] = (bundle, frame)
     return _MODELS[key]
 

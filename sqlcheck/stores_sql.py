@@ -1,4 +1,4 @@
-"""DuckDB oracles of the queries over stored tables, CSV deliveries and whole-backfill statistics."""
+"""DuckDB oracles of the queries over stored tables, CSV deliveries, daily states and whole-backfill statistics."""
 
 from __future__ import annotations
 
@@ -55,6 +55,8 @@ def store_oracles() -> dict[str, str]:
         "sink_append_evaluations": metric_oracles()["eval_horizons"],
         "csv_labels": labels["label_invest"],
         "csv_rejected": with_sources(select=counts),
+        "incremental_features": features_sql(BACKFILL_DATES.replace("dates AS (", "all_dates AS (")
+                                             + ",\ndates AS (SELECT as_of FROM all_dates ORDER BY as_of DESC LIMIT 14)"),
         "feature_correlations_all": _correlations(),
         "isotonic_fit": _sql((7,), (ISOTONIC,), (
             "SELECT p.horizon, p.x, p.w AS n, round(f.p, 9) AS p FROM pts p JOIN fitted f ON f.horizon = p.horizon AND f.k = p.i")),

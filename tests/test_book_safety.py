@@ -18,6 +18,7 @@ from depotlens.operators import quality as QC
 from depotlens.operators.files import complete_days
 from depotlens.operators.quantiles import exact_quantiles
 from depotlens.plans import ml as ML
+from depotlens.plans.boosting import BoostParams
 from depotlens.plans.daily import run_backfill
 from depotlens.sinks.tables import VersionedTable, append, replace_dates, replace_range, write_csv_report
 from depotlens.sources.catalog import SourceTables, day_load, read_tables, typed_bookings
@@ -266,7 +267,7 @@ def test_stored_models_and_daily_scores(spark):
     root = tmpdir()
     for h in (7, 14, 30):
         fitted = ML.fit_calibrated(frame.where("Score_Datum < '2025-02-01'"), frame.where("Score_Datum >= '2025-02-01'"), ["a", "b"], "label",
-                                   ML.GbtParams(max_depth=2, max_iter=2 + h // 7, seed=h))
+                                   ML.GbtParams(max_depth=2, max_iter=2 + h // 7, seed=h) if h == 30 else BoostParams(trees=2 + h // 7, max_depth=2, step=0.3, seed=h))
         fitted.metrics = {"rows": 160}
         bundles[h], registry = ML.publish(registry, fitted, root, "buy", h)
     loaded = ML.active_bundle(spark, registry, "buy", 14)
@@ -284,6 +285,28 @@ def test_stored_models_and_daily_scores(spark):
     assert ML.top_importances(ML.feature_importances(spark, loaded), 1).first()["feature"] == "a"
 
 
+def test_a_range_of_days_is_scored_by_the_versions_active_then(spark):
+    random.seed(4)
+    rows = []
+    for i in range(300):
+        x = random.random()
+        rows.append((str(i % 60), d(f"2025-0{1 + i // 60}-01"), x, random.random() if i % 7 else None, int(x + random.random() * 0.4 > 0.7)))
+    frame = spark.createDataFrame(rows, "Depotnummer string, Score_Datum date, a double, b double, label int")
+    registry, root, log = spark.createDataFrame([], ML.REGISTRY_SCHEMA), tmpdir(), []
+    for columns, start in ((["a", "b"], "2025-02-01"), (["a"], "2025-03-15"), (["b", "a"], "2025-03-15"), (["a"], "2025-09-01")):
+        fitted = ML.fit_calibrated(frame.where("Score_Datum < '2025-02-01'"), frame.where("Score_Datum >= '2025-04-01'") if columns != ["b", "a"] else None,
+                                   columns, "label", BoostParams(trees=3, max_depth=2, step=0.5, row_share=0.8))
+        fitted, registry = ML.publish(registry, fitted, root, "buy", 7)
+        log.append(("buy", 7, fitted.version, d(start)))
+    activations = spark.createDataFrame([*log, ("buy", 14, "T14-v9-iso90d", d("2025-01-01")), ("other", 7, "T7-v9-iso90d", d("2025-01-01"))], ML.ACTIVATION_SCHEMA)
+    days = {"2025-01-01": None, "2025-02-01": "T7-v1-iso90d", "2025-03-01": "T7-v1-iso90d", "2025-04-01": "T7-v3-iso90d", "2025-05-01": "T7-v3-iso90d"}
+    dates = spark.createDataFrame([(d(x),) for x in days], "as_of date")
+    got = ML.score_range(frame, registry, activations, dates, "buy", 7).collect()
+    want = [r for day, v in days.items() if v for r in ML.score_daily(frame, ML.active_bundle(spark, registry, "buy", 7, v), day).collect()]
+    key = lambda rows: sorted((r["run_date"], r["Depotnummer"], round(r["p_invest"], 9), r["score"], r["rank_in_run"], r["model_version"]) for r in rows)
+    assert key(got) == key(want) and len(got) == 240
+
+
 def test_typed_frame(spark):
     df = spark.createDataFrame([("1", d(DAY), "1.234,50", "x", "5", d("2025-08-19"), True), ("2", d(DAY), None, "7", "k", None, False)],
                                "Depotnummer string, Score_Datum date, named string, text string, half string, Letzter_Kauf date, flag boolean")
