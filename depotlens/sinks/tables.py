@@ -12,6 +12,7 @@
   ``sinks.parts`` does the same and rewrites only the parts that change.
 * ``merged_keep_new`` – predictions: new rows replace rows with the same key.
 * ``append``          – evaluation rows, registry rows.
+* ``write_clustered`` – sorted files with ranges that do not overlap.
 """
 
 from __future__ import annotations
@@ -80,6 +81,20 @@ def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w.parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, by: list[str], rows_per_file: int = 2_000_000) -> None:
+    """Write ``df`` in sorted files of about ``rows_per_file`` rows whose ranges of ``by`` follow one another, so that a
+    lookup of a depot or a range of them reads few files and row groups.
+
+    Files are ranges of the whole ``by`` (depot and date, say), so a depot with
+    very many rows is spread over several. The ranges come from a sample; one
+    that turns out too full is cut in order while it is written. ``df`` is read
+    twice (it is counted first), so it should be stored.
+    """
+    files = max(1, -(-df.count() // rows_per_file))
+    ordered = df.repartitionByRange(files, *by).sortWithinPartitions(*by)
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file + rows_per_file // 4).parquet(path)
+
+
 def write_csv_report(df: DataFrame, path: str) -> None:
     """A small report (diagnosis, schema differences, importances) as CSV with a header, one file, replaced on a re-run."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -53,6 +53,9 @@ def store_oracles() -> dict[str, str]:
             spine.format(run=1, keep=f"NOT ({quarter})") + " UNION ALL " + spine.format(run=3, keep=f"{quarter} AND day(Score_Datum) % 2 = 1"))),
         "upsert_labels_parts": labels["upsert_labels"],
         "sink_append_evaluations": metric_oracles()["eval_horizons"],
+        "depot_range_lookup": features_sql(BACKFILL_DATES, select=(
+            "SELECT Depotnummer, Score_Datum, round(Depotwert, 6) AS Depotwert, Orderfrequenz, Last_Trade_Days FROM feat "
+            "WHERE Depotnummer BETWEEN '20' AND '39'")),
         "csv_labels": labels["label_invest"],
         "csv_rejected": with_sources(select=counts),
         "incremental_features": features_sql(BACKFILL_DATES.replace("dates AS (", "all_dates AS (")

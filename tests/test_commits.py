@@ -4,12 +4,14 @@ import glob
 import os
 import tempfile
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from depotlens.operators import labels as LB
 from depotlens.plans import ml as ML
 from depotlens.sinks.parts import PartedTable
-from depotlens.sinks.tables import CommitConflict, Pointers, VersionedTable, merge_upsert
+from depotlens.sinks.tables import CommitConflict, Pointers, VersionedTable, merge_upsert, write_clustered
 from tests.helpers import d
 
 KEYS = ["Depotnummer", "stichtag"]
@@ -146,3 +148,22 @@ def test_interleaved_part_upserts(spark):
         assert all(got[k, day] == 5 for k in ("2", "7", "8", "9")) and all(got[k, "2025-01-01"] == 6 for k in ("1", "3", "4", "5"))
     with pytest.raises(ValueError, match="laid out"):
         PartedTable(spark, table.root, KEYS, "stichtag", buckets=4).read()
+
+
+def test_clustered_files_do_not_overlap(spark):
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") * 7919 % 500).cast("string")).alias("k"), (F.col("id") * 31 % 30_011).alias("d"))
+    path = root()
+    write_clustered(df, path, ["k", "d"], rows_per_file=2000)
+    ranges, sizes = [], []
+    for f in glob.glob(f"{path}/*.parquet"):
+        rows = pq.read_table(f, columns=["k", "d"]).to_pylist()
+        keys = [(r["k"], r["d"]) for r in rows]
+        assert keys == sorted(keys)
+        ranges.append((keys[0], keys[-1]))
+        sizes.append(len(keys))
+    ranges.sort()
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    assert max(sizes) <= 2500 and sum(sizes) == 30_000
+    assert sum(a[0] <= "hot" <= b[0] for a, b in ranges) >= 4  # the large key is spread
+    write_clustered(df.limit(0), path, ["k"])
+    assert spark.read.schema(df.schema).parquet(path).count() == 0
