@@ -30,12 +30,13 @@ def monotone_bucket(v: Column, per_doubling: int = BUCKETS_PER_DOUBLING) -> Colu
     return F.when(v == 0, F.lit(0).cast("bigint")).otherwise(F.when(v > 0, size).otherwise(-size).cast("bigint"))
 
 
-def _narrowed(wanted: DataFrame, counts: DataFrame, keys: list[str], by: str) -> DataFrame:
-    """The wanted ranks (keys, i, side, part, r) with the ``by`` (a bucket or a value) they fall in; r counts from its first row on."""
+def _narrowed(counts: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """From counts ``n`` by (keys, by) that carry the wanted ``ranks`` of their keys: the ranks by (keys, by), counted from there on."""
     before = Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     placed = counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    inside = (F.col("r") >= F.col("first")) & (F.col("r") < F.col("first") + F.col("n"))
-    return placed.join(wanted, keys).where(inside).select(*keys, by, "i", "side", "part", (F.col("r") - F.col("first")).alias("r"))
+    inside = F.filter("ranks", lambda x: (x["r"] >= F.col("first")) & (x["r"] < F.col("first") + F.col("n")))
+    moved = F.transform(inside, lambda x: x.withField("r", x["r"] - F.col("first")))
+    return placed.select(*keys, by, moved.alias("ranks")).where(F.size("ranks") > 0)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: str | None = None) -> DataFrame:
@@ -49,19 +50,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: s
     rows = (df.select((F.col(group) if group else F.lit(0)).alias(g), F.col(value).cast("double").alias("v"))
             .where(F.col("v").isNotNull() & ~F.isnan("v"))
             .select(g, v.alias("v"), monotone_bucket(v, COARSE).alias("b1"), monotone_bucket(v).alias("b2")))
-    counts = rows.groupBy(g, "b1").agg(F.count(F.lit(1)).alias("n"))
+    count = F.count(F.lit(1)).alias("n")
     ranks = []
     for i, p in enumerate(probs.values()):
         h = (F.col("total") - 1) * F.lit(float(p))
         for side, r in ((0, F.floor(h)), (1, F.ceil(h))):
-            ranks.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), r.cast("bigint").alias("r"), (h - F.floor(h)).alias("part")))
-    wanted = (counts.groupBy(g).agg(F.sum("n").alias("total")).select(g, F.explode(F.array(*ranks)).alias("x"))
-              .select(g, "x.i", "x.side", "x.part", "x.r"))
-    wanted = _narrowed(wanted, counts, [g], "b1")
-    fine = rows.join(wanted.select(g, "b1").distinct(), [g, "b1"], "left_semi").groupBy(g, "b1", "b2").agg(F.count(F.lit(1)).alias("n"))
-    wanted = _narrowed(wanted, fine, [g, "b1"], "b2").drop("b1")
-    values = rows.join(wanted.select(g, "b2").distinct(), [g, "b2"], "left_semi").groupBy(g, "b2", "v").agg(F.count(F.lit(1)).alias("n"))
-    hits = _narrowed(wanted, values, [g, "b2"], "v")
+            ranks.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), (h - F.floor(h)).alias("part"), r.cast("bigint").alias("r")))
+    coarse = rows.groupBy(g, "b1").agg(count).withColumn("total", F.sum("n").over(Window.partitionBy(g)))
+    wanted = _narrowed(coarse.withColumn("ranks", F.array(*ranks)), [g], "b1")
+    fine = rows.join(wanted, [g, "b1"]).groupBy(g, "b1", "b2").agg(count, F.first("ranks").alias("ranks"))
+    wanted = _narrowed(fine, [g, "b1"], "b2").drop("b1")
+    values = rows.join(wanted, [g, "b2"]).groupBy(g, "b2", "v").agg(count, F.first("ranks").alias("ranks"))
+    hits = _narrowed(values, [g, "b2"], "v").select(g, "v", F.explode("ranks").alias("x")).select(g, "v", "x.i", "x.side", "x.part")
 
     def pick(i: int, side: int, c: str) -> Column:
         return F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col(c)))

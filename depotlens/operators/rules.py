@@ -9,6 +9,10 @@ and broadcast.
 
 from __future__ import annotations
 
+import operator
+from dataclasses import fields
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,31 +27,60 @@ def _num(c: str, default) -> Column:
     return F.coalesce(F.col(c).cast("double"), F.lit(float(default)))
 
 
+class _Measures(dict):
+    """Feature columns as doubles, a missing value as the rules count it; derived measures are filled in."""
+
+    def __missing__(self, name: str) -> Column:
+        self[name] = _num(name, P.RULE_MISSING.get(name, 0))
+        return self[name]
+
+
+def measures(**more: Column) -> dict[str, Column]:
+    """What the rule tables of ``params`` test, by name: feature columns and shares; ``more`` adds or replaces some."""
+    m = _Measures()
+    depot = m["Depotwert"]
+
+    def share(amount: Column) -> Column:
+        return F.when(depot > 0, amount / depot).otherwise(0.0)
+
+    cash_true = clip(F.col("Cashquote_true").cast("double"), 0.0, 1.0)
+    m["Cashquote_true"] = F.coalesce(cash_true, F.lit(0.0))
+    m["cash_share"] = clip(F.coalesce(cash_true, F.when(depot > 0, clip(m["Cash_abs"] / depot, 0.0, 1.0)), F.lit(0.0)), 0.0, 1.0)
+    m["inflow_share"], m["netflow_share"] = share(m["Einzahlung_30d_eff"]), share(m["Nettoflow_30d"])
+    m.update(more)
+    return m
+
+
+_COMPARE = {">=": operator.ge, ">": operator.gt, "<=": operator.le, "<": operator.lt, "=": operator.eq}
+
+
+def _holds(m: dict[str, Column], alternatives) -> Column:
+    """Whether all tests of one alternative hold; a test on a missing measure does not."""
+    def test(name: str, comparison: str, bound) -> Column:
+        return _COMPARE[comparison](m[name], m[bound] if isinstance(bound, str) else F.lit(bound))
+
+    return F.coalesce(reduce(operator.or_, [reduce(operator.and_, [test(*t) for t in tests]) for tests in alternatives]), F.lit(False))
+
+
+def _points(m: dict[str, Column], table) -> Column:
+    """The sum of the points whose tests hold."""
+    return reduce(operator.add, [F.when(_holds(m, (tests,)), F.lit(n)).otherwise(F.lit(0)) for n, tests in table])
+
+
 # --------------------------------------------------------------------------
 # General score (0..100) — computed from the feature base columns
 # --------------------------------------------------------------------------
 
-def _score_points(n30: Column, n90: Column, vol90: Column, cash: Column, tech: Column, worthless: Column, inactive: Column) -> Column:
-    """The points of the general score, 0..100."""
-    raw = (F.when(n30 >= 2, 8).otherwise(0) + F.when(n90 >= 4, 6).otherwise(0)
-           + F.when(vol90 > 2000, 2).otherwise(0)
-           + F.when(cash >= 0.25, 4).otherwise(0) + F.when(cash >= 0.50, 2).otherwise(0)
-           + F.when(tech > 0, 4).otherwise(0)
-           - F.when(worthless, 5).otherwise(0) - F.when(inactive, 4).otherwise(0))
-    capped = F.when(worthless & inactive, F.least(raw, F.lit(12))).otherwise(raw)
-    return clip(capped, 0, 100).cast("bigint")
+def _score_points(m: dict[str, Column]) -> Column:
+    """The general score, 0..100, of the measures."""
+    raw = _points(m, P.GENERAL_POINTS)
+    capped = F.when(_holds(m, (P.WORTHLESS_IDLE,)), F.least(raw, F.lit(P.WORTHLESS_IDLE_CAP))).otherwise(raw)
+    return clip(capped, 0, P.GENERAL_MAX).cast("bigint")
 
 
 def general_score_expr() -> Column:
     """The general score (0..100) from feature-table columns."""
-    n30 = _num("Orderfrequenz_30d", 0)
-    n90 = _num("Orderfrequenz_90d", 0)
-    vol90 = _num("ØOrdervolumen_90d", 0)
-    cash = clip(_num("Cashquote_true", 0), 0.0, 1.0)
-    tech = _num("TechAffin", 0)
-    wertlos = _num("Wertlos_Flag", 0) >= 1
-    inactive = _num("Activity_Months_6m", 0) == 0
-    return _score_points(n30, n90, vol90, cash, tech, wertlos, inactive)
+    return _score_points(measures())
 
 
 def general_score(base: DataFrame) -> DataFrame:
@@ -67,8 +100,9 @@ def general_score(base: DataFrame) -> DataFrame:
     cash = clip(F.coalesce(F.when(saldo + psum + 1e-6 != 0, saldo / (saldo + psum + 1e-6)), z), 0.0, 1.0)
     aktie = F.when(F.col("p_aktie_exact").isNotNull() & (psum != 0), from_units("p_aktie_exact") / psum).otherwise(z)
     tech = F.coalesce(F.col("p_tech_cnt"), F.lit(0))
-    wertlos = (F.coalesce(psum, z) <= 1) & (F.coalesce(F.col("p_zero"), F.lit(0)) >= 1)
-    inactive = F.coalesce(F.col("o_act6"), F.lit(0)) == 0
+    worthless = ((F.coalesce(psum, z) <= 1) & (F.coalesce(F.col("p_zero"), F.lit(0)) >= 1)).cast("int")
+    m = {"Orderfrequenz_30d": n30, "Orderfrequenz_90d": n90, "ØOrdervolumen_90d": vol90, "Cashquote_true": cash, "TechAffin": tech,
+         "Wertlos_Flag": worthless, "Activity_Months_6m": F.coalesce(F.col("o_act6"), F.lit(0))}
     return base.select(
         "Depotnummer",
         F.col("o_months").cast("bigint").alias("Orderfrequenz"),
@@ -76,7 +110,7 @@ def general_score(base: DataFrame) -> DataFrame:
         half_up_decimal(aktie, 6, 10).alias("Aktienquote"),
         half_up_decimal(cash, 6, 10).alias("Cashquote"),
         tech.cast("bigint").alias("TechFokus"),
-        _score_points(n30, n90, vol90, cash, tech, wertlos, inactive).alias("Score"),
+        _score_points(m).alias("Score"),
         "Score_Datum",
     )
 
@@ -88,44 +122,12 @@ def general_score(base: DataFrame) -> DataFrame:
 def invest_score_expr() -> Column:
     """InvestScore from feature columns; missing values take the defaults of
     the rule (0, or 9999 for day counts)."""
-    cash_abs = _num("Cash_abs", 0)
-    cash_true = clip(_num("Cashquote_true", 0), 0.0, 1.0)
-    inflow30 = _num("Einzahlung_30d_eff", 0)
-    strength = _num("Inflow_Strength_30d", 0)
-    last_buy = _num("Last_Buy_Days", 9999)
-    last_trade = _num("Last_Trade_Days", 9999)
-    f30 = _num("Orderfrequenz_30d", 0)
-    f90 = _num("Orderfrequenz_90d", 0)
-    tech = _num("TechAffin", 0)
-    wertlos = _num("Wertlos_Flag", 0)
-    deep = _num("DeepLossShare_50", 0)
-    skew = _num("WinLoss_Skew", 0)
-    act6 = _num("Activity_Months_6m", 0)
-    last_cf = _num("Last_Cashflow_Days", 9999)
-    inflow90 = _num("Einzahlung_90d", 0)
-    netto30 = _num("Nettoflow_30d", 0)
-
-    def pts(cond, n):
-        return F.when(cond, F.lit(n)).otherwise(F.lit(0))
-
-    score = (pts((cash_abs >= 1000) & (cash_true >= 0.25), 2)
-             + pts((cash_abs >= 3000) & (cash_true >= 0.50), 2)
-             + pts(inflow30 > 0, 3)
-             + pts(strength >= 0.02, 2)
-             + F.when(last_buy <= 14, 5).when(last_buy <= 30, 2).otherwise(0)
-             + pts(f30 >= 2, 3)
-             + pts(f90 >= 4, 2)
-             + pts(tech >= 1, 1))
-    malus = (pts((act6 == 0) & (last_trade > 180) & (inflow90 == 0) & (cash_abs < 100), 6)
-             + pts(wertlos >= 1, 5)
-             + pts(deep >= 0.30, 3)
-             + pts(skew <= -0.40, 2)
-             + pts((act6 == 0) & (last_cf > 60), 4)
-             + pts(netto30 < 0, 2))
-    malus = F.when((inflow30 >= 500) | (last_buy <= 14), F.greatest(F.lit(0), malus - 3)).otherwise(malus)
-    s = F.greatest(F.lit(0), score - malus)
-    s = F.when((wertlos >= 1) & (act6 == 0), F.least(s, F.lit(12))).otherwise(s)
-    return F.least(F.lit(20), F.greatest(F.lit(0), s)).cast("bigint")
+    m = measures()
+    malus = _points(m, P.INVEST_MALUS)
+    relieved = F.when(_holds(m, P.INVEST_RELIEVED), F.greatest(F.lit(0), malus - P.INVEST_RELIEF)).otherwise(malus)
+    score = F.greatest(F.lit(0), _points(m, P.INVEST_POINTS) - relieved)
+    score = F.when(_holds(m, (P.WORTHLESS_IDLE,)), F.least(score, F.lit(P.WORTHLESS_IDLE_CAP))).otherwise(score)
+    return F.least(F.lit(P.INVEST_MAX), score).cast("bigint")
 
 
 def invest_readiness(features: DataFrame) -> DataFrame:
@@ -161,35 +163,10 @@ def alerts(features: DataFrame, readiness: DataFrame | None = None) -> DataFrame
         f = f.join(readiness.select(*KEY, "InvestScore"), KEY, "left")
     else:
         f = f.withColumn("InvestScore", F.lit(None).cast("bigint"))
-    cq = F.coalesce(clip(F.col("Cashquote_true").cast("double"), 0.0, 1.0), F.lit(0.0))
-    cash = _num("Cash_abs", 0)
-    depot = _num("Depotwert", 0)
-    lbuy = _num("Last_Buy_Days", 9999)
-    ltrade = _num("Last_Trade_Days", 9999)
-    lcf = _num("Last_Cashflow_Days", 9999)
-    act6 = _num("Activity_Months_6m", 0)
-    wertlos = _num("Wertlos_Flag", 0)
-    plan = _num("Sparplan_Klein", 0)
-    inflow_eff = _num("Einzahlung_30d_eff", 0)
-    netto = _num("Nettoflow_30d", 0)
-    deep = _num("DeepLossShare_50", 0)
-    rel_in = F.when(depot > 0, inflow_eff / depot).otherwise(0.0)
-    rel_net = F.when(depot > 0, netto / depot).otherwise(0.0)
-    score = F.col("InvestScore")
-    conds = [
-        (ltrade > 90) & (depot >= 1000),
-        (cq >= 0.40) & (lbuy > 30) & (cash >= 1000),
-        (inflow_eff >= 5000) & (lbuy > 20) & (plan == 0),
-        (rel_in >= 0.05) & (lbuy > 20) & (plan == 0),
-        (netto <= -2000) | (rel_net <= -0.05),
-        (wertlos == 1) & (cash >= 500),
-        (deep >= 0.30) & ((inflow_eff > 0) | (lbuy <= 14)),
-        (act6 == 0) & (lcf <= 7),
-        F.coalesce((score >= 16) & (cq >= 0.25), F.lit(False)),
-    ]
-    items = [F.when(c, F.struct(F.lit(code).alias("Alert_Code"), F.lit(text).alias("Alert_Text"),
-                                F.lit(sev).alias("Severity")))
-             for c, (code, text, sev) in zip(conds, P.ALERTS)]
+    m = measures(InvestScore=F.col("InvestScore"))
+    items = [F.when(_holds(m, condition), F.struct(F.lit(code).alias("Alert_Code"), F.lit(text).alias("Alert_Text"),
+                                                   F.lit(sev).alias("Severity")))
+             for condition, (code, text, sev) in zip(P.ALERT_CONDITIONS, P.ALERTS, strict=True)]
     fired = F.filter(F.array(*items), lambda x: x.isNotNull())
     return (f.select("Depotnummer", "Score_Datum", F.explode(fired).alias("a"))
             .select("Depotnummer", "a.Alert_Code", "a.Alert_Text", "a.Severity",
@@ -226,42 +203,11 @@ def segment_cutoffs(features: DataFrame, sp: P.SegmentParams = P.SegmentParams()
 
 def segment_expr(sp: P.SegmentParams = P.SegmentParams()) -> Column:
     """Ordered decision list over feature columns plus ``vol_cut_90``/``wealth_cut``."""
-    depot = _num("Depotwert", 0)
-    cash = _num("Cash_abs", 0)
-    pos = _num("Pos_Count", 0)
-    wertlos = _num("Wertlos_Flag", 0)
-    streak = _num("Streak_Inactive_Months", 0)
-    f30 = _num("Orderfrequenz_30d", 0)
-    f90 = _num("Orderfrequenz_90d", 0)
-    ltrade = _num("Last_Trade_Days", 9999)
-    lbuy = _num("Last_Buy_Days", 9999)
-    inflow90 = _num("Einzahlung_90d", 0)
-    inflow_eff = _num("Einzahlung_30d_eff", 0)
-    act6 = _num("Activity_Months_6m", 0)
-    lcf = _num("Last_Cashflow_Days", 9999)
-    vol90 = _num("ØOrdervolumen_90d", 0)
-    tech_w = clip(_num("TechWeight", 0), 0.0, 1.0)
-    deep = clip(_num("DeepLossShare_50", 0), 0.0, 1.0)
-    diy = _num("DIY_FrequentSmall", 0)
-    plan = _num("Sparplan_Strength_6m", 0)
-    cq_true = clip(F.col("Cashquote_true").cast("double"), 0.0, 1.0)
-    cq_eff = clip(F.coalesce(cq_true, F.when(depot > 0, clip(cash / depot, 0.0, 1.0)), F.lit(0.0)), 0.0, 1.0)
-    rel_in = F.when(depot > 0, inflow_eff / depot).otherwise(0.0)
-    vcut = F.col("vol_cut_90")
-    wcut = F.col("wealth_cut")
-    return (F.when((wertlos == 1) | ((depot <= 1) & (pos > 0)), P.SEG_CLEANUP)
-            .when((streak >= sp.inactive_streak)
-                  | ((f90 == 0) & (f30 == 0) & (ltrade > sp.inactive_trade_days) & (inflow90 == 0)), P.SEG_INACTIVE)
-            .when((act6 <= 1) & ((lcf <= 7) | (inflow_eff > 0)), P.SEG_REACTIVATED)
-            .when((depot >= wcut) & (((vol90 >= vcut) & (ltrade <= 60)) | ((f90 >= 4) & (ltrade <= 60)) | (act6 >= 3)),
-                  P.SEG_WEALTHY)
-            .when(((cq_eff >= 0.40) & (cash >= 1000) & (lbuy > 30)) | ((rel_in >= 0.05) & (lbuy > 20)),
-                  P.SEG_CASH_READY)
-            .when(((f90 >= sp.trader_90d) | (f30 >= sp.trader_30d)) & (ltrade <= 60), P.SEG_TRADER)
-            .when((tech_w >= sp.tech_weight_min) & (act6 >= 2), P.SEG_TECH)
-            .when((deep >= sp.deeploss_high) | ((cq_eff > 0.70) & (f30 == 0) & (inflow_eff > 0)), P.SEG_CAUTIOUS)
-            .when((diy == 1) | (plan >= sp.saving_plan_min), P.SEG_DIY)
-            .otherwise(P.SEG_STANDARD))
+    bounds = {f.name: F.lit(getattr(sp, f.name)) for f in fields(sp)}
+    m = measures(vol_cut_90=F.col("vol_cut_90"), wealth_cut=F.col("wealth_cut"), **bounds)
+    for name in ("TechWeight", "DeepLossShare_50"):
+        m[name] = clip(m[name], 0.0, 1.0)
+    return F.coalesce(*[F.when(_holds(m, condition), F.lit(name)) for name, condition in P.SEGMENT_CONDITIONS], F.lit(P.SEG_STANDARD))
 
 
 def with_cutoffs(features: DataFrame, sp: P.SegmentParams = P.SegmentParams()) -> DataFrame:

@@ -88,6 +88,76 @@ ALERTS = (
 )
 ALERT_STATUS_OPEN = "offen"
 
+# The rules as tables. A condition is a list of alternatives, an alternative a list of tests that must
+# all hold, a test (measure, comparison, bound); a bound in words names another measure or a segment parameter.
+# Measures are feature columns, with missing values as below, or the derived ones of ``operators.rules.measures``.
+RULE_MISSING = {"Last_Buy_Days": 9999, "Last_Trade_Days": 9999, "Last_Cashflow_Days": 9999}  # 0 for all others
+
+GENERAL_POINTS = (
+    (8, (("Orderfrequenz_30d", ">=", 2),)),
+    (6, (("Orderfrequenz_90d", ">=", 4),)),
+    (2, (("ØOrdervolumen_90d", ">", 2000),)),
+    (4, (("Cashquote_true", ">=", 0.25),)),
+    (2, (("Cashquote_true", ">=", 0.50),)),
+    (4, (("TechAffin", ">", 0),)),
+    (-5, (("Wertlos_Flag", ">=", 1),)),
+    (-4, (("Activity_Months_6m", "=", 0),)),
+)
+INVEST_POINTS = (
+    (2, (("Cash_abs", ">=", 1000), ("Cashquote_true", ">=", 0.25))),
+    (2, (("Cash_abs", ">=", 3000), ("Cashquote_true", ">=", 0.50))),
+    (3, (("Einzahlung_30d_eff", ">", 0),)),
+    (2, (("Inflow_Strength_30d", ">=", 0.02),)),
+    (2, (("Last_Buy_Days", "<=", 30),)),
+    (3, (("Last_Buy_Days", "<=", 14),)),
+    (3, (("Orderfrequenz_30d", ">=", 2),)),
+    (2, (("Orderfrequenz_90d", ">=", 4),)),
+    (1, (("TechAffin", ">=", 1),)),
+)
+INVEST_MALUS = (
+    (6, (("Activity_Months_6m", "=", 0), ("Last_Trade_Days", ">", 180), ("Einzahlung_90d", "=", 0), ("Cash_abs", "<", 100))),
+    (5, (("Wertlos_Flag", ">=", 1),)),
+    (3, (("DeepLossShare_50", ">=", 0.30),)),
+    (2, (("WinLoss_Skew", "<=", -0.40),)),
+    (4, (("Activity_Months_6m", "=", 0), ("Last_Cashflow_Days", ">", 60))),
+    (2, (("Nettoflow_30d", "<", 0),)),
+)
+INVEST_RELIEF, INVEST_RELIEVED = 3, ((("Einzahlung_30d_eff", ">=", 500),), (("Last_Buy_Days", "<=", 14),))
+WORTHLESS_IDLE, WORTHLESS_IDLE_CAP = (("Wertlos_Flag", ">=", 1), ("Activity_Months_6m", "=", 0)), 12
+GENERAL_MAX, INVEST_MAX = 100, 20
+
+# In the order of ALERTS.
+ALERT_CONDITIONS = (
+    ((("Last_Trade_Days", ">", 90), ("Depotwert", ">=", 1000)),),
+    ((("Cashquote_true", ">=", 0.40), ("Last_Buy_Days", ">", 30), ("Cash_abs", ">=", 1000)),),
+    ((("Einzahlung_30d_eff", ">=", 5000), ("Last_Buy_Days", ">", 20), ("Sparplan_Klein", "=", 0)),),
+    ((("inflow_share", ">=", 0.05), ("Last_Buy_Days", ">", 20), ("Sparplan_Klein", "=", 0)),),
+    ((("Nettoflow_30d", "<=", -2000),), (("netflow_share", "<=", -0.05),)),
+    ((("Wertlos_Flag", "=", 1), ("Cash_abs", ">=", 500)),),
+    ((("DeepLossShare_50", ">=", 0.30), ("Einzahlung_30d_eff", ">", 0)), (("DeepLossShare_50", ">=", 0.30), ("Last_Buy_Days", "<=", 14))),
+    ((("Activity_Months_6m", "=", 0), ("Last_Cashflow_Days", "<=", 7)),),
+    ((("InvestScore", ">=", 16), ("Cashquote_true", ">=", 0.25)),),
+)
+
+# The first segment whose condition holds; SEG_STANDARD if none does.
+SEGMENT_CONDITIONS = (
+    (SEG_CLEANUP, ((("Wertlos_Flag", "=", 1),), (("Depotwert", "<=", 1), ("Pos_Count", ">", 0)))),
+    (SEG_INACTIVE, ((("Streak_Inactive_Months", ">=", "inactive_streak"),),
+                    (("Orderfrequenz_90d", "=", 0), ("Orderfrequenz_30d", "=", 0), ("Last_Trade_Days", ">", "inactive_trade_days"), ("Einzahlung_90d", "=", 0)))),
+    (SEG_REACTIVATED, ((("Activity_Months_6m", "<=", 1), ("Last_Cashflow_Days", "<=", 7)), (("Activity_Months_6m", "<=", 1), ("Einzahlung_30d_eff", ">", 0)))),
+    (SEG_WEALTHY, ((("Depotwert", ">=", "wealth_cut"), ("ØOrdervolumen_90d", ">=", "vol_cut_90"), ("Last_Trade_Days", "<=", 60)),
+                   (("Depotwert", ">=", "wealth_cut"), ("Orderfrequenz_90d", ">=", 4), ("Last_Trade_Days", "<=", 60)),
+                   (("Depotwert", ">=", "wealth_cut"), ("Activity_Months_6m", ">=", 3)))),
+    (SEG_CASH_READY, ((("cash_share", ">=", 0.40), ("Cash_abs", ">=", 1000), ("Last_Buy_Days", ">", 30)),
+                      (("inflow_share", ">=", 0.05), ("Last_Buy_Days", ">", 20)))),
+    (SEG_TRADER, ((("Orderfrequenz_90d", ">=", "trader_90d"), ("Last_Trade_Days", "<=", 60)),
+                  (("Orderfrequenz_30d", ">=", "trader_30d"), ("Last_Trade_Days", "<=", 60)))),
+    (SEG_TECH, ((("TechWeight", ">=", "tech_weight_min"), ("Activity_Months_6m", ">=", 2)),)),
+    (SEG_CAUTIOUS, ((("DeepLossShare_50", ">=", "deeploss_high"),),
+                    (("cash_share", ">", 0.70), ("Orderfrequenz_30d", "=", 0), ("Einzahlung_30d_eff", ">", 0)))),
+    (SEG_DIY, ((("DIY_FrequentSmall", "=", 1),), (("Sparplan_Strength_6m", ">=", "saving_plan_min"),))),
+)
+
 # File catalog name prefixes (orders file "U", snapshot file "B").
 FILE_PREFIX_ORDERS = "comdirect_U-"
 FILE_PREFIX_SNAPSHOT = "comdirect_B-"
