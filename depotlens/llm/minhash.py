@@ -148,14 +148,17 @@ def full_sets(docs: DataFrame, width: int) -> DataFrame:
     return mapped(docs.select("doc_id", "text"), run, "doc_id long, n_shingles long, set_a long, set_b long, shingles array<long>")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the similarity."""
-    left = sets.select(F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("shingles").alias("s_u"))
-    right = sets.select(F.col("node").alias("v"), F.col("n").alias("n_v"), F.col("shingles").alias("s_v"))
+def _confirmed(pairs: DataFrame, names: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
+    """The pairs (u, v) of nodes whose full sets reach the similarity. ``names`` tells the nodes' sets, ``sets`` holds these by name."""
+
+    name = F.struct(*_NAME)
+    for end in "uv":
+        pairs = pairs.join(names.select(F.col("node").alias(end), name.alias(f"name_{end}")), end)
+    for end in "uv":
+        pairs = pairs.join(sets.select(name.alias(f"name_{end}"), F.col("n_shingles").alias(f"n_{end}"), F.col("shingles").alias(f"s_{end}")), f"name_{end}")
     same = F.size(F.array_intersect("s_u", "s_v"))
     return (
-        pairs.join(left, "u").join(right, "v")
-        .withColumn("same", same)
+        pairs.withColumn("same", same)
         .where(F.col("same") * 100 >= p.similarity * (F.col("n_u") + F.col("n_v") - F.col("same")))
         .select("u", "v")
     )
@@ -193,7 +196,7 @@ def _links_between(table: pa.Table, similarity: int) -> pa.Table:
     return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
 
-def _odd_links(members: DataFrame, groups: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
+def _odd_links(members: DataFrame, groups: DataFrame, names: DataFrame, sets: DataFrame, p: NearParams) -> DataFrame:
     """Links that the pivots have not shown: in bands whose members are not one group yet, every member outside the
     largest group is compared with all members.
 
@@ -217,7 +220,8 @@ def _odd_links(members: DataFrame, groups: DataFrame, sets: DataFrame, p: NearPa
     against = inside.select("cluster", "node", "component", F.lit(False).alias("odd"), F.explode(every).alias("odd_block"), F.col("mine").alias("block"))
     odd = inside.where("component <> largest").select("cluster", "node", "component", F.lit(True).alias("odd"), F.col("mine").alias("odd_block"), F.explode(every).alias("block"))
     used = odd.select("cluster", "odd_block").distinct()
-    dealt = against.join(used, ["cluster", "odd_block"], "left_semi").unionByName(odd).join(sets.select("node", "n", "shingles"), "node")
+    dealt = against.join(used, ["cluster", "odd_block"], "left_semi").unionByName(odd)
+    dealt = dealt.join(names.select("node", *_NAME), "node").join(sets, _NAME).withColumnRenamed("n_shingles", "n").drop("set_a", "set_b")
     return dealt.groupBy("cluster", "odd_block", "block").applyInArrow(lambda t: _links_between(t, p.similarity), "u long, v long")
 
 
@@ -244,17 +248,17 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     shared = stored(banded.groupBy("band").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("pivot")).where("members > 1"), "shared")
     members = stored(banded.join(shared.select("band", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n")), "band"), "members")
     nodes = stored(members.select("node").distinct(), "nodes")
-    firsts = stored(classes.join(nodes, "node"), "firsts")
-    wanted = docs.join(firsts, "doc_id", "left_semi")
-    sets = full_sets(wanted, p.shingle).join(firsts, ["doc_id", *_NAME]).dropDuplicates(["node"])
-    sets = stored(sets.select("node", F.col("n_shingles").alias("n"), "shingles"), "sets")
+    names = stored(classes.join(nodes, "node"), "names")
+    ids = stored(names.select("doc_id").distinct().sortWithinPartitions("doc_id"), "ids")  # one narrow column: broadcast while it is small
+    wanted = docs.join(ids, "doc_id", "left_semi")
+    sets = stored(full_sets(wanted, p.shingle).drop("doc_id").dropDuplicates(_NAME), "sets")
 
     least, most = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
     stars = members.where((F.col("node") != F.col("pivot")) & (least * 100 >= most * p.similarity)).select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-    links = stored(_confirmed(stars.distinct(), sets, p), "confirmed")
+    links = stored(_confirmed(stars.distinct(), names, sets, p), "confirmed")
     joined = components(links)
     groups = stored(nodes.join(joined, "node", "left").select("node", F.coalesce("component", "node").alias("component")), "groups")
-    more = stored(_odd_links(members.select("band", "node", "n"), groups, sets, p), "odd_links")
+    more = stored(_odd_links(members.select("band", "node", "n"), groups, names, sets, p), "odd_links")
     joined = components(links.union(more).union(_texts_of_one_id(known, classes)))
     named = stored(classes.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")), "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
