@@ -20,24 +20,23 @@ from pyspark.sql.types import NumericType
 from depotlens import params as P
 from depotlens.functions.columns import epoch_day, from_units, money_units, parse_localized_number
 from depotlens.functions.text import flow_class_alt
-from depotlens.operators.features import FEATURE_COLUMNS
-from depotlens.operators.quantiles import exact_quantiles
+from depotlens.operators.features import FEATURE_COLUMNS, held_by_tests
+from depotlens.operators.quantiles import exact_quantiles, quantiles_per_day
+from depotlens.operators.timeline import Periods
 
 # The schema audit expects the feature table without its two derived cash ratios.
 EXPECTED_FEATURE_COLUMNS = tuple(c for c in FEATURE_COLUMNS if c not in P.DERIVED_FEATURE_COLUMNS)
 
 
-def range_checks(features: DataFrame) -> DataFrame:
-    """Per date: ratios outside [0, 1] and negative day counts."""
-    def oor(c):
-        return F.count_if((F.col(c) < 0) | (F.col(c) > 1)).alias(f"{c}_out_of_range")
-
-    def neg(c):
-        return F.count_if(F.col(c) < 0).alias(f"{c}_negative")
-
-    return features.groupBy("Score_Datum").agg(
-        oor("Cashquote_true"), oor("Cashquote"),
-        neg("Last_Buy_Days"), neg("Last_Trade_Days"), neg("Last_Cashflow_Days"))
+def range_checks(features: DataFrame | Periods, fp: P.FeatureParams | None = None) -> DataFrame:
+    """Per date: ratios outside [0, 1] and negative day counts. Feature periods
+    (``features.feature_periods``) are cut where a day count changes its sign."""
+    ratios, days = ("Cashquote_true", "Cashquote"), ("Last_Buy_Days", "Last_Trade_Days", "Last_Cashflow_Days")
+    checks = {f"{c}_out_of_range": (F.col(c) < 0) | (F.col(c) > 1) for c in ratios} | {f"{c}_negative": F.col(c) < 0 for c in days}
+    if isinstance(features, Periods):
+        held = held_by_tests(features, {c: {0} for c in days}, fp)
+        return held.sums_per_day([], {k: F.coalesce(c, F.lit(False)).cast("bigint") for k, c in checks.items()}).drop("n")
+    return features.groupBy("Score_Datum").agg(*[F.count_if(c).alias(k) for k, c in checks.items()])
 
 
 def _per_date_quantiles(frames: list[tuple[DataFrame, str, str]]) -> DataFrame:
@@ -56,15 +55,26 @@ def _per_date_quantiles(frames: list[tuple[DataFrame, str, str]]) -> DataFrame:
     return q.groupBy(day.alias("Score_Datum")).agg(*aggs)
 
 
-def drift(features: DataFrame, readiness: DataFrame | None = None, qp: P.QcParams = P.QcParams()) -> DataFrame:
+def _quantiles_of_periods(periods: Periods, columns: dict[str, str]) -> DataFrame:
+    """``_per_date_quantiles`` of columns (by tag) of one set of periods."""
+    q = quantiles_per_day(periods, list(columns.values()), {"p50": 0.5, "p80": 0.8})
+    return q.groupBy("Score_Datum").agg(*[F.max(F.when(F.col("k") == k, F.col(p.lower()))).alias(f"{p}_{tag}")
+                                          for k, tag in enumerate(columns) for p in ("P50", "P80")])
+
+
+def drift(features: DataFrame | Periods, readiness: DataFrame | None = None, qp: P.QcParams = P.QcParams()) -> DataFrame:
     """Validation log per date: row count and P50/P80 of the 90-day order
     volume, the cash ratio and InvestScore, each next to the previous date's,
     with a drift flag and notes. InvestScore comes from ``readiness`` or, when
-    it is None, from an ``InvestScore`` column of ``features``."""
-    counts = features.groupBy("Score_Datum").agg(F.count(F.lit(1)).alias("Agg_Rows"))
-    score_src = readiness if readiness is not None else features
-    q = _per_date_quantiles([(features, "ØOrdervolumen_90d", "Vol90d"), (features, "Cashquote_true", "Cashquote"),
-                             (score_src, "InvestScore", "InvestScore")])
+    it is None, from an ``InvestScore`` column of ``features`` (of periods: always)."""
+    if isinstance(features, Periods):
+        counts = features.sums_per_day([], {}).withColumnRenamed("n", "Agg_Rows")
+        q = _quantiles_of_periods(features, {"Vol90d": "ØOrdervolumen_90d", "Cashquote": "Cashquote_true", "InvestScore": "InvestScore"})
+    else:
+        counts = features.groupBy("Score_Datum").agg(F.count(F.lit(1)).alias("Agg_Rows"))
+        score_src = readiness if readiness is not None else features
+        q = _per_date_quantiles([(features, "ØOrdervolumen_90d", "Vol90d"), (features, "Cashquote_true", "Cashquote"),
+                                 (score_src, "InvestScore", "InvestScore")])
     d = counts.join(q, "Score_Datum", "left")
     w = Window.orderBy("Score_Datum")  # one row per date: a calendar-sized frame
     for c in ("Agg_Rows", "P50_Vol90d", "P80_Vol90d", "P50_Cashquote", "P80_Cashquote",
@@ -157,15 +167,18 @@ def validation_log(features: DataFrame, readiness: DataFrame, scores: DataFrame,
             .withColumn("Drift_Flag", F.greatest(F.col("Drift_Flag"), F.coalesce("Coverage_Flag", F.lit(0)))))
 
 
-def daily_table_monitor(df: DataFrame, columns, date_col: str = "Score_Datum", tol: float = 0.5,
+def daily_table_monitor(df: DataFrame | Periods, columns, date_col: str = "Score_Datum", tol: float = 0.5,
                         null_max: float = 0.98, window_days: int = 14) -> DataFrame:
     """Per date and column of features or scores: rows, mean, share of NULLs,
     and flags where the mean leaves the median of the previous ``window_days``
     days by more than ``tol`` or nearly everything is NULL."""
-    long = df.select(date_col, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])).alias("x"))
-    per_day = long.groupBy(date_col, F.col("x.column_name").alias("column_name")).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("x.v").alias("mean"), F.avg(F.col("x.v").isNull().cast("double")).alias("null_share"))
+    if isinstance(df, Periods):
+        per_day = _means_of_periods(df, columns, date_col)
+    else:
+        long = df.select(date_col, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns])).alias("x"))
+        per_day = long.groupBy(date_col, F.col("x.column_name").alias("column_name")).agg(
+            F.count(F.lit(1)).alias("n"), F.avg("x.v").alias("mean"), F.avg(F.col("x.v").isNull().cast("double")).alias("null_share"))
     w = Window.partitionBy("column_name").orderBy(epoch_day(date_col)).rangeBetween(-window_days, -1)  # calendar-sized frame
     per_day = per_day.withColumn("median_prev", F.percentile(F.col("mean"), 0.5).over(w))
     off = F.abs(F.col("mean") - F.col("median_prev")) > tol * F.abs(F.col("median_prev"))
@@ -173,6 +186,17 @@ def daily_table_monitor(df: DataFrame, columns, date_col: str = "Score_Datum", t
                           (F.col("null_share") > null_max).cast("int").alias("null_flag"))
 
 
+def _means_of_periods(periods: Periods, columns, date_col: str) -> DataFrame:
+    """Rows, mean and share of NULLs per date and column (of finite values)."""
+    value = [F.col(f"`{c}`").cast("double") for c in columns]
+    sums = {f"s{i}": F.coalesce(v, F.lit(0.0)) for i, v in enumerate(value)} | {f"m{i}": v.isNull().cast("bigint") for i, v in enumerate(value)}
+    days = periods.sums_per_day([], sums, date_col)
+    there = [F.col("n") - F.col(f"m{i}") for i in range(len(value))]
+    return days.select(date_col, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col("n"), F.when(there[i] > 0, F.col(f"s{i}") / there[i]).alias("mean"), (F.col(f"m{i}") / F.col("n")).alias("null_share"))
+        for i, c in enumerate(columns)])).alias("x")).select(date_col, "x.*")
+
+
 def schema_audit(spark: SparkSession, df: DataFrame, expected=EXPECTED_FEATURE_COLUMNS) -> DataFrame:
     """Columns missing from ``df`` and columns not in the expected list."""
     have = list(df.columns)
