@@ -14,7 +14,7 @@ from depotlens.operators import rules as RU
 from depotlens.operators.ranking import ranks_per_day
 from depotlens.plans import ml as ML
 from depotlens.session import materialize
-from depotlens.sinks.tables import merged_keep_new
+from depotlens.sinks.tables import merged_keep_new, write_clustered
 from tests.helpers import booking, d, make_tables, order, position
 
 FP = P.FeatureParams()
@@ -98,3 +98,37 @@ def test_keep_new_with_dates(spark):
     new = spark.createDataFrame([(d("2025-01-02"), "1", "b"), (d("2025-01-04"), "1", "b")], "day date, k string, v string")
     for part in (new, new.limit(0)):
         assert rows(merged_keep_new(old, part, ["day", "k"], "day")) == rows(merged_keep_new(old, part, ["day", "k"]))
+
+
+def test_training_frame_by_period(labelled):
+    def text(df):
+        return df.withColumn("Cash_text", F.format_number("Cash_abs", 2)).withColumn("Gruppe", F.concat(F.lit("G"), "Depotnummer"))
+
+    names = ("Letzter_Kauf", "Cash_text", "Gruppe", "Depotwert")
+    held = FE.Periods(text(labelled.rows), labelled.dates).select("Depotnummer", *names)
+    frame = ML.training_frame(held, labelled.select("Depotnummer", LABELS[0]), LABELS[0], "2025-01-20", "2025-03-01")
+    typed = ML.typed_frame(frame)
+    assert dict(typed.rows.dtypes)["Cash_text"] == "double" and dict(typed.rows.dtypes)["Gruppe"] == "string"
+    old = text(daily(labelled))
+    whole = ML.typed_frame(ML.training_frame(old.select("Depotnummer", "Score_Datum", *names), old.select("Depotnummer", F.col("Score_Datum").alias("stichtag"), LABELS[0]),
+                                             LABELS[0], "2025-01-20", "2025-03-01"))
+    assert rows(ML.days_since(typed.per_day())) == rows(whole)
+
+
+def test_first_buy_features_by_period(spark, labelled):
+    fb = P.FirstBuyParams(isin="T")
+    t = make_tables(spark, orders=[order("1", "2025-01-10", cf=-1500.0, isin="T", tx="a"), order("1", "2025-01-30", cf=-1200.0, isin="U"), order("3", "2025-02-12", isin="T"),
+                                   order("2", "2024-12-30", cf=-4000.0, isin="T", tx="b"), order("2", "2025-01-25", "Verkauf", tx="b", remark="Storno")])
+    new, old = (LB.first_buy_features(x, t.orders, fb=fb) for x in (labelled, daily(labelled)))
+    assert new.columns == old.columns and new.dtypes == old.dtypes
+    assert rows(new) == rows(old)
+
+
+def test_clustered_files_of_periods(spark, labelled, tmp_path):
+    path = str(tmp_path / "clustered")
+    write_clustered(labelled, path, ["Depotnummer", "Score_Datum"], rows_per_file=40, laid_out=lambda p: FE.features_per_day(p, FP))
+    stored = spark.read.parquet(path)
+    assert rows(stored) == rows(FE.features_per_day(labelled, FP))
+    spans = sorted(tuple(r) for r in stored.groupBy(F.input_file_name()).agg(F.min(F.struct("Depotnummer", "Score_Datum")), F.max(F.struct("Depotnummer", "Score_Datum")))
+                   .select("min(struct(Depotnummer, Score_Datum))", "max(struct(Depotnummer, Score_Datum))").collect())
+    assert len(spans) > 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
