@@ -20,9 +20,9 @@ from pyspark.sql.types import NumericType
 from depotlens import params as P
 from depotlens.functions.columns import epoch_day, from_units, money_units, parse_localized_number
 from depotlens.functions.text import flow_class_alt
-from depotlens.operators.features import FEATURE_COLUMNS, held_by_tests
+from depotlens.operators.features import COUNTED_FROM, FEATURE_COLUMNS, dated_columns, held_by_tests
 from depotlens.operators.quantiles import exact_quantiles, quantiles_per_day
-from depotlens.operators.timeline import Periods
+from depotlens.operators.timeline import Periods, as_day
 
 # The schema audit expects the feature table without its two derived cash ratios.
 EXPECTED_FEATURE_COLUMNS = tuple(c for c in FEATURE_COLUMNS if c not in P.DERIVED_FEATURE_COLUMNS)
@@ -290,15 +290,20 @@ def feature_correlations(features: DataFrame, cols, min_abs: float = 0.9) -> Dat
     return rows.select("column_a", "column_b", r.alias("correlation"), F.coalesce(F.abs(r) >= min_abs, F.lit(False)).cast("int").alias("high"))
 
 
-def correlation_matrix(features: DataFrame, cols, min_abs: float = 0.9) -> DataFrame:
+def correlation_matrix(features: DataFrame | Periods, cols, min_abs: float = 0.9, fp: P.FeatureParams = P.FeatureParams()) -> DataFrame:
     """As ``feature_correlations``, for many columns: every pair of ``cols`` from one Gram matrix.
 
     Each task multiplies its Arrow batches with themselves (products about the
     columns' means, so that large amounts do not cancel) and hands over one
     number per pair; those are added up by pair. Constant columns, found by
     their range, correlate with nothing (NULL), as do tables of one row.
+
+    Of feature periods a value counts for each of its days; only the columns
+    that count from the date come day by day (``_period_products``).
     """
     cols = list(cols)
+    if isinstance(features, Periods):
+        return _correlations(*_period_products(features, cols, fp), cols, min_abs)
     value = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in cols]
     plain = features.select(*[v.alias(str(i)) for i, v in enumerate(value)])
     stats = plain.agg(*[F.avg(c).alias(f"m{c}") for c in plain.columns], *[(F.min(c) < F.max(c)).alias(f"v{c}") for c in plain.columns]).first()
@@ -317,7 +322,58 @@ def correlation_matrix(features: DataFrame, cols, min_abs: float = 0.9) -> DataF
         yield pa.RecordBatch.from_arrays(
             [pa.array(v) for v in (a, b, gram[a, b], ones[a], ones[b], np.full(len(a), rows))], ["a", "b", "ab", "sa", "sb", "n"])
 
-    parts = plain.mapInArrow(products, "a long, b long, ab double, sa double, sb double, n long")
+    return _correlations(plain.mapInArrow(products, _PRODUCTS), varies, cols, min_abs)
+
+
+_PRODUCTS = "a long, b long, ab double, sa double, sb double, n long"
+
+
+def _period_products(periods: Periods, cols: list[str], fp: P.FeatureParams) -> tuple[DataFrame, list[bool]]:
+    """Sums of products by pair of ``cols`` from each task, over the rows behind the periods, and whether a column varies."""
+    counted = [c for c in cols if c in COUNTED_FROM]
+    held = [c for c in cols if c not in COUNTED_FROM]
+
+    def daily(c):
+        return F.transform("_days", lambda day: F.coalesce(dated_columns(fp, as_day(day))[c].cast("double"), F.lit(0.0)))
+
+    plain = periods.with_days("_days").select(F.size("_days").alias("n"), *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"h{i}") for i, c in enumerate(held)],
+                                              *[daily(c).alias(f"d{i}") for i, c in enumerate(counted)])
+    h, dd = [f"h{i}" for i in range(len(held))], [f"d{i}" for i in range(len(counted))]
+    stats = plain.agg(*[(F.sum(F.col(c) * F.col("n")) / F.sum("n")).alias(f"m{c}") for c in h], *[F.avg(F.get(c, F.lit(0))).alias(f"m{c}") for c in dd],
+                      *[(F.min(c) < F.max(c)).alias(f"v{c}") for c in h], *[(F.min(F.array_min(c)) < F.max(F.array_max(c))).alias(f"v{c}") for c in dd]).first()
+    about_h, about_d = (np.array([stats[f"m{c}"] or 0.0 for c in names]) for names in (h, dd))  # any point near the means will do
+    place = np.array([(held + counted).index(c) for c in cols])
+    a, b = np.triu_indices(len(cols))
+
+    def products(batches):
+        k = len(about_h) + len(about_d)
+        gram, ones = np.zeros((k, k)), np.zeros(k)
+        rows = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column(0).to_numpy(zero_copy_only=False)
+            x = np.zeros((len(n), len(about_h)))
+            for i in range(len(about_h)):
+                x[:, i] = batch.column(1 + i).to_numpy(zero_copy_only=False) - about_h[i]
+            first = np.concatenate([[0], np.cumsum(n)[:-1]])
+            y = np.zeros((int(n.sum()), len(about_d)))
+            for i in range(len(about_d)):
+                y[:, i] = batch.column(1 + len(about_h) + i).flatten().to_numpy(zero_copy_only=False) - about_d[i]
+            both = x.T @ np.add.reduceat(y, first, axis=0)
+            gram += np.block([[(x * n[:, None]).T @ x, both], [both.T, y.T @ y]])
+            ones += np.concatenate([(x * n[:, None]).sum(axis=0), y.sum(axis=0)])
+            rows += len(y)
+        at, total = gram[np.ix_(place, place)], ones[place]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(v) for v in (a, b, at[a, b], total[a], total[b], np.full(len(a), rows))], ["a", "b", "ab", "sa", "sb", "n"])
+
+    by_column = dict(zip(held + counted, h + dd, strict=True))
+    return plain.mapInArrow(products, _PRODUCTS), [bool(stats[f"v{by_column[c]}"]) for c in cols]
+
+
+def _correlations(parts: DataFrame, varies: list[bool], cols: list[str], min_abs: float) -> DataFrame:
+    """The pairs' correlations from the tasks' sums of products."""
     total = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("ab", "sa", "sb", "n")])
     about_mean = (F.col("ab") - F.col("sa") * F.col("sb") / F.col("n")).alias("cov")
     total = total.select("a", "b", about_mean)

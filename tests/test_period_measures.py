@@ -132,3 +132,10 @@ def test_clustered_files_of_periods(spark, labelled, tmp_path):
     spans = sorted(tuple(r) for r in stored.groupBy(F.input_file_name()).agg(F.min(F.struct("Depotnummer", "Score_Datum")), F.max(F.struct("Depotnummer", "Score_Datum")))
                    .select("min(struct(Depotnummer, Score_Datum))", "max(struct(Depotnummer, Score_Datum))").collect())
     assert len(spans) > 3 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_correlations_by_period(labelled):
+    columns = ["Last_Buy_Days", "Depotwert", "Streak_Inactive_Months", "ZeroPos", "HHI_Concentration", "Last_Cashflow_Days"]
+    new, old = QC.correlation_matrix(labelled, columns, fp=FP), QC.correlation_matrix(daily(labelled), columns)
+    assert rows(new) == rows(old)
+    assert any(r["correlation"] is None for r in new.collect()) and any(r["correlation"] is not None for r in new.collect())
