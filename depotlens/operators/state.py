@@ -4,8 +4,8 @@ The state holds what the features need of the past, in a size that does not
 grow with it: running totals and last days, the order months, the order and
 booking days of the last ``KEPT_DAYS`` days (at most one entry a day and
 delivery), and the latest snapshots. Moving on stacks the old state with the
-new rows' sums and combines them per depot, one shuffle of the depots and the
-new rows; the history is not read. Windows are cut out of the kept days, so
+new rows' sums and combines them per depot; only depots with new rows take part,
+the others move on where they are, and the history is not read. Windows are cut out of the kept days, so
 they expire by themselves. The result is that of ``depot_features`` at the day.
 
 New rows are rows that became known since the state's day: by date, or by
@@ -24,8 +24,9 @@ from depotlens.operators import features as FE
 from depotlens.operators import files as FI
 from depotlens.operators import orders as OR
 from depotlens.operators import positions as POS
-from depotlens.sinks.tables import replace_dates
-from depotlens.sources.catalog import SourceTables, path_exists
+from depotlens.session import materialize
+from depotlens.sinks.tables import replace_dates, stored_dates
+from depotlens.sources.catalog import SourceTables
 
 #: Six months reach back 184 days at most, the deposit window 180.
 KEPT_DAYS = 190
@@ -64,22 +65,34 @@ def advance(state: DataFrame | None, new: SourceTables, as_of, fp: P.FeaturePara
     """The state at ``as_of`` from an earlier one (None: from nothing) and the rows that became known since."""
     fp, a = fp or P.FeatureParams(), FE.as_date(as_of)
     spark = new.orders.sparkSession
-    stacked = spark.createDataFrame([], SCHEMA) if state is None else state.select(*[c.split()[0] for c in SCHEMA.split(", ")])
+    stacked, staying = spark.createDataFrame([], SCHEMA), None
     for part in _new_sums(new, a, fp):
         stacked = stacked.unionByName(part, allowMissingColumns=True)
 
+    def recent(entries: Column) -> Column:
+        return F.filter(entries, lambda x: x["d"] >= F.date_sub(a, KEPT_DAYS))
+
+    if state is not None:
+        stacked = materialize(stacked)  # read for the depots' names and for their sums
+        moving = stacked.select(F.col("Depotnummer").alias("_moving")).distinct()
+        same = F.col("Depotnummer").eqNullSafe(F.col("_moving"))
+        columns = [c.split()[0] for c in SCHEMA.split(", ")]
+        staying = state.join(moving, same, "left_anti").select(*[recent(F.col(c)).alias(c) if c in ("days", "books") else c for c in columns])
+        stacked = stacked.unionByName(state.join(moving, same, "left_semi").select(*columns))
+
     def joined(c: str) -> Column:
         return F.flatten(F.collect_list(c))
 
     def lately(c: str) -> Column:
-        return F.filter(joined(c), lambda x: x["d"] >= F.date_sub(a, KEPT_DAYS)).alias(c)
+        return recent(joined(c)).alias(c)
 
-    return stacked.groupBy("Depotnummer").agg(
+    moved = stacked.groupBy("Depotnummer").agg(
         F.sum("o_n").alias("o_n"), F.sum("o_vol").alias("o_vol"), F.array_distinct(joined("months")).alias("months"),
         F.max("o_last_buy").alias("o_last_buy"), F.max("o_last_trade").alias("o_last_trade"), lately("days"),
         lately("books"), F.max("booked").alias("booked"), F.max("b_last_cf").alias("b_last_cf"),
         F.max_by("p", "p_date").alias("p"), F.max("p_date").alias("p_date"),
         F.max_by("s_saldo", "s_date").alias("s_saldo"), F.max("s_date").alias("s_date"), F.max("spine").alias("spine"))
+    return moved if staying is None else moved.unionByName(staying)
 
 
 def state_base(state: DataFrame, as_of, fp: P.FeatureParams | None = None, same_day_snapshots: bool = False) -> DataFrame:
@@ -95,13 +108,11 @@ def state_base(state: DataFrame, as_of, fp: P.FeatureParams | None = None, same_
         return F.array_distinct(F.transform(F.filter(entries, keep), lambda x: month_index(x["d"])))
 
     half_year = F.add_months(a, -6)
-    deposits = F.filter("books", lambda x: x["has_in"] & (x["d"] >= F.date_sub(a, 180)))
-    dep_months = F.array_distinct(F.transform(deposits, lambda x: month_index(x["d"])))
+    dep_months = F.array_distinct(F.transform("_deposits", lambda x: month_index(x["d"])))
     sums = F.transform(dep_months, lambda m: F.aggregate(
-        F.filter(deposits, lambda x: month_index(x["d"]) == m), zero, lambda acc, x: acc + F.coalesce(x["u_in"], zero)) / 10000.0)
-    n = F.size(sums)
-    mean = F.aggregate(sums, F.lit(0.0), lambda acc, v: acc + v) / n
-    var = F.aggregate(sums, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean)) / (n - 1)
+        F.filter("_deposits", lambda x: month_index(x["d"]) == m), zero, lambda acc, x: acc + F.coalesce(x["u_in"], zero)) / 10000.0)
+    n, mean = F.size("_sums"), F.col("_mean")
+    var = F.aggregate("_sums", F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean)) / (n - 1)
     traded, booked = F.col("o_n").isNotNull(), F.col("booked").isNotNull()
 
     def if_there(there: Column, value: Column, name: str) -> Column:
@@ -111,7 +122,10 @@ def state_base(state: DataFrame, as_of, fp: P.FeatureParams | None = None, same_
     if same_day_snapshots:  # a depot without orders exists while the day's file has it
         p_holds, s_holds = F.col("p_date") == a, F.col("s_date") == a
         spine = traded | F.coalesce(p_holds, F.lit(False)) | F.coalesce(s_holds, F.lit(False))
-    return state.where(spine).select(
+    # Columns of their own: a lambda would compute the sums and their mean again for every element.
+    staged = (state.where(spine).withColumn("_deposits", F.filter("books", lambda x: x["has_in"] & (x["d"] >= F.date_sub(a, 180))))
+              .withColumn("_sums", sums).withColumn("_mean", F.when(n > 0, F.aggregate("_sums", F.lit(0.0), lambda acc, v: acc + v) / n)))
+    return staged.select(
         "Depotnummer", a.alias("Score_Datum"), "o_last_buy", "o_last_trade", "o_n", "o_vol",
         if_there(traded, added("days", "n", 30), "o_n30"), if_there(traded, added("days", "vol", 30), "o_vol30"),
         if_there(traded, added("days", "n", 90), "o_n90"), if_there(traded, added("days", "vol", 90), "o_vol90"),
@@ -164,11 +178,8 @@ def step(spark: SparkSession, tables: SourceTables, as_of, path: str, fp: P.Feat
     have to be run again as well.
     """
     a = str(as_of)
-    since = None
-    if path_exists(spark, path):
-        stored = spark.read.parquet(path)
-        since = stored.where(F.col("as_of") < FE.as_date(a)).agg(F.max("as_of")).first()[0]
-    state = None if since is None else stored.where(F.col("as_of") == FE.as_date(since))
+    since = max((d for d in stored_dates(spark, path, "as_of") if d < a), default=None)
+    state = None if since is None else spark.read.parquet(path).where(F.col("as_of") == FE.as_date(since))
     new = rows_since(tables, since, a) if days is None else rows_delivered(tables, days, since, a)
     moved = advance(state, new, a, fp).withColumn("as_of", FE.as_date(a))
     replace_dates(moved, path, "as_of", [a])
