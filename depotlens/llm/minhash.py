@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import mapped, stored, tidy
+from .store import mapped, small_broadcasts, stored, tidy
 from .words import U, blocks, list_column, mix, ngram_hashes, signed, words_of
 
 #: Shingles of the documents that one task compares with another such block.
@@ -226,6 +226,7 @@ def _odd_links(members: DataFrame, groups: DataFrame, names: DataFrame, sets: Da
 
 
 @tidy
+@small_broadcasts
 def near_duplicates(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``.
 
