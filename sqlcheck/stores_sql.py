@@ -37,14 +37,40 @@ least_after AS (SELECT horizon, i, k, MIN(m) OVER (PARTITION BY horizon, i ORDER
 fitted AS (SELECT horizon, k, MAX(m) AS p FROM least_after GROUP BY horizon, k)"""
 
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes, byte by byte over the usual table."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 0xEDB88320 * (c & 1)
+        table.append(c)
+    digit = "instr('0123456789ABCDEF', h[{}]) - 1"
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: (({digit.format(1)}) * 16 + {digit.format(2)})::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, lambda r, b: xor(r >> 8, [{', '.join(map(str, table))}][xor(r, b) % 256 + 1])), 4294967295)"
+
+
+def _rejected() -> str:
+    """What is damaged is rejected, and nothing else; a row is damaged by the CRC-32 of its fields (without a remark a booking has an empty one)."""
+    damage = {
+        "cd_order": (50, ("malformed", "no key"), ("Depotnummer", "Orderdatum", "Ordertyp", "Cashflow", "ISIN", "Transaktionsnummer", "Bemerkung", "Datei_ID")),
+        "cd_saldo": (40, ("malformed",), ("Kontoreferenz", "Datum", "Saldosollwert", "Datei_ID")),
+        "cd_buchung": (30, ("malformed", "no date"), ("Kontoreferenz", "Valutadatum", "Buchungdatum", "Betrag", "Buchungtyp", "coalesce(Bemerkung, '')"))}
+    ctes, rows = [], []
+    for t in ("cd_order", "cd_saldo", "cd_buchung", "cd_bestand", "cd_datei"):
+        every, reasons, fields = damage.get(t, (1, (None,), ()))
+        line = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in fields)
+        ctes.append(f"n_{t} AS (SELECT COUNT(*) AS n, {f'COUNT(*) FILTER (WHERE {_crc32(line)} % {every} = 0)' if fields else '0'} AS d FROM {t})")
+        rows += [f"SELECT '{t}' AS table_name, {f'{chr(39)}{reason}{chr(39)}' if reason else 'CAST(NULL AS VARCHAR)'} AS reason, n AS n_rows, n AS n_given, "
+                 f"d AS n_rejected, d AS n_damaged, CASE WHEN d > 0 THEN 1.0::DOUBLE END AS share, "
+                 f"CASE WHEN d > 0 THEN {len(reasons)} ELSE 0 END AS reasons, CASE WHEN d > 0 THEN 1 ELSE 0 END AS counts FROM n_{t}" for reason in reasons]
+    return with_sources(",\n".join(ctes), select=" UNION ALL ".join(rows))
+
+
 def store_oracles() -> dict[str, str]:
     from sqlcheck.labels_sql import label_oracles
     labels = label_oracles()
     spine = "SELECT Depotnummer, Score_Datum, CAST({run} AS INTEGER) AS run FROM spine WHERE {keep}"
     late, quarter = "Score_Datum >= DATE '2001-05-01'", "Score_Datum BETWEEN DATE '2000-01-01' AND DATE '2000-03-31'"
-    counts = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS n_given, {reasons} AS reasons, {1 if reasons else 0} AS counts FROM {t}"
-        for t, reasons in (("cd_order", 2), ("cd_saldo", 1), ("cd_buchung", 2), ("cd_bestand", 0), ("cd_datei", 0)))
     return {
         "sink_replace_dates": features_sql(BACKFILL_DATES, select=(
             spine.format(run=1, keep=f"NOT ({late})") + " UNION ALL "
@@ -57,7 +83,7 @@ def store_oracles() -> dict[str, str]:
             "SELECT Depotnummer, Score_Datum, round(Depotwert, 6) AS Depotwert, Orderfrequenz, Last_Trade_Days FROM feat "
             "WHERE Depotnummer BETWEEN '20' AND '39'")),
         "csv_labels": labels["label_invest"],
-        "csv_rejected": with_sources(select=counts),
+        "csv_rejected": _rejected(),
         "incremental_features": features_sql(BACKFILL_DATES.replace("dates AS (", "all_dates AS (")
                                              + ",\ndates AS (SELECT as_of FROM all_dates ORDER BY as_of DESC LIMIT 14)"),
         "feature_correlations_all": _correlations(),
